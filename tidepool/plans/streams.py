@@ -1 +1,167 @@
-"""placeholder"""
+"""Structured Streaming (survey 2.14).
+
+Events (plus retries: purchases sent again one minute later with the same id)
+are landed as parquet files and read as a file stream; every query drains with
+an available-now trigger into a parquet sink. Windowed aggregations run in
+append mode: a window is emitted once the watermark (max event time seen minus
+the delay) passes its end, so windows still open when the input ends are not
+in the output - the oracles say the same with ``window_end <= max(ts) - delay``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.numeric import rnd
+from ..session import scratch_path
+from ..sources import files as fs
+from ..sources.tables import Tables
+from ..streaming.runner import drain, progress_frame, to_event_time
+from .quality_checks import risk_score_df
+from .registry import register
+
+RETRIES_SQL = """src AS (
+  SELECT event_id, ts, user_id, event_type, value, props FROM events
+  UNION ALL
+  SELECT event_id, ts + INTERVAL 1 MINUTE, user_id, event_type, value, props FROM events
+  WHERE event_type = 'purchase')"""
+
+
+def events_with_retries(t: Tables) -> DataFrame:
+    ev = t.events
+    retries = ev.filter(F.col("event_type") == "purchase").withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 MINUTE"))
+    return ev.unionByName(retries)
+
+
+def event_stream(spark: SparkSession, sf: str, name: str, files: int = 4,
+                 max_files_per_trigger: int | None = None) -> tuple[DataFrame, str]:
+    """Land events + retries and open them as a stream with TIMESTAMP event time."""
+    base = scratch_path(spark, name)
+    landed = events_with_retries(Tables(spark, sf))
+    fs.write_files(landed, f"{base}/landing", "parquet", files)
+    r = spark.readStream.schema(landed.schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return to_event_time(r.parquet(f"{base}/landing"), "ts"), base
+
+
+def _run(stream: DataFrame, base: str) -> DataFrame:
+    drain(stream, f"{base}/out", f"{base}/_checkpoint")
+    return stream.sparkSession.read.parquet(f"{base}/out")
+
+
+def _ntz(c: str):
+    return F.col(c).cast("timestamp_ntz")
+
+
+@register("stream_dedup_watermark", ops=("STM1", "STM2"), oracle="""
+SELECT event_id, user_id, event_type FROM events
+""")
+def stream_dedup_watermark(spark: SparkSession, sf: str) -> DataFrame:
+    """Retries carry a new event time; deduplicate by id within a 5-minute watermark."""
+    s, base = event_stream(spark, sf, "stream_dedup_wm")
+    d = s.withWatermark("ts", "5 minutes").dropDuplicatesWithinWatermark(["event_id"])
+    return _run(d.select("event_id", "user_id", "event_type"), base)
+
+
+@register("stream_dedup_key", ops=("STM3",), oracle=f"""WITH {RETRIES_SQL}
+SELECT DISTINCT event_id, ts FROM src
+""")
+def stream_dedup_key(spark: SparkSession, sf: str) -> DataFrame:
+    """dropDuplicates on (id, event time) with a watermark: state for a key is
+    dropped once the watermark passes its event time."""
+    s, base = event_stream(spark, sf, "stream_dedup_key")
+    d = s.withWatermark("ts", "10 minutes").dropDuplicates(["event_id", "ts"])
+    return _run(d.select("event_id", _ntz("ts").alias("ts")), base)
+
+
+def _bucket(seconds: int) -> str:
+    return (f"TIMESTAMP '1970-01-01' + to_seconds(CAST(floor(epoch(ts) / {seconds}) * {seconds} AS BIGINT))")
+
+
+@register("tumbling_velocity", ops=("STM4",), oracle=f"""WITH {RETRIES_SQL},
+w AS (SELECT user_id, {_bucket(600)} AS window_start, count(*) AS n_events, round(sum(value), 2) AS total_value
+      FROM src GROUP BY 1, 2)
+SELECT user_id, window_start, window_start + INTERVAL 10 MINUTE AS window_end, n_events, total_value,
+       n_events >= 3 AS is_spike
+FROM w WHERE window_start + INTERVAL 10 MINUTE <= (SELECT max(ts) FROM src) - INTERVAL 10 MINUTE
+""")
+def tumbling_velocity(spark: SparkSession, sf: str) -> DataFrame:
+    s, base = event_stream(spark, sf, "stream_tumbling")
+    g = (s.withWatermark("ts", "10 minutes")
+         .groupBy("user_id", F.window("ts", "10 minutes"))
+         .agg(F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("total_value")))
+    out = g.select("user_id", _ntz("window.start").alias("window_start"), _ntz("window.end").alias("window_end"),
+                   "n_events", "total_value")
+    res = _run(out, base)
+    return res.withColumn("total_value", rnd("total_value", 2)).withColumn("is_spike", F.col("n_events") >= 3)
+
+
+@register("sliding_amount", ops=("STM5",), oracle=f"""WITH {RETRIES_SQL},
+k AS (SELECT * FROM range(12) t(k)),
+x AS (SELECT s.*, {_bucket(300)} - k.k * INTERVAL 5 MINUTE AS window_start FROM src s CROSS JOIN k),
+w AS (SELECT event_type, window_start, count(*) AS n_events, round(sum(value), 2) AS total_value
+      FROM x GROUP BY 1, 2)
+SELECT event_type, window_start, window_start + INTERVAL 1 HOUR AS window_end, n_events, total_value,
+       total_value > 500 AS over_threshold
+FROM w WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM src) - INTERVAL 10 MINUTE
+""")
+def sliding_amount(spark: SparkSession, sf: str) -> DataFrame:
+    """1-hour windows sliding by 5 minutes, per event type, with a threshold flag."""
+    s, base = event_stream(spark, sf, "stream_sliding")
+    g = (s.withWatermark("ts", "10 minutes")
+         .groupBy("event_type", F.window("ts", "1 hour", "5 minutes"))
+         .agg(F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("total_value")))
+    out = g.select("event_type", _ntz("window.start").alias("window_start"), _ntz("window.end").alias("window_end"),
+                   "n_events", "total_value")
+    res = _run(out, base)
+    return res.withColumn("total_value", rnd("total_value", 2)) \
+              .withColumn("over_threshold", F.col("total_value") > 500)
+
+
+@register("session_window", ops=("STM6",), oracle=f"""WITH {RETRIES_SQL},
+g AS (SELECT *, CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL
+                       OR ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) > INTERVAL 30 MINUTE
+                     THEN 1 ELSE 0 END AS new_session FROM src),
+s AS (SELECT *, sum(new_session) OVER (PARTITION BY user_id ORDER BY ts, event_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM g),
+w AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS n_events
+      FROM s GROUP BY user_id, sid)
+SELECT * FROM w WHERE session_end <= (SELECT max(ts) FROM src) - INTERVAL 30 MINUTE
+""")
+def session_window(spark: SparkSession, sf: str) -> DataFrame:
+    """Session windows with a 30-minute gap (a gap of exactly 30 minutes stays in the session)."""
+    s, base = event_stream(spark, sf, "stream_session")
+    g = (s.withWatermark("ts", "30 minutes")
+         .groupBy("user_id", F.session_window("ts", "30 minutes"))
+         .agg(F.count(F.lit(1)).alias("n_events")))
+    out = g.select("user_id", _ntz("session_window.start").alias("session_start"),
+                   _ntz("session_window.end").alias("session_end"), "n_events")
+    return _run(out, base)
+
+
+@register("stream_alerts", ops=("STM9",), oracle=f"""WITH {RETRIES_SQL}
+SELECT event_id, user_id, ts, value,
+  CASE WHEN value > 40 THEN 30 ELSE 0 END + CASE WHEN event_type = 'purchase' THEN 20 ELSE 0 END
+  + CASE WHEN TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) > 80 THEN 25 ELSE 0 END
+  + CASE WHEN hour(ts) < 6 THEN 15 ELSE 0 END AS risk_score
+FROM src
+WHERE CASE WHEN value > 40 THEN 30 ELSE 0 END + CASE WHEN event_type = 'purchase' THEN 20 ELSE 0 END
+  + CASE WHEN TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) > 80 THEN 25 ELSE 0 END
+  + CASE WHEN hour(ts) < 6 THEN 15 ELSE 0 END > 70
+""")
+def stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """Score every event in the stream and sink only the alerts."""
+    s, base = event_stream(spark, sf, "stream_alerts")
+    scored = risk_score_df(s).filter(F.col("is_alert")).drop("is_alert")
+    return _run(scored.withColumn("ts", _ntz("ts")), base)
+
+
+@register("stream_progress", ops=("STM13",))
+def stream_progress(spark: SparkSession, sf: str) -> DataFrame:
+    """Per micro-batch progress (input rows, rates, state rows, watermark) as a DataFrame."""
+    s, base = event_stream(spark, sf, "stream_progress", files=4, max_files_per_trigger=1)
+    agg = s.withWatermark("ts", "10 minutes").groupBy("event_type", F.window("ts", "1 hour")).count()
+    q = drain(agg, f"{base}/out", f"{base}/_checkpoint")
+    return progress_frame(spark, q)
