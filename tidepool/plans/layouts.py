@@ -1 +1,100 @@
-"""placeholder"""
+"""Layout jobs and layout reports (survey 2.13)."""
+
+from __future__ import annotations
+
+import time
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import layout as lay
+from ..session import scratch_path
+from ..sources.sinks import write_partitioned
+from ..sources.tables import Tables
+from .registry import register
+
+# Small target so the test-scale tables still produce several files.
+TEST_TARGET_FILE_BYTES = 256 * 1024
+
+
+def fragmented_lineitem(spark: SparkSession, sf: str, path: str) -> str:
+    """Small-file fixture: one append per line number, four files each."""
+    li = Tables(spark, sf).lineitem
+    for n in range(1, 8):
+        li.filter(F.col("l_linenumber") == n).repartition(4).write.mode("append").parquet(path)
+    return path
+
+
+@register("compact_files", ops=("LAY2", "LAY12", "SNK11"), oracle="SELECT * FROM lineitem")
+def compact_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Compaction keeps every row and leaves fewer files."""
+    base = scratch_path(spark, "compact")
+    fragmented_lineitem(spark, sf, f"{base}/raw")
+    lay.compact(spark, f"{base}/raw", f"{base}/compacted", target_file_bytes=4 * 1024 * 1024)
+    before = lay.file_report(spark, f"{base}/raw").first()["num_files"]
+    after = lay.file_report(spark, f"{base}/compacted").first()["num_files"]
+    if not after < before:
+        raise AssertionError(f"compaction did not reduce files: {before} -> {after}")
+    return spark.read.parquet(f"{base}/compacted")
+
+
+@register("file_report", ops=("LAY7", "LAY8"))
+def file_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Before/after report of a compaction (files, bytes, average size)."""
+    base = scratch_path(spark, "file_report")
+    fragmented_lineitem(spark, sf, f"{base}/raw")
+    lay.compact(spark, f"{base}/raw", f"{base}/compacted", target_file_bytes=4 * 1024 * 1024)
+    b = lay.file_report(spark, f"{base}/raw").select(F.lit("before").alias("stage"), "*")
+    a = lay.file_report(spark, f"{base}/compacted").select(F.lit("after").alias("stage"), "*")
+    return b.unionByName(a)
+
+
+@register("zorder_layout", ops=("LAY3",), oracle="SELECT * FROM lineitem")
+def zorder_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """Z-order lineitem on (part, supplier); the rewrite keeps the multiset of rows."""
+    li = Tables(spark, sf).lineitem
+    base = scratch_path(spark, "zorder")
+    li.write.parquet(f"{base}/raw")
+    n = lay.files_for_target(spark, f"{base}/raw", TEST_TARGET_FILE_BYTES)
+    lay.zorder(spark.read.parquet(f"{base}/raw"), ["l_partkey", "l_suppkey"], f"{base}/z", num_files=max(n, 4))
+    return spark.read.parquet(f"{base}/z")
+
+
+@register("cluster_layout", ops=("LAY4", "LAY5", "LAY6"), oracle="SELECT * FROM orders")
+def cluster_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """Move a status-partitioned orders folder to one clustered by (customer, date)."""
+    o = Tables(spark, sf).orders
+    base = scratch_path(spark, "cluster")
+    write_partitioned(o, f"{base}/partitioned", ["o_orderstatus"])
+    spec = lay.LayoutSpec(cluster_by=["o_custkey", "o_orderdate"])
+    spec.save(spark, f"{base}/clustered")
+    src = spark.read.parquet(f"{base}/partitioned").select(*o.columns)
+    lay.apply_clustering(src, lay.LayoutSpec.load(spark, f"{base}/clustered"), f"{base}/clustered/data", 4)
+    out = spark.read.parquet(f"{base}/clustered/data")
+    return out.select(*o.columns)
+
+
+@register("skipping_report", ops=("LAY10", "LAY11"))
+def skipping_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Files a point filter on (part, supplier) must read: raw layout vs z-ordered."""
+    li = Tables(spark, sf).lineitem
+    base = scratch_path(spark, "skipping")
+    li.repartition(8).write.parquet(f"{base}/raw")
+    lay.zorder(spark.read.parquet(f"{base}/raw"), ["l_partkey", "l_suppkey"], f"{base}/z", num_files=8)
+    probe_row = li.select("l_partkey", "l_suppkey").orderBy("l_partkey", "l_suppkey").first()
+    probe = {"l_partkey": probe_row[0], "l_suppkey": probe_row[1]}
+    raw = lay.skipping_report(spark, f"{base}/raw", probe).select(F.lit("raw").alias("layout"), "*")
+    z = lay.skipping_report(spark, f"{base}/z", probe).select(F.lit("zorder").alias("layout"), "*")
+    return raw.unionByName(z)
+
+
+@register("orphan_files", ops=("LAY9",))
+def orphan_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of a replaced version are orphans once older than the retention window."""
+    o = Tables(spark, sf).orders
+    base = scratch_path(spark, "orphans")
+    o.repartition(3).write.parquet(f"{base}/data/v1")
+    o.repartition(2).write.parquet(f"{base}/data/v2")
+    live = lay.list_files(spark, f"{base}/data/v2").select("path")
+    eight_days_later = int(time.time() * 1000) + 8 * 24 * 3600 * 1000
+    return lay.orphan_files(spark, f"{base}/data", live, now_ms=eight_days_later)
