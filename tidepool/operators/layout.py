@@ -45,9 +45,13 @@ def compact(spark: SparkSession, src: str, dst: str, target_file_bytes: int = DE
     each task writes one output file from the small files it read.
     """
     conf = spark.conf
-    old = {k: conf.get(k, None) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes",
+            "spark.sql.files.minPartitionNum")
+    old = {k: conf.get(k, None) for k in keys}
     conf.set("spark.sql.files.maxPartitionBytes", str(target_file_bytes))
     conf.set("spark.sql.files.openCostInBytes", "1")
+    # Do not shrink splits to spread a small input over all cores: size wins.
+    conf.set("spark.sql.files.minPartitionNum", "1")
     try:
         df = spark.read.parquet(src)
         w = df.write.mode("overwrite")

@@ -517,3 +517,49 @@ def intersect_customers(spark: SparkSession, sf: str) -> DataFrame:
     a = o.filter(F.year("o_orderdate") == 1995).select("o_custkey")
     b = o.filter(F.year("o_orderdate") == 2001).select("o_custkey")
     return a.intersect(b)
+
+
+# ---------------------------------------------------------------- star schema, day windows
+
+@register("denormalized_facts", ops=("JOI12",), oracle="""
+SELECT l.l_orderkey, l.l_linenumber, l.l_quantity, l.l_extendedprice,
+       o.o_orderstatus AS order_status, CAST(o.o_orderdate AS DATE) AS order_date,
+       p.p_name AS product_name, p.p_type AS product_type,
+       s.s_name AS supplier_name, s.s_nationkey AS supplier_nationkey
+FROM lineitem l
+LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+LEFT JOIN part p ON l.l_partkey = p.p_partkey
+LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
+""")
+def denormalized_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Fact rows with three dimensions left-joined under prefixed names (no row is lost)."""
+    t = Tables(spark, sf)
+    o = t.orders.select(F.col("o_orderkey"), F.col("o_orderstatus").alias("order_status"),
+                        F.to_date("o_orderdate").alias("order_date"))
+    p = t.part.select("p_partkey", F.col("p_name").alias("product_name"), F.col("p_type").alias("product_type"))
+    s = t.supplier.select("s_suppkey", F.col("s_name").alias("supplier_name"),
+                          F.col("s_nationkey").alias("supplier_nationkey"))
+    f = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    j = (f.join(o, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+         .join(p, F.col("l_partkey") == F.col("p_partkey"), "left")
+         .join(s, F.col("l_suppkey") == F.col("s_suppkey"), "left"))
+    return j.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "order_status", "order_date",
+                    "product_name", "product_type", "supplier_name", "supplier_nationkey")
+
+
+@register("daily_store_sales", ops=("AGG5", "AGG14"), oracle="""
+SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start,
+       CAST(date_trunc('day', ts) AS TIMESTAMP) + INTERVAL 1 DAY AS window_end,
+       event_type, count(*) AS n_events, count(DISTINCT user_id) AS n_users,
+       round(sum(value), 2) AS total_value
+FROM events GROUP BY 1, 2, 3
+""")
+def daily_store_sales(spark: SparkSession, sf: str) -> DataFrame:
+    """Batch day windows with an exact distinct count."""
+    ev = Tables(spark, sf).events
+    g = ev.groupBy(F.window("ts", "1 day"), "event_type").agg(
+        F.count(F.lit(1)).alias("n_events"), F.countDistinct("user_id").alias("n_users"),
+        rnd(F.sum("value"), 2).alias("total_value"))
+    return g.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
+                    F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+                    "event_type", "n_events", "n_users", "total_value")
