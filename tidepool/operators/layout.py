@@ -139,10 +139,17 @@ def files_for_target(spark: SparkSession, path: str, target_file_bytes: int) ->
     return max(1, math.ceil(total / target_file_bytes))
 
 
-def file_stats(spark: SparkSession, path: str, cols: Sequence[str]) -> DataFrame:
-    """Per data file: rows and min/max of ``cols`` (what file skipping looks at)."""
+def file_stats(spark: SparkSession, path: str, cols: Sequence[str],
+               probe: Mapping[str, object] | None = None) -> DataFrame:
+    """Per data file: rows and min/max of ``cols`` (what file skipping looks at),
+    plus the rows equal to ``probe`` when given."""
     df = spark.read.parquet(path).withColumn("_file", F.col("_metadata.file_path"))
     aggs = [F.count(F.lit(1)).alias("rows")]
+    if probe:
+        hit = F.lit(True)
+        for c, v in probe.items():
+            hit = hit & (F.col(c) == F.lit(v))
+        aggs.append(F.count(F.when(hit, 1)).alias("probe_rows"))
     for c in cols:
         aggs += [F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max")]
     return df.groupBy("_file").agg(*aggs)
@@ -151,13 +158,13 @@ def file_stats(spark: SparkSession, path: str, cols: Sequence[str]) -> DataFrame
 def skipping_report(spark: SparkSession, path: str, probe: Mapping[str, object]) -> DataFrame:
     """How many files a point filter must read: files whose [min, max] ranges
     contain every probe value, out of all files."""
-    stats = file_stats(spark, path, list(probe))
+    stats = file_stats(spark, path, list(probe), probe)
     may_match = F.lit(True)
     for c, v in probe.items():
         may_match = may_match & (F.col(f"{c}_min") <= F.lit(v)) & (F.col(f"{c}_max") >= F.lit(v))
     return stats.agg(F.count(F.lit(1)).alias("total_files"),
                      F.count(F.when(may_match, 1)).alias("files_to_read"),
-                     F.sum("rows").alias("total_rows"))
+                     F.sum("rows").alias("total_rows"), F.sum("probe_rows").alias("probe_rows"))
 
 
 def orphan_files(spark: SparkSession, path: str, referenced: DataFrame, now_ms: int,

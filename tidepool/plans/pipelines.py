@@ -1 +1,270 @@
-"""placeholder"""
+"""End-to-end pipelines (survey 2.15); each one reuses the operators above.
+
+Every pipeline is a plain function over the test tables that lands, streams,
+cleans, merges and aggregates, and returns its final mart.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from ..functions.numeric import rnd
+from ..functions.udfs import categorize_udf
+from ..operators import layout as lay
+from ..operators import quality as q
+from ..operators import relational as rel
+from ..operators.merge import WhenMatched, WhenNotMatched, merge
+from ..operators.scd import auto_cdc_scd2, current_rows, scd2_merge
+from ..operators.windows import rfm_scores
+from ..session import scratch_path
+from ..sources import files as fs
+from ..sources.sinks import write_partitioned
+from ..sources.tables import Tables
+from ..streaming.runner import drain, to_event_time
+from .merges import SRC_SQL, TGT_SQL, cdc_feed, merge_source, merge_target, scd_dimension
+from .quality_checks import RISK_ALERT_ABOVE, risk_score_expr
+from .registry import register
+from .streams import RETRIES_SQL, events_with_retries
+from .windows import RFM_AS_OF
+
+
+
+# ------------------------------------------------------------------ PIP6 medallion
+
+def _daily_status(df: DataFrame) -> DataFrame:
+    return df.groupBy(F.to_date("o_orderdate").alias("order_date"), "o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n_orders"), rnd(F.sum("o_totalprice"), 2).alias("revenue"))
+
+
+@register("pipeline_medallion", ops=("PIP6",), oracle=f"""WITH {TGT_SQL}, {SRC_SQL},
+bronze AS (SELECT *, 0 AS _batch FROM tgt UNION ALL SELECT *, 1 AS _batch FROM src),
+silver AS (SELECT * FROM bronze
+           QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY updated_at DESC, _batch DESC) = 1),
+g0 AS (SELECT CAST(o_orderdate AS DATE) AS order_date, o_orderstatus, count(*) AS n_orders,
+              round(sum(o_totalprice), 2) AS revenue FROM tgt GROUP BY 1, 2),
+g1 AS (SELECT CAST(o_orderdate AS DATE) AS order_date, o_orderstatus, count(*) AS n_orders,
+              round(sum(o_totalprice), 2) AS revenue FROM silver GROUP BY 1, 2)
+SELECT * FROM g1
+UNION ALL
+SELECT g0.* FROM g0 ANTI JOIN g1 ON g0.order_date = g1.order_date AND g0.o_orderstatus = g1.o_orderstatus
+""")
+def pipeline_medallion(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze (append two loads) -> silver (newest version per order) -> gold
+    (daily status mart merged incrementally: values replaced, new keys inserted)."""
+    t = Tables(spark, sf)
+    base = scratch_path(spark, "medallion")
+    b0 = merge_target(t).withColumn("_batch", F.lit(0))
+    b0.write.mode("append").parquet(f"{base}/bronze")
+    gold0 = _daily_status(b0)
+    gold0.write.parquet(f"{base}/gold_v0")
+    merge_source(t).withColumn("_batch", F.lit(1)).write.mode("append").parquet(f"{base}/bronze")
+    bronze = spark.read.parquet(f"{base}/bronze")
+    report = q.quality_report({"bronze": (bronze, {"key_not_null": "o_orderkey IS NOT NULL",
+                                                   "positive_price": "o_totalprice > 0"})})
+    report.write.parquet(f"{base}/quality_report")
+    silver = rel.latest_per_key(bronze, ["o_orderkey"], ["updated_at", "_batch"]).drop("_batch")
+    silver.write.parquet(f"{base}/silver")
+    gold = merge(spark.read.parquet(f"{base}/gold_v0"), _daily_status(spark.read.parquet(f"{base}/silver")),
+                 ["order_date", "o_orderstatus"],
+                 [WhenMatched(update={"n_orders": "s.n_orders", "revenue": "s.revenue"}), WhenNotMatched()])
+    gold.write.parquet(f"{base}/gold_v1")
+    return spark.read.parquet(f"{base}/gold_v1")
+
+
+# ------------------------------------------------------------------ PIP3 shop events
+
+EVENT_CATEGORIES = {"engagement": ["view", "click"], "conversion": ["purchase", "signup"]}
+
+
+@register("pipeline_events", ops=("PIP3",), oracle="""
+WITH e AS (SELECT e.*, coalesce(c.c_mktsegment, 'UNKNOWN') AS segment
+           FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey)
+SELECT segment,
+  count(*) FILTER (WHERE event_type IN ('view', 'click')) AS engagement_events,
+  count(*) FILTER (WHERE event_type = 'purchase') AS purchases,
+  count(DISTINCT user_id) AS users,
+  round(CAST(count(*) FILTER (WHERE event_type = 'purchase') AS DOUBLE)
+        / nullif(count(*) FILTER (WHERE event_type IN ('view', 'click')), 0), 4) AS conversion_rate
+FROM e GROUP BY segment
+""")
+def pipeline_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze stream with retries -> silver (dedup in watermark, pandas-UDF
+    category, customer segment) -> gold funnel per segment (salted)."""
+    t = Tables(spark, sf)
+    base = scratch_path(spark, "pipe_events")
+    landed = events_with_retries(t)
+    fs.write_files(landed, f"{base}/landing", "parquet", 4)
+    stream = to_event_time(spark.readStream.schema(landed.schema).parquet(f"{base}/landing"), "ts")
+    silver_stream = (fs.with_source_metadata(stream, "shop_events").drop("_ingested_at")
+                     .withWatermark("ts", "5 minutes").dropDuplicatesWithinWatermark(["event_id"])
+                     .withColumn("category", categorize_udf(EVENT_CATEGORIES, "other")(F.col("event_type"))))
+    drain(silver_stream, f"{base}/silver", f"{base}/_checkpoint")
+    silver = spark.read.parquet(f"{base}/silver")
+    seg = t.customer.select(F.col("c_custkey"), F.col("c_mktsegment"))
+    enriched = silver.join(seg, F.col("user_id") == F.col("c_custkey"), "left") \
+                     .withColumn("segment", F.coalesce("c_mktsegment", F.lit("UNKNOWN")))
+    g = rel.salted_agg(
+        enriched, ["segment"],
+        partial={"e": F.count(F.when(F.col("category") == "engagement", 1)),
+                 "p": F.count(F.when(F.col("event_type") == "purchase", 1))},
+        final={"engagement_events": F.sum("e"), "purchases": F.sum("p")},
+        salt_by=["event_id"], buckets=8)
+    users = enriched.groupBy("segment").agg(F.countDistinct("user_id").alias("users"))
+    out = g.join(users, "segment")
+    return out.select("segment", "engagement_events", "purchases", "users",
+                      rnd(F.try_divide(F.col("purchases").cast("double"),
+                                       F.when(F.col("engagement_events") != 0, F.col("engagement_events"))), 4)
+                      .alias("conversion_rate"))
+
+
+# ------------------------------------------------------------------ PIP2 payments
+
+@register("pipeline_payments", ops=("PIP2",), oracle=f"""WITH {RETRIES_SQL},
+d AS (SELECT DISTINCT ON (event_id) * FROM src ORDER BY event_id, ts),
+r AS (SELECT event_id, user_id,
+        CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value,
+        event_type = 'error' AS rescued,
+        CASE WHEN event_type <> 'error' AND value > 40 THEN 30 ELSE 0 END
+        + CASE WHEN event_type = 'purchase' THEN 20 ELSE 0 END
+        + CASE WHEN TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) > 80 THEN 25 ELSE 0 END
+        + CASE WHEN hour(ts) < 6 THEN 15 ELSE 0 END AS risk_score
+      FROM d)
+SELECT r.user_id, coalesce(c.c_mktsegment, 'UNKNOWN') AS segment, count(*) AS n_txn,
+       count(*) FILTER (WHERE risk_score > 70) AS n_alerts, max(risk_score) AS max_risk,
+       count(*) FILTER (WHERE rescued) AS n_rescued
+FROM r LEFT JOIN customer c ON r.user_id = c.c_custkey
+GROUP BY r.user_id, c.c_mktsegment
+""")
+def pipeline_payments(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON lines with a rescued column -> stream dedup within the watermark ->
+    enrichment (left join, defaults) -> risk rules -> per-customer report."""
+    t = Tables(spark, sf)
+    base = scratch_path(spark, "pipe_payments")
+    ev = t.events
+    retries = ev.filter(F.col("event_type") == "purchase").withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 MINUTE"))
+    val = F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.col("value").cast("string"))
+    line = F.to_json(F.struct("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
+                              "user_id", "event_type", val.alias("value"), "props")).alias("value")
+    # Originals land first, retries after: one micro-batch per original file,
+    # so the first arrival of each id is the one kept.
+    ev.select(line).repartition(4).write.text(f"{base}/landing")
+    retries.select(line).repartition(2).write.mode("append").text(f"{base}/landing")
+    schema = StructType.fromDDL("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+                                "value DOUBLE, props STRING")
+    lines = spark.readStream.option("maxFilesPerTrigger", 4).text(f"{base}/landing")
+    typed = fs.parse_with_rescue(lines, schema)
+    deduped = (to_event_time(typed, "ts").withWatermark("ts", "5 minutes")
+               .dropDuplicatesWithinWatermark(["event_id"]))
+    drain(deduped, f"{base}/silver", f"{base}/_checkpoint")
+    silver = spark.read.parquet(f"{base}/silver")
+    scored = silver.select("event_id", "user_id", risk_score_expr().alias("risk_score"),
+                           F.col(fs.RESCUED).isNotNull().alias("rescued"))
+    dim = t.customer.select("c_custkey", "c_mktsegment")
+    enriched = scored.join(dim, F.col("user_id") == F.col("c_custkey"), "left")
+    return enriched.groupBy("user_id", F.coalesce("c_mktsegment", F.lit("UNKNOWN")).alias("segment")).agg(
+        F.count(F.lit(1)).alias("n_txn"), F.count(F.when(F.col("risk_score") > RISK_ALERT_ABOVE, 1)).alias("n_alerts"),
+        F.max("risk_score").alias("max_risk"), F.count(F.when(F.col("rescued"), 1)).alias("n_rescued"))
+
+
+# ------------------------------------------------------------------ PIP1 retail
+
+@register("pipeline_retail", ops=("PIP1",), oracle="""
+WITH sales AS (SELECT * FROM lineitem WHERE l_quantity > 0 AND l_extendedprice > 0 AND l_returnflag <> 'R')
+SELECT p.p_partkey, p.p_name AS product_name, s.s_name AS supplier_name, sum(l.l_quantity) AS units,
+       round(sum(l.l_extendedprice), 2) AS revenue, count(*) AS n_lines
+FROM sales l LEFT JOIN part p ON l.l_partkey = p.p_partkey LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
+GROUP BY p.p_partkey, p.p_name, s.s_name
+""")
+def pipeline_retail(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze lines -> expectations (drop) -> sales/returns split -> customer
+    SCD2 history from the event feed -> denormalized facts -> product mart."""
+    t = Tables(spark, sf)
+    base = scratch_path(spark, "pipe_retail")
+    t.lineitem.write.parquet(f"{base}/bronze_lines")
+    lines = q.expect(spark.read.parquet(f"{base}/bronze_lines"),
+                     {"positive_quantity": "l_quantity > 0", "positive_price": "l_extendedprice > 0"}, "drop")
+    sales = lines.filter(F.col("l_returnflag") != "R")
+    returns = lines.filter(F.col("l_returnflag") == "R")
+    returns.write.parquet(f"{base}/returns")
+    customers = current_rows(auto_cdc_scd2(cdc_feed(t), ["user_id"], "ts", tracked=["event_type"]))
+    customers.write.parquet(f"{base}/dim_customers")
+    products = t.part.select("p_partkey", F.col("p_name").alias("product_name"))
+    stores = t.supplier.select("s_suppkey", F.col("s_name").alias("supplier_name"))
+    facts = (sales.join(products, F.col("l_partkey") == F.col("p_partkey"), "left")
+             .join(stores, F.col("l_suppkey") == F.col("s_suppkey"), "left"))
+    facts.write.parquet(f"{base}/facts")
+    f = spark.read.parquet(f"{base}/facts")
+    return f.groupBy("p_partkey", "product_name", "supplier_name").agg(
+        F.sum("l_quantity").alias("units"), rnd(F.sum("l_extendedprice"), 2).alias("revenue"),
+        F.count(F.lit(1)).alias("n_lines"))
+
+
+# ------------------------------------------------------------------ PIP4 orders
+
+@register("pipeline_orders", ops=("PIP4",), oracle=f"""
+WITH c AS (
+  SELECT o_custkey,
+    CAST(date_diff('day', CAST(max(o_orderdate) AS DATE), DATE '{RFM_AS_OF}') AS INTEGER) AS recency_days,
+    count(*) AS frequency, round(sum(o_totalprice), 2) AS monetary
+  FROM orders GROUP BY 1),
+s AS (
+  SELECT *, ntile(5) OVER (ORDER BY recency_days DESC, o_custkey) AS r_score,
+            ntile(5) OVER (ORDER BY frequency, o_custkey) AS f_score,
+            ntile(5) OVER (ORDER BY monetary, o_custkey) AS m_score
+  FROM c),
+seg AS (
+  SELECT *, CASE WHEN r_score + f_score + m_score >= 13 THEN 'Champions'
+       WHEN r_score + f_score + m_score >= 11 THEN 'Loyal Customers'
+       WHEN r_score + f_score + m_score >= 9 THEN 'Potential Loyalists'
+       WHEN r_score + f_score + m_score >= 7 THEN 'At Risk'
+       WHEN r_score + f_score + m_score >= 5 THEN 'Hibernating'
+       ELSE 'Lost' END AS customer_segment,
+    CASE WHEN monetary >= 3000000 THEN 'High Value' WHEN monetary >= 1500000 THEN 'Medium Value'
+         ELSE 'Low Value' END AS ltv_category
+  FROM s)
+SELECT customer_segment, ltv_category, count(*) AS customer_count, round(sum(monetary), 2) AS segment_revenue
+FROM seg GROUP BY 1, 2
+""")
+def pipeline_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Clean orders -> enrich -> customer SCD2 -> RFM segments -> segment cross-tab."""
+    t = Tables(spark, sf)
+    base = scratch_path(spark, "pipe_orders")
+    clean = t.orders.select("o_orderkey", "o_custkey", F.upper(F.trim("o_orderstatus")).alias("o_orderstatus"),
+                            "o_totalprice", "o_orderdate")
+    silver = rel.latest_per_key(clean, ["o_orderkey"], ["o_orderdate", "o_totalprice"])
+    silver.write.parquet(f"{base}/silver_orders")
+    dim, batch = scd_dimension(t)
+    scd2_merge(dim, batch, ["c_custkey"], ["c_name", "c_nationkey", "c_mktsegment"], "2024-01-01") \
+        .write.parquet(f"{base}/dim_customer")
+    orders = spark.read.parquet(f"{base}/silver_orders")
+    per_cust = orders.groupBy("o_custkey").agg(
+        F.datediff(F.lit(RFM_AS_OF).cast("date"), F.to_date(F.max("o_orderdate"))).alias("recency_days"),
+        F.count(F.lit(1)).alias("frequency"), rnd(F.sum("o_totalprice"), 2).alias("monetary"))
+    rfm = rfm_scores(per_cust, "o_custkey", high_value=3_000_000, medium_value=1_500_000)
+    return rfm.groupBy("customer_segment", "ltv_category").agg(
+        F.count(F.lit(1)).alias("customer_count"), rnd(F.sum("monetary"), 2).alias("segment_revenue"))
+
+
+# ------------------------------------------------------------------ PIP5 layout benchmark
+
+@register("pipeline_layout", ops=("PIP5",))
+def pipeline_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """Same point probe over raw, partitioned, z-ordered, clustered and compacted
+    layouts: files in the layout, files the probe may read, rows found."""
+    li = Tables(spark, sf).lineitem
+    base = scratch_path(spark, "pipe_layout")
+    li.repartition(16).write.parquet(f"{base}/raw")
+    write_partitioned(li, f"{base}/partitioned", ["l_returnflag"])
+    lay.zorder(spark.read.parquet(f"{base}/raw"), ["l_partkey", "l_suppkey"], f"{base}/zorder", 16)
+    lay.apply_clustering(spark.read.parquet(f"{base}/raw"), lay.LayoutSpec(["l_partkey", "l_suppkey", "l_shipdate"]),
+                         f"{base}/clustered", 16)
+    lay.compact(spark, f"{base}/raw", f"{base}/compacted", target_file_bytes=512 * 1024)
+    probe_row = li.select("l_partkey", "l_suppkey").orderBy("l_partkey", "l_suppkey").first()
+    probe = {"l_partkey": probe_row[0], "l_suppkey": probe_row[1]}
+    out = None
+    for name in ("raw", "partitioned", "zorder", "clustered", "compacted"):
+        rep = lay.skipping_report(spark, f"{base}/{name}", probe).select(F.lit(name).alias("layout"), "*")
+        out = rep if out is None else out.unionByName(rep)
+    return out

@@ -229,13 +229,17 @@ RISK_WEIGHTS = {"high_amount": 30, "purchase": 20, "hot_props": 25, "night": 15}
 RISK_ALERT_ABOVE = 70
 
 
-def risk_score_df(events: DataFrame) -> DataFrame:
+def risk_score_expr():
+    """Weighted sum of the four rule flags (0-90)."""
     k = F.from_json("props", "k INT").getField("k")
-    score = (F.when(F.col("value") > 40, RISK_WEIGHTS["high_amount"]).otherwise(0)
-             + F.when(F.col("event_type") == "purchase", RISK_WEIGHTS["purchase"]).otherwise(0)
-             + F.when(k > 80, RISK_WEIGHTS["hot_props"]).otherwise(0)
-             + F.when(F.hour("ts") < 6, RISK_WEIGHTS["night"]).otherwise(0))
-    return events.select("event_id", "user_id", "ts", "value", score.alias("risk_score")) \
+    return (F.when(F.col("value") > 40, RISK_WEIGHTS["high_amount"]).otherwise(0)
+            + F.when(F.col("event_type") == "purchase", RISK_WEIGHTS["purchase"]).otherwise(0)
+            + F.when(k > 80, RISK_WEIGHTS["hot_props"]).otherwise(0)
+            + F.when(F.hour("ts") < 6, RISK_WEIGHTS["night"]).otherwise(0))
+
+
+def risk_score_df(events: DataFrame) -> DataFrame:
+    return events.select("event_id", "user_id", "ts", "value", risk_score_expr().alias("risk_score")) \
                  .withColumn("is_alert", F.col("risk_score") > RISK_ALERT_ABOVE)
 
 
