@@ -103,7 +103,9 @@ def expect(df: DataFrame, expectations: Mapping[str, str], action: str = "warn")
         return df.filter(all_hold(rules))
     if action == "fail":
         checks = [F.assert_true(r.holds(), F.lit(f"expectation {r.name} failed")) for r in rules]
-        return df.withColumn("_expect_ok", F.coalesce(*checks)).drop("_expect_ok")
+        # assert_true returns NULL when the row passes; filtering on it keeps the
+        # check in the plan (a dropped helper column would be pruned away).
+        return df.filter(F.coalesce(*checks).isNull())
     raise ValueError(action)
 
 
