@@ -31,6 +31,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .relational import sized_broadcast
+
 STAR = "*"
 SOURCE_BROADCAST_MAX_ROWS = 5_000_000
 
@@ -118,10 +120,27 @@ def add_missing_columns(df: DataFrame, like: DataFrame) -> DataFrame:
     return df.select("*", *extra) if extra else df
 
 
-def check_unique_matches(target: DataFrame, source: DataFrame, on: Sequence[str]) -> None:
-    """Raise when two source rows would modify the same target row."""
-    dup = (source.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-           .join(target.select(*on), list(on), "left_semi"))
+def source_key_stats(source: DataFrame, on: Sequence[str]) -> tuple[int, int]:
+    """(rows, largest number of rows sharing one key) of the source, one job."""
+    per_key = source.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    row = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+                      F.coalesce(F.max("_n"), F.lit(0)).alias("max_per_key")).first()
+    return int(row["rows"]), int(row["max_per_key"])
+
+
+def check_unique_matches(target: DataFrame, source: DataFrame, on: Sequence[str],
+                         max_per_key: int | None = None) -> None:
+    """Raise when two source rows would modify the same target row.
+
+    Only when the source repeats a key is the target consulted, and then only
+    against the repeated keys (broadcast when few).
+    """
+    if max_per_key is None:
+        max_per_key = source_key_stats(source, on)[1]
+    if max_per_key <= 1:
+        return
+    dup_keys = source.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select(*on)
+    dup = target.select(*on).join(sized_broadcast(dup_keys, SOURCE_BROADCAST_MAX_ROWS), list(on), "left_semi")
     if dup.limit(1).count() > 0:
         raise MergeAmbiguityError(
             "MERGE: multiple source rows matched the same target row; deduplicate the source first")
@@ -144,8 +163,9 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str], clauses: Sequ
                 types[f.name] = f.dataType
     src_cols = set(source.columns)
 
+    n_source, max_per_key = source_key_stats(source, on)
     if matched and check_ambiguity:
-        check_unique_matches(target, source, on)
+        check_unique_matches(target, source, on, max_per_key)
 
     def apply(t: DataFrame, s: DataFrame) -> DataFrame:
         ta = t.withColumn("_t_present", F.lit(True)).alias("t")
@@ -220,7 +240,7 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str], clauses: Sequ
         return j.select(*outs)
 
     use_split = not by_source and source_broadcast_max_rows > 0
-    if use_split and source.count() <= source_broadcast_max_rows:
+    if use_split and n_source <= source_broadcast_max_rows:
         keys = F.broadcast(source.select(*on).dropDuplicates())
         untouched = target.join(keys, on, "left_anti")
         touched = target.join(keys, on, "left_semi")

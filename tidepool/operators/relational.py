@@ -1,8 +1,9 @@
 """Relational building blocks that keep plans scalable.
 
 * ``sized_broadcast`` broadcasts a side only after checking its row count.
-* ``latest_per_key`` keeps one row per key with an aggregate (map-side
-  combine), so a key holding a third of all rows never lands whole in one task.
+* ``latest_per_key`` keeps one row per key with ``row_number() = 1``; Spark
+  plans a partial group limit before the shuffle (map-side reduction), so a
+  key holding a third of all rows never lands whole in one task.
 * ``top_n_per_group`` uses ``row_number() <= n``; Spark plans a partial
   ``WindowGroupLimit`` before the shuffle.
 * ``salted_agg`` is the two-stage aggregation for skewed keys.
@@ -37,16 +38,14 @@ def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFr
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence) -> DataFrame:
     """One row per key: the row with the greatest ``order_by`` tuple.
 
-    ``order_by`` entries are columns compared descending (latest wins); give a
-    total order (add a tie-break column) for a deterministic result. Runs as a
-    hash aggregate with partial (map-side) aggregation, so hot keys are
-    reduced before the shuffle.
+    ``order_by`` entries are columns compared descending (latest wins, NULLs
+    last); give a total order (add a tie-break column) for a deterministic
+    result. ``row_number() = 1`` plans a partial ``WindowGroupLimit`` before the
+    shuffle, so each map task already keeps only one row per key and a key
+    holding a third of all rows never reaches one task whole.
     """
-    cols = df.columns
-    ordering = F.struct(*[_col(c).alias(f"_o{i}") for i, c in enumerate(order_by)])
-    payload = F.struct(*[F.col(c) for c in cols])
-    best = df.groupBy(*keys).agg(F.max_by(payload, ordering).alias("_best"))
-    return best.select("_best.*")
+    w = Window.partitionBy(*keys).orderBy(*[_col(c).desc_nulls_last() for c in order_by])
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def top_n_per_group(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column],
