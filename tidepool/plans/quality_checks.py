@@ -77,7 +77,7 @@ def schema_overwrite(spark: SparkSession, sf: str) -> DataFrame:
 ORDER_RULES = [q.not_null("o_orderstatus"), q.Rule("positive_amount", "o_totalprice > 100000")]
 
 
-@register("constraint_filter", ops=("CON6", "CON7", "CON9"), oracle="""
+@register("constraint_filter", ops=("CON6", "CON7", "CON9", "CON10"), oracle="""
 SELECT * FROM orders WHERE o_orderstatus IS NOT NULL AND o_totalprice > 100000
 """)
 def constraint_filter(spark: SparkSession, sf: str) -> DataFrame:

@@ -491,7 +491,7 @@ def top_k_customers(spark: SparkSession, sf: str) -> DataFrame:
             .select("c_custkey", "c_name", rnd("total", 2).alias("total_spend")))
 
 
-@register("top_k_latest_day", ops=("SRT3", "PRJ12"), oracle="""
+@register("top_k_latest_day", ops=("SRT3", "PRJ12", "PRJ15"), oracle="""
 SELECT o_custkey, round(sum(o_totalprice), 2) AS day_spend
 FROM orders WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders)
 GROUP BY o_custkey ORDER BY sum(o_totalprice) DESC, o_custkey LIMIT 10
@@ -563,3 +563,68 @@ def daily_store_sales(spark: SparkSession, sf: str) -> DataFrame:
     return g.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
                     F.col("window.end").cast("timestamp_ntz").alias("window_end"),
                     "event_type", "n_events", "n_users", "total_value")
+
+
+@register("unpivot_metrics", ops=("AGG10", "PRJ16"), oracle="""
+WITH m AS (SELECT o_custkey, count(*) AS n_orders,
+                  count(*) FILTER (WHERE o_orderstatus = 'O') AS n_open,
+                  count(*) FILTER (WHERE o_orderstatus = 'P') AS n_pending,
+                  round(sum(o_totalprice), 2) AS total_revenue
+           FROM orders GROUP BY 1)
+SELECT * FROM (
+  SELECT o_custkey, 'n_orders' AS metric, CAST(n_orders AS DOUBLE) AS value FROM m
+  UNION ALL SELECT o_custkey, 'n_open', CAST(n_open AS DOUBLE) FROM m
+  UNION ALL SELECT o_custkey, 'n_pending', CAST(n_pending AS DOUBLE) FROM m
+  UNION ALL SELECT o_custkey, 'total_revenue', total_revenue FROM m)
+WHERE value <> 0
+""")
+def unpivot_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Wide metrics per customer to long form (zeros dropped), via selectExpr + stack."""
+    o = Tables(spark, sf).orders
+    m = o.groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n_orders"),
+        F.count(F.when(F.col("o_orderstatus") == "O", 1)).alias("n_open"),
+        F.count(F.when(F.col("o_orderstatus") == "P", 1)).alias("n_pending"),
+        rnd(F.sum("o_totalprice"), 2).alias("total_revenue"))
+    long = m.selectExpr(
+        "o_custkey",
+        "stack(4, 'n_orders', CAST(n_orders AS DOUBLE), 'n_open', CAST(n_open AS DOUBLE), "
+        "'n_pending', CAST(n_pending AS DOUBLE), 'total_revenue', total_revenue) AS (metric, value)")
+    return long.filter(F.expr("value <> 0"))
+
+
+@register("time_arith", ops=("FUN8", "FUN9", "FUN5"), oracle="""
+SELECT event_id,
+  ts + INTERVAL 90 MINUTE AS due_at,
+  strftime(TIMESTAMP '1970-01-01' + to_seconds(CAST(floor(epoch(ts)) AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS ts_text,
+  CAST(ts AS DATE) AS event_date,
+  coalesce(CASE WHEN value > 45 THEN NULL ELSE event_type END, 'unknown') AS type_or_default,
+  (CASE WHEN value > 45 THEN NULL ELSE event_type END) IS NOT DISTINCT FROM event_type AS unchanged
+FROM events
+""")
+def time_arith(spark: SparkSession, sf: str) -> DataFrame:
+    """Interval addition, epoch seconds back to text, dates, coalesce and NULL-safe equality."""
+    ev = Tables(spark, sf).events
+    masked = F.when(F.col("value") > 45, F.lit(None)).otherwise(F.col("event_type"))
+    return ev.select("event_id",
+                     (F.col("ts") + F.expr("INTERVAL 90 MINUTES")).alias("due_at"),
+                     F.from_unixtime(F.unix_timestamp(F.col("ts").cast("timestamp")), "yyyy-MM-dd HH:mm:ss")
+                     .alias("ts_text"),
+                     F.to_date("ts").alias("event_date"),
+                     F.coalesce(masked, F.lit("unknown")).alias("type_or_default"),
+                     masked.eqNullSafe(F.col("event_type")).alias("unchanged"))
+
+
+@register("append_literal_rows", ops=("SNK3", "SNK2"), oracle="""
+SELECT r_regionkey, r_name FROM region
+UNION ALL SELECT 100, 'ANTARCTICA'
+UNION ALL SELECT 101, 'OCEANIA'
+""")
+def append_literal_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Write a table, then INSERT literal rows into it (append)."""
+    from ..session import scratch_path
+    path = scratch_path(spark, "append_literal")
+    Tables(spark, sf).region.write.parquet(path)
+    spark.createDataFrame([(100, "ANTARCTICA"), (101, "OCEANIA")], "r_regionkey int, r_name string") \
+         .write.mode("append").parquet(path)
+    return spark.read.parquet(path)

@@ -80,7 +80,7 @@ def _bucket(seconds: int) -> str:
     return (f"TIMESTAMP '1970-01-01' + to_seconds(CAST(floor(epoch(ts) / {seconds}) * {seconds} AS BIGINT))")
 
 
-@register("tumbling_velocity", ops=("STM4",), oracle=f"""WITH {RETRIES_SQL},
+@register("tumbling_velocity", ops=("STM4", "STM7"), oracle=f"""WITH {RETRIES_SQL},
 w AS (SELECT user_id, {_bucket(600)} AS window_start, count(*) AS n_events, round(sum(value), 2) AS total_value
       FROM src GROUP BY 1, 2)
 SELECT user_id, window_start, window_start + INTERVAL 10 MINUTE AS window_end, n_events, total_value,
