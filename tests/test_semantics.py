@@ -262,3 +262,42 @@ def test_layout_spec_and_statistics(spark):
     stats = spark.sql("DESCRIBE TABLE EXTENDED tp_stats_probe").filter("col_name = 'Statistics'").collect()
     assert stats and "100 rows" in stats[0]["data_type"]
     spark.sql("DROP TABLE tp_stats_probe")
+
+
+# ---------------------------------------------------------------- segmented scan (hot keys)
+
+@pytest.mark.parametrize("parts", [1, 5, 13])
+def test_keyed_scan_matches_windows(spark, parts):
+    from tidepool.operators.scan import keyed_scan
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "41")
+    try:
+        base = spark.range(0, 2000).select(
+            F.when(F.col("id") % 3 != 0, F.lit(0)).otherwise(F.col("id") % 5).cast("long").alias("k"),  # hot key 0
+            (F.col("id") * 7919 % 53).cast("long").alias("v"),
+            ((F.col("id") * 104729) % 50000).cast("long").alias("t"),
+            (F.col("id") % 11 * 0.5).alias("x"))
+        got = keyed_scan(base, ["k"], [("v", "desc"), "t"], sums=[("x", "run_x")], row_number="rn", rank="rk",
+                         dense_rank="drk", lags=[("t", "prev_t")], session=("t", 700, "sess"),
+                         rank_by=1, num_partitions=parts)
+        w = Window.partitionBy("k").orderBy(F.desc("v"), "t")
+        wr = w.rowsBetween(Window.unboundedPreceding, 0)
+        wv = Window.partitionBy("k").orderBy(F.desc("v"))
+        prev = F.lag("t").over(w)
+        want = (base.withColumn("run_x", F.sum("x").over(wr)).withColumn("rn", F.row_number().over(w))
+                .withColumn("rk", F.rank().over(wv)).withColumn("drk", F.dense_rank().over(wv))
+                .withColumn("prev_t", prev)
+                .withColumn("_f", F.when(prev.isNull() | ((F.col("t") - prev) > 700), 1).otherwise(0))
+                .withColumn("sess", F.sum("_f").over(wr)).drop("_f"))
+        cols = ["k", "v", "t", "x", "run_x", "rn", "rk", "drk", "prev_t", "sess"]
+        assert srt(got.select(*cols).collect()) == srt(want.select(*cols).collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_sessionize_scan_path_equals_window_path(spark):
+    from tidepool.operators.windows import sessionize
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    a = sessionize(ev, "user_id", "ts", "event_id", 30).select("event_id", "session_num", "gap_minutes")
+    b = sessionize(ev, "user_id", "ts", "event_id", 30, max_group_rows=0) \
+        .select("event_id", "session_num", "gap_minutes")
+    assert srt(a.collect()) == srt(b.collect())

@@ -6,25 +6,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .relational import global_ntile
+from .scan import keyed_running
 
 
 def sessionize(df: DataFrame, user_col: str, ts_col: str, tiebreak: str,
-               gap_minutes: int = 30) -> DataFrame:
+               gap_minutes: int = 30, max_group_rows: int | None = None) -> DataFrame:
     """Number sessions per user: a gap of more than ``gap_minutes`` starts a new one.
 
     Gaps are measured on whole seconds (``unix_timestamp`` truncation), so a
     gap of exactly 30 minutes stays in the session. Adds ``gap_minutes`` and
-    ``session_num`` (1-based per user).
+    ``session_num`` (1-based per user). A user with more rows than one task
+    should hold is handled by the segmented scan (``keyed_running``).
     """
-    w = Window.partitionBy(user_col).orderBy(ts_col, tiebreak)
-    secs = F.unix_timestamp(F.col(ts_col).cast("timestamp"))
-    gap = (secs - F.lag(secs).over(w)) / 60.0
-    flagged = df.withColumn("gap_minutes", gap).withColumn(
-        "_new", F.when(F.col("gap_minutes").isNull() | (F.col("gap_minutes") > gap_minutes), 1).otherwise(0))
-    return flagged.withColumn(
-        "session_num",
-        F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("long"),
-    ).drop("_new")
+    secs = df.withColumn("_secs", F.unix_timestamp(F.col(ts_col).cast("timestamp")))
+    kw = {} if max_group_rows is None else {"max_group_rows": max_group_rows}
+    out = keyed_running(secs, [user_col], [ts_col, tiebreak], lags=[("_secs", "_prev_secs")],
+                        session=("_secs", gap_minutes * 60, "session_num"), **kw)
+    return out.withColumn("gap_minutes", (F.col("_secs") - F.col("_prev_secs")) / 60.0) \
+              .drop("_secs", "_prev_secs")
 
 
 # Segment labels and score cut-offs are fixed values of the RFM report.

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import rnd
 from ..operators import relational as rel
+from ..operators.scan import keyed_running
 from ..operators.windows import rfm_scores, sessionize
 from ..sources.tables import Tables
 from .registry import register
@@ -42,10 +43,9 @@ def rank_vs_dense(spark: SparkSession, sf: str) -> DataFrame:
     counts = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"))
     c = counts.join(t.customer.select("c_custkey", "c_nationkey"),
                     F.col("o_custkey") == F.col("c_custkey")).drop("o_custkey")
-    w = Window.partitionBy("c_nationkey").orderBy(F.desc("n_orders"))
-    return c.select("c_custkey", "c_nationkey", "n_orders",
-                    F.rank().over(w).cast("long").alias("order_rank"),
-                    F.dense_rank().over(w).cast("long").alias("order_dense_rank"))
+    r = keyed_running(c, ["c_nationkey"], [("n_orders", "desc"), "c_custkey"], rank="order_rank",
+                      dense_rank="order_dense_rank", rank_by=1)
+    return r.select("c_custkey", "c_nationkey", "n_orders", "order_rank", "order_dense_rank")
 
 
 @register("lag_change", ops=("WIN3", "WIN14"), oracle="""
@@ -74,11 +74,10 @@ SELECT o_orderkey, o_custkey, o_totalprice,
 FROM orders
 """)
 def running_total(spark: SparkSession, sf: str) -> DataFrame:
-    o = Tables(spark, sf).orders
-    w = (Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return o.select("o_orderkey", "o_custkey", "o_totalprice",
-                    rnd(F.sum("o_totalprice").over(w), 2).alias("running_total"))
+    """Running total per customer; a hot customer is spread over many tasks (``keyed_running``)."""
+    o = Tables(spark, sf).orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    r = keyed_running(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], sums=[("o_totalprice", "_rt")])
+    return r.select("o_orderkey", "o_custkey", "o_totalprice", rnd("_rt", 2).alias("running_total"))
 
 
 @register("ntile_quartiles", ops=("WIN5",), oracle="""
@@ -104,12 +103,14 @@ WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
              ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
 """)
 def first_last_value(spark: SparkSession, sf: str) -> DataFrame:
+    """First/last over the full frame = per-key aggregates (partial aggregation)
+    joined back on the key (AQE splits a skewed key on the join)."""
     o = Tables(spark, sf).orders
-    w = (Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-         .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return o.select("o_orderkey", "o_custkey",
-                    F.first("o_totalprice").over(w).alias("first_amount"),
-                    F.last("o_totalprice").over(w).alias("last_amount"))
+    ends = o.groupBy("o_custkey").agg(
+        F.min_by("o_totalprice", F.struct("o_orderdate", "o_orderkey")).alias("first_amount"),
+        F.max_by("o_totalprice", F.struct("o_orderdate", "o_orderkey")).alias("last_amount"))
+    return o.select("o_orderkey", "o_custkey").join(ends, "o_custkey") \
+            .select("o_orderkey", "o_custkey", "first_amount", "last_amount")
 
 
 @register("top_n_per_group", ops=("WIN7",), oracle="""
@@ -183,11 +184,9 @@ FROM r JOIN part p ON p.p_partkey = r.l_partkey
 """)
 def category_rank(spark: SparkSession, sf: str) -> DataFrame:
     pr = _part_revenue(Tables(spark, sf))
-    w = Window.partitionBy("p_type").orderBy(F.desc("revenue"))
-    return pr.select("p_partkey", "p_type", "revenue",
-                     F.rank().over(w).cast("long").alias("revenue_rank"),
-                     F.row_number().over(w.orderBy(F.desc("revenue"), "p_partkey"))
-                     .cast("long").alias("revenue_row_number"))
+    r = keyed_running(pr, ["p_type"], [("revenue", "desc"), "p_partkey"], rank="revenue_rank",
+                      row_number="revenue_row_number", rank_by=1)
+    return r.select("p_partkey", "p_type", "revenue", "revenue_rank", "revenue_row_number")
 
 
 @register("market_share", ops=("WIN11", "WIN12"), oracle="""
@@ -210,13 +209,11 @@ FROM s
 """)
 def market_share(spark: SparkSession, sf: str) -> DataFrame:
     pr = _part_revenue(Tables(spark, sf))
-    by_cat = Window.partitionBy("p_type")
-    ordered = by_cat.orderBy(F.desc("revenue"), F.asc("p_partkey"))
-    s = pr.select("p_partkey", "p_type", "revenue",
-                  F.rank().over(by_cat.orderBy(F.desc("revenue"))).cast("long").alias("revenue_rank"),
-                  rnd(F.sum("revenue").over(by_cat), 2).alias("category_revenue"),
-                  rnd(F.sum("revenue").over(ordered.rowsBetween(Window.unboundedPreceding, 0)), 2)
-                  .alias("cum_revenue"))
+    totals = pr.groupBy("p_type").agg(rnd(F.sum("revenue"), 2).alias("category_revenue"))
+    r = keyed_running(pr, ["p_type"], [("revenue", "desc"), "p_partkey"], rank="revenue_rank",
+                      sums=[("revenue", "_cum")], rank_by=1)
+    s = r.join(rel.sized_broadcast(totals, 1_000_000), "p_type").select(
+        "p_partkey", "p_type", "revenue", "revenue_rank", "category_revenue", rnd("_cum", 2).alias("cum_revenue"))
     cum_pct = F.col("cum_revenue") / F.col("category_revenue") * 100
     tier = (F.when(F.col("revenue_rank") <= 5, "Top Performer")
             .when(F.col("revenue_rank") <= 20, "Strong Performer")
