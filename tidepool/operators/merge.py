@@ -239,12 +239,31 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str], clauses: Sequ
             outs.append(v.cast(types[col]).alias(col))
         return j.select(*outs)
 
+    def passthrough(t: DataFrame) -> DataFrame:
+        """Target rows no clause can touch, in the output schema."""
+        t = add_missing_columns(t, source) if evolve else t
+        return t.select(*[F.col(c).cast(types[c]).alias(c) for c in out_cols])
+
+    # A NULL key never matches: such rows skip the join (where they would all
+    # land in one task); joining with an empty side is planned as a projection.
+    has_null = None
+    for k in on:
+        c = F.col(k).isNull()
+        has_null = c if has_null is None else has_null | c
+    t_null, t_keyed = target.filter(has_null), target.filter(~has_null)
+    s_null, s_keyed = source.filter(has_null), source.filter(~has_null)
+    null_parts = apply(t_null, s_null.limit(0)).unionByName(apply(t_null.limit(0), s_null))
+
+    if not matched and not by_source:
+        # Insert-only: the target passes through untouched; only source rows
+        # without a partner are inserted (anti join: broadcastable, skew-split by AQE).
+        fresh = s_keyed.join(t_keyed.select(*on), on, "left_anti")
+        return passthrough(t_keyed).unionByName(apply(t_keyed.limit(0), fresh)).unionByName(null_parts)
+
     use_split = not by_source and source_broadcast_max_rows > 0
     if use_split and n_source <= source_broadcast_max_rows:
-        keys = F.broadcast(source.select(*on).dropDuplicates())
-        untouched = target.join(keys, on, "left_anti")
-        touched = target.join(keys, on, "left_semi")
-        untouched = add_missing_columns(untouched, source) if evolve else untouched
-        untouched = untouched.select(*[F.col(c).cast(types[c]) for c in out_cols])
-        return untouched.unionByName(apply(touched, source))
-    return apply(target, source)
+        keys = F.broadcast(s_keyed.select(*on).dropDuplicates())
+        untouched = t_keyed.join(keys, on, "left_anti")
+        touched = t_keyed.join(keys, on, "left_semi")
+        return passthrough(untouched).unionByName(apply(touched, s_keyed)).unionByName(null_parts)
+    return apply(t_keyed, s_keyed).unionByName(null_parts)
