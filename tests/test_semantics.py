@@ -301,3 +301,17 @@ def test_sessionize_scan_path_equals_window_path(spark):
     b = sessionize(ev, "user_id", "ts", "event_id", 30, max_group_rows=0) \
         .select("event_id", "session_num", "gap_minutes")
     assert srt(a.collect()) == srt(b.collect())
+
+
+def test_auto_cdc_scan_path_equals_window_path(spark):
+    feed = spark.range(0, 1500).select(
+        F.when(F.col("id") % 4 != 0, F.lit(1)).otherwise(F.col("id") % 9).cast("long").alias("id"),  # hot id 1
+        ((F.col("id") * 7919) % 100000).cast("long").alias("seq"),
+        F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise((F.col("id") * 7 % 3).cast("string")).alias("tier"),
+        (F.col("id") % 10).alias("points"),
+        F.when(F.col("id") % 97 == 0, F.lit("D")).otherwise(F.lit("U")).alias("op"))
+    kw = dict(tracked=["tier"], except_cols=["op"], delete_when=F.col("op") == "D")
+    a = auto_cdc_scd2(feed, ["id"], "seq", **kw)
+    b = auto_cdc_scd2(feed, ["id"], "seq", max_group_rows=0, **kw)
+    assert a.count() > 10
+    assert srt(a.collect()) == srt(b.collect())

@@ -50,6 +50,9 @@ class ScanSpec:
     session_gap: float
     session_col: str | None
     rank_by: int  # leading order columns that define ties for rank / dense_rank
+    ffill: list[str]
+    change_cols: list[str]
+    change_col: str | None
 
 
 def _neq(a: pd.Series, b: pd.Series) -> np.ndarray:
@@ -73,6 +76,9 @@ class _Scanner:
         self.last_lags = st.get("last_lags", [None] * len(spec.lags))
         self.last_ts = st.get("last_ts")
         self.sessions = st.get("sessions", 0)
+        self.last_nonnull = st.get("last_nonnull", [None] * len(spec.ffill))
+        self.last_change = st.get("last_change")
+        self.changes = st.get("changes", 0)
 
     def process(self, pdf: pd.DataFrame) -> dict[str, np.ndarray]:
         s, n = self.s, len(pdf)
@@ -142,6 +148,29 @@ class _Scanner:
             out[s.session_col] = sess
             out["_flag"] = flag.to_numpy()
 
+        filled = {}
+        for j, c in enumerate(s.ffill):
+            vals = pd.Series(pdf[c].to_numpy(), dtype=object)
+            f = vals.groupby(grp).ffill()
+            carry = self.last_nonnull[j]
+            if carry is not None:
+                f[cont & f.isna().to_numpy()] = carry
+            filled[c] = f
+            out[f"_ff_{c}"] = f.to_numpy()
+        if s.change_col:
+            comp = [filled[c] if c in filled else pd.Series(pdf[c].to_numpy(), dtype=object)
+                    for c in s.change_cols]
+            diff = new.copy()
+            for ser in comp:
+                diff[1:] |= _neq(ser.iloc[1:].reset_index(drop=True), ser.iloc[:-1].reset_index(drop=True))
+            if not new[0]:
+                diff[0] = self.last_change is None or any(
+                    _neq(pd.Series([ser.iloc[0]], dtype=object), pd.Series([v], dtype=object))[0]
+                    for ser, v in zip(comp, self.last_change))
+            chg = pd.Series(diff.astype("int64")).groupby(grp).cumsum().to_numpy()
+            chg[cont] += self.changes
+            out[s.change_col] = chg
+
         # State after the batch: the last row's key and its running values.
         self.key = tuple(pdf[k].iloc[-1] for k in s.keys)
         self.sums = [float(out[f"_sum_{c}"][-1]) for c in s.sums]
@@ -153,6 +182,12 @@ class _Scanner:
         if s.session_ts:
             self.last_ts = float(pdf[s.session_ts].iloc[-1])
             self.sessions = int(out[s.session_col][-1])
+        for j, c in enumerate(s.ffill):
+            v = filled[c].iloc[-1]
+            self.last_nonnull[j] = None if pd.isna(v) else v
+        if s.change_col:
+            self.last_change = tuple(ser.iloc[-1] for ser in comp)
+            self.changes = int(chg[-1])
         return out
 
 
@@ -160,7 +195,8 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | tuple[s
                sums: Sequence[tuple[str, str]] = (), row_number: str | None = None, rank: str | None = None,
                dense_rank: str | None = None, lags: Sequence[tuple[str, str]] = (),
                session: tuple[str, float, str] | None = None, num_partitions: int | None = None,
-               rank_by: int | None = None) -> DataFrame:
+               rank_by: int | None = None, ffill: Sequence[tuple[str, str]] = (),
+               change_count: tuple[Sequence[str], str] | None = None) -> DataFrame:
     """Running values per key over ``order`` (see module doc).
 
     ``order`` items are column names (ascending) or (name, "desc");
@@ -169,17 +205,30 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | tuple[s
     session when it is the key's first row or its gap to the previous row is
     greater than the gap. ``rank_by`` = how many leading ``order`` columns
     define ties for rank / dense_rank (default: all); such ties may straddle a
-    partition boundary and are carried across it.
+    partition boundary and are carried across it. ``ffill`` pairs give the
+    last non-NULL value so far (IGNORE NULLS); ``change_count`` = (columns,
+    output) numbers the runs of equal values (after the forward fill when a
+    column is also in ``ffill``): it grows by one at a key's first row and at
+    every row whose values differ (NULL-safe) from the previous row's.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
+    if ffill and change_count and set(change_count[0]) & {c for c, _ in ffill}:
+        # Change flags over filled values need the fill done first: a
+        # partition's leading NULL run takes its values from earlier partitions.
+        filled = keyed_scan(df, keys, order, ffill=ffill, num_partitions=num_partitions)
+        ff = dict(ffill)
+        return keyed_scan(filled, keys, order, sums=sums, row_number=row_number, rank=rank, dense_rank=dense_rank,
+                          lags=lags, session=session, num_partitions=num_partitions, rank_by=rank_by,
+                          change_count=([ff.get(c, c) for c in change_count[0]], change_count[1]))
     keys = list(keys)
     order_pairs = [(o, "asc") if isinstance(o, str) else tuple(o) for o in order]
     order_cols = [c for c, _ in order_pairs]
     spec = ScanSpec(keys, order_cols, [c for c, _ in sums], row_number, rank, dense_rank,
                     [c for c, _ in lags], session[0] if session else None,
                     float(session[1]) if session else 0.0, session[2] if session else None,
-                    rank_by or len(order_pairs))
+                    rank_by or len(order_pairs), [c for c, _ in ffill],
+                    list(change_count[0]) if change_count else [], change_count[1] if change_count else None)
     prefix = order_cols[:spec.rank_by]
     sort = [F.col(k).asc_nulls_first() for k in keys] + [
         F.col(c).desc_nulls_last() if d == "desc" else F.col(c).asc_nulls_first() for c, d in order_pairs]
@@ -202,14 +251,19 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | tuple[s
         + [StructField(f"_fo_{schema[c].name}", schema[c].dataType) for c in prefix]
         + [StructField(f"_llag_{f.name}", f.dataType) for f in lag_fields]
         + [StructField("_first_ts", DoubleType()), StructField("_last_ts", DoubleType()),
-           StructField("_tflags", LongType()), StructField("_single", LongType())])
+           StructField("_tflags", LongType()), StructField("_single", LongType())]
+        + [StructField(f"_lff_{c}", schema[c].dataType) for c in spec.ffill]
+        + [StructField(f"_ffirst_{c}", schema[c].dataType) for c in spec.change_cols]
+        + [StructField(f"_lchg_{c}", schema[c].dataType) for c in spec.change_cols]
+        + [StructField("_tchg", LongType())])
+    extra = spec.sums + spec.lags + ([spec.session_ts] if spec.session_ts else []) + spec.ffill + spec.change_cols
     needed = ["_pid"] + keys + [c for c in order_cols if c not in keys] + \
-        [c for c in spec.sums + spec.lags + ([spec.session_ts] if spec.session_ts else []) if c not in keys + order_cols]
+        [c for c in extra if c not in keys + order_cols]
     needed = list(dict.fromkeys(needed))
 
     def summarize(batches):
         sc = _Scanner(spec)
-        first_key = first_ts = first_prefix = None
+        first_key = first_ts = first_prefix = first_chg = None
         pid = None
         for pdf in batches:
             if len(pdf) == 0:
@@ -218,6 +272,7 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | tuple[s
                 pid = int(pdf["_pid"].iloc[0])
                 first_key = tuple(pdf[k].iloc[0] for k in keys)
                 first_prefix = tuple(pdf[c].iloc[0] for c in prefix)
+                first_chg = tuple(pdf[c].iloc[0] for c in spec.change_cols)
                 first_ts = float(pdf[spec.session_ts].iloc[0]) if spec.session_ts else None
             sc.process(pdf)
         if first_key is None:
@@ -233,6 +288,11 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | tuple[s
         row.update({f"_llag_{c}": [v] for c, v in zip(spec.lags, sc.last_lags)})
         row.update({"_first_ts": [first_ts], "_last_ts": [sc.last_ts], "_tflags": [sc.sessions],
                     "_single": [single]})
+        row.update({f"_lff_{c}": [v] for c, v in zip(spec.ffill, sc.last_nonnull)})
+        row.update({f"_ffirst_{c}": [v] for c, v in zip(spec.change_cols, first_chg)})
+        row.update({f"_lchg_{c}": [v] for c, v in zip(spec.change_cols, sc.last_change or
+                                                     [None] * len(spec.change_cols))})
+        row.update({"_tchg": [sc.changes]})
         yield pd.DataFrame({k: (v if isinstance(v, list) else [v]) for k, v in row.items()})
 
     summary = ranged.select(*needed).mapInPandas(summarize, sum_schema)
@@ -259,7 +319,28 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | tuple[s
     s = s.withColumn("_tie", F.coalesce(tie, F.lit(False)))
     single_tie = (F.col("_single") == 1) & F.col("_tie")
     s = s.withColumn("_tdense", F.col("_tdense") - F.when(single_tie, 1).otherwise(0))
+    # Forward fill: last non-NULL value of the key over earlier partitions.
+    upto = run
+    for c in spec.ffill:
+        s = s.withColumn(f"_cff_{c}", F.last(f"_lff_{c}", ignorenulls=True).over(upto))
+        s = s.withColumn(f"_carryff_{c}", F.when(F.col("_same"), F.lag(f"_cff_{c}").over(w)))
+    if spec.change_col:
+        single = F.col("_single") == 1
+        for c in spec.change_cols:
+            if c in spec.ffill:
+                first_val = F.coalesce(F.col(f"_ffirst_{c}"), F.col(f"_carryff_{c}"))
+                glast = F.when(single & F.col("_same"), F.coalesce(F.col(f"_lchg_{c}"), F.col(f"_carryff_{c}"))) \
+                         .otherwise(F.col(f"_lchg_{c}"))
+            else:
+                first_val, glast = F.col(f"_ffirst_{c}"), F.col(f"_lchg_{c}")
+            s = s.withColumn(f"_fv_{c}", first_val).withColumn(f"_gl_{c}", glast)
+        differs = ~F.col("_same")
+        for c in spec.change_cols:
+            differs = differs | ~F.lag(f"_gl_{c}").over(w).eqNullSafe(F.col(f"_fv_{c}"))
+        s = s.withColumn("_chg_first", F.when(differs, 1).otherwise(0))
+        s = s.withColumn("_tchg", F.col("_tchg") - F.when(single, 1 - F.col("_chg_first")).otherwise(0))
     cum_cols = [f"_tsum_{c}" for c in spec.sums] + ["_tcount", "_tdense"] + (["_tflags"] if spec.session_ts else [])
+    cum_cols += ["_tchg"] if spec.change_col else []
     for c in cum_cols:
         s = s.withColumn(f"_cum{c}", F.sum(c).over(run))
     # Global rank of each partition's last row: its run starts here, or it
@@ -280,6 +361,10 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | tuple[s
     for c in spec.lags:
         carry_cols.append(F.when(F.col("_same"), F.lag(f"_llag_{c}").over(w)).alias(f"_c_llag_{c}"))
     carry_cols.append(F.when(F.col("_same"), F.lag("_last_ts").over(w)).alias("_c_last_ts"))
+    for c in spec.ffill:
+        carry_cols.append(F.col(f"_carryff_{c}").alias(f"_c_ff_{c}"))
+    for c in spec.change_cols:
+        carry_cols.append(F.when(F.col("_same"), F.lag(f"_gl_{c}").over(w)).alias(f"_c_gl_{c}"))
     carry_cols.append(F.col("_same").alias("_c_same"))
     for k in keys:
         carry_cols.append(F.col(f"_f_{k}").alias(f"_c_key_{k}"))
@@ -298,6 +383,10 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | tuple[s
         out_fields.append(StructField(name, schema[c].dataType))
     if session:
         out_fields.append(StructField(session[2], LongType()))
+    for c, name in ffill:
+        out_fields.append(StructField(name, schema[c].dataType))
+    if change_count:
+        out_fields.append(StructField(change_count[1], LongType()))
     out_schema = StructType(out_fields)
 
     def apply(batches):
@@ -318,6 +407,9 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | tuple[s
                         "last_lags": [r[f"_c_llag_{c}"] for c in spec.lags],
                         "last_ts": None if pd.isna(r["_c_last_ts"]) else float(r["_c_last_ts"]),
                         "sessions": int(r["_c_tflags"]) if spec.session_ts else 0,
+                        "last_nonnull": [None if pd.isna(r[f"_c_ff_{c}"]) else r[f"_c_ff_{c}"] for c in spec.ffill],
+                        "last_change": tuple(r[f"_c_gl_{c}"] for c in spec.change_cols) if spec.change_col else None,
+                        "changes": int(r["_c_tchg"]) if spec.change_col else 0,
                     }
                 sc = _Scanner(spec, init)
             res = sc.process(pdf)
@@ -331,6 +423,10 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | tuple[s
                 out[name] = res[f"_lag_{c}"]
             if session:
                 out[session[2]] = res[session[2]]
+            for c, name in ffill:
+                out[name] = res[f"_ff_{c}"]
+            if change_count:
+                out[change_count[1]] = res[change_count[1]]
             yield out
 
     return joined.mapInPandas(apply, out_schema)
@@ -348,7 +444,7 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
 
 
 def _window_version(df: DataFrame, keys, order_pairs, sums, row_number, rank, dense_rank, lags, session,
-                    rank_by) -> DataFrame:
+                    rank_by, ffill=(), change_count=None) -> DataFrame:
     ords = [F.col(c).desc_nulls_last() if d == "desc" else F.col(c).asc_nulls_first() for c, d in order_pairs]
     w = Window.partitionBy(*keys).orderBy(*ords)
     wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -369,6 +465,17 @@ def _window_version(df: DataFrame, keys, order_pairs, sums, row_number, rank, de
         prev = F.lag(ts).over(w)
         flag = F.when(prev.isNull() | ((F.col(ts) - prev) > gap), 1).otherwise(0)
         out = out.withColumn("_flag", flag).withColumn(name, F.sum("_flag").over(wr).cast("long")).drop("_flag")
+    for c, name in ffill:
+        out = out.withColumn(name, F.last(c, ignorenulls=True).over(wr))
+    if change_count:
+        cols, name = change_count
+        ff = dict(ffill)
+        vals = [F.col(ff[c]) if c in ff else F.col(c) for c in cols]
+        differs = F.lag(F.lit(1)).over(w).isNull()
+        for v in vals:
+            differs = differs | ~v.eqNullSafe(F.lag(v).over(w))
+        out = out.withColumn("_chg", F.when(differs, 1).otherwise(0)) \
+                 .withColumn(name, F.sum("_chg").over(wr).cast("long")).drop("_chg")
     return out
 
 
@@ -376,13 +483,19 @@ def keyed_running(df: DataFrame, keys: Sequence[str], order: Sequence[str | tupl
                   sums: Sequence[tuple[str, str]] = (), row_number: str | None = None, rank: str | None = None,
                   dense_rank: str | None = None, lags: Sequence[tuple[str, str]] = (),
                   session: tuple[str, float, str] | None = None, rank_by: int | None = None,
-                  max_group_rows: int = MAX_WINDOW_GROUP_ROWS, num_partitions: int | None = None) -> DataFrame:
+                  max_group_rows: int = MAX_WINDOW_GROUP_ROWS, num_partitions: int | None = None,
+                  ffill: Sequence[tuple[str, str]] = (),
+                  change_count: tuple[Sequence[str], str] | None = None) -> DataFrame:
     """Same outputs as ``keyed_scan``; a plain window when every key group is
     at most ``max_group_rows`` rows (checked with one aggregate), the
     segmented scan when a hot key would otherwise fill one task."""
     order_pairs = [(o, "asc") if isinstance(o, str) else tuple(o) for o in order]
     rb = rank_by or len(order_pairs)
-    if largest_group(df, keys) <= max_group_rows:
-        return _window_version(df, list(keys), order_pairs, sums, row_number, rank, dense_rank, lags, session, rb)
+    # max_group_rows < 0 forces the scan; a huge bound forces the window (no check job)
+    small = max_group_rows >= (1 << 62) or (max_group_rows >= 0 and largest_group(df, keys) <= max_group_rows)
+    if small:
+        return _window_version(df, list(keys), order_pairs, sums, row_number, rank, dense_rank, lags, session, rb,
+                               ffill, change_count)
     return keyed_scan(df, keys, order, sums=sums, row_number=row_number, rank=rank, dense_rank=dense_rank,
-                      lags=lags, session=session, num_partitions=num_partitions, rank_by=rb)
+                      lags=lags, session=session, num_partitions=num_partitions, rank_by=rb, ffill=ffill,
+                      change_count=change_count)

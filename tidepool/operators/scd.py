@@ -13,9 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scan import MAX_WINDOW_GROUP_ROWS, keyed_running, largest_group
+
 OPEN_END_DATE = "9999-12-31"
 
 
@@ -81,44 +83,46 @@ def scd2_merge(dim: DataFrame, updates: DataFrame, keys: Sequence[str], tracked:
 def auto_cdc_scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
                   tracked: Sequence[str] | None = None, except_cols: Sequence[str] = (),
                   ignore_null_updates: bool = True, delete_when: Column | None = None,
-                  start_col: str = "__START_AT", end_col: str = "__END_AT") -> DataFrame:
+                  start_col: str = "__START_AT", end_col: str = "__END_AT",
+                  max_group_rows: int = MAX_WINDOW_GROUP_ROWS) -> DataFrame:
     """Type-2 history per key from an out-of-order change feed.
 
     Each output row is one version: tracked columns constant inside it,
     untracked columns carry their last value, ``__START_AT`` is the sequence of
     the change that opened it and ``__END_AT`` the sequence of the next version
     (NULL while open). A row matching ``delete_when`` closes the open version.
+
+    All per-key ordered steps (fill of NULL updates, version numbering, next
+    version's start) go through ``keyed_running``: plain windows while every
+    key is small, the segmented scan when one key would fill a task.
     """
     keys = list(keys)
     payload = [c for c in changes.columns if c not in keys and c != sequence_by and c not in except_cols]
     tracked = list(tracked) if tracked is not None else payload
-    w = Window.partitionBy(*keys).orderBy(sequence_by)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
     df = changes.select(*keys, sequence_by, *payload,
                         (delete_when if delete_when is not None else F.lit(False)).alias("_del"))
-    if ignore_null_updates:
-        # A NULL in an update means "unchanged": carry the last non-NULL value forward
-        # (reset after a delete by grouping on the count of deletes seen so far).
-        df = df.withColumn("_epoch", F.sum(F.col("_del").cast("int")).over(upto))
-        we = Window.partitionBy(*keys, "_epoch").orderBy(sequence_by) \
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        df = df.select(*keys, sequence_by, "_del",
-                       *[F.last(c, ignorenulls=True).over(we).alias(c) for c in payload])
-    prev_del = F.lag("_del").over(w)
-    same = F.lit(True)
-    for c in tracked:
-        same = same & F.col(c).eqNullSafe(F.lag(c).over(w))
-    flag = F.when(F.lag(sequence_by).over(w).isNull() | prev_del | F.col("_del") | ~same, 1).otherwise(0)
-    df = df.withColumn("_ver", F.sum(flag).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    hot = largest_group(df, keys) > max_group_rows
+    run_kw = {"max_group_rows": -1 if hot else 1 << 62}
+
+    if delete_when is not None:
+        # deletes cut the history into epochs: values are never carried across one
+        df = keyed_running(df.withColumn("_d", F.col("_del").cast("double")), keys, [sequence_by],
+                           sums=[("_d", "_epoch")], **run_kw).drop("_d")
+    else:
+        df = df.withColumn("_epoch", F.lit(0.0))
+    ff = [(c, f"{c}__ff") for c in payload] if ignore_null_updates else []
+    ver = keyed_running(df, keys + ["_epoch"], [sequence_by], ffill=ff,
+                        change_count=(tracked + ["_del"], "_ver"), **run_kw)
+    if ff:
+        ver = ver.select(*keys, sequence_by, "_del", "_epoch", "_ver",
+                         *[F.col(f"{c}__ff").alias(c) for c in payload])
 
     untracked = [c for c in payload if c not in tracked]
     agg = [F.min(sequence_by).alias(start_col), F.max("_del").alias("_del")]
     agg += [F.first(c).alias(c) for c in tracked]  # constant inside a version
     agg += [F.max_by(c, sequence_by).alias(c) for c in untracked]
-    versions = df.groupBy(*keys, "_ver").agg(*agg)
-    wv = Window.partitionBy(*keys).orderBy("_ver")
-    versions = versions.withColumn(end_col, F.lead(start_col).over(wv))
+    versions = ver.groupBy(*keys, "_epoch", "_ver").agg(*agg)
+    versions = keyed_running(versions, keys, [(start_col, "desc")], lags=[(start_col, end_col)], **run_kw)
     return versions.filter(~F.col("_del")).select(*keys, *payload, start_col, end_col)
 
 
