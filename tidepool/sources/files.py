@@ -13,8 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
-from ..operators.relational import sized_broadcast
-
 CORRUPT = "_corrupt_record"
 RESCUED = "_rescued_data"
 
@@ -148,32 +146,33 @@ def parse_with_rescue(lines: DataFrame, schema: StructType, line_col: str = "val
 
 
 def copy_into(spark: SparkSession, source_dir: str, fmt: str, schema: StructType, target_path: str,
-              ledger_path: str, options: Mapping[str, str] | None = None,
-              max_broadcast_files: int = 1_000_000) -> int:
+              ledger_path: str, options: Mapping[str, str] | None = None, glob: str | None = None) -> int:
     """Idempotent incremental load: only files not in the ledger are appended.
 
-    Data rows carry ``_source_file``; the ledger is appended after the data,
-    and new files are checked against both the ledger and the target's own
-    source files, so a rerun after a crash between the two writes loads
-    nothing twice. Returns the number of newly loaded files.
+    New files come from a listing of the landing folder (``binaryFile`` with
+    the content column pruned, so no file body is read) minus the ledger; only
+    those files are read. Data rows carry ``_source_file``; the ledger is
+    appended after the data, and new files are checked against both the
+    ledger and the target's own source files, so a rerun after a crash between
+    the two writes loads nothing twice. Returns the number of newly loaded files.
     """
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+               .option("pathGlobFilter", glob or f"*.{fmt}").load(source_dir)
+               .select(F.col("path").alias("_source_file")))
+    seen = _loaded_files(spark, target_path, ledger_path)
+    new_files = listing.join(seen, "_source_file", "left_anti") if seen is not None else listing
+    # The paths go to the reader like any file listing does (names only, no rows).
+    paths = [r[0] for r in new_files.collect()]
+    if not paths:
+        return 0
     r = spark.read.format(fmt).schema(schema)
     for k, v in (options or {}).items():
         r = r.option(k, v)
-    src = r.load(source_dir).withColumn("_source_file", F.col("_metadata.file_path"))
-    seen = _loaded_files(spark, target_path, ledger_path)
-    files = src.select("_source_file").distinct()
-    new_files = files.join(seen, "_source_file", "left_anti") if seen is not None else files
-    new_files = new_files.cache()
-    n = new_files.count()
-    if n == 0:
-        new_files.unpersist()
-        return 0
-    rows = src.join(sized_broadcast(new_files, max_broadcast_files), "_source_file", "left_semi")
+    rows = r.load(paths).withColumn("_source_file", F.col("_metadata.file_path"))
     rows.write.mode("append").parquet(target_path)
-    new_files.withColumn("_loaded_at", F.current_timestamp()).write.mode("append").parquet(ledger_path)
-    new_files.unpersist()
-    return n
+    spark.createDataFrame([(p,) for p in paths], "_source_file string") \
+         .withColumn("_loaded_at", F.current_timestamp()).write.mode("append").parquet(ledger_path)
+    return len(paths)
 
 
 def _loaded_files(spark: SparkSession, target_path: str, ledger_path: str) -> DataFrame | None:
