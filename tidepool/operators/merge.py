@@ -168,12 +168,11 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str], clauses: Sequ
         check_unique_matches(target, source, on, max_per_key)
 
     def apply(t: DataFrame, s: DataFrame) -> DataFrame:
-        ta = t.withColumn("_t_present", F.lit(True)).alias("t")
-        sa = s.withColumn("_s_present", F.lit(True)).alias("s")
-        cond = None
+        ta = t.withColumn("_t_present", F.lit(True)).withColumn("_nk", null_salt(t, on, 1)).alias("t")
+        sa = s.withColumn("_s_present", F.lit(True)).withColumn("_nk", null_salt(s, on, -1)).alias("s")
+        cond = F.col("t._nk") == F.col("s._nk")
         for k in on:
-            c = F.col(f"t.{k}") == F.col(f"s.{k}")
-            cond = c if cond is None else cond & c
+            cond = cond & (F.col(f"t.{k}") == F.col(f"s.{k}"))
         j = ta.join(sa, cond, "full_outer")
         tp = F.col("t._t_present").isNotNull()
         sp = F.col("s._s_present").isNotNull()
@@ -244,26 +243,36 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str], clauses: Sequ
         t = add_missing_columns(t, source) if evolve else t
         return t.select(*[F.col(c).cast(types[c]).alias(c) for c in out_cols])
 
-    # A NULL key never matches: such rows skip the join (where they would all
-    # land in one task); joining with an empty side is planned as a projection.
-    has_null = None
-    for k in on:
-        c = F.col(k).isNull()
-        has_null = c if has_null is None else has_null | c
-    t_null, t_keyed = target.filter(has_null), target.filter(~has_null)
-    s_null, s_keyed = source.filter(has_null), source.filter(~has_null)
-    null_parts = apply(t_null, s_null.limit(0)).unionByName(apply(t_null.limit(0), s_null))
-
     if not matched and not by_source:
         # Insert-only: the target passes through untouched; only source rows
         # without a partner are inserted (anti join: broadcastable, skew-split by AQE).
-        fresh = s_keyed.join(t_keyed.select(*on), on, "left_anti")
-        return passthrough(t_keyed).unionByName(apply(t_keyed.limit(0), fresh)).unionByName(null_parts)
+        tk = target.select(*on).withColumn("_nk", F.lit(0).cast("long"))
+        s_nk = source.withColumn("_nk", null_salt(source, on, -1))
+        fresh = s_nk.join(tk, on + ["_nk"], "left_anti").drop("_nk")
+        return passthrough(target).unionByName(apply(target.limit(0), fresh))
 
     use_split = not by_source and source_broadcast_max_rows > 0
     if use_split and n_source <= source_broadcast_max_rows:
-        keys = F.broadcast(s_keyed.select(*on).dropDuplicates())
-        untouched = t_keyed.join(keys, on, "left_anti")
-        touched = t_keyed.join(keys, on, "left_semi")
-        return passthrough(untouched).unionByName(apply(touched, s_keyed)).unionByName(null_parts)
-    return apply(t_keyed, s_keyed).unionByName(null_parts)
+        # NULL keys never match: the anti join keeps them untouched, no shuffle.
+        keys = F.broadcast(source.select(*on).dropDuplicates())
+        untouched = target.join(keys, on, "left_anti")
+        touched = target.join(keys, on, "left_semi")
+        return passthrough(untouched).unionByName(apply(touched, source))
+    return apply(target, source)
+
+
+NULL_KEY_BUCKETS = 1024
+
+
+def null_salt(df: DataFrame, on: Sequence[str], sign: int) -> Column:
+    """Join-key salt: 0 for rows with a key, a hash bucket (signed per side,
+    so the two sides never meet) for rows with a NULL key part. NULL keys
+    never match; the salt only stops them from hashing into one task."""
+    has_null = None
+    for k in on:
+        c = F.col(k).isNull()
+        has_null = c if has_null is None else has_null | c
+    if has_null is None:
+        return F.lit(0).cast("long")
+    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(NULL_KEY_BUCKETS)) + 1
+    return F.when(has_null, bucket * sign).otherwise(F.lit(0)).cast("long")
