@@ -8,9 +8,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def nest(df: DataFrame, keys: Sequence[str], fields: Sequence[str], name: str) -> DataFrame:
-    """Group rows into an array of structs (one row per key)."""
-    return df.groupBy(*keys).agg(F.collect_list(F.struct(*fields)).alias(name))
+# Most elements one nested array row holds; a bigger group becomes several rows.
+MAX_ARRAY_ELEMENTS = 10_000
+
+
+def nest(df: DataFrame, keys: Sequence[str], fields: Sequence[str], name: str,
+         max_elements: int = MAX_ARRAY_ELEMENTS) -> DataFrame:
+    """Group rows into arrays of structs: one row per key, or one row per chunk
+    of at most ``max_elements`` elements when a key is bigger, so no single
+    array (and no single task) ever holds a whole hot key. Exploding the result
+    gives back every input row.
+    """
+    from pyspark.sql.types import ArrayType, MapType, StructType
+
+    from ..operators.scan import keyed_running
+    payload = [f for f in fields if f not in keys]
+    atomic = [f for f in payload if not isinstance(df.schema[f].dataType, (ArrayType, MapType, StructType))]
+    numbered = keyed_running(df.select(*keys, *payload), list(keys), atomic or list(keys), row_number="_rn")
+    chunked = numbered.withColumn("_chunk", F.floor((F.col("_rn") - 1) / max_elements))
+    return chunked.groupBy(*keys, "_chunk").agg(F.collect_list(F.struct(*fields)).alias(name)).drop("_chunk")
 
 
 def explode_struct_array(df: DataFrame, array_col: str, prefix: str = "", outer: bool = False) -> DataFrame:
