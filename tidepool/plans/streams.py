@@ -165,3 +165,19 @@ def stream_progress(spark: SparkSession, sf: str) -> DataFrame:
     agg = s.withWatermark("ts", "10 minutes").groupBy("event_type", F.window("ts", "1 hour")).count()
     q = drain(agg, f"{base}/out", f"{base}/_checkpoint")
     return progress_frame(spark, q)
+
+
+@register("stream_complete_counts", ops=("SNK12", "STM11"), oracle=f"""WITH {RETRIES_SQL}
+SELECT event_type, count(*) AS n_events, round(sum(value), 2) AS total_value FROM src GROUP BY 1
+""")
+def stream_complete_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Complete output mode: every micro-batch rewrites the full result table
+    (foreachBatch overwrite, since file sinks only append)."""
+    s, base = event_stream(spark, sf, "stream_complete", files=4, max_files_per_trigger=2)
+    out = s.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("total_value"))
+
+    def overwrite(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/out")
+
+    drain(out, None, f"{base}/_checkpoint", output_mode="complete", foreach_batch=overwrite)
+    return spark.read.parquet(f"{base}/out").withColumn("total_value", rnd("total_value", 2))
