@@ -27,6 +27,7 @@ HEADLINE = [
     "market_share", "rfm_segments", "top_k_customers", "collect_products", "flatten_two_level",
     "merge_upsert", "merge_multi_clause", "scd2_merge", "auto_cdc_scd2", "as_of_version", "cdf_propagate",
     "quality_report", "expect_or_drop", "denormalized_facts", "pipeline_medallion",
+    "ntile_quartiles", "copy_into_idempotent", "stream_file_ingest", "tumbling_velocity", "zorder_layout",
 ]
 
 
