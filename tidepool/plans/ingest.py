@@ -369,3 +369,40 @@ def _exists(spark: SparkSession, path: str) -> bool:
                     .select("path").limit(1).count() > 0
     except Exception:
         return False
+
+
+@register("stream_fresh_dimension", ops=("STM14", "JOI11"), oracle="""
+SELECT e.event_id, e.user_id,
+  CASE WHEN e.ts < TIMESTAMP '2024-01-15' AND c.c_acctbal > 9000 THEN 'UNKNOWN'
+       ELSE coalesce(c.c_mktsegment, 'UNKNOWN') END AS segment
+FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey
+""")
+def stream_fresh_dimension(spark: SparkSession, sf: str) -> DataFrame:
+    """The dimension grows between micro-batches; ``foreachBatch`` re-reads it
+    each time, so the second batch sees customers the first one did not
+    (a static DataFrame built once keeps its original file listing)."""
+    t = Tables(spark, sf)
+    base = scratch_path(spark, "stream_fresh_dim")
+    dim_path = f"{base}/dim"
+    cut = F.lit("2024-01-15").cast("timestamp_ntz")
+    c = t.customer.select("c_custkey", "c_mktsegment", "c_acctbal")
+    c.filter(F.col("c_acctbal") <= 9000).write.parquet(dim_path)          # known before batch 1
+    ev = t.events.select("event_id", "user_id", "ts")
+    fs.write_files(ev.filter(F.col("ts") < cut), f"{base}/landing/b1", "parquet", 2)
+
+    def enrich(batch: DataFrame, batch_id: int) -> None:
+        dim = spark.read.parquet(dim_path).select("c_custkey", "c_mktsegment")   # fresh per batch
+        (batch.join(dim, F.col("user_id") == F.col("c_custkey"), "left")
+         .select("event_id", "user_id", F.coalesce("c_mktsegment", F.lit("UNKNOWN")).alias("segment"))
+         .write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}"))  # idempotent per batch id
+
+    def run():
+        stream = (spark.readStream.schema(ev.schema).option("recursiveFileLookup", "true")
+                  .parquet(f"{base}/landing"))
+        drain(stream, None, f"{base}/_checkpoint", foreach_batch=enrich)
+
+    run()
+    c.filter(F.col("c_acctbal") > 9000).write.mode("append").parquet(dim_path)   # new customers arrive
+    fs.write_files(ev.filter(F.col("ts") >= cut), f"{base}/landing/b2", "parquet", 2)
+    run()
+    return spark.read.parquet(f"{base}/out").select("event_id", "user_id", "segment")
