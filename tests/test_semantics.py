@@ -315,3 +315,11 @@ def test_auto_cdc_scan_path_equals_window_path(spark):
     b = auto_cdc_scd2(feed, ["id"], "seq", max_group_rows=0, **kw)
     assert a.count() > 10
     assert srt(a.collect()) == srt(b.collect())
+
+
+def test_snake_case_columns(spark):
+    from tidepool.functions.naming import snake_case, snake_case_columns
+    assert [snake_case(c) for c in ["customerId", "OrderDate", "totalAmountUSD", "ship to", "HTTPStatus"]] == \
+        ["customer_id", "order_date", "total_amount_usd", "ship_to", "http_status"]
+    df = spark.createDataFrame([("1", "2024-01-02")], "customerId string, signupDate string")
+    assert snake_case_columns(df).columns == ["customer_id", "signup_date"]

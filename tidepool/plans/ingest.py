@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
                                TimestampNTZType)
 
+from ..functions.naming import snake_case_columns
 from ..functions.numeric import rnd
 from ..operators.merge import WhenMatched, WhenNotMatched, merge
 from ..operators.relational import latest_per_key
@@ -102,7 +103,7 @@ def csv_permissive_split(spark: SparkSession, sf: str) -> DataFrame:
         bad.drop(fs.CORRUPT).withColumn("is_corrupt", F.lit(True)))
 
 
-@register("multi_format_union", ops=("SRC6", "SET4"), oracle="""
+@register("multi_format_union", ops=("SRC6", "SET4", "PRJ2"), oracle="""
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS order_date FROM orders
 """)
 def multi_format_union(spark: SparkSession, sf: str) -> DataFrame:
@@ -126,9 +127,9 @@ def multi_format_union(spark: SparkSession, sf: str) -> DataFrame:
                          StructField("o_orderstatus", StringType()), StructField("o_totalprice", DoubleType()),
                          StructField("order_date", DateType())])
     return fs.unify([
-        (fs.read_csv(spark, f"{base}/csv", header=True, infer=True),
-         {"OrderKey": "o_orderkey", "CustomerKey": "o_custkey", "Status": "o_orderstatus", "Amount": "o_totalprice",
-          "OrderDate": "order_date"}),
+        (snake_case_columns(fs.read_csv(spark, f"{base}/csv", header=True, infer=True)),
+         {"order_key": "o_orderkey", "customer_key": "o_custkey", "status": "o_orderstatus",
+          "amount": "o_totalprice"}),
         (fs.read_json(spark, f"{base}/json"),
          {"order_id": "o_orderkey", "customer_id": "o_custkey", "state": "o_orderstatus", "total": "o_totalprice",
           "day": "order_date"}),

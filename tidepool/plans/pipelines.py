@@ -203,7 +203,7 @@ def pipeline_retail(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ PIP4 orders
 
-@register("pipeline_orders", ops=("PIP4",), oracle=f"""
+@register("pipeline_orders", ops=("PIP4", "AGG17"), oracle=f"""
 WITH c AS (
   SELECT o_custkey,
     CAST(date_diff('day', CAST(max(o_orderdate) AS DATE), DATE '{RFM_AS_OF}') AS INTEGER) AS recency_days,

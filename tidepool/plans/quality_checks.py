@@ -256,3 +256,30 @@ FROM events
 def risk_score(spark: SparkSession, sf: str) -> DataFrame:
     return risk_score_df(Tables(spark, sf).events)
 
+
+
+@register("quality_by_nation", ops=("DQ7",), oracle="""
+WITH s AS (
+  SELECT c_nationkey,
+    CASE WHEN regexp_matches(c_name, '^Customer#[0-9]{9}$') THEN 1 ELSE 0 END
+    + CASE WHEN c_acctbal >= 0 THEN 1 ELSE 0 END
+    + CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY') THEN 1 ELSE 0 END
+      AS quality_score
+  FROM customer)
+SELECT c_nationkey, count(*) AS n_customers, CAST(sum(quality_score) AS BIGINT) AS score_total,
+       sum(quality_score) / count(*) AS avg_quality_score,
+       count(*) FILTER (WHERE quality_score = 3) AS fully_valid
+FROM s GROUP BY c_nationkey
+""")
+def quality_by_nation(spark: SparkSession, sf: str) -> DataFrame:
+    """Average per-row quality score per entity (nation)."""
+    c = Tables(spark, sf).customer
+    score = (F.when(F.col("c_name").rlike("^Customer#[0-9]{9}$"), 1).otherwise(0)
+             + F.when(F.col("c_acctbal") >= 0, 1).otherwise(0)
+             + F.when(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"), 1)
+             .otherwise(0))
+    s = c.select("c_nationkey", score.alias("quality_score"))
+    return s.groupBy("c_nationkey").agg(
+        F.count(F.lit(1)).alias("n_customers"), F.sum("quality_score").cast("long").alias("score_total"),
+        (F.sum("quality_score") / F.count(F.lit(1))).alias("avg_quality_score"),
+        F.count(F.when(F.col("quality_score") == 3, 1)).alias("fully_valid"))
