@@ -19,7 +19,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .merge import WhenMatched, WhenNotMatched, merge
+from .merge import WhenMatched, WhenNotMatched, merge, null_salt
 from .relational import latest_per_key, null_safe_equal_all
 
 INSERT, PRE, POST, DELETE = "insert", "update_preimage", "update_postimage", "delete"
@@ -55,12 +55,11 @@ def diff_changes(old: DataFrame, new: DataFrame, keys: Sequence[str], version: i
     """
     keys = list(keys)
     cols = old.columns
-    o = old.withColumn("_op", F.lit(True)).alias("o")
-    n = new.select(*cols).withColumn("_np", F.lit(True)).alias("n")
-    cond = None
+    o = old.withColumn("_op", F.lit(True)).withColumn("_nk", null_salt(old, keys, 1)).alias("o")
+    n = new.select(*cols).withColumn("_np", F.lit(True)).withColumn("_nk", null_salt(new, keys, -1)).alias("n")
+    cond = F.col("o._nk") == F.col("n._nk")  # NULL keys never match; the salt spreads them
     for k in keys:
-        c = F.col(f"o.{k}") == F.col(f"n.{k}")
-        cond = c if cond is None else cond & c
+        cond = cond & (F.col(f"o.{k}") == F.col(f"n.{k}"))
     j = o.join(n, cond, "full_outer")
     op, np_ = F.col("o._op").isNotNull(), F.col("n._np").isNotNull()
     same = null_safe_equal_all([F.col(f"o.{c}") for c in cols], [F.col(f"n.{c}") for c in cols])

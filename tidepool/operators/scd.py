@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .merge import null_salt
 from .scan import MAX_WINDOW_GROUP_ROWS, keyed_running, largest_group
 
 OPEN_END_DATE = "9999-12-31"
@@ -43,12 +44,11 @@ def scd2_merge(dim: DataFrame, updates: DataFrame, keys: Sequence[str], tracked:
     hist = dim.filter(~F.col(current_col))
     cur = dim.filter(F.col(current_col))
 
-    t = cur.withColumn("_tp", F.lit(True)).alias("t")
-    s = updates.withColumn("_sp", F.lit(True)).alias("s")
-    cond = None
+    t = cur.withColumn("_tp", F.lit(True)).withColumn("_nk", null_salt(cur, keys, 1)).alias("t")
+    s = updates.withColumn("_sp", F.lit(True)).withColumn("_nk", null_salt(updates, keys, -1)).alias("s")
+    cond = F.col("t._nk") == F.col("s._nk")  # NULL keys never match; the salt spreads them
     for k in keys:
-        c = F.col(f"t.{k}") == F.col(f"s.{k}")
-        cond = c if cond is None else cond & c
+        cond = cond & (F.col(f"t.{k}") == F.col(f"s.{k}"))
     j = t.join(s, cond, "full_outer")
     tp, sp = F.col("t._tp").isNotNull(), F.col("s._sp").isNotNull()
     changed = tp & sp & _changed(tracked)
