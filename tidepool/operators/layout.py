@@ -67,38 +67,49 @@ def compact(spark: SparkSession, src: str, dst: str, target_file_bytes: int = DE
     return dst
 
 
-def _rank_buckets(df: DataFrame, col: str, bits: int, accuracy: int = 10_000) -> Column:
-    """Bucket a column into 2^bits rank-based buckets.
-
-    Numeric columns use approximate percentile cut points (one small aggregate
-    row); other types use a hash, which keeps equal values together.
+def with_zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 8, name: str = "_z",
+                    accuracy: int = 1_000) -> DataFrame:
+    """Add the Morton key: interleaved bits of each column's rank bucket.
+
+    Numeric columns are cut at approximate percentiles (all columns from one
+    small aggregate row) and bucketed with ``Bucketizer`` (a JVM binary search
+    per value); other types use a hash, which keeps equal values together.
+    NULLs go to bucket 0.
     """
-    n = 1 << bits
-    if isinstance(df.schema[col].dataType, NumericType):
-        probs = [i / n for i in range(1, n)]
-        cuts = df.agg(F.percentile_approx(col, probs, accuracy).alias("c")).first()["c"]
-        cut_arr = F.array(*[F.lit(float(c)) for c in cuts])
-        return F.size(F.filter(cut_arr, lambda c: c < F.col(col).cast("double"))).cast("long")
-    return F.pmod(F.xxhash64(F.col(col)), F.lit(n)).cast("long")
+    from pyspark.ml.feature import Bucketizer
 
-
-def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 8) -> Column:
-    """Interleave the bits of each column's bucket (Morton order)."""
-    buckets = [_rank_buckets(df, c, bits) for c in cols]
+    n = 1 << bits
+    probs = [i / n for i in range(1, n)]
+    numeric = [c for c in cols if isinstance(df.schema[c].dataType, NumericType)]
+    cuts = {}
+    if numeric:
+        row = df.agg(*[F.percentile_approx(c, probs, accuracy).alias(c) for c in numeric]).first()
+        cuts = {c: sorted({float(x) for x in row[c]}) for c in numeric}
+    out = df
+    bucket_cols = []
+    for j, c in enumerate(cols):
+        bc = f"_zb{j}"
+        bucket_cols.append(bc)
+        if c in cuts:
+            splits = [float("-inf")] + cuts[c] + [float("inf")]
+            out = Bucketizer(splits=splits, inputCol=f"_zin{j}", outputCol=bc, handleInvalid="keep") \
+                .transform(out.withColumn(f"_zin{j}", F.col(c).cast("double"))).drop(f"_zin{j}")
+            out = out.withColumn(bc, F.coalesce(F.col(bc).cast("long"), F.lit(0).cast("long")))
+        else:
+            out = out.withColumn(bc, F.pmod(F.xxhash64(F.col(c)), F.lit(n)).cast("long"))
     z = F.lit(0).cast("long")
     k = len(cols)
     for i in range(bits):
-        for j, b in enumerate(buckets):
-            bit = F.shiftright(b, i).bitwiseAND(F.lit(1))
-            z = z.bitwiseOR(F.shiftleft(bit, i * k + j))
-    return z
+        for j, bc in enumerate(bucket_cols):
+            z = z.bitwiseOR(F.shiftleft(F.shiftright(F.col(bc), i).bitwiseAND(F.lit(1)), i * k + j))
+    return out.withColumn(name, z).drop(*bucket_cols)
 
 
 def zorder(df: DataFrame, cols: Sequence[str], dst: str, num_files: int, bits: int = 8) -> str:
     """Write ``df`` range-partitioned and sorted by its z-order key."""
-    if not 1 <= len(cols) <= 3 * 2:
+    if not 1 <= len(cols) <= 6:
         raise ValueError("z-order takes 1 to 6 columns")
-    keyed = df.withColumn("_z", zorder_key(df, cols, bits))
+    keyed = with_zorder_key(df, cols, bits)
     (keyed.repartitionByRange(num_files, "_z").sortWithinPartitions("_z").drop("_z")
      .write.mode("overwrite").parquet(dst))
     return dst
