@@ -224,3 +224,13 @@ def cdf_from_merge(spark: SparkSession, sf: str) -> DataFrame:
     after = merge_upsert(spark, sf)
     _ = merge_source
     return cl.diff_changes(before, after, KEYS, 1, TS[1])
+
+
+@register("as_of_snapshot_tail", ops=("TTR1", "TTR8"), oracle=f"WITH {STATES} SELECT * FROM s3")
+def as_of_snapshot_tail(spark: SparkSession, sf: str) -> DataFrame:
+    """State at version 3 read from a materialised snapshot of version 1 plus
+    the log tail, instead of the latest change per key over the whole log."""
+    from ..session import scratch_path
+    log = orders_log(Tables(spark, sf))
+    snap = cl.snapshot(log, KEYS, 1, scratch_path(spark, "orders_snapshot_v1"))
+    return cl.as_of_version(log, KEYS, 3, snapshot=snap, snapshot_version=1)
