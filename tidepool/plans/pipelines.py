@@ -170,7 +170,7 @@ def pipeline_payments(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ PIP1 retail
 
-@register("pipeline_retail", ops=("PIP1",), oracle="""
+@register("pipeline_retail", ops=("PIP1", "DQ1", "DQ2"), oracle="""
 WITH sales AS (SELECT * FROM lineitem WHERE l_quantity > 0 AND l_extendedprice > 0 AND l_returnflag <> 'R')
 SELECT p.p_partkey, p.p_name AS product_name, s.s_name AS supplier_name, sum(l.l_quantity) AS units,
        round(sum(l.l_extendedprice), 2) AS revenue, count(*) AS n_lines
@@ -178,13 +178,25 @@ FROM sales l LEFT JOIN part p ON l.l_partkey = p.p_partkey LEFT JOIN supplier s
 GROUP BY p.p_partkey, p.p_name, s.s_name
 """)
 def pipeline_retail(spark: SparkSession, sf: str) -> DataFrame:
-    """Bronze lines -> expectations (drop) -> sales/returns split -> customer
-    SCD2 history from the event feed -> denormalized facts -> product mart."""
+    """Bronze line stream with observed expectation counters (drop) ->
+    sales/returns split -> customer SCD2 history from the event feed ->
+    denormalized facts -> product mart."""
     t = Tables(spark, sf)
     base = scratch_path(spark, "pipe_retail")
-    t.lineitem.write.parquet(f"{base}/bronze_lines")
-    lines = q.expect(spark.read.parquet(f"{base}/bronze_lines"),
-                     {"positive_quantity": "l_quantity > 0", "positive_price": "l_extendedprice > 0"}, "drop")
+    fs.write_files(t.lineitem, f"{base}/landing", "parquet", 4)
+    # Bronze stream: expectations are counted while the rows flow (observe),
+    # failing rows are dropped, the counters land in the query progress.
+    expectations = {"positive_quantity": "l_quantity > 0", "positive_price": "l_extendedprice > 0"}
+    stream = spark.readStream.schema(t.lineitem.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/landing")
+    observed = stream.observe("bronze_expectations", F.count(F.lit(1)).alias("rows"),
+                              *[F.count(F.when(~q.Rule(k, v).holds(), 1)).alias(k) for k, v in expectations.items()])
+    qry = drain(q.expect(observed, expectations, "drop"), f"{base}/bronze_lines", f"{base}/_checkpoint")
+    metrics = [p["observedMetrics"]["bronze_expectations"] for p in qry.recentProgress
+               if p.get("observedMetrics", {}).get("bronze_expectations")]
+    spark.createDataFrame([(m["rows"], m["positive_quantity"], m["positive_price"]) for m in metrics],
+                          "rows long, failed_positive_quantity long, failed_positive_price long") \
+         .write.parquet(f"{base}/bronze_expectation_metrics")
+    lines = spark.read.parquet(f"{base}/bronze_lines")
     sales = lines.filter(F.col("l_returnflag") != "R")
     returns = lines.filter(F.col("l_returnflag") == "R")
     returns.write.parquet(f"{base}/returns")
