@@ -323,3 +323,12 @@ def test_snake_case_columns(spark):
         ["customer_id", "order_date", "total_amount_usd", "ship_to", "http_status"]
     df = spark.createDataFrame([("1", "2024-01-02")], "customerId string, signupDate string")
     assert snake_case_columns(df).columns == ["customer_id", "signup_date"]
+
+
+def test_nest_chunks_big_groups(spark):
+    from tidepool.functions.nested import explode_struct_array, nest
+    df = spark.range(0, 5000).select((F.col("id") % 3 == 0).cast("int").alias("k"), F.col("id").alias("v"))
+    nested = nest(df, ["k"], ["v"], "items", max_elements=100)
+    assert nested.select(F.max(F.size("items"))).first()[0] <= 100
+    back = explode_struct_array(nested, "items")
+    assert srt(back.select("k", "v").collect()) == srt(df.collect())

@@ -21,8 +21,10 @@ def nest(df: DataFrame, keys: Sequence[str], fields: Sequence[str], name: str,
     """
     from pyspark.sql.types import ArrayType, MapType, StructType
 
-    from ..operators.scan import keyed_running
+    from ..operators.scan import keyed_running, largest_group
     payload = [f for f in fields if f not in keys]
+    if largest_group(df, keys) <= max_elements // 2:  # sampled estimate, margin for its error
+        return df.groupBy(*keys).agg(F.collect_list(F.struct(*fields)).alias(name))
     atomic = [f for f in payload if not isinstance(df.schema[f].dataType, (ArrayType, MapType, StructType))]
     numbered = keyed_running(df.select(*keys, *payload), list(keys), atomic or list(keys), row_number="_rn")
     chunked = numbered.withColumn("_chunk", F.floor((F.col("_rn") - 1) / max_elements))
