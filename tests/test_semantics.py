@@ -257,7 +257,8 @@ def test_layout_spec_and_statistics(spark):
     lay.LayoutSpec(["a"]).save(spark, base)
     lay.LayoutSpec(["b", "a"]).save(spark, base)  # changing the spec rewrites no data
     assert lay.LayoutSpec.load(spark, base).cluster_by == ["b", "a"]
-    spark.range(100).write.mode("overwrite").saveAsTable("tp_stats_probe")
+    spark.range(100).write.mode("overwrite").option("path", scratch_path(spark, "stats_probe")) \
+        .saveAsTable("tp_stats_probe")
     spark.sql("ANALYZE TABLE tp_stats_probe COMPUTE STATISTICS FOR ALL COLUMNS")
     stats = spark.sql("DESCRIBE TABLE EXTENDED tp_stats_probe").filter("col_name = 'Statistics'").collect()
     assert stats and "100 rows" in stats[0]["data_type"]

@@ -243,3 +243,27 @@ def categorize_region(spark: SparkSession, sf: str) -> DataFrame:
     c = Tables(spark, sf).customer
     fn = categorize_udf(SEGMENT_GROUPS, default="Other")
     return c.select("c_custkey", "c_mktsegment", fn("c_mktsegment").alias("segment_group"))
+
+
+@register("url_parts", ops=("FUN2", "PRJ9", "PRJ8"), oracle=r"""
+SELECT page_id,
+  regexp_extract(url, '^(https?)://', 1) AS scheme,
+  lower(regexp_extract(url, '^https?://([^/?#]+)', 1)) AS host,
+  regexp_extract(url, '^https?://[^/]+/([a-z]{2})/', 1) AS lang,
+  regexp_replace(url, '[?#].*$', '') AS clean_url,
+  url LIKE '%?%' AS has_query,
+  regexp_matches(url, '^https://') AS is_secure,
+  CAST(length(url) AS INTEGER) AS url_length
+FROM pages
+""")
+def url_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Regex extraction and cleaning over whole URLs."""
+    p = Tables(spark, sf).pages
+    return p.select("page_id",
+                    F.regexp_extract("url", r"^(https?)://", 1).alias("scheme"),
+                    F.lower(F.regexp_extract("url", r"^https?://([^/?#]+)", 1)).alias("host"),
+                    F.regexp_extract("url", r"^https?://[^/]+/([a-z]{2})/", 1).alias("lang"),
+                    F.regexp_replace("url", r"[?#].*$", "").alias("clean_url"),
+                    F.col("url").contains("?").alias("has_query"),
+                    F.col("url").rlike(r"^https://").alias("is_secure"),
+                    F.length("url").alias("url_length"))
