@@ -333,3 +333,42 @@ def test_nest_chunks_big_groups(spark):
     assert nested.select(F.max(F.size("items"))).first()[0] <= 100
     back = explode_struct_array(nested, "items")
     assert srt(back.select("k", "v").collect()) == srt(df.collect())
+
+
+# ---------------------------------------------------------------- exercise expectations
+
+def test_rank_ties_rank_vs_dense(spark):
+    from tidepool.operators.scan import keyed_running
+    df = spark.createDataFrame([("A", 5), ("B", 4), ("C", 4), ("D", 3), ("E", 2)], "c string, n long") \
+        .withColumn("g", F.lit(1))
+    for bound in (1 << 62, -1):  # window path and segmented-scan path
+        out = {r["c"]: (r["rk"], r["drk"]) for r in keyed_running(
+            df, ["g"], [("n", "desc"), "c"], rank="rk", dense_rank="drk", rank_by=1, max_group_rows=bound).collect()}
+        assert out == {"A": (1, 1), "B": (2, 2), "C": (2, 2), "D": (4, 3), "E": (5, 4)}
+
+
+def test_ntile_two_per_quartile(spark):
+    df = spark.createDataFrame([(f"C{i}", float(100 * i)) for i in range(1, 9)], "c string, spend double")
+    out = global_ntile(df, 4, [F.col("spend").desc(), F.col("c")], "q")
+    counts = {r["q"]: r["n"] for r in out.groupBy("q").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert counts == {1: 2, 2: 2, 3: 2, 4: 2}
+    assert {r["c"] for r in out.filter("q = 1").collect()} == {"C8", "C7"}
+
+
+def test_top2_per_customer(spark):
+    from tidepool.operators.relational import top_n_per_group
+    rows = [(f"CUST-{c}", f"ORD-{c}{i}", float(i * 10 + c)) for c in range(3) for i in range(4)]
+    df = spark.createDataFrame(rows, "customer_id string, order_id string, amount double")
+    out = top_n_per_group(df, ["customer_id"], [F.desc("amount"), F.asc("order_id")], 2)
+    assert out.count() == 6
+    assert {r["order_id"] for r in out.filter("customer_id = 'CUST-0'").collect()} == {"ORD-03", "ORD-02"}
+
+
+def test_sessions_from_gaps(spark):
+    base = TS(2024, 1, 1, 9, 0)
+    mins = {"u1": [0, 10, 55, 115, 125, 160], "u2": [0, 20, 55]}  # u1 gaps 45, 60, 35 split; u2 gap 35 splits
+    rows = [(f"{u}-{i}", u, base + dt.timedelta(minutes=m)) for u, ms in mins.items() for i, m in enumerate(ms)]
+    ev = spark.createDataFrame(rows, "event_id string, user_id string, ts timestamp")
+    out = sessionize(ev, "user_id", "ts", "event_id", 30)
+    n = {r["user_id"]: r["s"] for r in out.groupBy("user_id").agg(F.max("session_num").alias("s")).collect()}
+    assert n == {"u1": 4, "u2": 2}
