@@ -372,3 +372,12 @@ def test_sessions_from_gaps(spark):
     out = sessionize(ev, "user_id", "ts", "event_id", 30)
     n = {r["user_id"]: r["s"] for r in out.groupBy("user_id").agg(F.max("session_num").alias("s")).collect()}
     assert n == {"u1": 4, "u2": 2}
+
+
+def test_not_matched_by_source_update(spark):
+    t = orders(spark, [("A", 1.0, "open", TS(2024, 1, 1)), ("B", 2.0, "open", TS(2024, 1, 1))])
+    s = orders(spark, [("A", 5.0, "open", TS(2024, 1, 2))])
+    out = as_dict(MergeBuilder(t, s, ["order_id"]).whenMatchedUpdateAll()
+                  .whenNotMatchedBySourceUpdate({"status": F.lit("stale")}).execute())
+    assert out["A"]["amount"] == 5.0 and out["A"]["status"] == "open"
+    assert out["B"]["status"] == "stale" and out["B"]["amount"] == 2.0
