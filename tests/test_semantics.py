@@ -381,3 +381,22 @@ def test_not_matched_by_source_update(spark):
                   .whenNotMatchedBySourceUpdate({"status": F.lit("stale")}).execute())
     assert out["A"]["amount"] == 5.0 and out["A"]["status"] == "open"
     assert out["B"]["status"] == "stale" and out["B"]["amount"] == 2.0
+
+
+def test_copy_into_recovers_after_crash_between_data_and_ledger(spark):
+    from tidepool.sources import files as fs
+    base = scratch_path(spark, "copy_crash")
+    schema = spark.createDataFrame([], "id long").schema
+    spark.range(0, 10).repartition(2).write.json(f"{base}/landing/a")
+    assert fs.copy_into(spark, f"{base}/landing", "json", schema, f"{base}/t", f"{base}/ledger") == 2
+    # simulate a crash after step 2 of a new batch: files marked pending, data half written
+    spark.range(10, 16).repartition(1).write.json(f"{base}/landing/b")
+    new = [r[0] for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.json")
+           .load(f"{base}/landing/b").select("path").collect()]
+    fs._ledger_append(spark, f"{base}/ledger", [(f, "crashed", "pending") for f in new])
+    spark.range(10, 13).withColumn("_source_file", F.lit("x")).withColumn("_load_batch", F.lit("crashed")) \
+        .write.mode("append").partitionBy("_load_batch").parquet(f"{base}/t")
+    assert fs.copy_into(spark, f"{base}/landing", "json", schema, f"{base}/t", f"{base}/ledger") == 0
+    assert fs.copy_into(spark, f"{base}/landing", "json", schema, f"{base}/t", f"{base}/ledger") == 0
+    ids = sorted(r["id"] for r in fs.read_loaded(spark, f"{base}/t").collect())
+    assert ids == list(range(16))

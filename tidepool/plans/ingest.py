@@ -152,7 +152,7 @@ def copy_into_idempotent(spark: SparkSession, sf: str) -> DataFrame:
     loads.append(fs.copy_into(spark, landing, "json", o.schema, target, ledger, {"recursiveFileLookup": "true"}))
     if loads[1] != 0 or loads[3] != 0:
         raise AssertionError(f"incremental load is not idempotent: {loads}")
-    return spark.read.parquet(target).drop("_source_file")
+    return fs.read_loaded(spark, target)
 
 
 @register("bronze_metadata", ops=("SRC18", "SRC19"), oracle="""

@@ -147,44 +147,70 @@ def parse_with_rescue(lines: DataFrame, schema: StructType, line_col: str = "val
 
 def copy_into(spark: SparkSession, source_dir: str, fmt: str, schema: StructType, target_path: str,
               ledger_path: str, options: Mapping[str, str] | None = None, glob: str | None = None) -> int:
-    """Idempotent incremental load: only files not in the ledger are appended.
-
-    New files come from a listing of the landing folder (``binaryFile`` with
-    the content column pruned, so no file body is read) minus the ledger; only
-    those files are read. Data rows carry ``_source_file``; the ledger is
-    appended after the data, and new files are checked against both the
-    ledger and the target's own source files, so a rerun after a crash between
-    the two writes loads nothing twice. Returns the number of newly loaded files.
+    """Idempotent incremental load (COPY INTO): each file is loaded once.
+
+    Protocol, safe against a crash at any point:
+    1. list the landing folder (``binaryFile`` with the content column pruned,
+       so no file body is read) and subtract every file the ledger knows;
+    2. record the new files in the ledger as ``pending`` under a fresh batch id;
+    3. write their rows into the target partition ``_load_batch=<id>`` with
+       dynamic partition overwrite (rewriting a batch replaces it, never doubles it);
+    4. record the batch as ``done``.
+    A later run first redoes batches that are pending without a done mark, so
+    the target itself is never scanned. Returns the number of newly loaded files.
     """
+    import uuid
+
+    def load(files: list[str], batch_id: str) -> None:
+        r = spark.read.format(fmt).schema(schema)
+        for k, v in (options or {}).items():
+            r = r.option(k, v)
+        rows = r.load(files).withColumn("_source_file", F.col("_metadata.file_path")) \
+                .withColumn("_load_batch", F.lit(batch_id))
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("_load_batch").parquet(target_path))
+        _ledger_append(spark, ledger_path, [(f, batch_id, "done") for f in files])
+
+    ledger = _read_ledger(spark, ledger_path)
+    if ledger is not None:
+        done = ledger.filter(F.col("status") == "done").select("batch_id").distinct()
+        unfinished = ledger.filter(F.col("status") == "pending").join(done, "batch_id", "left_anti")
+        for batch_id, files in _group_files(unfinished.select("batch_id", "_source_file").collect()).items():
+            load(files, batch_id)
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                .option("pathGlobFilter", glob or f"*.{fmt}").load(source_dir)
                .select(F.col("path").alias("_source_file")))
-    seen = _loaded_files(spark, target_path, ledger_path)
-    new_files = listing.join(seen, "_source_file", "left_anti") if seen is not None else listing
+    known = ledger.select("_source_file") if ledger is not None else None
+    new_files = listing.join(known, "_source_file", "left_anti") if known is not None else listing
     # The paths go to the reader like any file listing does (names only, no rows).
     paths = [r[0] for r in new_files.collect()]
     if not paths:
         return 0
-    r = spark.read.format(fmt).schema(schema)
-    for k, v in (options or {}).items():
-        r = r.option(k, v)
-    rows = r.load(paths).withColumn("_source_file", F.col("_metadata.file_path"))
-    rows.write.mode("append").parquet(target_path)
-    spark.createDataFrame([(p,) for p in paths], "_source_file string") \
-         .withColumn("_loaded_at", F.current_timestamp()).write.mode("append").parquet(ledger_path)
+    batch_id = uuid.uuid4().hex
+    _ledger_append(spark, ledger_path, [(f, batch_id, "pending") for f in paths])
+    load(paths, batch_id)
     return len(paths)
 
 
-def _loaded_files(spark: SparkSession, target_path: str, ledger_path: str) -> DataFrame | None:
-    parts = []
-    for p in (ledger_path, target_path):
-        try:
-            parts.append(spark.read.parquet(p).select("_source_file"))
-        except Exception:  # path does not exist yet
-            pass
-    if not parts:
+def read_loaded(spark: SparkSession, target_path: str) -> DataFrame:
+    """The loaded rows without the load bookkeeping columns."""
+    return spark.read.parquet(target_path).drop("_source_file", "_load_batch")
+
+
+def _group_files(rows) -> dict[str, list[str]]:
+    out: dict[str, list[str]] = {}
+    for batch_id, f in rows:
+        out.setdefault(batch_id, []).append(f)
+    return out
+
+
+def _read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(ledger_path)
+    except Exception:  # no ledger yet
         return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.distinct()
+
+
+def _ledger_append(spark: SparkSession, ledger_path: str, entries) -> None:
+    spark.createDataFrame(entries, "_source_file string, batch_id string, status string") \
+         .withColumn("_logged_at", F.current_timestamp()).write.mode("append").parquet(ledger_path)
