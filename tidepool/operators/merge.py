@@ -276,3 +276,40 @@ def null_salt(df: DataFrame, on: Sequence[str], sign: int) -> Column:
         return F.lit(0).cast("long")
     bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(NULL_KEY_BUCKETS)) + 1
     return F.when(has_null, bucket * sign).otherwise(F.lit(0)).cast("long")
+
+
+BUCKET_COL = "_bucket"
+
+
+def bucket_of(on: Sequence[str], num_buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in on]), F.lit(num_buckets)).cast("int")
+
+
+def write_bucketed(df: DataFrame, path: str, on: Sequence[str], num_buckets: int) -> str:
+    """Write a table partitioned by a hash bucket of its merge key."""
+    (df.withColumn(BUCKET_COL, bucket_of(on, num_buckets)).repartition(BUCKET_COL)
+     .write.mode("overwrite").partitionBy(BUCKET_COL).parquet(path))
+    return path
+
+
+def merge_into_buckets(spark, path: str, source: DataFrame, on: Sequence[str], clauses: Sequence,
+                       num_buckets: int, staging: str, **kw) -> list[int]:
+    """MERGE into a bucket-partitioned parquet table, rewriting only the
+    buckets the source touches (copy-on-write per partition).
+
+    The touched bucket list is bounded by ``num_buckets``; the target is read
+    with partition pruning on those buckets, merged, staged, and the staged
+    buckets replace theirs with dynamic partition overwrite. Clauses that act
+    on target rows without a source partner (NOT MATCHED BY SOURCE) only see
+    the touched buckets. Returns the touched buckets.
+    """
+    src = source.withColumn(BUCKET_COL, bucket_of(on, num_buckets))
+    touched = sorted(r[0] for r in src.select(BUCKET_COL).distinct().collect())
+    if not touched:
+        return []
+    target = spark.read.parquet(path).filter(F.col(BUCKET_COL).isin(touched))
+    merged = merge(target, src, on, clauses, **kw)
+    merged.repartition(BUCKET_COL).write.mode("overwrite").partitionBy(BUCKET_COL).parquet(staging)
+    (spark.read.parquet(staging).repartition(BUCKET_COL).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET_COL).parquet(path))
+    return touched

@@ -16,11 +16,11 @@ from pyspark.sql.types import (DateType, DoubleType, IntegerType, LongType, Stri
 
 from ..functions.naming import snake_case_columns
 from ..functions.numeric import rnd
-from ..operators.merge import WhenMatched, WhenNotMatched, merge
+from ..operators.merge import WhenMatched, WhenNotMatched, merge_into_buckets, write_bucketed
 from ..operators.relational import latest_per_key
 from ..session import scratch_path
 from ..sources import files as fs
-from ..sources.sinks import next_version_path, overwrite_partitions, read_latest_version, write_partitioned
+from ..sources.sinks import overwrite_partitions, write_partitioned
 from ..sources.tables import Tables
 from ..streaming.runner import drain
 from .merges import merge_source, merge_target
@@ -342,34 +342,26 @@ SELECT * FROM tgt WHERE o_orderkey NOT IN (SELECT o_orderkey FROM src)
 """)
 def stream_merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """foreachBatch upsert: each micro-batch is deduplicated and merged into a
-    new version folder; a batch id already written is skipped (idempotent)."""
+    bucket-partitioned table, rewriting only the buckets it touches (a replayed
+    batch applies the same upsert again, which changes nothing)."""
     t = Tables(spark, sf)
     base = scratch_path(spark, "stream_upsert")
     table = f"{base}/table"
-    merge_target(t).write.parquet(next_version_path(table, 0))
+    write_bucketed(merge_target(t), table, ["o_orderkey"], UPSERT_BUCKETS)
     src = merge_source(t)
     fs.write_files(src, f"{base}/landing", "parquet", 3)
 
     def upsert(batch: DataFrame, batch_id: int):
-        out = next_version_path(table, batch_id + 1)
-        if _exists(spark, out):
-            return
-        current = read_latest_version(spark, table)
         latest = latest_per_key(batch, ["o_orderkey"], ["updated_at"])
-        merge(current, latest, ["o_orderkey"], [WhenMatched(update="*"), WhenNotMatched()]) \
-            .write.mode("overwrite").parquet(out)
+        merge_into_buckets(spark, table, latest, ["o_orderkey"], [WhenMatched(update="*"), WhenNotMatched()],
+                           UPSERT_BUCKETS, f"{base}/staging/batch={batch_id}")
 
     stream = spark.readStream.schema(src.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/landing")
     drain(stream, None, f"{base}/_checkpoint", foreach_batch=upsert)
-    return read_latest_version(spark, table)
+    return spark.read.parquet(table).drop("_bucket")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        return spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path) \
-                    .select("path").limit(1).count() > 0
-    except Exception:
-        return False
+UPSERT_BUCKETS = 16
 
 
 @register("stream_fresh_dimension", ops=("STM14", "JOI11"), oracle="""
