@@ -400,3 +400,20 @@ def test_copy_into_recovers_after_crash_between_data_and_ledger(spark):
     assert fs.copy_into(spark, f"{base}/landing", "json", schema, f"{base}/t", f"{base}/ledger") == 0
     ids = sorted(r["id"] for r in fs.read_loaded(spark, f"{base}/t").collect())
     assert ids == list(range(16))
+
+
+def test_merge_into_buckets_rewrites_only_touched_buckets(spark):
+    from tidepool.operators import layout as lay
+    from tidepool.operators.merge import merge_into_buckets, write_bucketed
+    base = scratch_path(spark, "bucket_merge")
+    t = spark.range(0, 200).select(F.col("id").alias("k"), F.lit(1.0).alias("v"))
+    write_bucketed(t, f"{base}/t", ["k"], 8)
+    before = {r["path"]: r["modificationTime"] for r in lay.list_files(spark, f"{base}/t").collect()}
+    s = spark.createDataFrame([(5, 9.0), (500, 2.0)], "k long, v double")
+    touched = merge_into_buckets(spark, f"{base}/t", s, ["k"], [WhenMatched(update="*"), WhenNotMatched()],
+                                 8, f"{base}/stage")
+    out = {r["k"]: r["v"] for r in spark.read.parquet(f"{base}/t").collect()}
+    assert len(out) == 201 and out[5] == 9.0 and out[500] == 2.0 and out[6] == 1.0
+    after = {r["path"]: r["modificationTime"] for r in lay.list_files(spark, f"{base}/t").collect()}
+    untouched = [p for p in before if not any(f"_bucket={b}/" in p for b in touched)]
+    assert untouched and all(after.get(p) == before[p] for p in untouched)
