@@ -392,3 +392,19 @@ SELECT h.*, c.n_versions FROM h JOIN (SELECT user_id, count(*) AS n_versions FRO
 """)
 def scd2_history(spark: SparkSession, sf: str) -> DataFrame:
     return multi_version_keys(auto_cdc_scd2_q(spark, sf), ["user_id"])
+
+
+@register("auto_cdc_stream", ops=("SCD4", "SCD5", "MRG13"), oracle=AUTO_CDC_ORACLE)
+def auto_cdc_stream_q(spark: SparkSession, sf: str) -> DataFrame:
+    """The same history built from a change stream arriving in four
+    micro-batches whose files are not in sequence order."""
+    from ..session import scratch_path
+    from ..sources import files as fs
+    from ..streaming.cdc import auto_cdc_stream
+    base = scratch_path(spark, "auto_cdc_stream")
+    feed = cdc_feed(Tables(spark, sf))
+    fs.write_files(feed, f"{base}/landing", "parquet", 4)   # rows spread over files regardless of ts
+    stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/landing")
+    auto_cdc_stream(stream, ["user_id"], "ts", f"{base}/history", f"{base}/log", f"{base}/_checkpoint",
+                    num_buckets=8, tracked=["event_type"])
+    return spark.read.parquet(f"{base}/history").drop("_bucket")
