@@ -417,3 +417,15 @@ def test_merge_into_buckets_rewrites_only_touched_buckets(spark):
     after = {r["path"]: r["modificationTime"] for r in lay.list_files(spark, f"{base}/t").collect()}
     untouched = [p for p in before if not any(f"_bucket={b}/" in p for b in touched)]
     assert untouched and all(after.get(p) == before[p] for p in untouched)
+
+
+def test_schema_evolution_modes():
+    from pyspark.sql.types import StructType
+    from tidepool.sources.files import merge_schemas
+    saved = StructType.fromDDL("id BIGINT, amount DOUBLE")
+    new = StructType.fromDDL("id BIGINT, amount DOUBLE, priority STRING")
+    assert merge_schemas(saved, new, "addNewColumns").fieldNames() == ["id", "amount", "priority"]
+    assert merge_schemas(saved, new, "rescue") == saved
+    with pytest.raises(ValueError):
+        merge_schemas(saved, new, "failOnNewColumns")
+    assert merge_schemas(None, new) == new

@@ -182,6 +182,9 @@ def schema_hints(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "schema_hints")
     fs.write_files(ev.select("event_id", "user_id", "event_type", F.floor("value").alias("value")),
                    f"{base}/landing", "json", 3)
+    as_text = fs.read_json(spark, f"{base}/landing", primitives_as_string=True)   # inference switched off
+    if as_text.schema["value"].dataType.simpleString() != "string":
+        raise AssertionError("primitivesAsString should read every value as text")
     schema = fs.infer_with_hints(spark, f"{base}/landing", "json", "value DOUBLE", sampling_ratio=1.0)
     stream = spark.readStream.schema(schema).json(f"{base}/landing")
     drain(stream, f"{base}/out", f"{base}/_checkpoint")
