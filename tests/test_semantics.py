@@ -419,7 +419,7 @@ def test_merge_into_buckets_rewrites_only_touched_buckets(spark):
     assert untouched and all(after.get(p) == before[p] for p in untouched)
 
 
-def test_schema_evolution_modes():
+def test_schema_evolution_modes(spark):
     from pyspark.sql.types import StructType
     from tidepool.sources.files import merge_schemas
     saved = StructType.fromDDL("id BIGINT, amount DOUBLE")
