@@ -44,6 +44,7 @@ def main() -> None:
                       extra={"spark.driver.memory": "16g"})
     fns, _ = registry_dicts()
     timings: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name in names:
         fn = fns[name]
 
@@ -52,9 +53,13 @@ def main() -> None:
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t0
 
-        once()  # warm-up
-        timings[name] = round(statistics.median(once() for _ in range(runs)), 3)
-        print(f"# {name}: {timings[name]}s", file=sys.stderr)
+        try:
+            once()  # warm-up
+            timings[name] = round(statistics.median(once() for _ in range(runs)), 3)
+            print(f"# {name}: {timings[name]}s", file=sys.stderr)
+        except Exception as e:  # keep measuring the others; report the failure
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
+            print(f"# {name}: FAILED {errors[name]}", file=sys.stderr)
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
@@ -65,6 +70,7 @@ def main() -> None:
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
         "runs": runs,
+        "errors": errors,
     }))
     spark.stop()
 
