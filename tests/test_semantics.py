@@ -429,3 +429,14 @@ def test_schema_evolution_modes(spark):
     with pytest.raises(ValueError):
         merge_schemas(saved, new, "failOnNewColumns")
     assert merge_schemas(None, new) == new
+
+
+def test_replace_where_predicate_form(spark):
+    from tidepool.sources.sinks import replace_where
+    old = spark.createDataFrame([(1, "cancelled", 1.0), (2, "completed", 2.0), (3, None, 3.0)],
+                                "id int, status string, amount double")
+    new = spark.createDataFrame([(2, "completed", 20.0), (4, "completed", 40.0), (5, "cancelled", 50.0)],
+                                "id int, status string, amount double")
+    out = {r["id"]: r["amount"] for r in replace_where(old, new, F.col("status") == "completed").collect()}
+    # completed rows come from the new batch; the rest of the old rows (incl. NULL status) stay
+    assert out == {1: 1.0, 3: 3.0, 2: 20.0, 4: 40.0}
