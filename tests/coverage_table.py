@@ -20,6 +20,9 @@ UNIT_TESTS = {
     "PRJ2": "test_snake_case_columns", "MRG14": "test_not_matched_by_source_update",
     "WIN2": "test_rank_ties_rank_vs_dense", "WIN5": "test_ntile_two_per_quartile",
     "WIN7": "test_top2_per_customer", "WIN8": "test_sessions_from_gaps",
+    "SNK6": "test_replace_where_predicate_form", "MRG7": "test_merge_equals_brute_force (property)",
+    "SCD4": "test_auto_cdc_equals_brute_force (property)", "WIN4": "test_scan_equals_windows (property)",
+    "SRC13": "test_schema_evolution_modes", "SRC7": "test_copy_into_recovers_after_crash_between_data_and_ledger",
 }
 
 
