@@ -440,3 +440,13 @@ def test_replace_where_predicate_form(spark):
     out = {r["id"]: r["amount"] for r in replace_where(old, new, F.col("status") == "completed").collect()}
     # completed rows come from the new batch; the rest of the old rows (incl. NULL status) stay
     assert out == {1: 1.0, 3: 3.0, 2: 20.0, 4: 40.0}
+
+
+@pytest.mark.parametrize("trigger", ["once", "1 second"])
+def test_other_triggers_drain_everything(spark, trigger):
+    from tidepool.streaming.runner import drain
+    base = scratch_path(spark, "triggers")
+    spark.range(0, 50).repartition(3).write.parquet(f"{base}/in")
+    stream = spark.readStream.schema("id long").parquet(f"{base}/in")
+    drain(stream, f"{base}/out", f"{base}/ck", trigger=trigger)
+    assert spark.read.parquet(f"{base}/out").count() == 50

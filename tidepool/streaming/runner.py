@@ -31,7 +31,12 @@ def drain(stream: DataFrame, sink_path: str | None, checkpoint: str, output_mode
     else:
         w = w.trigger(processingTime=trigger)
     q = w.start()
-    q.awaitTermination(timeout_s)
+    if trigger in ("availableNow", "once"):
+        q.awaitTermination(timeout_s)
+    else:
+        # A processing-time trigger never ends by itself: process what is
+        # there, then stop the query.
+        q.processAllAvailable()
     if q.isActive:
         q.stop()
     if q.exception() is not None:
