@@ -1,4 +1,4 @@
-"""Sinks: partitioned writes, predicate overwrite, versioned table paths."""
+"""Sinks: partitioned writes, dynamic partition overwrite, predicate overwrite."""
 
 from __future__ import annotations
 
@@ -36,16 +36,3 @@ def replace_where(old: DataFrame, new: DataFrame, predicate: Column) -> DataFram
     """
     p = F.coalesce(predicate, F.lit(False))
     return old.filter(~p).unionByName(new.filter(p))
-
-
-def next_version_path(base: str, version: int) -> str:
-    return f"{base.rstrip('/')}/v={version:08d}"
-
-
-def read_latest_version(spark: SparkSession, base: str) -> DataFrame:
-    """Read the newest ``v=`` folder under ``base`` (the folder list is small)."""
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-               .option("pathGlobFilter", "*.parquet").load(base).select("path"))
-    versions = listing.select(F.regexp_extract("path", r"/v=(\d+)/", 1).cast("long").alias("v"))
-    latest = versions.agg(F.max("v")).first()[0]
-    return spark.read.parquet(next_version_path(base, latest))
