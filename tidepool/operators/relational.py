@@ -77,7 +77,9 @@ def global_row_number(df: DataFrame, order_by: Sequence[Column], name: str = "rn
     Range-partitions by the order, sorts inside partitions, then adds each
     partition's offset (a table with one row per partition, so its broadcast is
     bounded by the partition count). The tagged data is checkpointed so the
-    position ids are stable even if executors are lost.
+    position ids are stable even if executors are lost. Give a total order
+    (end with a unique column): rows with equal sort values share a range
+    partition, so a huge tie group would otherwise stay in one task.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)

@@ -199,7 +199,9 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | tuple[s
                change_count: tuple[Sequence[str], str] | None = None) -> DataFrame:
     """Running values per key over ``order`` (see module doc).
 
-    ``order`` items are column names (ascending) or (name, "desc");
+    ``order`` items are column names (ascending) or (name, "desc"); end it
+    with a unique column so a hot key splits evenly over range partitions
+    (equal (key, order) tuples share a partition);
     ``sums`` and ``lags`` are (input column, output column) pairs; ``session``
     is (epoch-seconds column, gap seconds, output column): a row starts a new
     session when it is the key's first row or its gap to the previous row is
