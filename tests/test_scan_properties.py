@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidepool.operators.scan import keyed_scan
 
 rows_strategy = st.lists(
-    st.tuples(st.sampled_from([0, 0, 0, 1, 2, 3]),                  # key 0 is hot
+    st.tuples(st.sampled_from([0, 0, 0, 1, 2, 3, None]),            # key 0 is hot; NULL keys too
               st.one_of(st.none(), st.integers(0, 6)),             # order value with NULLs and ties
               st.integers(-50, 50)),                               # value
     min_size=1, max_size=120)

@@ -301,7 +301,8 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | tuple[s
 
     # ---- carries, computed on the summary (one row per partition)
     w = Window.orderBy("_pid")
-    same = F.lit(True)
+    # a previous partition must exist: lag() of "no row" is NULL, like a NULL key
+    same = F.lag(F.lit(1)).over(w).isNotNull()
     for k in keys:
         same = same & F.lag(F.col(f"_l_{k}")).over(w).eqNullSafe(F.col(f"_f_{k}"))
     same = F.coalesce(same, F.lit(False))
