@@ -450,3 +450,22 @@ def test_other_triggers_drain_everything(spark, trigger):
     stream = spark.readStream.schema("id long").parquet(f"{base}/in")
     drain(stream, f"{base}/out", f"{base}/ck", trigger=trigger)
     assert spark.read.parquet(f"{base}/out").count() == 50
+
+
+def test_quality_report_pass_rates(spark):
+    # 12 bronze rows (9 with a customer, 10 with a positive amount), 10 silver rows
+    # (6 with a region), 8 gold rows (6 and 7 valid): the expected rates of the exercise
+    bronze = spark.createDataFrame([(i, None if i < 3 else f"C{i}", 0.0 if i in (0, 5) else 10.0) for i in range(12)],
+                                   "id int, customer string, amount double")
+    silver = spark.createDataFrame([(i, None if i < 4 else "EU") for i in range(10)], "id int, region string")
+    gold = spark.createDataFrame([(i, -1.0 if i < 2 else 5.0, None if i == 0 else i) for i in range(8)],
+                                 "day int, revenue double, n int")
+    rep = q.quality_report({
+        "bronze": (bronze, {"has_customer": "customer IS NOT NULL", "positive_amount": "amount > 0"}),
+        "silver": (silver, {"has_region": "region IS NOT NULL", "has_id": "id IS NOT NULL AND id < 10 AND id > 1"}),
+        "gold": (gold, {"positive_revenue": "revenue > 0", "has_count": "n IS NOT NULL"}),
+    })
+    rates = {(r["table_name"], r["check_name"]): r["pass_rate"] for r in rep.collect()}
+    assert rates == {("bronze", "has_customer"): 0.75, ("bronze", "positive_amount"): 0.8333,
+                     ("silver", "has_region"): 0.6, ("silver", "has_id"): 0.8,
+                     ("gold", "positive_revenue"): 0.75, ("gold", "has_count"): 0.875}
