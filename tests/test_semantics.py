@@ -469,3 +469,21 @@ def test_quality_report_pass_rates(spark):
     assert rates == {("bronze", "has_customer"): 0.75, ("bronze", "positive_amount"): 0.8333,
                      ("silver", "has_region"): 0.6, ("silver", "has_id"): 0.8,
                      ("gold", "positive_revenue"): 0.75, ("gold", "has_count"): 0.875}
+
+
+def test_silver_incremental_merge_fixture(spark):
+    silver = orders(spark, [(f"ORD-{i}", 10.0 * i, "pending", TS(2024, 1, 10)) for i in range(1, 7)])
+    bronze = orders(spark, [
+        ("ORD-1", 11.0, "shipped", TS(2024, 1, 11)), ("ORD-1", 12.0, "shipped", TS(2024, 1, 12)),
+        ("ORD-1", 13.0, "delivered", TS(2024, 1, 13)),                  # one id three times: newest wins
+        ("ORD-2", 99.0, "cancelled", TS(2024, 1, 9)),                   # older than silver: ignored
+        ("ORD-3", 31.0, "shipped", TS(2024, 1, 11)),
+        ("ORD-7", 70.0, "pending", TS(2024, 1, 11)), ("ORD-8", 80.0, "pending", TS(2024, 1, 11)),
+        ("ORD-9", 90.0, "pending", TS(2024, 1, 11))])
+    latest = latest_per_key(bronze, ["order_id"], ["updated_at"])
+    out = as_dict(merge(silver, latest, ["order_id"],
+                        [WhenMatched("s.updated_at > t.updated_at", update="*"), WhenNotMatched()]))
+    assert len(out) == 9
+    assert (out["ORD-1"]["amount"], out["ORD-1"]["status"]) == (13.0, "delivered")
+    assert (out["ORD-2"]["amount"], out["ORD-2"]["status"]) == (20.0, "pending")
+    assert out["ORD-3"]["amount"] == 31.0 and out["ORD-9"]["amount"] == 90.0
