@@ -23,7 +23,8 @@ UNIT_TESTS = {
     "SNK6": "test_replace_where_predicate_form", "MRG7": "test_merge_equals_brute_force (property)",
     "SCD4": "test_auto_cdc_equals_brute_force (property)", "WIN4": "test_scan_equals_windows (property)",
     "SRC13": "test_schema_evolution_modes", "STM11": "test_other_triggers_drain_everything",
-    "DQ4": "test_quality_report_pass_rates", "MRG10": "test_silver_incremental_merge_fixture", "SRC7": "test_copy_into_recovers_after_crash_between_data_and_ledger",
+    "DQ4": "test_quality_report_pass_rates", "MRG10": "test_silver_incremental_merge_fixture",
+    "MRG11": "test_gold_incremental_merge_fixture", "SRC7": "test_copy_into_recovers_after_crash_between_data_and_ledger",
 }
 
 

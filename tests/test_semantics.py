@@ -487,3 +487,16 @@ def test_silver_incremental_merge_fixture(spark):
     assert (out["ORD-1"]["amount"], out["ORD-1"]["status"]) == (13.0, "delivered")
     assert (out["ORD-2"]["amount"], out["ORD-2"]["status"]) == (20.0, "pending")
     assert out["ORD-3"]["amount"] == 31.0 and out["ORD-9"]["amount"] == 90.0
+
+
+def test_gold_incremental_merge_fixture(spark):
+    gold = spark.createDataFrame([(dt.date(2024, 1, d), "EU", 1, 1.0) for d in range(1, 6)],
+                                 "day date, region string, n_orders long, revenue double")
+    silver = spark.createDataFrame(
+        [(dt.date(2024, 1, 1 + i % 8), "EU", 10.0 + i) for i in range(12)], "day date, region string, amount double")
+    daily = silver.groupBy("day", "region").agg(F.count(F.lit(1)).alias("n_orders"), F.sum("amount").alias("revenue"))
+    out = merge(gold, daily, ["day", "region"],
+                [WhenMatched(update={"n_orders": "s.n_orders", "revenue": "s.revenue"}), WhenNotMatched()])
+    rows = {r["day"].day: (r["n_orders"], r["revenue"]) for r in out.collect()}
+    assert len(rows) == 8                                      # 5 replaced + 3 inserted
+    assert rows[1] == (2, 10.0 + 18.0) and rows[8] == (1, 17.0)
