@@ -1,6 +1,6 @@
 """All queries of the subpackage and their oracle SQL."""
 
-from tidepool.llm import quality_rules, substring_dedup  # noqa: F401
+from tidepool.llm import quality_rules, simhash, substring_dedup  # noqa: F401
 from tidepool.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
