@@ -1,6 +1,6 @@
 """All queries of the subpackage and their oracle SQL."""
 
-from tidepool.llm import mixing, quality_rules, simhash, substring_dedup, warc  # noqa: F401
+from tidepool.llm import decontaminate, mixing, quality_rules, simhash, substring_dedup, warc  # noqa: F401
 from tidepool.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

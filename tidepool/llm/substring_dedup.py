@@ -192,8 +192,9 @@ def _apply(k: int):
     def run(batches):
         for batch in batches:
             texts, covers = batch.column(0), batch.column(1)
-            out: list[list] = [[], [], [], []]
+            rest = batch.drop_columns(batch.schema.names[:2])
             for part in W.slices(texts):
+                out: list[list] = [[], [], [], []]
                 for r in range(part.n):
                     lo, hi = part.bound[r], part.bound[r + 1]
                     found = covers[part.first + r]
@@ -209,18 +210,16 @@ def _apply(k: int):
                         kept = b" ".join([text[a:b] for a, b in zip(starts[keep].tolist(), ends[keep].tolist())])
                         # A removed word goes with the white space behind it.
                         until = np.append(starts[1:], len(text))
-                        head = text[:starts[0]] if len(starts) else b""
-                        left = head + b"".join([text[a:b] for a, b in zip(starts[keep].tolist(), until[keep].tolist())])
+                        left = text[:starts[0]] + b"".join([text[a:b] for a, b in zip(starts[keep].tolist(), until[keep].tolist())])
                     else:
                         kept, left = b" ".join(text.split()), text
                     out[0].append(left.decode() if texts[part.first + r].is_valid else None)
                     out[1].append(int(hi - lo))
                     out[2].append(int(gone.sum()))
                     out[3].append(hashlib.sha256(kept).hexdigest())
-            rest = batch.drop_columns([batch.schema.names[0], batch.schema.names[1]])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()),
-                 pa.array(out[3], pa.string()), *rest.columns], names=["kept_text", "n_words", "n_removed", "kept_sha256", *rest.schema.names])
+                kinds = (pa.string(), pa.int64(), pa.int64(), pa.string())
+                yield pa.RecordBatch.from_arrays([*(pa.array(x, t) for x, t in zip(out, kinds)), *rest.slice(part.first, part.n).columns],
+                                                 names=["kept_text", "n_words", "n_removed", "kept_sha256", *rest.schema.names])
 
     return run
 

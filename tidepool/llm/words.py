@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 
 #: Bytes of words `[^\x20\x09-\x0D]+`.
 NOT_SPACE = np.ones(256, bool)
