@@ -149,7 +149,9 @@ def quality_filter(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + EXTRA
     """The rows of ``docs`` that no rule rejects, with all their columns.
 
     Stage by stage: a feature is computed after the filter of the rules before
-    it, so rows rejected early never pay for the dear features.
+    it, so rows rejected early never pay for the dear features. The row number
+    beside each filter keeps the optimizer from pushing it down through the
+    projections, which would write every feature out again inside the filter.
     """
     order = ordered(estimate(docs, rules, sample_rows, text_col))
     out = docs.select(F.struct(F.col("*")).alias("_row"), F.col(text_col).alias("text"))
@@ -158,7 +160,7 @@ def quality_filter(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + EXTRA
         for f in _closure(r.needs):
             if f not in have:
                 out, have = out.withColumn(f, F.expr(FEATURES[f])), have | {f}
-        out = out.filter(f"not ({r.reject})")
+        out = out.withColumn("_at", F.monotonically_increasing_id()).filter(f"not ({r.reject}) and _at >= 0")
     return out.select("_row.*")
 
 
