@@ -84,11 +84,11 @@ def targets(sizes: DataFrame, schedules: tuple[Knots, ...] = SCHEDULES, max_pass
 
 
 def mix(docs: DataFrame, schedules: tuple[Knots, ...] = SCHEDULES, max_passes: int = MAX_PASSES,
-        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """Every row of ``docs`` as the struct ``row``, with size, source_size, target, taken, and
+        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: tuple[str, ...] = ("*",)) -> DataFrame:
+    """Every row of ``docs`` as the struct ``row`` (of the columns ``carry``), with size, source_size, target, taken, and
     position: the training time at which its first pass begins (null if none of it is taken)."""
     key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
-    rows = docs.select(F.struct("*").alias("row"), F.col(source_col).cast("string").alias("source"),
+    rows = docs.select(F.struct(*carry).alias("row"), F.col(source_col).cast("string").alias("source"),
                        F.size(word_array(F.col(text_col))).cast("long").alias("size"), key.alias("key"),
                        F.xxhash64(F.col(text_col)).alias("tie"))
     rows = rows.withColumn("bucket", F.conv(F.substring("key", 1, 4), 16, 10).cast("int"))
@@ -156,5 +156,5 @@ from k
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document, in the order of training: words, target of its source, words taken, position."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return (mix(docs).select("row.doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"))
+    return (mix(docs, carry=("doc_id",)).select("row.doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"))
             .orderBy(F.col("position").asc_nulls_last(), "doc_id"))
