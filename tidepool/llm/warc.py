@@ -170,9 +170,10 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_records(index: DataFrame) -> DataFrame:
-    """The records that the rows of ``index`` point to."""
+    """The records that the rows of ``index`` point to; the number of tasks follows the bytes to be read."""
     stretch = F.floor(F.col("offset") / F.lit(4 * READ_BYTES))
-    return (index.select("archive", "offset", "length").repartition(F.col("archive"), stretch)
+    tasks = max(1, -(-(index.agg(F.sum("length")).first()[0] or 0) // (4 * READ_BYTES)))
+    return (index.select("archive", "offset", "length").repartition(tasks, F.col("archive"), stretch)
             .sortWithinPartitions("archive", "offset").mapInArrow(_read, _RECORDS))
 
 
