@@ -94,7 +94,16 @@ def with_features(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
     One projection a feature: each is then computed once and read by those above it.
     """
     for f in _closure(names):
-        df = df.withColumn(f, F.expr(FEATURES[f]))
+        df = _with_feature(df, f)
+    return df
+
+
+def _with_feature(df: DataFrame, name: str) -> DataFrame:
+    df = df.withColumn(name, F.expr(FEATURES[name]))
+    if name == "n_repeat_words":
+        # A filter on this count must not be pushed below it: written out as one expression, the
+        # sort would run again for every window. The optimizer pushes nothing past a row number.
+        df = df.withColumn("_at", F.monotonically_increasing_id()).withColumn(name, F.expr(f"if(_at >= 0, {name}, 0L)"))
     return df
 
 
@@ -149,9 +158,7 @@ def quality_filter(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + EXTRA
     """The rows of ``docs`` that no rule rejects, with all their columns.
 
     Stage by stage: a feature is computed after the filter of the rules before
-    it, so rows rejected early never pay for the dear features. The row number
-    beside each filter keeps the optimizer from pushing it down through the
-    projections, which would write every feature out again inside the filter.
+    it, so rows rejected early never pay for the dear features.
     """
     order = ordered(estimate(docs, rules, sample_rows, text_col))
     out = docs.select(F.struct(F.col("*")).alias("_row"), F.col(text_col).alias("text"))
@@ -159,8 +166,8 @@ def quality_filter(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + EXTRA
     for r in order:
         for f in _closure(r.needs):
             if f not in have:
-                out, have = out.withColumn(f, F.expr(FEATURES[f])), have | {f}
-        out = out.withColumn("_at", F.monotonically_increasing_id()).filter(f"not ({r.reject}) and _at >= 0")
+                out, have = _with_feature(out, f), have | {f}
+        out = out.filter(f"not ({r.reject})")
     return out.select("_row.*")
 
 
