@@ -47,7 +47,7 @@ def main():
     from pyspark.sql import Window
     from pyspark.sql import functions as F
 
-    from tidepool.operators.scan import keyed_scan
+    from tidepool.operators.scan import keyed_running
     from tidepool.session import get_spark
     n = int(sys.argv[1]) if len(sys.argv) > 1 else 12_000_000
     log_dir = tempfile.mkdtemp(prefix="skew-eventlog-")
@@ -60,7 +60,7 @@ def main():
     spark.sparkContext.setJobGroup("window", "window")
     df.withColumn("rt", F.sum("x").over(w)).write.format("noop").mode("overwrite").save()
     spark.sparkContext.setJobGroup("scan", "scan")
-    keyed_scan(df, ["k"], ["t"], sums=[("x", "rt")], num_partitions=16).write.format("noop").mode("overwrite").save()
+    keyed_running(df, ["k"], ["t"], sums=[("x", "rt")], num_partitions=16).write.format("noop").mode("overwrite").save()
     spark.stop()
     for group, stages in task_times(log_dir).items():
         print(group, "stages (id, tasks, longest s, mean s):", stages)

@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidepool.operators.scan import keyed_scan
+from tidepool.operators.scan import keyed_running
 
 rows_strategy = st.lists(
     st.tuples(st.sampled_from([0, 0, 0, 1, 2, 3, None]),            # key 0 is hot; NULL keys too
@@ -21,7 +21,7 @@ def test_scan_equals_windows(spark, rows, parts, batch):
     try:
         data = [(k, o, v, i) for i, (k, o, v) in enumerate(rows)]
         df = spark.createDataFrame(data, "k int, o int, v int, i long")
-        got = keyed_scan(df, ["k"], ["o", "i"], sums=[("v", "s")], row_number="rn", rank="rk",
+        got = keyed_running(df, ["k"], ["o", "i"], sums=[("v", "s")], row_number="rn", rank="rk",
                          dense_rank="drk", lags=[("v", "prev_v")], ffill=[("o", "fo")], rank_by=1,
                          num_partitions=parts)
         w = Window.partitionBy("k").orderBy(F.col("o").asc_nulls_first(), "i")

@@ -269,7 +269,7 @@ def test_layout_spec_and_statistics(spark):
 
 @pytest.mark.parametrize("parts", [1, 5, 13])
 def test_keyed_scan_matches_windows(spark, parts):
-    from tidepool.operators.scan import keyed_scan
+    from tidepool.operators.scan import keyed_running
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "41")
     try:
         base = spark.range(0, 2000).select(
@@ -277,7 +277,7 @@ def test_keyed_scan_matches_windows(spark, parts):
             (F.col("id") * 7919 % 53).cast("long").alias("v"),
             ((F.col("id") * 104729) % 50000).cast("long").alias("t"),
             (F.col("id") % 11 * 0.5).alias("x"))
-        got = keyed_scan(base, ["k"], [("v", "desc"), "t"], sums=[("x", "run_x")], row_number="rn", rank="rk",
+        got = keyed_running(base, ["k"], [("v", "desc"), "t"], sums=[("x", "run_x")], row_number="rn", rank="rk",
                          dense_rank="drk", lags=[("t", "prev_t")], session=("t", 700, "sess"),
                          rank_by=1, num_partitions=parts)
         w = Window.partitionBy("k").orderBy(F.desc("v"), "t")
@@ -295,27 +295,14 @@ def test_keyed_scan_matches_windows(spark, parts):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
-def test_sessionize_scan_path_equals_window_path(spark):
-    from tidepool.operators.windows import sessionize
-    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    a = sessionize(ev, "user_id", "ts", "event_id", 30).select("event_id", "session_num", "gap_minutes")
-    b = sessionize(ev, "user_id", "ts", "event_id", 30, max_group_rows=0) \
-        .select("event_id", "session_num", "gap_minutes")
-    assert srt(a.collect()) == srt(b.collect())
-
-
-def test_auto_cdc_scan_path_equals_window_path(spark):
-    feed = spark.range(0, 1500).select(
-        F.when(F.col("id") % 4 != 0, F.lit(1)).otherwise(F.col("id") % 9).cast("long").alias("id"),  # hot id 1
-        ((F.col("id") * 7919) % 100000).cast("long").alias("seq"),
-        F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise((F.col("id") * 7 % 3).cast("string")).alias("tier"),
-        (F.col("id") % 10).alias("points"),
-        F.when(F.col("id") % 97 == 0, F.lit("D")).otherwise(F.lit("U")).alias("op"))
-    kw = dict(tracked=["tier"], except_cols=["op"], delete_when=F.col("op") == "D")
-    a = auto_cdc_scd2(feed, ["id"], "seq", **kw)
-    b = auto_cdc_scd2(feed, ["id"], "seq", max_group_rows=0, **kw)
-    assert a.count() > 10
-    assert srt(a.collect()) == srt(b.collect())
+def test_running_with_nulls_and_large_numbers(spark):
+    from tidepool.operators.scan import keyed_running
+    big = 9007199254740993
+    df = spark.createDataFrame([(1, 1, 10.0, big), (1, 2, None, None), (1, 3, 5.0, big + 2), (1, 4, 7.0, None), (None, 1, None, big), (None, 2, 1.0, 3)],
+                               "k int, o int, v double, id long")
+    got = keyed_running(df, ["k"], ["o"], sums=[("v", "s")], lags=[("id", "p")], num_partitions=4)
+    assert srt(got.collect()) == srt([(1, 1, 10.0, big, 10.0, None), (1, 2, None, None, 10.0, big), (1, 3, 5.0, big + 2, 15.0, None),
+                                      (1, 4, 7.0, None, 22.0, big + 2), (None, 1, None, big, None, None), (None, 2, 1.0, 3, 1.0, big)])
 
 
 def test_snake_case_columns(spark):
@@ -326,13 +313,17 @@ def test_snake_case_columns(spark):
     assert snake_case_columns(df).columns == ["customer_id", "signup_date"]
 
 
-def test_nest_chunks_big_groups(spark):
+def test_nest_has_a_fixed_grain(spark):
     from tidepool.functions.nested import explode_struct_array, nest
-    df = spark.range(0, 5000).select((F.col("id") % 3 == 0).cast("int").alias("k"), F.col("id").alias("v"))
-    nested = nest(df, ["k"], ["v"], "items", max_elements=100)
-    assert nested.select(F.max(F.size("items"))).first()[0] <= 100
-    back = explode_struct_array(nested, "items")
-    assert srt(back.select("k", "v").collect()) == srt(df.collect())
+    for n in (10, 100_000):
+        df = spark.range(0, n).select((F.col("id") % 3 == 0).cast("int").alias("k"), F.col("id").alias("v"))
+        assert nest(df, ["k"], ["v"], "items").count() == 2
+        parts = nest(df, ["k"], ["v"], "items", parts=4)
+        assert parts.count() <= 8 and parts.groupBy("k").count().count() == 2
+        back = explode_struct_array(parts, "items")
+        assert back.count() == n and back.distinct().count() == n
+    one = nest(spark.createDataFrame([(1, 3), (1, None), (1, 2)], "k int, v int"), ["k"], ["v"], "items").first()
+    assert [x.v for x in one["items"]] == [None, 2, 3]
 
 
 # ---------------------------------------------------------------- exercise expectations
@@ -341,9 +332,9 @@ def test_rank_ties_rank_vs_dense(spark):
     from tidepool.operators.scan import keyed_running
     df = spark.createDataFrame([("A", 5), ("B", 4), ("C", 4), ("D", 3), ("E", 2)], "c string, n long") \
         .withColumn("g", F.lit(1))
-    for bound in (1 << 62, -1):  # window path and segmented-scan path
+    for parts in (1, 3):
         out = {r["c"]: (r["rk"], r["drk"]) for r in keyed_running(
-            df, ["g"], [("n", "desc"), "c"], rank="rk", dense_rank="drk", rank_by=1, max_group_rows=bound).collect()}
+            df, ["g"], [("n", "desc"), "c"], rank="rk", dense_rank="drk", rank_by=1, num_partitions=parts).collect()}
         assert out == {"A": (1, 1), "B": (2, 2), "C": (2, 2), "D": (4, 3), "E": (5, 4)}
 
 

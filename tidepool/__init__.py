@@ -9,7 +9,7 @@ Ingestion and sinks
     write_partitioned, overwrite_partitions, replace_where
 Relational building blocks
     sized_broadcast, latest_per_key, top_n_per_group, salted_agg,
-    global_row_number, global_ntile, keyed_running, keyed_scan
+    global_row_number, global_ntile, keyed_running
 Windows
     sessionize, rfm_scores
 Upserts and dimensions
@@ -43,7 +43,7 @@ from .operators.quality import (Rule, RuleSet, enforce, evolve_append, expect, n
                                 profile, quality_report, split, validate, violation_counts)
 from .operators.relational import (global_ntile, global_row_number, latest_per_key, salted_agg, sized_broadcast,
                                    top_n_per_group)
-from .operators.scan import keyed_running, keyed_scan
+from .operators.scan import keyed_running
 from .operators.scd import auto_cdc_scd2, scd2_merge
 from .operators.windows import rfm_scores, sessionize
 from .session import get_spark, scratch_path

@@ -8,27 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-# Most elements one nested array row holds; a bigger group becomes several rows.
-MAX_ARRAY_ELEMENTS = 10_000
+def nest(df: DataFrame, keys: Sequence[str], fields: Sequence[str], name: str, parts: int = 1) -> DataFrame:
+    """Group rows into sorted arrays of structs: one row per key.
 
-
-def nest(df: DataFrame, keys: Sequence[str], fields: Sequence[str], name: str,
-         max_elements: int = MAX_ARRAY_ELEMENTS) -> DataFrame:
-    """Group rows into arrays of structs: one row per key, or one row per chunk
-    of at most ``max_elements`` elements when a key is bigger, so no single
-    array (and no single task) ever holds a whole hot key. Exploding the result
-    gives back every input row.
+    With ``parts`` above 1 the grain is one row per key and part (a hash of the
+    fields; the part is not returned), whatever a key's size: use it where keys
+    may be larger than one array should be. Exploding gives back every row.
     """
-    from pyspark.sql.types import ArrayType, MapType, StructType
-
-    from ..operators.scan import keyed_running, largest_group
-    payload = [f for f in fields if f not in keys]
-    if largest_group(df, keys) <= max_elements // 2:  # sampled estimate, margin for its error
-        return df.groupBy(*keys).agg(F.collect_list(F.struct(*fields)).alias(name))
-    atomic = [f for f in payload if not isinstance(df.schema[f].dataType, (ArrayType, MapType, StructType))]
-    numbered = keyed_running(df.select(*keys, *payload), list(keys), atomic or list(keys), row_number="_rn")
-    chunked = numbered.withColumn("_chunk", F.floor((F.col("_rn") - 1) / max_elements))
-    return chunked.groupBy(*keys, "_chunk").agg(F.collect_list(F.struct(*fields)).alias(name)).drop("_chunk")
+    by = [F.col(k) for k in keys]
+    if parts > 1:
+        by.append(F.pmod(F.xxhash64(*fields), F.lit(parts)).alias("_part"))
+    return df.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(name)).drop("_part")
 
 
 def explode_struct_array(df: DataFrame, array_col: str, prefix: str = "", outer: bool = False) -> DataFrame:
@@ -39,19 +29,3 @@ def explode_struct_array(df: DataFrame, array_col: str, prefix: str = "", outer:
     fields = [f.name for f in exploded.schema[elem].dataType.fields]
     return exploded.select(*[c for c in exploded.columns if c != elem],
                            *[F.col(f"{elem}.{f}").alias(prefix + f) for f in fields])
-
-
-def flatten_struct(df: DataFrame, col: str, sep: str = "_") -> DataFrame:
-    """Lift one struct column's fields (recursively) to top-level columns."""
-    out = [c for c in df.columns if c != col]
-
-    def walk(path, dtype, name):
-        from pyspark.sql.types import StructType
-        if isinstance(dtype, StructType):
-            cols = []
-            for f in dtype.fields:
-                cols += walk(f"{path}.{f.name}", f.dataType, f"{name}{sep}{f.name}")
-            return cols
-        return [F.col(path).alias(name)]
-
-    return df.select(*out, *walk(col, df.schema[col].dataType, col))

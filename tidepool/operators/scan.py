@@ -1,515 +1,171 @@
-"""Skew-safe running computations per key (segmented scan).
+"""Running computations per key that no single task has to hold.
 
-``Window.partitionBy(key).orderBy(...)`` puts every row of a key in one task;
-a key holding a third of the data then runs in one task. ``keyed_scan``
-computes the same running values exactly without that:
+``Window.partitionBy(key)`` puts every row of a key into one task. Here the rows
+are range-partitioned by (key, order), so a key with many rows lies in several
+consecutive range partitions, its segments; the partition number is pinned by
+writing the rows to the checkpoint folder. Then, in Spark's own windows only:
 
-1. range-partition on (key, order) and sort inside partitions, so a hot key is
-   spread over many consecutive partitions (equal (key, order) tuples always
-   land in the same partition, so ties never straddle a boundary); the result
-   is checkpointed to the shared checkpoint folder (stable partitions, lineage
-   cut, survives executor loss);
-2. one ``mapInPandas`` pass emits a summary row per partition (first key, last
-   key and the last key's tail: sums, row count, distinct order values, last
-   values, session flags);
-3. carry-ins per partition are computed on that summary (one row per
-   partition, so its window and broadcast are bounded by the partition count);
-4. a broadcast join attaches each partition's carry and a second
-   ``mapInPandas`` pass scans the partition in order, adding the carry to the
-   rows of the partition's first key. No exchange happens after step 1.
+1. a window per (key, segment) computes the running values inside a segment;
+2. the last row of each segment is its summary, and a window per key over the
+   summaries (at most one row a range partition) gives what each segment takes
+   over from those before it;
+3. an equi-join on (key, segment) adds that to the rows.
 
-Supported outputs: running sums (ROWS UNBOUNDED PRECEDING..CURRENT ROW),
-row_number, rank, dense_rank, lag of columns, and session numbers for a gap
-rule on an epoch-seconds column.
+Ranks need no row-level window: rows are first counted per (key, rank value),
+and the ranks are running sums of those counts, joined back.
+
+This is the one path for every size of key, so a hot key changes the number of
+segments and nothing else.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from ..session import ensure_checkpoint_dir
 
+SEG = "_seg"
 
-@dataclass
-class ScanSpec:
-    keys: list[str]
-    order: list[str]
-    sums: list[str]
-    row_number: str | None
-    rank: str | None
-    dense_rank: str | None
-    lags: list[str]
-    session_ts: str | None
-    session_gap: float
-    session_col: str | None
-    rank_by: int  # leading order columns that define ties for rank / dense_rank
-    ffill: list[str]
-    change_cols: list[str]
-    change_col: str | None
-
-
-def _neq(a: pd.Series, b: pd.Series) -> np.ndarray:
-    """Elementwise "differs", with NULL equal to NULL."""
-    both_null = a.isna().to_numpy() & b.isna().to_numpy()
-    return (a.to_numpy() != b.to_numpy()) & ~both_null
-
-
-class _Scanner:
-    """Sequential scan over sorted batches of one partition, carrying state."""
+#: Values that must be compared with the row before: their columns, "does it differ", the counter's name.
+Flag = tuple[list[str], Callable[[list[Column], list[Column]], Column], str]
 
-    def __init__(self, spec: ScanSpec, init: dict | None = None):
-        self.s = spec
-        st = init or {}
-        self.key = st.get("key")            # tuple or None (no open key)
-        self.sums = st.get("sums", [0.0] * len(spec.sums))
-        self.count = st.get("count", 0)
-        self.dense = st.get("dense", 0)
-        self.rank = st.get("rank", 0)
-        self.last_order = st.get("last_order")
-        self.last_lags = st.get("last_lags", [None] * len(spec.lags))
-        self.last_ts = st.get("last_ts")
-        self.sessions = st.get("sessions", 0)
-        self.last_nonnull = st.get("last_nonnull", [None] * len(spec.ffill))
-        self.last_change = st.get("last_change")
-        self.changes = st.get("changes", 0)
 
-    def process(self, pdf: pd.DataFrame) -> dict[str, np.ndarray]:
-        s, n = self.s, len(pdf)
-        out: dict[str, np.ndarray] = {}
-        if n == 0:
-            return out
-        new = np.zeros(n, dtype=bool)
-        for k in s.keys:
-            col = pdf[k]
-            new[1:] |= _neq(col.iloc[1:].reset_index(drop=True), col.iloc[:-1].reset_index(drop=True))
-        if self.key is None:
-            new[0] = True
-        else:
-            first = tuple(pdf[k].iloc[0] for k in s.keys)
-            new[0] = any(_neq(pd.Series([a]), pd.Series([b]))[0] for a, b in zip(first, self.key))
-        gid = np.cumsum(new)            # 0 = rows continuing the carried key
-        cont = gid == 0
-        grp = pd.Series(gid)
+def _orders(pairs: Sequence[tuple[str, str]]) -> list[Column]:
+    return [F.col(c).desc_nulls_last() if d == "desc" else F.col(c).asc_nulls_first() for c, d in pairs]
 
-        for i, c in enumerate(s.sums):
-            cs = pd.Series(pdf[c].to_numpy(dtype="float64")).groupby(grp).cumsum().to_numpy()
-            cs[cont] += self.sums[i]
-            out[f"_sum_{c}"] = cs
-        rn = grp.groupby(grp).cumcount().to_numpy() + 1
-        rn[cont] += self.count
 
-        ochange = new.copy()
-        prefix = s.order[:s.rank_by]
-        for c in prefix:
-            col = pdf[c]
-            ochange[1:] |= _neq(col.iloc[1:].reset_index(drop=True), col.iloc[:-1].reset_index(drop=True))
-        if not new[0] and self.last_order is not None:
-            ochange[0] = any(_neq(pd.Series([pdf[c].iloc[0]]), pd.Series([v]))[0]
-                             for c, v in zip(prefix, self.last_order))
-        elif not new[0]:
-            ochange[0] = True
-        dense = pd.Series(ochange.astype("int64")).groupby(grp).cumsum().to_numpy()
-        dense[cont] += self.dense
-        rank = pd.Series(np.where(ochange, rn, np.nan))
-        if not ochange[0]:
-            rank.iloc[0] = self.rank
-        rank = rank.ffill().to_numpy().astype("int64")
-        if s.row_number:
-            out[s.row_number] = rn
-        if s.rank:
-            out[s.rank] = rank
-        if s.dense_rank:
-            out[s.dense_rank] = dense
+def _same(left: str, right: str, names: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for n in names:
+        cond = cond & F.col(f"{left}.{n}").eqNullSafe(F.col(f"{right}.{n}"))
+    return cond
 
-        for j, c in enumerate(s.lags):
-            vals = pdf[c].reset_index(drop=True)
-            lagged = vals.shift(1).astype(object)
-            lagged[new] = None
-            if not new[0]:
-                lagged.iloc[0] = self.last_lags[j]
-            out[f"_lag_{c}"] = lagged.to_numpy()
 
-        if s.session_ts:
-            ts = pd.Series(pdf[s.session_ts].to_numpy(dtype="float64"))
-            prev = ts.shift(1)
-            prev[new] = np.nan
-            if not new[0]:
-                prev.iloc[0] = np.nan if self.last_ts is None else self.last_ts
-            flag = (prev.isna() | ((ts - prev) > s.session_gap)).astype("int64")
-            sess = flag.groupby(grp).cumsum().to_numpy()
-            sess[cont] += self.sessions
-            out[s.session_col] = sess
-            out["_flag"] = flag.to_numpy()
+def _segments(df: DataFrame, keys: Sequence[str], pairs: Sequence[tuple[str, str]], num_partitions: int | None) -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
+    by = [*(F.col(k).asc_nulls_first() for k in keys), *_orders(pairs)]
+    ranged = df.repartitionByRange(num_partitions, *by) if num_partitions else df.repartitionByRange(*by)
+    return ranged.withColumn(SEG, F.spark_partition_id()).checkpoint()
 
-        filled = {}
-        for j, c in enumerate(s.ffill):
-            vals = pd.Series(pdf[c].to_numpy(), dtype=object)
-            f = vals.groupby(grp).ffill()
-            carry = self.last_nonnull[j]
-            if carry is not None:
-                f[cont & f.isna().to_numpy()] = carry
-            filled[c] = f
-            out[f"_ff_{c}"] = f.to_numpy()
-        if s.change_col:
-            comp = [filled[c] if c in filled else pd.Series(pdf[c].to_numpy(), dtype=object)
-                    for c in s.change_cols]
-            diff = new.copy()
-            for ser in comp:
-                diff[1:] |= _neq(ser.iloc[1:].reset_index(drop=True), ser.iloc[:-1].reset_index(drop=True))
-            if not new[0]:
-                diff[0] = self.last_change is None or any(
-                    _neq(pd.Series([ser.iloc[0]], dtype=object), pd.Series([v], dtype=object))[0]
-                    for ser, v in zip(comp, self.last_change))
-            chg = pd.Series(diff.astype("int64")).groupby(grp).cumsum().to_numpy()
-            chg[cont] += self.changes
-            out[s.change_col] = chg
 
-        # State after the batch: the last row's key and its running values.
-        self.key = tuple(pdf[k].iloc[-1] for k in s.keys)
-        self.sums = [float(out[f"_sum_{c}"][-1]) for c in s.sums]
-        self.count = int(rn[-1])
-        self.dense = int(dense[-1])
-        self.rank = int(rank[-1])
-        self.last_order = tuple(pdf[c].iloc[-1] for c in s.order[:s.rank_by])
-        self.last_lags = [pdf[c].iloc[-1] for c in s.lags]
-        if s.session_ts:
-            self.last_ts = float(pdf[s.session_ts].iloc[-1])
-            self.sessions = int(out[s.session_col][-1])
-        for j, c in enumerate(s.ffill):
-            v = filled[c].iloc[-1]
-            self.last_nonnull[j] = None if pd.isna(v) else v
-        if s.change_col:
-            self.last_change = tuple(ser.iloc[-1] for ser in comp)
-            self.changes = int(chg[-1])
-        return out
+def _add(inside: Column, before: Column) -> Column:
+    """A running sum inside a segment plus the sum before it; NULL only if both are."""
+    return F.when(inside.isNull(), before).when(before.isNull(), inside).otherwise(inside + before)
 
 
-def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | tuple[str, str]], *,
-               sums: Sequence[tuple[str, str]] = (), row_number: str | None = None, rank: str | None = None,
-               dense_rank: str | None = None, lags: Sequence[tuple[str, str]] = (),
-               session: tuple[str, float, str] | None = None, num_partitions: int | None = None,
-               rank_by: int | None = None, ffill: Sequence[tuple[str, str]] = (),
-               change_count: tuple[Sequence[str], str] | None = None) -> DataFrame:
-    """Running values per key over ``order`` (see module doc).
-
-    ``order`` items are column names (ascending) or (name, "desc"); end it
-    with a unique column so a hot key splits evenly over range partitions
-    (equal (key, order) tuples share a partition);
-    ``sums`` and ``lags`` are (input column, output column) pairs; ``session``
-    is (epoch-seconds column, gap seconds, output column): a row starts a new
-    session when it is the key's first row or its gap to the previous row is
-    greater than the gap. ``rank_by`` = how many leading ``order`` columns
-    define ties for rank / dense_rank (default: all); such ties may straddle a
-    partition boundary and are carried across it. ``ffill`` pairs give the
-    last non-NULL value so far (IGNORE NULLS); ``change_count`` = (columns,
-    output) numbers the runs of equal values (after the forward fill when a
-    column is also in ``ffill``): it grows by one at a key's first row and at
-    every row whose values differ (NULL-safe) from the previous row's.
-    """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    if ffill and change_count and set(change_count[0]) & {c for c, _ in ffill}:
-        # Change flags over filled values need the fill done first: a
-        # partition's leading NULL run takes its values from earlier partitions.
-        filled = keyed_scan(df, keys, order, ffill=ffill, num_partitions=num_partitions)
-        ff = dict(ffill)
-        return keyed_scan(filled, keys, order, sums=sums, row_number=row_number, rank=rank, dense_rank=dense_rank,
-                          lags=lags, session=session, num_partitions=num_partitions, rank_by=rank_by,
-                          change_count=([ff.get(c, c) for c in change_count[0]], change_count[1]))
+def _run(seg: DataFrame, keys: Sequence[str], pairs: Sequence[tuple[str, str]], sums: Sequence[tuple[str, str]] = (),
+         row_number: str | None = None, lags: Sequence[tuple[str, str]] = (), ffill: Sequence[tuple[str, str]] = (),
+         flags: Sequence[Flag] = ()) -> DataFrame:
+    """Running values over segmented rows; the result keeps the segment column."""
     keys = list(keys)
-    order_pairs = [(o, "asc") if isinstance(o, str) else tuple(o) for o in order]
-    order_cols = [c for c, _ in order_pairs]
-    spec = ScanSpec(keys, order_cols, [c for c, _ in sums], row_number, rank, dense_rank,
-                    [c for c, _ in lags], session[0] if session else None,
-                    float(session[1]) if session else 0.0, session[2] if session else None,
-                    rank_by or len(order_pairs), [c for c, _ in ffill],
-                    list(change_count[0]) if change_count else [], change_count[1] if change_count else None)
-    prefix = order_cols[:spec.rank_by]
-    sort = [F.col(k).asc_nulls_first() for k in keys] + [
-        F.col(c).desc_nulls_last() if d == "desc" else F.col(c).asc_nulls_first() for c, d in order_pairs]
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
-              .withColumn("_pid", F.spark_partition_id()).checkpoint())
-    schema = ranged.schema
-
-    # ---- pass 1: one summary row per non-empty partition
-    key_fields = [schema[k] for k in keys]
-    order_fields = [schema[c] for c in order_cols]
-    lag_fields = [schema[c] for c in spec.lags]
-    sum_schema = StructType(
-        [StructField("_pid", LongType())]
-        + [StructField(f"_f_{f.name}", f.dataType) for f in key_fields]
-        + [StructField(f"_l_{f.name}", f.dataType) for f in key_fields]
-        + [StructField(f"_tsum_{c}", DoubleType()) for c in spec.sums]
-        + [StructField("_tcount", LongType()), StructField("_tdense", LongType()), StructField("_trank", LongType())]
-        + [StructField(f"_lo_{schema[c].name}", schema[c].dataType) for c in prefix]
-        + [StructField(f"_fo_{schema[c].name}", schema[c].dataType) for c in prefix]
-        + [StructField(f"_llag_{f.name}", f.dataType) for f in lag_fields]
-        + [StructField("_first_ts", DoubleType()), StructField("_last_ts", DoubleType()),
-           StructField("_tflags", LongType()), StructField("_single", LongType())]
-        + [StructField(f"_lff_{c}", schema[c].dataType) for c in spec.ffill]
-        + [StructField(f"_ffirst_{c}", schema[c].dataType) for c in spec.change_cols]
-        + [StructField(f"_lchg_{c}", schema[c].dataType) for c in spec.change_cols]
-        + [StructField("_tchg", LongType())])
-    extra = spec.sums + spec.lags + ([spec.session_ts] if spec.session_ts else []) + spec.ffill + spec.change_cols
-    needed = ["_pid"] + keys + [c for c in order_cols if c not in keys] + \
-        [c for c in extra if c not in keys + order_cols]
-    needed = list(dict.fromkeys(needed))
-
-    def summarize(batches):
-        sc = _Scanner(spec)
-        first_key = first_ts = first_prefix = first_chg = None
-        pid = None
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            if first_key is None:
-                pid = int(pdf["_pid"].iloc[0])
-                first_key = tuple(pdf[k].iloc[0] for k in keys)
-                first_prefix = tuple(pdf[c].iloc[0] for c in prefix)
-                first_chg = tuple(pdf[c].iloc[0] for c in spec.change_cols)
-                first_ts = float(pdf[spec.session_ts].iloc[0]) if spec.session_ts else None
-            sc.process(pdf)
-        if first_key is None:
-            return
-        single = int(not any(_neq(pd.Series([a]), pd.Series([b]))[0] for a, b in zip(first_key, sc.key)))
-        row = {"_pid": pid}
-        row.update({f"_f_{k}": [v] for k, v in zip(keys, first_key)})
-        row.update({f"_l_{k}": [v] for k, v in zip(keys, sc.key)})
-        row.update({f"_tsum_{c}": [v] for c, v in zip(spec.sums, sc.sums)})
-        row.update({"_tcount": [sc.count], "_tdense": [sc.dense], "_trank": [sc.rank]})
-        row.update({f"_lo_{c}": [v] for c, v in zip(prefix, sc.last_order)})
-        row.update({f"_fo_{c}": [v] for c, v in zip(prefix, first_prefix)})
-        row.update({f"_llag_{c}": [v] for c, v in zip(spec.lags, sc.last_lags)})
-        row.update({"_first_ts": [first_ts], "_last_ts": [sc.last_ts], "_tflags": [sc.sessions],
-                    "_single": [single]})
-        row.update({f"_lff_{c}": [v] for c, v in zip(spec.ffill, sc.last_nonnull)})
-        row.update({f"_ffirst_{c}": [v] for c, v in zip(spec.change_cols, first_chg)})
-        row.update({f"_lchg_{c}": [v] for c, v in zip(spec.change_cols, sc.last_change or
-                                                     [None] * len(spec.change_cols))})
-        row.update({"_tchg": [sc.changes]})
-        yield pd.DataFrame({k: (v if isinstance(v, list) else [v]) for k, v in row.items()})
-
-    summary = ranged.select(*needed).mapInPandas(summarize, sum_schema)
-
-    # ---- carries, computed on the summary (one row per partition)
-    w = Window.orderBy("_pid")
-    # a previous partition must exist: lag() of "no row" is NULL, like a NULL key
-    same = F.lag(F.lit(1)).over(w).isNotNull()
-    for k in keys:
-        same = same & F.lag(F.col(f"_l_{k}")).over(w).eqNullSafe(F.col(f"_f_{k}"))
-    same = F.coalesce(same, F.lit(False))
-    s = summary.withColumn("_same", same)
-    if spec.session_ts:
-        gap_ok = (F.col("_first_ts") - F.lag("_last_ts").over(w)) > spec.session_gap
-        first_flag = F.when(~F.col("_same") | gap_ok, 1).otherwise(0)
-        # the partition's first row was counted as a session start locally; fix it
-        s = s.withColumn("_first_flag", first_flag).withColumn(
-            "_tflags", F.col("_tflags") - F.when(F.col("_single") == 1, 1 - F.col("_first_flag")).otherwise(0))
-    run = Window.partitionBy(*[f"_l_{k}" for k in keys]).orderBy("_pid") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # Ties on the rank prefix may continue from the previous partition.
-    tie = F.col("_same")
-    for c in prefix:
-        tie = tie & F.lag(f"_lo_{c}").over(w).eqNullSafe(F.col(f"_fo_{c}"))
-    s = s.withColumn("_tie", F.coalesce(tie, F.lit(False)))
-    single_tie = (F.col("_single") == 1) & F.col("_tie")
-    s = s.withColumn("_tdense", F.col("_tdense") - F.when(single_tie, 1).otherwise(0))
-    # Forward fill: last non-NULL value of the key over earlier partitions.
-    upto = run
-    for c in spec.ffill:
-        s = s.withColumn(f"_cff_{c}", F.last(f"_lff_{c}", ignorenulls=True).over(upto))
-        s = s.withColumn(f"_carryff_{c}", F.when(F.col("_same"), F.lag(f"_cff_{c}").over(w)))
-    if spec.change_col:
-        single = F.col("_single") == 1
-        for c in spec.change_cols:
-            if c in spec.ffill:
-                first_val = F.coalesce(F.col(f"_ffirst_{c}"), F.col(f"_carryff_{c}"))
-                glast = F.when(single & F.col("_same"), F.coalesce(F.col(f"_lchg_{c}"), F.col(f"_carryff_{c}"))) \
-                         .otherwise(F.col(f"_lchg_{c}"))
-            else:
-                first_val, glast = F.col(f"_ffirst_{c}"), F.col(f"_lchg_{c}")
-            s = s.withColumn(f"_fv_{c}", first_val).withColumn(f"_gl_{c}", glast)
-        differs = ~F.col("_same")
-        for c in spec.change_cols:
-            differs = differs | ~F.lag(f"_gl_{c}").over(w).eqNullSafe(F.col(f"_fv_{c}"))
-        s = s.withColumn("_chg_first", F.when(differs, 1).otherwise(0))
-        s = s.withColumn("_tchg", F.col("_tchg") - F.when(single, 1 - F.col("_chg_first")).otherwise(0))
-    cum_cols = [f"_tsum_{c}" for c in spec.sums] + ["_tcount", "_tdense"] + (["_tflags"] if spec.session_ts else [])
-    cum_cols += ["_tchg"] if spec.change_col else []
-    for c in cum_cols:
-        s = s.withColumn(f"_cum{c}", F.sum(c).over(run))
-    # Global rank of each partition's last row: its run starts here, or it
-    # continues a run from an earlier partition (then take that one's rank).
-    # rows of the last key before this partition: only a single-key partition
-    # can continue its last key from earlier partitions
-    before = F.coalesce(F.when(F.col("_same") & (F.col("_single") == 1), F.lag("_cum_tcount").over(w)), F.lit(0))
-    started = ~((F.col("_single") == 1) & (F.col("_trank") == 1) & F.col("_tie"))
-    s = s.withColumn("_grank", F.when(started, before + F.col("_trank")))
-    s = s.withColumn("_grank", F.last("_grank", ignorenulls=True).over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    carry_cols = [F.col("_pid")]
-    for c in cum_cols:
-        carry_cols.append(F.when(F.col("_same"), F.lag(f"_cum{c}").over(w)).alias(f"_c{c}"))
-    carry_cols.append(F.when(F.col("_same"), F.lag("_grank").over(w)).alias("_c_rank"))
-    for c in prefix:
-        carry_cols.append(F.when(F.col("_same"), F.lag(f"_lo_{c}").over(w)).alias(f"_c_lo_{c}"))
-    for c in spec.lags:
-        carry_cols.append(F.when(F.col("_same"), F.lag(f"_llag_{c}").over(w)).alias(f"_c_llag_{c}"))
-    carry_cols.append(F.when(F.col("_same"), F.lag("_last_ts").over(w)).alias("_c_last_ts"))
-    for c in spec.ffill:
-        carry_cols.append(F.col(f"_carryff_{c}").alias(f"_c_ff_{c}"))
-    for c in spec.change_cols:
-        carry_cols.append(F.when(F.col("_same"), F.lag(f"_gl_{c}").over(w)).alias(f"_c_gl_{c}"))
-    carry_cols.append(F.col("_same").alias("_c_same"))
-    for k in keys:
-        carry_cols.append(F.col(f"_f_{k}").alias(f"_c_key_{k}"))
-    carry = s.select(*carry_cols)
-
-    # ---- pass 2: scan each partition with its carry
-    joined = ranged.join(F.broadcast(carry), "_pid", "left")
-    in_cols = [c for c in df.columns]
-    out_fields = list(df.schema.fields)
-    for c, name in sums:
-        out_fields.append(StructField(name, DoubleType()))
-    for name in (row_number, rank, dense_rank):
-        if name:
-            out_fields.append(StructField(name, LongType()))
-    for c, name in lags:
-        out_fields.append(StructField(name, schema[c].dataType))
-    if session:
-        out_fields.append(StructField(session[2], LongType()))
-    for c, name in ffill:
-        out_fields.append(StructField(name, schema[c].dataType))
-    if change_count:
-        out_fields.append(StructField(change_count[1], LongType()))
-    out_schema = StructType(out_fields)
-
-    def apply(batches):
-        sc = None
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            if sc is None:
-                r = pdf.iloc[0]
-                init = None
-                if bool(r["_c_same"]) if pd.notna(r["_c_same"]) else False:
-                    init = {
-                        "key": tuple(r[f"_c_key_{k}"] for k in keys),
-                        "sums": [float(r[f"_c_tsum_{c}"]) for c in spec.sums],
-                        "count": int(r["_c_tcount"]), "dense": int(r["_c_tdense"]),
-                        "rank": int(r["_c_rank"]) if pd.notna(r["_c_rank"]) else 0,
-                        "last_order": tuple(r[f"_c_lo_{c}"] for c in prefix),
-                        "last_lags": [r[f"_c_llag_{c}"] for c in spec.lags],
-                        "last_ts": None if pd.isna(r["_c_last_ts"]) else float(r["_c_last_ts"]),
-                        "sessions": int(r["_c_tflags"]) if spec.session_ts else 0,
-                        "last_nonnull": [None if pd.isna(r[f"_c_ff_{c}"]) else r[f"_c_ff_{c}"] for c in spec.ffill],
-                        "last_change": tuple(r[f"_c_gl_{c}"] for c in spec.change_cols) if spec.change_col else None,
-                        "changes": int(r["_c_tchg"]) if spec.change_col else 0,
-                    }
-                sc = _Scanner(spec, init)
-            res = sc.process(pdf)
-            out = pdf[in_cols].reset_index(drop=True).copy()
-            for c, name in sums:
-                out[name] = res[f"_sum_{c}"]
-            for name in (row_number, rank, dense_rank):
-                if name:
-                    out[name] = res[name]
-            for c, name in lags:
-                out[name] = res[f"_lag_{c}"]
-            if session:
-                out[session[2]] = res[session[2]]
-            for c, name in ffill:
-                out[name] = res[f"_ff_{c}"]
-            if change_count:
-                out[change_count[1]] = res[change_count[1]]
-            yield out
-
-    return joined.mapInPandas(apply, out_schema)
-
-
-# Largest key group a single window task may hold before the segmented scan is
-# used instead (rows).
-MAX_WINDOW_GROUP_ROWS = 5_000_000
-
-
-# Share of rows sampled to estimate the largest key group.
-GROUP_SAMPLE_FRACTION = 0.01
-
-
-def largest_group(df: DataFrame, keys: Sequence[str], fraction: float = GROUP_SAMPLE_FRACTION) -> int:
-    """Estimated rows in the biggest key group, from a seeded Bernoulli sample.
-
-    Only the plan choice depends on it (both plans give the same rows): a group
-    near the window bound (5M rows) shows up ~50,000 times in a 1 % sample, and
-    the sample keeps the aggregate's shuffle to 1 % of the keys.
-    """
-    src = df.select(*keys) if fraction >= 1.0 else df.select(*keys).sample(fraction=fraction, seed=17)
-    row = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("m")).first()
-    m = int(row["m"] or 0)
-    return m if fraction >= 1.0 else int(m / fraction)
-
-
-def _window_version(df: DataFrame, keys, order_pairs, sums, row_number, rank, dense_rank, lags, session,
-                    rank_by, ffill=(), change_count=None) -> DataFrame:
-    ords = [F.col(c).desc_nulls_last() if d == "desc" else F.col(c).asc_nulls_first() for c, d in order_pairs]
-    w = Window.partitionBy(*keys).orderBy(*ords)
-    wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wk = Window.partitionBy(*keys).orderBy(*ords[:rank_by])
-    out = df
-    for c, name in sums:
-        out = out.withColumn(name, F.sum(F.col(c).cast("double")).over(wr))
+    inside = Window.partitionBy(*keys, SEG).orderBy(*_orders(pairs))
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cols: dict[str, Column] = {"_rn": F.row_number().over(inside), "_end": F.lead(F.lit(1)).over(inside).isNull()}
+    summary: dict[str, Column] = {"_n": F.col("_rn")}
+    for i, (c, _) in enumerate(sums):
+        cols[f"_s{i}"] = F.sum(F.col(c).cast("double")).over(upto)
+    for i, (c, _) in enumerate(lags):
+        cols[f"_l{i}"] = F.lag(c).over(inside)
+        summary[f"_v{i}"] = F.col(c)
+    for i, (c, _) in enumerate(ffill):
+        cols[f"_f{i}"] = F.last(c, ignorenulls=True).over(upto)
+    for i, (names, differs, _) in enumerate(flags):
+        now, prev = [F.col(c) for c in names], [F.lag(c).over(inside) for c in names]
+        cols[f"_d{i}"] = F.when(F.lag(F.lit(1)).over(inside).isNull(), 0).when(differs(now, prev), 1).otherwise(0)
+        for j, c in enumerate(names):
+            cols[f"_o{i}_{j}"] = F.first(c).over(upto)
+            summary[f"_o{i}_{j}"], summary[f"_e{i}_{j}"] = F.col(f"_o{i}_{j}"), F.col(c)
+    rows = seg.withColumns(cols)
+    if flags:
+        rows = rows.withColumns({f"_d{i}": F.sum(f"_d{i}").over(upto) for i in range(len(flags))})
+    for p, xs in (("_s", sums), ("_f", ffill), ("_d", flags)):
+        summary |= {f"{p}{i}": F.col(f"{p}{i}") for i in range(len(xs))}
+    ends = rows.filter("_end").select(*keys, SEG, *(c.alias(n) for n, c in summary.items()))
+
+    by_key = Window.partitionBy(*keys).orderBy(SEG)
+    before = by_key.rowsBetween(Window.unboundedPreceding, -1)
+    carry: dict[str, Column] = {"_n": F.coalesce(F.sum("_n").over(before), F.lit(0))}
+    for i in range(len(sums)):
+        carry[f"_s{i}"] = F.sum(f"_s{i}").over(before)
+    for i in range(len(lags)):
+        carry[f"_v{i}"] = F.lag(f"_v{i}").over(by_key)
+    for i in range(len(ffill)):
+        carry[f"_f{i}"] = F.last(f"_f{i}", ignorenulls=True).over(before)
+    for i, (names, differs, _) in enumerate(flags):
+        # Whether a segment's first row differs from the last row of the segment before.
+        first = [F.col(f"_o{i}_{j}") for j in range(len(names))]
+        last = [F.lag(f"_e{i}_{j}").over(by_key) for j in range(len(names))]
+        ends = ends.withColumn(f"_x{i}", F.when(F.lag(F.lit(1)).over(by_key).isNull(), 1).when(differs(first, last), 1).otherwise(0))
+        carry[f"_d{i}"] = F.coalesce(F.sum(F.col(f"_d{i}") + F.col(f"_x{i}")).over(before), F.lit(0)) + F.col(f"_x{i}")
+    carried = ends.select(*keys, SEG, *(c.alias(f"_c{n}") for n, c in carry.items()))
+
+    out = rows.alias("r").join(carried.alias("c"), _same("r", "c", [*keys, SEG]))
+    made: dict[str, Column] = {}
+    for i, (_, name) in enumerate(sums):
+        made[name] = _add(F.col(f"_s{i}"), F.col(f"_c_s{i}"))
     if row_number:
-        out = out.withColumn(row_number, F.row_number().over(w).cast("long"))
-    if rank:
-        out = out.withColumn(rank, F.rank().over(wk).cast("long"))
-    if dense_rank:
-        out = out.withColumn(dense_rank, F.dense_rank().over(wk).cast("long"))
-    for c, name in lags:
-        out = out.withColumn(name, F.lag(c).over(w))
-    if session:
-        ts, gap, name = session
-        prev = F.lag(ts).over(w)
-        flag = F.when(prev.isNull() | ((F.col(ts) - prev) > gap), 1).otherwise(0)
-        out = out.withColumn("_flag", flag).withColumn(name, F.sum("_flag").over(wr).cast("long")).drop("_flag")
-    for c, name in ffill:
-        out = out.withColumn(name, F.last(c, ignorenulls=True).over(wr))
-    if change_count:
-        cols, name = change_count
-        ff = dict(ffill)
-        vals = [F.col(ff[c]) if c in ff else F.col(c) for c in cols]
-        differs = F.lag(F.lit(1)).over(w).isNull()
-        for v in vals:
-            differs = differs | ~v.eqNullSafe(F.lag(v).over(w))
-        out = out.withColumn("_chg", F.when(differs, 1).otherwise(0)) \
-                 .withColumn(name, F.sum("_chg").over(wr).cast("long")).drop("_chg")
-    return out
+        made[row_number] = (F.col("_rn") + F.col("_c_n")).cast("long")
+    for i, (_, name) in enumerate(lags):
+        made[name] = F.when(F.col("_rn") == 1, F.col(f"_c_v{i}")).otherwise(F.col(f"_l{i}"))
+    for i, (_, name) in enumerate(ffill):
+        made[name] = F.coalesce(F.col(f"_f{i}"), F.col(f"_c_f{i}"))
+    for i, (_, _, name) in enumerate(flags):
+        made[name] = (F.col(f"_d{i}") + F.col(f"_c_d{i}")).cast("long")
+    return out.select("r.*", *(c.alias(n) for n, c in made.items())).drop(*cols)
+
+
+def _ranks(df: DataFrame, keys: Sequence[str], pairs: Sequence[tuple[str, str]], rank: str | None, dense_rank: str | None,
+           num_partitions: int | None) -> DataFrame:
+    """``df`` with the rank and dense rank of its rows' values among those of the key."""
+    by = [*keys, *(c for c, _ in pairs)]
+    counted = _segments(df.groupBy(*by).agg(F.count(F.lit(1)).alias("_k")), keys, pairs, num_partitions)
+    ranked = _run(counted, keys, pairs, sums=[("_k", "_upto")], row_number="_dense")
+    made = {n: c for n, c in ((rank, (F.col("_upto") - F.col("_k") + 1).cast("long")), (dense_rank, F.col("_dense"))) if n}
+    ranked = ranked.select(*by, *(c.alias(n) for n, c in made.items()))
+    return df.alias("l").join(ranked.alias("k"), _same("l", "k", by)).select("l.*", *(f"k.{n}" for n in made))
 
 
 def keyed_running(df: DataFrame, keys: Sequence[str], order: Sequence[str | tuple[str, str]], *,
                   sums: Sequence[tuple[str, str]] = (), row_number: str | None = None, rank: str | None = None,
                   dense_rank: str | None = None, lags: Sequence[tuple[str, str]] = (),
                   session: tuple[str, float, str] | None = None, rank_by: int | None = None,
-                  max_group_rows: int = MAX_WINDOW_GROUP_ROWS, num_partitions: int | None = None,
-                  ffill: Sequence[tuple[str, str]] = (),
+                  num_partitions: int | None = None, ffill: Sequence[tuple[str, str]] = (),
                   change_count: tuple[Sequence[str], str] | None = None) -> DataFrame:
-    """Same outputs as ``keyed_scan``; a plain window when every key group is
-    at most ``max_group_rows`` rows (checked with one aggregate), the
-    segmented scan when a hot key would otherwise fill one task."""
-    order_pairs = [(o, "asc") if isinstance(o, str) else tuple(o) for o in order]
-    rb = rank_by or len(order_pairs)
-    # max_group_rows < 0 forces the scan; a huge bound forces the window (no check job)
-    small = max_group_rows >= (1 << 62) or (max_group_rows >= 0 and largest_group(df, keys) <= max_group_rows)
-    if small:
-        return _window_version(df, list(keys), order_pairs, sums, row_number, rank, dense_rank, lags, session, rb,
-                               ffill, change_count)
-    return keyed_scan(df, keys, order, sums=sums, row_number=row_number, rank=rank, dense_rank=dense_rank,
-                      lags=lags, session=session, num_partitions=num_partitions, rank_by=rb, ffill=ffill,
-                      change_count=change_count)
+    """``df`` with running values per key in the given order.
+
+    ``sums``, ``lags`` and ``ffill`` are (column, new name); ``session`` is (seconds column, gap, new name);
+    ``change_count`` is (columns, new name) and counts the rows whose values differ from the row before,
+    filled values for columns named in ``ffill``. ``rank`` and ``dense_rank`` go by the first ``rank_by``
+    order columns. NULL keys are one key. Give a total order: among rows that tie in all of it any may come first.
+    """
+    keys = list(keys)
+    pairs = [(o, "asc") if isinstance(o, str) else tuple(o) for o in order]
+    if rank or dense_rank:
+        df = _ranks(df, keys, pairs[:rank_by or len(pairs)], rank, dense_rank, num_partitions)
+    if not (sums or row_number or lags or session or ffill or change_count):
+        return df
+    seg = _segments(df, keys, pairs, num_partitions)
+    flags: list[Flag] = []
+    if session:
+        ts, gap, name = session
+        flags.append(([ts], lambda now, prev: prev[0].isNull() | ((now[0] - prev[0]) > gap), name))
+    changed: list[Flag] = []
+    if change_count:
+        filled = dict(ffill)
+
+        def differs(now: list[Column], prev: list[Column]) -> Column:
+            any_of = F.lit(False)
+            for a, b in zip(now, prev):
+                any_of = any_of | ~a.eqNullSafe(b)
+            return any_of
+
+        changed.append(([filled.get(c, c) for c in change_count[0]], differs, change_count[1]))
+    # Filled values must be there before they can be compared.
+    later = changed if ffill else []
+    out = _run(seg, keys, pairs, sums, row_number, lags, ffill, flags + ([] if ffill else changed))
+    if later:
+        out = _run(out, keys, pairs, flags=later)
+    return out.drop(SEG)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .merge import null_salt
-from .scan import MAX_WINDOW_GROUP_ROWS, keyed_running, largest_group
+from .scan import keyed_running
 
 OPEN_END_DATE = "9999-12-31"
 UPDATES_BROADCAST_MAX_ROWS = 5_000_000
@@ -90,8 +90,7 @@ def scd2_merge(dim: DataFrame, updates: DataFrame, keys: Sequence[str], tracked:
 def auto_cdc_scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
                   tracked: Sequence[str] | None = None, except_cols: Sequence[str] = (),
                   ignore_null_updates: bool = True, delete_when: Column | None = None,
-                  start_col: str = "__START_AT", end_col: str = "__END_AT",
-                  max_group_rows: int = MAX_WINDOW_GROUP_ROWS) -> DataFrame:
+                  start_col: str = "__START_AT", end_col: str = "__END_AT") -> DataFrame:
     """Type-2 history per key from an out-of-order change feed.
 
     Each output row is one version: tracked columns constant inside it,
@@ -100,26 +99,24 @@ def auto_cdc_scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
     (NULL while open). A row matching ``delete_when`` closes the open version.
 
     All per-key ordered steps (fill of NULL updates, version numbering, next
-    version's start) go through ``keyed_running``: plain windows while every
-    key is small, the segmented scan when one key would fill a task.
+    version's start) go through ``keyed_running``, so a key with many changes
+    is spread over many tasks.
     """
     keys = list(keys)
     payload = [c for c in changes.columns if c not in keys and c != sequence_by and c not in except_cols]
     tracked = list(tracked) if tracked is not None else payload
     df = changes.select(*keys, sequence_by, *payload,
                         (delete_when if delete_when is not None else F.lit(False)).alias("_del"))
-    hot = largest_group(df, keys) > max_group_rows
-    run_kw = {"max_group_rows": -1 if hot else 1 << 62}
 
     if delete_when is not None:
         # deletes cut the history into epochs: values are never carried across one
         df = keyed_running(df.withColumn("_d", F.col("_del").cast("double")), keys, [sequence_by],
-                           sums=[("_d", "_epoch")], **run_kw).drop("_d")
+                           sums=[("_d", "_epoch")]).drop("_d")
     else:
         df = df.withColumn("_epoch", F.lit(0.0))
     ff = [(c, f"{c}__ff") for c in payload] if ignore_null_updates else []
     ver = keyed_running(df, keys + ["_epoch"], [sequence_by], ffill=ff,
-                        change_count=(tracked + ["_del"], "_ver"), **run_kw)
+                        change_count=(tracked + ["_del"], "_ver"))
     if ff:
         ver = ver.select(*keys, sequence_by, "_del", "_epoch", "_ver",
                          *[F.col(f"{c}__ff").alias(c) for c in payload])
@@ -129,7 +126,7 @@ def auto_cdc_scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
     agg += [F.first(c).alias(c) for c in tracked]  # constant inside a version
     agg += [F.max_by(c, sequence_by).alias(c) for c in untracked]
     versions = ver.groupBy(*keys, "_epoch", "_ver").agg(*agg)
-    versions = keyed_running(versions, keys, [(start_col, "desc")], lags=[(start_col, end_col)], **run_kw)
+    versions = keyed_running(versions, keys, [(start_col, "desc")], lags=[(start_col, end_col)])
     return versions.filter(~F.col("_del")).select(*keys, *payload, start_col, end_col)
 
 

@@ -10,18 +10,17 @@ from .scan import keyed_running
 
 
 def sessionize(df: DataFrame, user_col: str, ts_col: str, tiebreak: str,
-               gap_minutes: int = 30, max_group_rows: int | None = None) -> DataFrame:
+               gap_minutes: int = 30) -> DataFrame:
     """Number sessions per user: a gap of more than ``gap_minutes`` starts a new one.
 
     Gaps are measured on whole seconds (``unix_timestamp`` truncation), so a
     gap of exactly 30 minutes stays in the session. Adds ``gap_minutes`` and
-    ``session_num`` (1-based per user). A user with more rows than one task
-    should hold is handled by the segmented scan (``keyed_running``).
+    ``session_num`` (1-based per user). A user's rows are spread over many
+    tasks (``keyed_running``).
     """
     secs = df.withColumn("_secs", F.unix_timestamp(F.col(ts_col).cast("timestamp")))
-    kw = {} if max_group_rows is None else {"max_group_rows": max_group_rows}
     out = keyed_running(secs, [user_col], [ts_col, tiebreak], lags=[("_secs", "_prev_secs")],
-                        session=("_secs", gap_minutes * 60, "session_num"), **kw)
+                        session=("_secs", gap_minutes * 60, "session_num"))
     return out.withColumn("gap_minutes", (F.col("_secs") - F.col("_prev_secs")) / 60.0) \
               .drop("_secs", "_prev_secs")
 

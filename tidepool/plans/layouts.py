@@ -18,10 +18,12 @@ TEST_TARGET_FILE_BYTES = 256 * 1024
 
 
 def fragmented_lineitem(spark: SparkSession, sf: str, path: str) -> str:
-    """Small-file fixture: one append per line number, four files each."""
+    """Small-file fixture: every row lands once, in seven appends dealt out by a hash of the row."""
     li = Tables(spark, sf).lineitem
-    for n in range(1, 8):
-        li.filter(F.col("l_linenumber") == n).repartition(4).write.mode("append").parquet(path)
+    part = F.pmod(F.xxhash64(*li.columns), F.lit(7))
+    for n in range(7):
+        rows = li.filter(part == n)
+        rows.repartition(max(4, rows.rdd.getNumPartitions())).write.mode("append").parquet(path)
     return path
 
 

@@ -170,7 +170,8 @@ def flatten_two_level(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
     lines = nest(t.lineitem, ["l_orderkey"], ["l_partkey", "l_quantity"], "items")
     orders = t.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    per_cust = nest(orders, ["o_custkey"], ["o_orderkey", "items"], "orders")
+    # A customer may have any number of orders: its orders come in eight parts.
+    per_cust = nest(orders, ["o_custkey"], ["o_orderkey", "items"], "orders", parts=8)
     body = t.customer.select("c_custkey").join(
         per_cust, F.col("c_custkey") == F.col("o_custkey"), "left").select(
         "c_custkey", F.struct(F.col("orders").alias("orders")).alias("body"))

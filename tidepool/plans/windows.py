@@ -24,7 +24,7 @@ QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
            l_linestatus DESC) = 1
 """)
 def dedup_latest(spark: SparkSession, sf: str) -> DataFrame:
-    """Keep the latest version of each (order, line) key; aggregate-based, skew-safe."""
+    """Keep the latest version of each (order, line) key: a row-number window, with few rows a key."""
     li = Tables(spark, sf).lineitem
     return rel.latest_per_key(li, ["l_orderkey", "l_linenumber"], LINE_ORDER_DESC)
 
@@ -109,7 +109,8 @@ def first_last_value(spark: SparkSession, sf: str) -> DataFrame:
     ends = o.groupBy("o_custkey").agg(
         F.min_by("o_totalprice", F.struct("o_orderdate", "o_orderkey")).alias("first_amount"),
         F.max_by("o_totalprice", F.struct("o_orderdate", "o_orderkey")).alias("last_amount"))
-    return o.select("o_orderkey", "o_custkey").join(ends, "o_custkey") \
+    ends = ends.withColumnRenamed("o_custkey", "_key")  # a NULL customer is a group of its own
+    return o.select("o_orderkey", "o_custkey").join(ends, F.col("o_custkey").eqNullSafe(F.col("_key"))) \
             .select("o_orderkey", "o_custkey", "first_amount", "last_amount")
 
 
@@ -212,9 +213,11 @@ def market_share(spark: SparkSession, sf: str) -> DataFrame:
     totals = pr.groupBy("p_type").agg(rnd(F.sum("revenue"), 2).alias("category_revenue"))
     r = keyed_running(pr, ["p_type"], [("revenue", "desc"), "p_partkey"], rank="revenue_rank",
                       sums=[("revenue", "_cum")], rank_by=1)
-    s = r.join(rel.sized_broadcast(totals, 1_000_000), "p_type").select(
+    totals = totals.withColumnRenamed("p_type", "_type")
+    s = r.join(totals, F.col("p_type").eqNullSafe(F.col("_type"))).select(
         "p_partkey", "p_type", "revenue", "revenue_rank", "category_revenue", rnd("_cum", 2).alias("cum_revenue"))
     cum_pct = F.col("cum_revenue") / F.col("category_revenue") * 100
+    # The tiers' labels and cut-offs.
     tier = (F.when(F.col("revenue_rank") <= 5, "Top Performer")
             .when(F.col("revenue_rank") <= 20, "Strong Performer")
             .when(cum_pct <= 80, "Average Performer")

@@ -1,8 +1,8 @@
 """File sources: CSV/JSON/Parquet readers, permissive split, schema hints and
 evolution, rescued data, and an idempotent incremental loader (COPY INTO).
 
-Everything is a DataFrame job; file listings come from the ``_metadata``
-column of the scan, never from a driver-side directory walk.
+Everything is a DataFrame job; the loader's file listing is one too, and its
+paths reach the driver a batch at a time.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ RESCUED = "_rescued_data"
 
 
 def write_files(df: DataFrame, path: str, fmt: str, n_files: int, **options) -> str:
-    """Land a DataFrame as ``n_files`` files (fixture helper for file sources)."""
-    w = df.repartition(n_files).write.mode("overwrite").format(fmt)
+    """Land a DataFrame as at least ``n_files`` files, more as its input has more splits (fixture helper)."""
+    w = df.repartition(max(n_files, df.rdd.getNumPartitions())).write.mode("overwrite").format(fmt)
     for k, v in options.items():
         w = w.option(k, v)
     w.save(path)
@@ -145,24 +145,36 @@ def parse_with_rescue(lines: DataFrame, schema: StructType, line_col: str = "val
     return df.select(*typed, rescued.alias(RESCUED))
 
 
-def copy_into(spark: SparkSession, source_dir: str, fmt: str, schema: StructType, target_path: str,
+#: Files loaded as one batch; the driver never holds more paths than these.
+FILES_PER_BATCH = 10_000
+
+
+def copy_into(spark: SparkSession, source_dir: str, fmt: str, schema: StructType | None, target_path: str,
               ledger_path: str, options: Mapping[str, str] | None = None, glob: str | None = None) -> int:
     """Idempotent incremental load (COPY INTO): each file is loaded once.
 
     Protocol, safe against a crash at any point:
     1. list the landing folder (``binaryFile`` with the content column pruned,
        so no file body is read) and subtract every file the ledger knows;
-    2. record the new files in the ledger as ``pending`` under a fresh batch id;
+       All data files count, whatever their suffix, unless ``glob`` names some;
+    2. take them in batches of at most ``FILES_PER_BATCH``, and record each batch's
+       files in the ledger as ``pending`` under a fresh batch id;
     3. write their rows into the target partition ``_load_batch=<id>`` with
        dynamic partition overwrite (rewriting a batch replaces it, never doubles it);
     4. record the batch as ``done``.
     A later run first redoes batches that are pending without a done mark, so
-    the target itself is never scanned. Returns the number of newly loaded files.
+    the target itself is never scanned. Without a ``schema`` each batch is read
+    with the schema inferred from its files, and :func:`read_loaded` merges the
+    schemas: rows of older batches have NULL in newer columns. Returns the
+    number of newly loaded files.
     """
     import uuid
+    from itertools import batched
 
     def load(files: list[str], batch_id: str) -> None:
-        r = spark.read.format(fmt).schema(schema)
+        r = spark.read.format(fmt)
+        if schema is not None:
+            r = r.schema(schema)
         for k, v in (options or {}).items():
             r = r.option(k, v)
         rows = r.load(files).withColumn("_source_file", F.col("_metadata.file_path")) \
@@ -177,24 +189,23 @@ def copy_into(spark: SparkSession, source_dir: str, fmt: str, schema: StructType
         unfinished = ledger.filter(F.col("status") == "pending").join(done, "batch_id", "left_anti")
         for batch_id, files in _group_files(unfinished.select("batch_id", "_source_file").collect()).items():
             load(files, batch_id)
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-               .option("pathGlobFilter", glob or f"*.{fmt}").load(source_dir)
-               .select(F.col("path").alias("_source_file")))
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    listing = (reader.option("pathGlobFilter", glob) if glob else reader).load(source_dir).select(F.col("path").alias("_source_file"))
     known = ledger.select("_source_file") if ledger is not None else None
     new_files = listing.join(known, "_source_file", "left_anti") if known is not None else listing
-    # The paths go to the reader like any file listing does (names only, no rows).
-    paths = [r[0] for r in new_files.collect()]
-    if not paths:
-        return 0
-    batch_id = uuid.uuid4().hex
-    _ledger_append(spark, ledger_path, [(f, batch_id, "pending") for f in paths])
-    load(paths, batch_id)
-    return len(paths)
+    loaded = 0
+    # The anti join ran against the ledger as it was: loading a batch doesn't disturb the next.
+    for rows in batched(new_files.toLocalIterator(), FILES_PER_BATCH):
+        paths, batch_id = [r[0] for r in rows], uuid.uuid4().hex
+        _ledger_append(spark, ledger_path, [(f, batch_id, "pending") for f in paths])
+        load(paths, batch_id)
+        loaded += len(paths)
+    return loaded
 
 
 def read_loaded(spark: SparkSession, target_path: str) -> DataFrame:
-    """The loaded rows without the load bookkeeping columns."""
-    return spark.read.parquet(target_path).drop("_source_file", "_load_batch")
+    """The loaded rows of all batches' columns, without the load bookkeeping columns."""
+    return spark.read.option("mergeSchema", "true").parquet(target_path).drop("_source_file", "_load_batch")
 
 
 def _group_files(rows) -> dict[str, list[str]]:
@@ -205,10 +216,11 @@ def _group_files(rows) -> dict[str, list[str]]:
 
 
 def _read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(ledger_path)
-    except Exception:  # no ledger yet
+    """The ledger, or None if its path isn't there; any other error rises."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(ledger_path)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return None
+    return spark.read.parquet(ledger_path)
 
 
 def _ledger_append(spark: SparkSession, ledger_path: str, entries) -> None:

@@ -12,11 +12,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Progress reports a drained query keeps: more than any drain here has micro-batches.
+KEPT_REPORTS = 1_000_000
+
 
 def drain(stream: DataFrame, sink_path: str | None, checkpoint: str, output_mode: str = "append",
           fmt: str = "parquet", foreach_batch: Callable[[DataFrame, int], None] | None = None,
-          trigger: str = "availableNow", query_name: str | None = None, timeout_s: int = 600):
-    """Run ``stream`` until the available input is processed; returns the query handle."""
+          trigger: str = "availableNow", query_name: str | None = None, timeout_s: float | None = None):
+    """Run ``stream`` until the available input is processed; returns the query handle.
+
+    Waits as long as that takes. With ``timeout_s`` the query is stopped after
+    so many seconds and TimeoutError raised: a drain never ends early in silence.
+    The handle keeps the progress reports of all micro-batches.
+    """
     w = stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
@@ -30,9 +38,13 @@ def drain(stream: DataFrame, sink_path: str | None, checkpoint: str, output_mode
         w = w.trigger(once=True)
     else:
         w = w.trigger(processingTime=trigger)
-    q = w.start()
+    q = _start(w, stream.sparkSession)
     if trigger in ("availableNow", "once"):
-        q.awaitTermination(timeout_s)
+        if timeout_s is None:
+            q.awaitTermination()
+        elif not q.awaitTermination(timeout_s):
+            q.stop()
+            raise TimeoutError(f"the stream was not drained within {timeout_s} s")
     else:
         # A processing-time trigger never ends by itself: process what is
         # there, then stop the query.
@@ -44,6 +56,23 @@ def drain(stream: DataFrame, sink_path: str | None, checkpoint: str, output_mode
     return q
 
 
+def _start(writer, spark: SparkSession):
+    """Starts the query so that it keeps more than the last 100 progress reports.
+
+    The query takes the setting over when it starts; the session gets its own back.
+    """
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, str(KEPT_REPORTS))
+    try:
+        return writer.start()
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def to_event_time(df: DataFrame, col: str) -> DataFrame:
     """Watermarks need TIMESTAMP (not TIMESTAMP_NTZ); the session time zone is UTC."""
     return df.withColumn(col, F.col(col).cast("timestamp"))
