@@ -49,13 +49,11 @@ def test_merge_equals_brute_force(spark, target, source, broadcast_rows):
     s = spark.createDataFrame(src, "k int, v int")
     clauses = [WhenMatched("s.v < 0", delete=True), WhenMatched("s.v > t.v", update="*"),
                WhenNotMatched("s.v % 2 = 0"), WhenNotMatchedBySource("t.v = 0", delete=True)]
-    got = sorted((tuple(r) for r in merge(t, s, ["k"], clauses,
-                                          source_broadcast_max_rows=broadcast_rows).collect()), key=repr)
+    got = sorted((tuple(r) for r in merge(t, s, ["k"], clauses).collect()), key=repr)
     assert got == brute(target, src)
     # without by-source clauses the broadcast split path is taken when allowed
     clauses2 = clauses[:3]
-    got2 = sorted((tuple(r) for r in merge(t, s, ["k"], clauses2,
-                                           source_broadcast_max_rows=broadcast_rows).collect()), key=repr)
+    got2 = sorted((tuple(r) for r in merge(t, s, ["k"], clauses2).collect()), key=repr)
     want2 = brute(target, src)
     kept_zero = [(k, v) for k, v in target if v == 0 and (k is None or k not in {sk for sk, _ in src
                                                                                    if sk is not None})]

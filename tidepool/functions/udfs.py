@@ -1,7 +1,7 @@
 """User-defined functions and their native replacements.
 
-The native column expression is the default everywhere; the Python UDF is
-kept because the reference teaches both and they must agree.
+The native column expression is the default everywhere; the Python UDF is a
+feature of its own, and both must agree. Rules and groups come from the caller.
 """
 
 from __future__ import annotations
@@ -13,45 +13,35 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# Payload keyword rules, checked in this order (first match wins).
-PAYLOAD_RULES = [("price", "transaction"), ("duration", "engagement")]
-PAYLOAD_EMPTY = "no_data"
-PAYLOAD_OTHER = "other"
+#: Labels of payloads that no rule can name.
+EMPTY, OTHER = "no_data", "other"
 
-# The location groups of the vectorized-UDF example.
-LOCATION_GROUPS = {
-    "East Coast": ["New York", "Philadelphia"],
-    "West Coast": ["Los Angeles", "San Diego"],
-}
-LOCATION_DEFAULT = "Central"
 
-
-def classify_payload_udf(rules: Sequence[tuple[str, str]] = PAYLOAD_RULES):
+def classify_payload_udf(rules: Sequence[tuple[str, str]]):
     """Row-at-a-time Python UDF (slow path, kept for parity)."""
     rules = list(rules)
 
     @F.udf(StringType())
     def classify(payload):
         if payload is None or payload == "":
-            return PAYLOAD_EMPTY
+            return EMPTY
         for needle, label in rules:
             if needle in payload:
                 return label
-        return PAYLOAD_OTHER
+        return OTHER
 
     return classify
 
 
-def classify_payload_native(col: Column, rules: Sequence[tuple[str, str]] = PAYLOAD_RULES) -> Column:
+def classify_payload_native(col: Column, rules: Sequence[tuple[str, str]]) -> Column:
     """Same rules as ``classify_payload_udf`` as a JVM-side ``when`` chain."""
-    expr = F.when(col.isNull() | (col == ""), PAYLOAD_EMPTY)
+    expr = F.when(col.isNull() | (col == ""), EMPTY)
     for needle, label in rules:
         expr = expr.when(col.contains(needle), label)
-    return expr.otherwise(PAYLOAD_OTHER)
+    return expr.otherwise(OTHER)
 
 
-def categorize_udf(groups: Mapping[str, Sequence[str]] = LOCATION_GROUPS,
-                   default: str = LOCATION_DEFAULT):
+def categorize_udf(groups: Mapping[str, Sequence[str]], default: str):
     """Vectorized (Arrow batch) pandas UDF mapping a value to its group label."""
     lookup = {v: label for label, values in groups.items() for v in values}
 

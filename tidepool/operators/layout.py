@@ -13,9 +13,9 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 DEFAULT_TARGET_FILE_BYTES = 256 * 1024 * 1024
 RETENTION_HOURS = 168
@@ -67,24 +67,52 @@ def compact(spark: SparkSession, src: str, dst: str, target_file_bytes: int = DE
     return dst
 
 
+#: Bits by which columns that are no numbers are ranked, and distinct values sampled for that.
+TEXT_BITS, TEXT_SAMPLE = 6, 10_000
+
+
+def _as_number(df: DataFrame, c: str) -> Column | None:
+    """A column's value as a number that keeps its order, or None."""
+    kind = df.schema[c].dataType
+    if isinstance(kind, NumericType):
+        return F.col(c)
+    if isinstance(kind, (DateType, TimestampType, TimestampNTZType)):
+        return F.unix_micros(F.col(c).cast("timestamp"))
+    return None
+
+
+def _quantiles(df: DataFrame, c: str, n: int) -> list:
+    """n - 1 values that cut a sample of the column's distinct values into equal parts."""
+    sample = df.select(c).filter(F.col(c).isNotNull()).distinct().orderBy(F.xxhash64(c), c).limit(TEXT_SAMPLE)
+    values = [r[0] for r in sample.orderBy(c).collect()]
+    return sorted({values[i * len(values) // n] for i in range(1, n)}) if values else []
+
+
+def _not_above(c: str):
+    return lambda x: x <= F.col(c)
+
+
 def with_zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 8, name: str = "_z",
                     accuracy: int = 1_000) -> DataFrame:
     """Add the Morton key: interleaved bits of each column's rank bucket.
 
-    Numeric columns are cut at approximate percentiles (all columns from one
-    small aggregate row) and bucketed with ``Bucketizer`` (a JVM binary search
-    per value); other types use a hash, which keeps equal values together.
-    NULLs go to bucket 0.
+    Numbers, and dates and times as microseconds, are cut at approximate
+    percentiles (all columns from one small aggregate row) and bucketed with
+    ``Bucketizer`` (a JVM binary search per value). Other types are cut, in
+    their own order, at the quantiles of a bounded sample of their distinct
+    values: the sample moves the cuts, never a row's presence. NULLs go to
+    bucket 0.
     """
     from pyspark.ml.feature import Bucketizer
 
     n = 1 << bits
     probs = [i / n for i in range(1, n)]
-    numeric = [c for c in cols if isinstance(df.schema[c].dataType, NumericType)]
+    numbers = {c: _as_number(df, c) for c in cols}
+    numeric = [c for c in cols if numbers[c] is not None]
     cuts = {}
     if numeric:
-        row = df.agg(*[F.percentile_approx(c, probs, accuracy).alias(c) for c in numeric]).first()
-        cuts = {c: sorted({float(x) for x in row[c]}) for c in numeric}
+        row = df.agg(*[F.percentile_approx(numbers[c], probs, accuracy).alias(c) for c in numeric]).first()
+        cuts = {c: sorted({float(x) for x in row[c] or ()}) for c in numeric}
     out = df
     bucket_cols = []
     for j, c in enumerate(cols):
@@ -93,10 +121,13 @@ def with_zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 8, name: str
         if c in cuts:
             splits = [float("-inf")] + cuts[c] + [float("inf")]
             out = Bucketizer(splits=splits, inputCol=f"_zin{j}", outputCol=bc, handleInvalid="keep") \
-                .transform(out.withColumn(f"_zin{j}", F.col(c).cast("double"))).drop(f"_zin{j}")
+                .transform(out.withColumn(f"_zin{j}", numbers[c].cast("double"))).drop(f"_zin{j}")
             out = out.withColumn(bc, F.coalesce(F.col(bc).cast("long"), F.lit(0).cast("long")))
         else:
-            out = out.withColumn(bc, F.pmod(F.xxhash64(F.col(c)), F.lit(n)).cast("long"))
+            coarse = min(bits, TEXT_BITS)
+            values = [F.lit(v) for v in _quantiles(df, c, 1 << coarse)]
+            below = F.size(F.filter(F.array(*values), _not_above(c))) if values else F.lit(0)
+            out = out.withColumn(bc, F.shiftleft(F.coalesce(F.when(F.col(c).isNotNull(), below), F.lit(0)).cast("long"), bits - coarse))
     z = F.lit(0).cast("long")
     k = len(cols)
     for i in range(bits):
@@ -110,7 +141,9 @@ def zorder(df: DataFrame, cols: Sequence[str], dst: str, num_files: int, bits: i
     if not 1 <= len(cols) <= 6:
         raise ValueError("z-order takes 1 to 6 columns")
     keyed = with_zorder_key(df, cols, bits)
-    (keyed.repartitionByRange(num_files, "_z").sortWithinPartitions("_z").drop("_z")
+    # The row's hash ends the range key, so rows of one hot value are spread over files too.
+    order = ["_z", *cols, F.xxhash64(*df.columns)]
+    (keyed.repartitionByRange(num_files, *order).sortWithinPartitions("_z", *cols).drop("_z")
      .write.mode("overwrite").parquet(dst))
     return dst
 
@@ -140,7 +173,7 @@ def apply_clustering(df: DataFrame, spec: LayoutSpec, dst: str, num_files: int)
     """Clustering job: z-order on the spec's columns (range sort for one column)."""
     if len(spec.cluster_by) == 1:
         c = spec.cluster_by[0]
-        df.repartitionByRange(num_files, c).sortWithinPartitions(c).write.mode("overwrite").parquet(dst)
+        df.repartitionByRange(num_files, c, F.xxhash64(*df.columns)).sortWithinPartitions(c).write.mode("overwrite").parquet(dst)
         return dst
     return zorder(df, spec.cluster_by, dst, num_files)
 

@@ -16,11 +16,10 @@ Semantics (the SQL MERGE rules):
 * two source rows matching one target row is an error when a matched clause
   exists.
 
-Plan: when the source is small (checked row count) the target is split with a
-broadcast of the source keys: untouched rows stream through a left-anti join
-without any shuffle and only the touched rows meet the source in a full outer
-join. Otherwise it is one full outer join on the keys (hash-partitioned, AQE
-handles skew).
+Plan: one full outer join of target and source on the keys, so each side is
+scanned and shuffled once; insert-only merges take an anti join instead. Rows
+with a NULL key are spread by a salt. One job before that looks for repeated
+source keys, where a matched clause exists.
 """
 
 from __future__ import annotations
@@ -31,10 +30,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .relational import sized_broadcast
+from ..session import remove_folders
 
 STAR = "*"
-SOURCE_BROADCAST_MAX_ROWS = 5_000_000
 
 
 def _expr(e) -> Column | None:
@@ -120,35 +118,23 @@ def add_missing_columns(df: DataFrame, like: DataFrame) -> DataFrame:
     return df.select("*", *extra) if extra else df
 
 
-def source_key_stats(source: DataFrame, on: Sequence[str]) -> tuple[int, int]:
-    """(rows, largest number of rows sharing one key) of the source, one job."""
-    per_key = source.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    row = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
-                      F.coalesce(F.max("_n"), F.lit(0)).alias("max_per_key")).first()
-    return int(row["rows"]), int(row["max_per_key"])
-
-
-def check_unique_matches(target: DataFrame, source: DataFrame, on: Sequence[str],
-                         max_per_key: int | None = None) -> None:
+def check_unique_matches(target: DataFrame, source: DataFrame, on: Sequence[str]) -> None:
     """Raise when two source rows would modify the same target row.
 
     Only when the source repeats a key is the target consulted, and then only
-    against the repeated keys (broadcast when few).
+    against the repeated keys.
     """
-    if max_per_key is None:
-        max_per_key = source_key_stats(source, on)[1]
-    if max_per_key <= 1:
-        return
     dup_keys = source.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select(*on)
-    dup = target.select(*on).join(sized_broadcast(dup_keys, SOURCE_BROADCAST_MAX_ROWS), list(on), "left_semi")
-    if dup.limit(1).count() > 0:
+    if dup_keys.isEmpty():
+        return
+    dup = target.select(*on).join(dup_keys, list(on), "left_semi")
+    if not dup.isEmpty():
         raise MergeAmbiguityError(
             "MERGE: multiple source rows matched the same target row; deduplicate the source first")
 
 
 def merge(target: DataFrame, source: DataFrame, on: Sequence[str], clauses: Sequence,
-          evolve: bool = False, check_ambiguity: bool = True,
-          source_broadcast_max_rows: int = SOURCE_BROADCAST_MAX_ROWS) -> DataFrame:
+          evolve: bool = False, check_ambiguity: bool = True) -> DataFrame:
     on = list(on)
     matched = [c for c in clauses if isinstance(c, WhenMatched)]
     inserts = [c for c in clauses if isinstance(c, WhenNotMatched)]
@@ -163,9 +149,8 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str], clauses: Sequ
                 types[f.name] = f.dataType
     src_cols = set(source.columns)
 
-    n_source, max_per_key = source_key_stats(source, on)
     if matched and check_ambiguity:
-        check_unique_matches(target, source, on, max_per_key)
+        check_unique_matches(target, source, on)
 
     def apply(t: DataFrame, s: DataFrame) -> DataFrame:
         ta = t.withColumn("_t_present", F.lit(True)).withColumn("_nk", null_salt(t, on, 1)).alias("t")
@@ -251,13 +236,6 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str], clauses: Sequ
         fresh = s_nk.join(tk, on + ["_nk"], "left_anti").drop("_nk")
         return passthrough(target).unionByName(apply(target.limit(0), fresh))
 
-    use_split = not by_source and source_broadcast_max_rows > 0
-    if use_split and n_source <= source_broadcast_max_rows:
-        # NULL keys never match: the anti join keeps them untouched, no shuffle.
-        keys = F.broadcast(source.select(*on).dropDuplicates())
-        untouched = target.join(keys, on, "left_anti")
-        touched = target.join(keys, on, "left_semi")
-        return passthrough(untouched).unionByName(apply(touched, source))
     return apply(target, source)
 
 
@@ -287,7 +265,7 @@ def bucket_of(on: Sequence[str], num_buckets: int) -> Column:
 
 def write_bucketed(df: DataFrame, path: str, on: Sequence[str], num_buckets: int) -> str:
     """Write a table partitioned by a hash bucket of its merge key."""
-    (df.withColumn(BUCKET_COL, bucket_of(on, num_buckets)).repartition(BUCKET_COL)
+    (df.withColumn(BUCKET_COL, bucket_of(on, num_buckets)).hint("rebalance", BUCKET_COL)
      .write.mode("overwrite").partitionBy(BUCKET_COL).parquet(path))
     return path
 
@@ -299,7 +277,8 @@ def merge_into_buckets(spark, path: str, source: DataFrame, on: Sequence[str], c
 
     The touched bucket list is bounded by ``num_buckets``; the target is read
     with partition pruning on those buckets, merged, staged, and the staged
-    buckets replace theirs with dynamic partition overwrite. Clauses that act
+    buckets replace theirs with dynamic partition overwrite. A bucket that the
+    merge leaves without rows is removed. Clauses that act
     on target rows without a source partner (NOT MATCHED BY SOURCE) only see
     the touched buckets. Returns the touched buckets.
     """
@@ -309,7 +288,10 @@ def merge_into_buckets(spark, path: str, source: DataFrame, on: Sequence[str], c
         return []
     target = spark.read.parquet(path).filter(F.col(BUCKET_COL).isin(touched))
     merged = merge(target, src, on, clauses, **kw)
-    merged.repartition(BUCKET_COL).write.mode("overwrite").partitionBy(BUCKET_COL).parquet(staging)
-    (spark.read.parquet(staging).repartition(BUCKET_COL).write.mode("overwrite")
+    merged.hint("rebalance", BUCKET_COL).write.mode("overwrite").partitionBy(BUCKET_COL).parquet(staging)
+    done = spark.read.schema(merged.schema).parquet(staging)
+    left = {r[0] for r in done.select(BUCKET_COL).distinct().collect()}
+    (done.hint("rebalance", BUCKET_COL).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET_COL).parquet(path))
+    remove_folders(spark, [f"{path.rstrip('/')}/{BUCKET_COL}={b}" for b in touched if b not in left])
     return touched

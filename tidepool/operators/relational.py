@@ -1,6 +1,6 @@
 """Relational building blocks that keep plans scalable.
 
-* ``sized_broadcast`` broadcasts a side only after checking its row count.
+* ``sized_broadcast`` broadcasts a side only after checking its size in bytes.
 * ``latest_per_key`` keeps one row per key with ``row_number() = 1``; Spark
   plans a partial group limit before the shuffle (map-side reduction), so a
   key holding a third of all rows never lands whole in one task.
@@ -20,19 +20,20 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-# Largest dimension we broadcast without a shuffle (rows). Above it the join
-# falls back to a shuffled join (and AQE may still convert it at runtime).
-BROADCAST_MAX_ROWS = 2_000_000
+# Largest side we ask Spark to broadcast, by the bytes its optimizer estimates.
+# Beyond it the join is left to Spark, which may still convert it at runtime.
+BROADCAST_MAX_BYTES = 32 << 20
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the side is proven small; else leave it to AQE."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+def sized_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast hint only where the plan's size estimate (an upper bound for scans, filters and
+    projections) is small; else leave it to AQE. Runs no job."""
+    n = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return F.broadcast(df) if n <= max_bytes else df
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence) -> DataFrame:

@@ -20,7 +20,6 @@ from .merge import null_salt
 from .scan import keyed_running
 
 OPEN_END_DATE = "9999-12-31"
-UPDATES_BROADCAST_MAX_ROWS = 5_000_000
 
 
 def _changed(tracked: Sequence[str]) -> Column:
@@ -44,13 +43,6 @@ def scd2_merge(dim: DataFrame, updates: DataFrame, keys: Sequence[str], tracked:
     attrs = [c for c in updates.columns if c not in keys]
     hist = dim.filter(~F.col(current_col))
     cur = dim.filter(F.col(current_col))
-    if updates.count() <= UPDATES_BROADCAST_MAX_ROWS:
-        # Small batch: open rows of keys not in the batch pass through (anti
-        # join against the broadcast keys); only touched rows are joined below.
-        batch_keys = F.broadcast(updates.select(*keys).dropDuplicates())
-        hist = hist.unionByName(cur.join(batch_keys, keys, "left_anti").select(*dim.columns))
-        cur = cur.join(batch_keys, keys, "left_semi")
-
     t = cur.withColumn("_tp", F.lit(True)).withColumn("_nk", null_salt(cur, keys, 1)).alias("t")
     s = updates.withColumn("_sp", F.lit(True)).withColumn("_nk", null_salt(updates, keys, -1)).alias("s")
     cond = F.col("t._nk") == F.col("s._nk")  # NULL keys never match; the salt spreads them

@@ -20,7 +20,8 @@ from ..operators.merge import WhenMatched, WhenNotMatched, merge_into_buckets, w
 from ..operators.relational import latest_per_key
 from ..session import scratch_path
 from ..sources import files as fs
-from ..sources.sinks import overwrite_partitions, write_partitioned
+from ..sources.sinks import replace_where as predicate_overwrite
+from ..sources.sinks import write_partitioned
 from ..sources.tables import Tables
 from ..streaming.runner import drain
 from .merges import merge_source, merge_target
@@ -137,7 +138,7 @@ def multi_format_union(spark: SparkSession, sf: str) -> DataFrame:
     ], target)
 
 
-@register("copy_into_idempotent", ops=("SRC7", "SRC8"), oracle="SELECT * FROM orders")
+@register("copy_into_idempotent", ops=("SRC7",), oracle="SELECT * FROM orders")
 def copy_into_idempotent(spark: SparkSession, sf: str) -> DataFrame:
     """Two landings, four loads: reruns add nothing, the second landing is loaded once."""
     o = Tables(spark, sf).orders
@@ -155,6 +156,23 @@ def copy_into_idempotent(spark: SparkSession, sf: str) -> DataFrame:
     return fs.read_loaded(spark, target)
 
 
+@register("copy_into_schema_merge", ops=("SRC8",), oracle="""
+SELECT o_orderkey, o_custkey, o_totalprice, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS o_orderpriority
+FROM orders
+""")
+def copy_into_schema_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """The second landing (gzipped, another suffix) brings a new column; rows loaded before have NULL in it."""
+    o = Tables(spark, sf).orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    base = scratch_path(spark, "copy_merge")
+    landing, target, ledger = f"{base}/landing", f"{base}/target", f"{base}/ledger"
+    even = F.coalesce(F.col("o_orderkey") % 2 == 0, F.lit(False))
+    fs.write_files(o.filter(~even).drop("o_orderpriority"), f"{landing}/b1", "json", 2)
+    fs.copy_into(spark, landing, "json", None, target, ledger, {"recursiveFileLookup": "true"})
+    fs.write_files(o.filter(even), f"{landing}/b2", "json", 2, compression="gzip")
+    fs.copy_into(spark, landing, "json", None, target, ledger, {"recursiveFileLookup": "true"})
+    return fs.read_loaded(spark, target).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+
+
 @register("bronze_metadata", ops=("SRC18", "SRC19"), oracle="""
 SELECT event_id, user_id, event_type, ts, 'events_feed' AS _source_system, true AS from_landing FROM events
 """)
@@ -170,7 +188,7 @@ def bronze_metadata(spark: SparkSession, sf: str) -> DataFrame:
     return bronze.select("event_id", "user_id", "event_type",
                          F.try_to_timestamp("ts_text", F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS")).cast("timestamp_ntz")
                          .alias("ts"),
-                         "_source_system", F.col("_source_file").startswith("file:").alias("from_landing"))
+                         "_source_system", F.col("_source_file").contains(path.rstrip("/").rsplit("/", 1)[-1]).alias("from_landing"))
 
 
 @register("schema_hints", ops=("SRC10", "SRC11"), oracle="""
@@ -291,8 +309,10 @@ def stream_static_enrich(spark: SparkSession, sf: str) -> DataFrame:
     enriched = stream.join(dim, F.col("user_id") == F.col("c_custkey"), "left").select(
         "event_id", "user_id", F.coalesce("c_mktsegment", F.lit("UNKNOWN")).alias("segment"),
         ((F.col("value") > 25) != (F.col("c_acctbal") > 0)).alias("value_balance_mismatch"))
-    drain(enriched, f"{base}/out", f"{base}/_checkpoint")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    try:
+        drain(enriched, f"{base}/out", f"{base}/_checkpoint")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     return spark.read.parquet(f"{base}/out")
 
 
@@ -315,8 +335,8 @@ SELECT o_orderkey, o_custkey,
 FROM orders
 """)
 def replace_where(spark: SparkSession, sf: str) -> DataFrame:
-    """Replace only the 1999 rows with restated prices; other years are kept
-    (the predicate is a partition, so only that folder is rewritten)."""
+    """Replace only the 1999 rows with restated prices; other years are kept. The new
+    version is written to a new path."""
     o = Tables(spark, sf).orders.select("o_orderkey", "o_custkey", "o_totalprice",
                                         F.year("o_orderdate").alias("o_year"))
     path = scratch_path(spark, "replace_where")
@@ -324,10 +344,10 @@ def replace_where(spark: SparkSession, sf: str) -> DataFrame:
     restated = spark.read.parquet(path).filter(F.col("o_year") == 1999) \
                     .withColumn("o_totalprice", rnd(F.col("o_totalprice") * 1.1, 2))
     restated = restated.select("o_orderkey", "o_custkey", "o_totalprice", "o_year")
-    staged = scratch_path(spark, "replace_where_stage")
-    restated.write.parquet(staged)  # materialise before overwriting the folder it was read from
-    overwrite_partitions(spark.read.parquet(staged), path, ["o_year"])
-    return spark.read.parquet(path).select("o_orderkey", "o_custkey", "o_totalprice", "o_year")
+    version = scratch_path(spark, "replace_where_v2")
+    old = spark.read.parquet(path).select(*restated.columns)
+    write_partitioned(predicate_overwrite(old, restated, F.col("o_year") == 1999), version, ["o_year"])
+    return spark.read.parquet(version).select("o_orderkey", "o_custkey", "o_totalprice", "o_year")
 
 
 @register("stream_merge_upsert", ops=("SNK9", "MRG13"), oracle="""

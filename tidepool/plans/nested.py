@@ -48,7 +48,7 @@ def hash_key(spark: SparkSession, sf: str) -> DataFrame:
                     F.substring("o_orderpriority", 1, 1).alias("priority_code"))
 
 
-@register("returns_split", ops=("FUN4", "STM8"), oracle="""
+@register("returns_split", ops=("FUN4"), oracle="""
 SELECT l_orderkey, l_linenumber,
   CASE WHEN l_returnflag = 'R' THEN 'return' ELSE 'sale' END AS kind,
   CASE WHEN l_returnflag = 'R' THEN -round(l_extendedprice * (1 - l_discount), 2)
@@ -75,7 +75,7 @@ def nested_orders(t: Tables) -> DataFrame:
     return t.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey")
 
 
-@register("explode_lines", ops=("ARR1", "STM10"), oracle="""
+@register("explode_lines", ops=("ARR1",), oracle="""
 SELECT o.o_orderkey, o.o_custkey, l.l_partkey, l.l_quantity, l.l_extendedprice
 FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
 """)

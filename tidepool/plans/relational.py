@@ -227,7 +227,7 @@ def broadcast_join(spark: SparkSession, sf: str) -> DataFrame:
     """Dimension join with an explicit broadcast of a size-checked side."""
     t = Tables(spark, sf)
     geo = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    geo = rel.sized_broadcast(geo, max_rows=100_000)
+    geo = rel.sized_broadcast(geo)
     return (t.supplier.join(geo, F.col("s_nationkey") == F.col("n_nationkey"))
             .select("s_suppkey", "s_name", F.col("n_name").alias("supplier_nation"),
                     F.col("r_name").alias("supplier_region")))

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.nested import explode_struct_array, nest
 from ..functions.numeric import rnd
 from ..session import scratch_path
 from ..sources import files as fs
@@ -181,3 +182,56 @@ def stream_complete_counts(spark: SparkSession, sf: str) -> DataFrame:
 
     drain(out, None, f"{base}/_checkpoint", output_mode="complete", foreach_batch=overwrite)
     return spark.read.parquet(f"{base}/out").withColumn("total_value", rnd("total_value", 2))
+
+
+@register("stream_static_inner", ops=("JOI11",), oracle=f"""WITH {RETRIES_SQL}
+SELECT s.event_id, s.ts, c.c_custkey, c.c_mktsegment FROM src s JOIN customer c ON s.user_id = c.c_custkey
+""")
+def stream_static_inner(spark: SparkSession, sf: str) -> DataFrame:
+    """Stream-static inner join: events of unknown users are dropped."""
+    s, base = event_stream(spark, sf, "stream_inner")
+    dim = Tables(spark, sf).customer.select("c_custkey", "c_mktsegment")
+    joined = s.join(dim, F.col("user_id") == F.col("c_custkey")).select("event_id", _ntz("ts").alias("ts"), "c_custkey", "c_mktsegment")
+    return _run(joined, base)
+
+
+def line_stream(spark: SparkSession, sf: str, name: str) -> tuple[DataFrame, str]:
+    """Lineitem landed as files and opened as a stream."""
+    lines = Tables(spark, sf).lineitem
+    base = scratch_path(spark, name)
+    fs.write_files(lines, f"{base}/landing", "parquet", 2)
+    return spark.readStream.schema(lines.schema).parquet(f"{base}/landing"), base
+
+
+@register("stream_split", ops=("STM8",), oracle="""
+SELECT CASE WHEN l_returnflag = 'R' THEN 'returns' ELSE 'sales' END AS sink,
+       l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount), 2) AS net
+FROM lineitem
+""")
+def stream_split(spark: SparkSession, sf: str) -> DataFrame:
+    """One stream filtered into two sinks, sales and returns, each with its own checkpoint; a NULL flag is a sale."""
+    lines, base = line_stream(spark, sf, "stream_split")
+    net = rnd(F.col("l_extendedprice") * (1 - F.col("l_discount")), 2).alias("net")
+    returned = F.coalesce(F.col("l_returnflag") == "R", F.lit(False))
+    out = None
+    for sink, rows in (("sales", lines.filter(~returned)), ("returns", lines.filter(returned))):
+        drain(rows.select("l_orderkey", "l_linenumber", net), f"{base}/{sink}", f"{base}/_checkpoint_{sink}")
+        part = spark.read.parquet(f"{base}/{sink}").withColumn("sink", F.lit(sink))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("stream_explode_lines", ops=("STM10",), oracle="""
+SELECT o.o_orderkey, o.o_custkey, l.l_partkey, l.l_quantity
+FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+""")
+def stream_explode_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders with nested lines arrive as a stream; each line becomes a row."""
+    t = Tables(spark, sf)
+    lines = nest(t.lineitem, ["l_orderkey"], ["l_partkey", "l_quantity"], "line_items")
+    orders = (t.orders.select("o_orderkey", "o_custkey")
+              .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey"))
+    base = scratch_path(spark, "stream_explode")
+    orders.write.parquet(f"{base}/landing")
+    stream = spark.readStream.schema(orders.schema).parquet(f"{base}/landing")
+    return _run(explode_struct_array(stream, "line_items"), base)

@@ -37,7 +37,7 @@ def get_spark(master: str = "local[8]", app: str = "tidepool",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint dir, creating a local one only if unset."""
+    """Return the session's checkpoint dir; a local session without one gets a temporary folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -46,7 +46,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidepool-ckpt-"))
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidepool-ckpt-"))  # one machine: its own folder is shared
     return sc.getCheckpointDir()
 
 
@@ -56,10 +58,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tidepool-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme so local Python code can look at the folder."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
+def remove_folders(spark: SparkSession, paths: list[str]) -> None:
+    """Remove folders of a table through Hadoop's file system, wherever they are; absent ones are no error."""
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -8,6 +8,7 @@ rerun with the same checkpoint processes nothing twice.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,34 +39,33 @@ def drain(stream: DataFrame, sink_path: str | None, checkpoint: str, output_mode
         w = w.trigger(once=True)
     else:
         w = w.trigger(processingTime=trigger)
-    q = _start(w, stream.sparkSession)
-    if trigger in ("availableNow", "once"):
-        if timeout_s is None:
-            q.awaitTermination()
-        elif not q.awaitTermination(timeout_s):
+    with _all_reports(stream.sparkSession):
+        q = w.start()
+        if trigger in ("availableNow", "once"):
+            if timeout_s is None:
+                q.awaitTermination()
+            elif not q.awaitTermination(timeout_s):
+                q.stop()
+                raise TimeoutError(f"the stream was not drained within {timeout_s} s")
+        else:
+            # A processing-time trigger never ends by itself: process what is
+            # there, then stop the query.
+            q.processAllAvailable()
+        if q.isActive:
             q.stop()
-            raise TimeoutError(f"the stream was not drained within {timeout_s} s")
-    else:
-        # A processing-time trigger never ends by itself: process what is
-        # there, then stop the query.
-        q.processAllAvailable()
-    if q.isActive:
-        q.stop()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return q
 
 
-def _start(writer, spark: SparkSession):
-    """Starts the query so that it keeps more than the last 100 progress reports.
-
-    The query takes the setting over when it starts; the session gets its own back.
-    """
+@contextmanager
+def _all_reports(spark: SparkSession):
+    """Queries keep more than the last 100 progress reports; the session gets its own setting back."""
     key = "spark.sql.streaming.numRecentProgressUpdates"
     old = spark.conf.get(key, None)
     spark.conf.set(key, str(KEPT_REPORTS))
     try:
-        return writer.start()
+        yield
     finally:
         if old is None:
             spark.conf.unset(key)
