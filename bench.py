@@ -28,6 +28,7 @@ HEADLINE = [
     "merge_upsert", "merge_multi_clause", "scd2_merge", "auto_cdc_scd2", "as_of_version", "cdf_propagate",
     "quality_report", "expect_or_drop", "denormalized_facts", "pipeline_medallion",
     "ntile_quartiles", "copy_into_idempotent", "stream_file_ingest", "tumbling_velocity", "zorder_layout",
+    "auto_cdc_stream", "stream_merge_upsert", "pipeline_retail", "pipeline_payments", "pipeline_layout",
 ]
 
 
