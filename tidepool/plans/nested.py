@@ -48,7 +48,7 @@ def hash_key(spark: SparkSession, sf: str) -> DataFrame:
                     F.substring("o_orderpriority", 1, 1).alias("priority_code"))
 
 
-@register("returns_split", ops=("FUN4"), oracle="""
+@register("returns_split", ops=("FUN4",), oracle="""
 SELECT l_orderkey, l_linenumber,
   CASE WHEN l_returnflag = 'R' THEN 'return' ELSE 'sale' END AS kind,
   CASE WHEN l_returnflag = 'R' THEN -round(l_extendedprice * (1 - l_discount), 2)
