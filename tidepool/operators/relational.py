@@ -32,7 +32,7 @@ def _col(c) -> Column:
 def sized_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Broadcast hint only where the plan's size estimate (an upper bound for scans, filters and
     projections) is small; else leave it to AQE. Runs no job."""
-    n = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    n = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return F.broadcast(df) if n <= max_bytes else df
 
 
