@@ -21,7 +21,7 @@ Versions and change feeds
     changes_between, apply_changes
 Schema and quality
     Rule, RuleSet, not_null, split, validate, violation_counts, expect,
-    observe_expectations, quality_report, profile, enforce, evolve_append
+    quality_report, profile, enforce, evolve_append
 Layout
     compact, zorder, LayoutSpec, apply_clustering, file_report, skipping_report,
     orphan_files
@@ -39,7 +39,7 @@ from .operators.layout import (LayoutSpec, apply_clustering, compact, file_repor
                                zorder)
 from .operators.merge import (MergeBuilder, WhenMatched, WhenNotMatched, WhenNotMatchedBySource, merge,
                               merge_into_buckets, write_bucketed)
-from .operators.quality import (Rule, RuleSet, enforce, evolve_append, expect, not_null, observe_expectations,
+from .operators.quality import (Rule, RuleSet, enforce, evolve_append, expect, not_null,
                                 profile, quality_report, split, validate, violation_counts)
 from .operators.relational import (global_ntile, global_row_number, latest_per_key, salted_agg, sized_broadcast,
                                    top_n_per_group)

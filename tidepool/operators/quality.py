@@ -80,8 +80,9 @@ def violation_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("_total")]
     aggs += [F.count(F.when(~r.holds(), 1)).alias(f"_f{i}") for i, r in enumerate(rules)]
     wide = df.agg(*aggs)
-    stack = ", ".join(f"'{r.name}', '{r.expr.replace(chr(39), chr(39) * 2)}', _f{i}" for i, r in enumerate(rules))
-    return wide.selectExpr(f"stack({len(rules)}, {stack}) AS (rule, expression, failed)", "_total AS total")
+    rows = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(r.expr).alias("expression"), F.col(f"_f{i}").alias("failed"))
+                     for i, r in enumerate(rules)])
+    return wide.select(F.explode(rows).alias("_r"), F.col("_total").alias("total")).select("_r.rule", "_r.expression", "_r.failed", "total")
 
 
 def validate(df: DataFrame, rules: Sequence[Rule], on_fail: str = "raise") -> DataFrame:
@@ -109,17 +110,6 @@ def expect(df: DataFrame, expectations: Mapping[str, str], action: str = "warn")
     raise ValueError(action)
 
 
-def observe_expectations(df: DataFrame, expectations: Mapping[str, str], name: str = "expectations"):
-    """Attach failure counters that are filled while the data flows (batch or stream).
-
-    Returns (df, Observation); read ``observation.get`` after an action.
-    """
-    from pyspark.sql import Observation
-    obs = Observation(name)
-    aggs = [F.count(F.when(~Rule(k, v).holds(), 1)).alias(k) for k, v in expectations.items()]
-    return df.observe(obs, F.count(F.lit(1)).alias("_rows"), *aggs), obs
-
-
 def quality_report(tables: Mapping[str, tuple[DataFrame, Mapping[str, str]]]) -> DataFrame:
     """Per table one aggregate over all its checks, stacked to (table, check, total, passed, pass_rate)."""
     parts = []

@@ -35,12 +35,25 @@ FROM lineitem
 """)
 def enforce_cast(spark: SparkSession, sf: str) -> DataFrame:
     """Quantities arrive as text (returned lines as '<n> units'); try_cast makes misfits NULL."""
+    batch, target = _text_quantities(spark, sf)
+    return q.enforce(batch, target, mode="cast")
+
+
+@register("enforce_cast_misfits", ops=("CON3",), oracle="""
+SELECT count(*) FILTER (WHERE l_returnflag = 'R' AND l_quantity IS NOT NULL) AS l_quantity FROM lineitem
+""")
+def enforce_cast_misfits(spark: SparkSession, sf: str) -> DataFrame:
+    """How many values that cast would make NULL."""
+    return q.cast_misfits(*_text_quantities(spark, sf))
+
+
+def _text_quantities(spark: SparkSession, sf: str):
+    """Lines with their quantity as text, and the schema they should have."""
     li = Tables(spark, sf).lineitem
     qty_text = F.when(F.col("l_returnflag") == "R", F.concat(F.col("l_quantity").cast("string"), F.lit(" units"))) \
                 .otherwise(F.col("l_quantity").cast("string"))
     batch = li.select("l_orderkey", "l_linenumber", qty_text.alias("l_quantity"))
-    target = li.select("l_orderkey", "l_linenumber", "l_quantity").schema
-    return q.enforce(batch, target, mode="cast")
+    return batch, li.select("l_orderkey", "l_linenumber", "l_quantity").schema
 
 
 @register("evolve_append", ops=("CON5", "SET4"), oracle="""
@@ -186,6 +199,32 @@ def quality_report(spark: SparkSession, sf: str) -> DataFrame:
     })
 
 
+@register("tier_quality_report", ops=("DQ4",), oracle="""
+WITH silver AS (SELECT l.* FROM lineitem l WHERE l_quantity > 0 AND l_extendedprice > 0),
+gold AS (SELECT o.o_orderdate, sum(l_extendedprice) AS revenue FROM silver l JOIN orders o ON o.o_orderkey = l.l_orderkey GROUP BY 1),
+c(tier, check_name, total, passed) AS (
+SELECT 'bronze', 'key_not_null', count(*), count(l_orderkey) FROM lineitem
+UNION ALL SELECT 'silver', 'positive_price', count(*), count(*) FILTER (WHERE l_extendedprice > 0) FROM silver
+UNION ALL SELECT 'silver', 'order_exists', count(*), count(*) FILTER (WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l_orderkey AND o.o_orderstatus <> 'P')) FROM silver
+UNION ALL SELECT 'gold', 'positive_revenue', count(*), count(*) FILTER (WHERE revenue > 0) FROM gold)
+SELECT *, round(CAST(passed AS DOUBLE) / total, 4) AS pass_rate FROM c
+""")
+def tier_quality_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Checks of three tiers in one report, among them orphans: lines without an order that is not pending."""
+    t = Tables(spark, sf)
+    bronze = t.lineitem
+    silver = bronze.filter("l_quantity > 0 AND l_extendedprice > 0")
+    settled = t.orders.filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("known")).distinct()
+    silver_checked = silver.join(settled, F.col("l_orderkey") == F.col("known"), "left")
+    gold = (silver.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .groupBy("o_orderdate").agg(F.sum("l_extendedprice").alias("revenue")))
+    return q.quality_report({
+        "bronze": (bronze, {"key_not_null": "l_orderkey IS NOT NULL"}),
+        "silver": (silver_checked, {"positive_price": "l_extendedprice > 0", "order_exists": "known IS NOT NULL"}),
+        "gold": (gold, {"positive_revenue": "revenue > 0"}),
+    }).withColumnRenamed("table_name", "tier")
+
+
 @register("contact_quality", ops=("PRJ9", "FUN2", "DQ5", "DQ6"), oracle="""
 WITH s AS (
   SELECT c_custkey, c_name,
