@@ -16,14 +16,14 @@ from ..operators import layout as lay
 from ..operators import quality as q
 from ..operators import relational as rel
 from ..operators.merge import WhenMatched, WhenNotMatched, merge
-from ..operators.scd import auto_cdc_scd2, current_rows, scd2_merge
+from ..operators.scd import scd2_merge
 from ..operators.windows import rfm_scores
 from ..session import scratch_path
 from ..sources import files as fs
-from ..sources.sinks import write_partitioned
+from ..sources.sinks import overwrite_partitions, write_partitioned
 from ..sources.tables import Tables
 from ..streaming.runner import drain, to_event_time
-from .merges import SRC_SQL, TGT_SQL, cdc_feed, merge_source, merge_target, scd_dimension
+from .merges import SRC_SQL, TGT_SQL, merge_source, merge_target, scd_dimension
 from .quality_checks import RISK_ALERT_ABOVE, risk_score_expr
 from .registry import register
 from .streams import RETRIES_SQL, events_with_retries
@@ -51,23 +51,35 @@ UNION ALL
 SELECT g0.* FROM g0 ANTI JOIN g1 ON g0.order_date = g1.order_date AND g0.o_orderstatus = g1.o_orderstatus
 """)
 def pipeline_medallion(spark: SparkSession, sf: str) -> DataFrame:
-    """Bronze (append two loads) -> silver (newest version per order) -> gold
-    (daily status mart merged incrementally: values replaced, new keys inserted)."""
+    """Two loads through bronze (append), silver (newest version per order) and
+    gold (daily status mart). The second load's work follows its batch: the batch
+    is deduplicated, merged into the silver years it touches, and only the days
+    it touches are aggregated again and merged into gold."""
     t = Tables(spark, sf)
     base = scratch_path(spark, "medallion")
-    b0 = merge_target(t).withColumn("_batch", F.lit(0))
-    b0.write.mode("append").parquet(f"{base}/bronze")
-    gold0 = _daily_status(b0)
-    gold0.write.parquet(f"{base}/gold_v0")
+    year = F.year("o_orderdate").alias("o_year")
+    # First load.
+    merge_target(t).withColumn("_batch", F.lit(0)).write.mode("append").parquet(f"{base}/bronze")
+    first = spark.read.parquet(f"{base}/bronze").drop("_batch")
+    write_partitioned(rel.latest_per_key(first, ["o_orderkey"], ["updated_at"]).select("*", year), f"{base}/silver", ["o_year"])
+    _daily_status(spark.read.parquet(f"{base}/silver")).write.parquet(f"{base}/gold_v0")
+    # Second load: an order keeps its date, so its versions are all in one year.
     merge_source(t).withColumn("_batch", F.lit(1)).write.mode("append").parquet(f"{base}/bronze")
-    bronze = spark.read.parquet(f"{base}/bronze")
-    report = q.quality_report({"bronze": (bronze, {"key_not_null": "o_orderkey IS NOT NULL",
-                                                   "positive_price": "o_totalprice > 0"})})
-    report.write.parquet(f"{base}/quality_report")
-    silver = rel.latest_per_key(bronze, ["o_orderkey"], ["updated_at", "_batch"]).drop("_batch")
-    silver.write.parquet(f"{base}/silver")
-    gold = merge(spark.read.parquet(f"{base}/gold_v0"), _daily_status(spark.read.parquet(f"{base}/silver")),
-                 ["order_date", "o_orderstatus"],
+    batch = rel.latest_per_key(spark.read.parquet(f"{base}/bronze").filter("_batch = 1").drop("_batch"), ["o_orderkey"], ["updated_at"])
+    batch.select("*", year).write.parquet(f"{base}/batch")
+    batch = spark.read.parquet(f"{base}/batch")
+    years = [r[0] for r in batch.select("o_year").distinct().collect()]  # one a year
+    touched = F.lit(False)
+    for y in years:
+        touched = touched | F.col("o_year").eqNullSafe(F.lit(y))
+    merged = merge(spark.read.parquet(f"{base}/silver").filter(touched).select(*batch.columns), batch, ["o_orderkey"],
+                   [WhenMatched(condition="s.updated_at >= t.updated_at", update="*"), WhenNotMatched()])
+    merged.write.parquet(f"{base}/silver_touched")
+    overwrite_partitions(spark.read.parquet(f"{base}/silver_touched"), f"{base}/silver", ["o_year"])
+    days = batch.select(F.to_date("o_orderdate").alias("day")).distinct()
+    changed = (spark.read.parquet(f"{base}/silver").filter(touched)
+               .join(days, F.to_date("o_orderdate").eqNullSafe(F.col("day")), "left_semi"))
+    gold = merge(spark.read.parquet(f"{base}/gold_v0"), _daily_status(changed), ["order_date", "o_orderstatus"],
                  [WhenMatched(update={"n_orders": "s.n_orders", "revenue": "s.revenue"}), WhenNotMatched()])
     gold.write.parquet(f"{base}/gold_v1")
     return spark.read.parquet(f"{base}/gold_v1")
@@ -170,22 +182,35 @@ def pipeline_payments(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ PIP1 retail
 
-@register("pipeline_retail", ops=("PIP1", "DQ1", "DQ2"), oracle="""
-WITH sales AS (SELECT * FROM lineitem WHERE l_quantity > 0 AND l_extendedprice > 0 AND l_returnflag <> 'R')
-SELECT p.p_partkey, p.p_name AS product_name, s.s_name AS supplier_name, sum(l.l_quantity) AS units,
-       round(sum(l.l_extendedprice), 2) AS revenue, count(*) AS n_lines
-FROM sales l LEFT JOIN part p ON l.l_partkey = p.p_partkey LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
-GROUP BY p.p_partkey, p.p_name, s.s_name
-""")
-def pipeline_retail(spark: SparkSession, sf: str) -> DataFrame:
-    """Bronze line stream with observed expectation counters (drop) ->
-    sales/returns split -> customer SCD2 history from the event feed ->
-    denormalized facts -> product mart."""
+RETAIL_CTE = """
+WITH sales AS (SELECT * FROM lineitem WHERE l_quantity > 0 AND l_extendedprice > 0 AND coalesce(l_returnflag <> 'R', true)),
+products AS (SELECT p_partkey, p_name AS product_name, p_type AS product_type FROM part),
+stores AS (SELECT s_suppkey, s_name AS supplier_name, s_nationkey FROM supplier),
+customers AS (SELECT c_custkey, c_name AS customer_name, c_mktsegment FROM customer),
+facts AS (
+  SELECT l.*, o.o_custkey, CAST(o.o_orderdate AS DATE) AS day, p.product_name, p.product_type, p_partkey, s.supplier_name, c.customer_name, c.c_mktsegment
+  FROM sales l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey LEFT JOIN products p ON l.l_partkey = p.p_partkey
+  LEFT JOIN stores s ON l.l_suppkey = s.s_suppkey LEFT JOIN customers c ON o.o_custkey = c.c_custkey)
+"""
+DIM_START, DIM_BATCH = "1990-01-01", "2024-01-01"
+
+
+def _dimension(now: DataFrame, key: str, old: dict[str, str]) -> DataFrame:
+    """Current rows of a type-2 dimension: an earlier state, in which every third row had
+    the values of ``old`` and every fifth was missing, merged with the state of now."""
+    was = now.filter(F.col(key) % 5 != 0).select(*[
+        F.when(F.col(key) % 3 == 0, F.lit(old[c])).otherwise(F.col(c)).alias(c) if c in old else F.col(c) for c in now.columns],
+        F.lit(True).alias("is_current"), F.lit(DIM_START).cast("date").alias("effective_start_date"),
+        F.lit("9999-12-31").cast("date").alias("effective_end_date"))
+    return scd2_merge(was, now, [key], [c for c in now.columns if c != key], DIM_BATCH)
+
+
+def _retail(spark: SparkSession, sf: str) -> DataFrame:
+    """The retail job up to its facts: a bronze line stream with counted expectations (failing rows
+    dropped), sales and returns apart, three type-2 dimensions, sales joined to their current rows."""
     t = Tables(spark, sf)
     base = scratch_path(spark, "pipe_retail")
     fs.write_files(t.lineitem, f"{base}/landing", "parquet", 4)
-    # Bronze stream: expectations are counted while the rows flow (observe),
-    # failing rows are dropped, the counters land in the query progress.
     expectations = {"positive_quantity": "l_quantity > 0", "positive_price": "l_extendedprice > 0"}
     stream = spark.readStream.schema(t.lineitem.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/landing")
     observed = stream.observe("bronze_expectations", F.count(F.lit(1)).alias("rows"),
@@ -197,20 +222,53 @@ def pipeline_retail(spark: SparkSession, sf: str) -> DataFrame:
                           "rows long, failed_positive_quantity long, failed_positive_price long") \
          .write.parquet(f"{base}/bronze_expectation_metrics")
     lines = spark.read.parquet(f"{base}/bronze_lines")
-    sales = lines.filter(F.col("l_returnflag") != "R")
-    returns = lines.filter(F.col("l_returnflag") == "R")
-    returns.write.parquet(f"{base}/returns")
-    customers = current_rows(auto_cdc_scd2(cdc_feed(t), ["user_id"], "ts", tracked=["event_type"]))
-    customers.write.parquet(f"{base}/dim_customers")
-    products = t.part.select("p_partkey", F.col("p_name").alias("product_name"))
-    stores = t.supplier.select("s_suppkey", F.col("s_name").alias("supplier_name"))
-    facts = (sales.join(products, F.col("l_partkey") == F.col("p_partkey"), "left")
-             .join(stores, F.col("l_suppkey") == F.col("s_suppkey"), "left"))
+    returned = F.coalesce(F.col("l_returnflag") == "R", F.lit(False))
+    lines.filter(returned).write.parquet(f"{base}/returns")
+    dims = {
+        "products": _dimension(t.part.select("p_partkey", F.col("p_name").alias("product_name"), F.col("p_type").alias("product_type")),
+                               "p_partkey", {"product_type": "UNKNOWN"}),
+        "stores": _dimension(t.supplier.select("s_suppkey", F.col("s_name").alias("supplier_name")), "s_suppkey", {"supplier_name": "?"}),
+        "customers": _dimension(t.customer.select("c_custkey", F.col("c_name").alias("customer_name"), "c_mktsegment"),
+                                "c_custkey", {"c_mktsegment": "UNKNOWN"}),
+    }
+    current = {}
+    for name, dim in dims.items():
+        dim.write.parquet(f"{base}/dim_{name}")
+        current[name] = spark.read.parquet(f"{base}/dim_{name}").filter("is_current").drop(
+            "is_current", "effective_start_date", "effective_end_date")
+    orders = t.orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"))
+    facts = (lines.filter(~returned).join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+             .join(current["products"], F.col("l_partkey") == F.col("p_partkey"), "left")
+             .join(current["stores"], F.col("l_suppkey") == F.col("s_suppkey"), "left")
+             .join(current["customers"], F.col("o_custkey") == F.col("c_custkey"), "left"))
     facts.write.parquet(f"{base}/facts")
-    f = spark.read.parquet(f"{base}/facts")
-    return f.groupBy("p_partkey", "product_name", "supplier_name").agg(
-        F.sum("l_quantity").alias("units"), rnd(F.sum("l_extendedprice"), 2).alias("revenue"),
-        F.count(F.lit(1)).alias("n_lines"))
+    return spark.read.parquet(f"{base}/facts")
+
+
+def _mart(facts: DataFrame, *by: str) -> DataFrame:
+    return facts.groupBy(*by).agg(F.sum("l_quantity").alias("units"), rnd(F.sum("l_extendedprice"), 2).alias("revenue"),
+                                  F.count(F.lit(1)).alias("n_lines"))
+
+
+MART_SQL = "sum(l_quantity) AS units, round(sum(l_extendedprice), 2) AS revenue, count(*) AS n_lines FROM facts GROUP BY ALL"
+
+
+@register("pipeline_retail", ops=("PIP1", "DQ1", "DQ2"), oracle=f"{RETAIL_CTE} SELECT p_partkey, product_name, product_type, supplier_name, {MART_SQL}")
+def pipeline_retail(spark: SparkSession, sf: str) -> DataFrame:
+    """Product mart of the retail job."""
+    return _mart(_retail(spark, sf), "p_partkey", "product_name", "product_type", "supplier_name")
+
+
+@register("pipeline_retail_daily", ops=("PIP1",), oracle=f"{RETAIL_CTE} SELECT day, supplier_name, {MART_SQL}")
+def pipeline_retail_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """Sales per day and store."""
+    return _mart(_retail(spark, sf), "day", "supplier_name")
+
+
+@register("pipeline_retail_customers", ops=("PIP1",), oracle=f"{RETAIL_CTE} SELECT o_custkey, customer_name, c_mktsegment, {MART_SQL}")
+def pipeline_retail_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """Sales per customer with the customer's current segment."""
+    return _mart(_retail(spark, sf), "o_custkey", "customer_name", "c_mktsegment")
 
 
 # ------------------------------------------------------------------ PIP4 orders
