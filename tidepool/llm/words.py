@@ -98,10 +98,13 @@ class Slice:
 def slices(texts: pa.Array, in_word: np.ndarray = NOT_SPACE, fold: bool = False,
            size: int = SLICE_BYTES) -> Iterator[Slice]:
     """The texts of an Arrow column slice by slice; a null counts as an empty text."""
-    texts = texts.cast(pa.large_binary()).fill_null(b"")
     if not len(texts):
         return
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    if texts.null_count:
+        texts = texts.fill_null("")
+    wide = pa.types.is_large_string(texts.type)
+    offsets = np.frombuffer(texts.buffers()[1], np.int64 if wide else np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    offsets = offsets.astype(np.int64)
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
     first = 0
     while first < len(texts):
