@@ -33,6 +33,7 @@ import html
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -149,18 +150,20 @@ def _hash(*parts) -> int:
     return int.from_bytes(hashlib.blake2b("\0".join(map(str, parts)).encode(errors="replace"), digest_size=8).digest(), "little", signed=True)
 
 
-def roles(page: str) -> tuple[list[int], list[tuple]]:
-    """The token ids of a page in order, and the tokens."""
-    ids, found = [], []
-    for token in tokens(page):
-        kind, value, node, _ = token
-        if kind == "text":
-            value = _SPACE.sub(" ", value).strip()
-            if not value:
-                continue
-        ids.append(_hash(kind, node.path if kind == "text" else "", value))
-        found.append(token)
-    return ids, found
+@lru_cache(maxsize=1 << 16)
+def _tag_id(path: str) -> int:
+    return _hash("tag", path)
+
+
+def _text_id(path: str, text: str) -> int | None:
+    """The id of a text run, None if it is white space only."""
+    text = _SPACE.sub(" ", text).strip()
+    return _hash("text", path, text) if text else None
+
+
+def roles(found: list[tuple]) -> list[int | None]:
+    """The ids of a page's tokens; None for white space."""
+    return [_tag_id(value) if kind == "tag" else _text_id(node.path, value) for kind, value, node, _ in found]
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +171,8 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         seen: dict[tuple, list] = {}
         for host, key, page in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            ids, found = roles(page or "")
+            found = [t for t in tokens(page or "") if t[0] == "tag" or not t[1].isspace()]
+            ids = roles(found)
             counts = Counter(ids)
             first = {}
             for i, t in enumerate(ids):
@@ -204,7 +208,7 @@ def templates(pages: DataFrame) -> DataFrame:
         m["place"].alias("place"), m["token"].alias("token"), F.col("class").alias("class"), m["is_text"].alias("is_text")))))).alias("template"))
 
 
-def valid_classes(ids: list[int], order: dict[int, int], of: dict[int, int]) -> set[int]:
+def valid_classes(ids: list[int | None], order: dict[int, int], of: dict[int, int]) -> set[int]:
     """The classes whose tokens stand in the host's order in this page and which nest in one another.
 
     A class is ordered if its first occurrences rise with the host's order and
@@ -232,9 +236,11 @@ def valid_classes(ids: list[int], order: dict[int, int], of: dict[int, int]) ->
 
 def main_text(page: str, template: list[tuple] = ()) -> str:
     """The article's text; ``template`` lists (place, token, class, is_text) in the host's order."""
-    ids, found = roles(page)
+    found = list(tokens(page))
     constant: set[int] = set()
+    ids: list[int | None] = []
     if template:
+        ids = roles(found)
         of = {t: c for _, t, c, _ in template}
         valid = valid_classes(ids, {t: i for i, (_, t, _, _) in enumerate(template)}, of)
         constant = {t for _, t, c, is_text in template if is_text and c in valid}
@@ -248,14 +254,14 @@ def main_text(page: str, template: list[tuple] = ()) -> str:
             blocks[where].append(text)
         parts = []
 
-    for kind, value, node, name in tokens(page):
+    for i, (kind, value, node, name) in enumerate(found):
         if kind == "tag":
             if name in BLOCKS:
                 flush()
             elif name in ("br", "wbr") or name in VOID:
                 parts.append(" " if name == "br" else "")
             continue
-        if node.out or (constant and _hash("text", node.path, _SPACE.sub(" ", value).strip()) in constant):
+        if node.out or (constant and ids[i] in constant):
             continue
         if node.main != where:
             flush()
