@@ -47,3 +47,19 @@ def test_valid_classes():
 
 def test_query(spark):
     assert matches(spark, "op1_html_extraction", "/root/testdata/sf0.01")
+
+
+def test_names_of_wrappers_and_slugs():
+    for wrap in ("content-sidebar-wrap", "layout has-sidebar", "page-with-header", "sidebar", "comments-open"):
+        assert H.main_text(f'<div class="{wrap}"><main><article><h1>T</h1><p>Text</p></article></main></div><div class="menu">M</div>') == "T\n\nText"
+        assert H.main_text(f'<form id="form"><div class="{wrap}"><article><p>Text</p></article></div></form><p>no</p>') == "Text"
+    for wrap in ("content-sidebar-wrap", "layout has-sidebar", "page-with-header", "sidebar"):
+        assert H.main_text(f'<div class="menu"><a href="/">A long list of places</a></div><div class="{wrap}"><p>Text one</p></div><p>More</p>') == "Text one\n\nMore"
+    slugs = ('<article><h2 id="search">Search</h2><p>A</p><section id="related-work"><p>B</p></section><section id="legal-history"><p>C</p></section>'
+             '<div class="entry-header"><h1>D</h1></div><p>E <math><mi>x</mi><mo>=</mo><annotation>tex</annotation></math></p></article>')
+    assert H.main_text(slugs) == "Search\n\nA\n\nB\n\nC\n\nD\n\nE x="
+    # What is no article stays out, however long it is.
+    for name in ("comments", "cookie-notice", "ad", "site-ads"):
+        assert H.main_text(f'<div><p>Text</p></div><div class="{name}"><p>{"long " * 50}</p></div>') == "Text"
+    assert H.main_text('<article><p>Text</p></article><section id="comments"><article>A long reader comment</article></section>') == "Text"
+    assert H.main_text('<p>Text of the page</p><div class="site-nav">Menu</div><div id="sidebar-left">Side</div>') == "Text of the page"

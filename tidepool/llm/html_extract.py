@@ -14,7 +14,14 @@
 4. Text runs that belong to the template go, whatever they say. Slots in a part
    of the template that is not the article (menu, header, footer, sidebar,
    notice, advert, form, script, style, comments, told by element and by class,
-   id and role) go; the text of the remaining slots is the result.
+   id and role) go; the text of the remaining slots is the result. A class
+   counts by its whole name or its first or last part ("site-nav", not
+   "content-sidebar-wrap" or "has-sidebar"); an id inside an article or on a
+   section is a slug and counts whole, on a heading not at all. A mark on a
+   wrapper doesn't stand against what it wraps: it is lifted around <main>,
+   around the articles of a page whose articles are all marked, and where most
+   of the page's slot text outside links stands (there not for comments,
+   cookie notices and adverts).
 
 A page whose host has too few pages for classes gets the last rule alone.
 
@@ -54,14 +61,22 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
                    " figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html li main menu nav ol p pre section summary"
                    " table tbody td tfoot th thead tr ul".split())
 CLOSES_P = BLOCKS - frozenset("html head body td th tr tbody thead tfoot caption".split())
-NOT_ARTICLE = frozenset("nav footer aside form script style head title noscript template iframe svg math object button select"
-                        " textarea dialog menu canvas audio video label option datalist xmp noembed noframes".split())
+NOT_ARTICLE = frozenset("nav footer aside form script style head title noscript template iframe svg object button select"
+                        " textarea dialog menu canvas audio video label option datalist xmp noembed noframes annotation annotation-xml".split())
+#: Of these, parts that can wrap an article by mistake; the others hold no text that a page shows as such.
+WRAPPERS = frozenset("nav footer aside header form menu dialog".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Words in class, id or role that mark a part as no article.
 NOT_ARTICLE_WORDS = frozenset("nav navbar navigation menu header footer masthead sidebar aside ad ads adv advert adverts advertisement"
                               " banner cookie cookies consent notice gdpr promo promoted sponsor sponsored comment comments disqus respond"
                               " replies share sharing social related recommended newsletter subscribe signup breadcrumb breadcrumbs"
                               " pagination pager popup modal overlay widget login search skip toolbar alert contentinfo complementary"
                               " dialog form toc legal copyright".split())
+#: Of these, parts whose text can outgrow the article's.
+NEVER_ARTICLE_WORDS = frozenset("ad ads adv advert adverts advertisement cookie cookies consent gdpr sponsor sponsored"
+                                " comment comments disqus respond replies".split())
+#: A name with one of these tells what a layout has, not what the part is.
+LAYOUT_WORDS = frozenset("has with no without".split())
 _SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = frozenset("ul ol dl table select article section div body html main nav aside footer header form blockquote td th".split())
 
@@ -72,24 +87,57 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    """An open element: its name, its path, whether it is outside the article, inside <article> or <main>."""
-    __slots__ = ("name", "path", "out", "main")
+    """An open element: its name, its path, the marked elements it is or is in, whether it is in <article> or <main>,
+    in <article>, in a link; of a marked element, its kind and whether <main> or an outermost <article> is in it."""
+    __slots__ = ("name", "path", "marked", "main", "article", "link", "kind", "has_main", "has_article", "lifted")
+
+    def __init__(self, name: str, path: str, top: Node | None = None, kind: str = ""):
+        self.name, self.path, self.kind = name, path, kind
+        self.marked: tuple = (*(top.marked if top else ()), *((self,) if kind else ()))
+        self.article = name == "article" or bool(top and top.article)
+        self.main = self.article or name == "main" or bool(top and top.main)
+        self.link = name == "a" or bool(top and top.link)
+        self.has_main = self.has_article = self.lifted = False
+        if top and name == "main" or name == "article" and not top.article:
+            for x in top.marked:
+                x.has_main |= name == "main"
+                x.has_article |= name == "article"
+
+    @property
+    def out(self) -> bool:
+        """Whether it is outside the article."""
+        return any(not x.lifted for x in self.marked)
 
-    def __init__(self, name: str, path: str, out: bool, main: bool):
-        self.name, self.path, self.out, self.main = name, path, out, main
 
-
-def _marked(name: str, marks: str, main: bool) -> bool:
+@lru_cache(maxsize=1 << 16)
+def _said(value: str, whole: bool, words: frozenset = NOT_ARTICLE_WORDS) -> frozenset:
+    """The words among ``words`` that a class, id or role says."""
+    found = set()
+    for name in value.split():
+        parts = _WORD.findall(name)
+        if parts and LAYOUT_WORDS.isdisjoint(parts):
+            found |= words.intersection([name] if whole else [name, parts[0], parts[-1]])
+    return frozenset(found)
+
+
+def _kind(name: str, attributes: list[tuple[str, str]], main: bool) -> str:
+    """Why an element is no article: "hidden" or "wrapper" by element, "form", "never" or "name" by what it is called, "" if it isn't so."""
     if name in NOT_ARTICLE or (name == "header" and not main):
-        return True
+        return "form" if name == "form" else "wrapper" if name in WRAPPERS else "hidden"
     if name in ("html", "body", "article", "main"):
-        return False
-    return not NOT_ARTICLE_WORDS.isdisjoint(_WORD.findall(marks))
+        return ""
+    said: set[str] = set()
+    for kind, value in attributes:
+        if kind != "id" or name not in HEADINGS:
+            said |= _said(value, kind == "id" and (main or name == "section"))
+    if main:
+        said -= {"header", "masthead"}  # as <header>
+    return "" if not said else "name" if NEVER_ARTICLE_WORDS.isdisjoint(said) else "never"
 
 
 def tokens(page: str) -> Iterator[tuple]:
     """The page's tokens: ("tag", path, node, name) and ("text", text, node, None)."""
-    stack = [Node("#", "", False, False)]
+    stack = [Node("#", "")]
     at = 0
     raw = None
     while at <= len(page):
@@ -132,10 +180,10 @@ def tokens(page: str) -> Iterator[tuple]:
                     break
                 if stack[i].name in _SCOPE:
                     break
-        marks = " ".join((a or b or c).lower() for _, a, b, c in _MARKS.findall(m[3])) if m[3] else ""
+        attributes = [(kind.lower(), (a or b or c).lower()) for kind, a, b, c in _MARKS.findall(m[3])] if m[3] else []
+        marks = " ".join(value for _, value in attributes)
         top = stack[-1]
-        main = top.main or name in ("article", "main")
-        node = Node(name, f"{top.path}/{name}{'.' + marks if marks else ''}", top.out or _marked(name, marks, main), main)
+        node = Node(name, f"{top.path}/{name}{'.' + marks if marks else ''}", top, _kind(name, attributes, top.main))
         yield "tag", node.path, node, name
         if name not in VOID and not m[3].endswith("/"):
             stack.append(node)
@@ -234,6 +282,32 @@ def valid_classes(ids: list[int | None], order: dict[int, int], of: dict[int, in
     return out
 
 
+def lift(found: list[tuple], constant: list[bool]) -> None:
+    """Lifts the marks that stand against the article; ``constant`` tells which tokens are template text."""
+    nodes = {id(t[2]): t[2] for t in found if t[2].marked}
+    marked = {id(x): x for n in nodes.values() for x in n.marked if x.kind != "hidden"}.values()
+    if not marked:
+        return
+    shown = lambda n: all(x.kind != "hidden" for x in n.marked)
+    for x in marked:
+        x.lifted = x.has_main
+    articles = [t[2] for t in found if t[0] == "tag" and t[2].name in ("main", "article")]
+    if articles and all(n.out for n in articles):
+        for x in marked:
+            x.lifted |= x.has_article
+    whole, held = 0, Counter()
+    runs = [(n, len(value.strip())) for (kind, value, n, _), c in zip(found, constant) if kind == "text" and not c and not n.link
+            and all(x.lifted or x.kind in ("form", "name") for x in n.marked) and shown(n)]
+    if any(n.main and size for n, size in runs):
+        runs = [(n, size) for n, size in runs if n.main]
+    for n, size in runs:
+        whole += size
+        for x in n.marked:
+            held[id(x)] += size
+    for x in marked:
+        x.lifted |= x.kind in ("form", "name") and 2 * held[id(x)] > whole
+
+
 def main_text(page: str, template: list[tuple] = ()) -> str:
     """The article's text; ``template`` lists (place, token, class, is_text) in the host's order."""
     found = list(tokens(page))
@@ -244,6 +318,8 @@ def main_text(page: str, template: list[tuple] = ()) -> str:
         of = {t: c for _, t, c, _ in template}
         valid = valid_classes(ids, {t: i for i, (_, t, _, _) in enumerate(template)}, of)
         constant = {t for _, t, c, is_text in template if is_text and c in valid}
+    dropped = [bool(constant) and t in constant for t in ids] or [False] * len(found)
+    lift(found, dropped)
     blocks: dict[bool, list[str]] = {True: [], False: []}
     parts: list[str] = []
     where = False
@@ -261,7 +337,7 @@ def main_text(page: str, template: list[tuple] = ()) -> str:
             elif name in ("br", "wbr") or name in VOID:
                 parts.append(" " if name == "br" else "")
             continue
-        if node.out or (constant and ids[i] in constant):
+        if dropped[i] or node.out:
             continue
         if node.main != where:
             flush()
