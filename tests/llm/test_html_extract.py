@@ -63,3 +63,35 @@ def test_names_of_wrappers_and_slugs():
         assert H.main_text(f'<div><p>Text</p></div><div class="{name}"><p>{"long " * 50}</p></div>') == "Text"
     assert H.main_text('<article><p>Text</p></article><section id="comments"><article>A long reader comment</article></section>') == "Text"
     assert H.main_text('<p>Text of the page</p><div class="site-nav">Menu</div><div id="sidebar-left">Side</div>') == "Text of the page"
+
+
+def test_copies_are_no_template(spark):
+    same = "<html><body><ul>" + "<li><a>m</a>" * 3 + "</ul><div>" + "".join(f"<p>Paragraph {k} of it.</p>" for k in range(6)) + "</div></body></html>"
+    whole = H.main_text(same)
+    intro = "".join(f"<p>Introduction {k}.</p>" for k in range(5))
+    part = "<html><body><div class='x'><p>Welcome here</p></div><div class='y'>%s<p>Own text %d</p></div></body></html>"
+    rows = [(f"{n}.com", i, same) for n in (9, 10, 1000) for i in range(n)]
+    # A third copies of one page; four in ten with the same introduction.
+    rows += [("third.com", i, same if i % 3 == 0 else page(i)) for i in range(60)]
+    rows += [("intro.com", i, part % (intro if i % 10 < 4 else "", i)) for i in range(50)]
+    rows += [("slot.com", i, f"<html><body><div><b>Welcome here</b></div><article>{intro}<p>Own text {i}</p></article></body></html>") for i in range(20)]
+    # Copies that differ in what isn't shown.
+    rows += [("nonce.com", i, same.replace("<ul>", f"<script>n={i}</script><ul>")) for i in range(30)]
+    df = spark.createDataFrame([(i, f"http://{h}/{i}", t) for h, i, t in rows], "page_id long, url string, html string")
+    got = H.extract(df).collect()
+    assert len(got) == len(rows)
+    by: dict = {}
+    for r in got:
+        by.setdefault(r.url.split("/")[2], {})[r.page_id] = r.text
+    assert whole.count("Paragraph") == 6
+    for h in ("9.com", "10.com", "1000.com", "nonce.com"):
+        assert set(by[h].values()) == {whole}, h
+    assert by["third.com"][3] == whole and by["third.com"][4] == "Article 4 says 16.\n\nVisits 4"
+    assert by["intro.com"][3] == "\n\n".join([f"Introduction {k}." for k in range(5)] + ["Own text 3"])
+    assert by["slot.com"][3] == "\n\n".join([f"Introduction {k}." for k in range(5)] + ["Own text 3"])
+
+
+def test_empty_article_stays_empty(spark):
+    rows = [(i, f"http://h.com/{i}", f"<html><body><div><b>Welcome here</b><i>to us</i></div><article>{f'<p>Own {i}</p>' if i else ''}</article></body></html>") for i in range(20)]
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[0] == "" and got[5] == "Own 5"

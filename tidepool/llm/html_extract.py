@@ -1,17 +1,22 @@
 """Main text of pages by template deduction with equivalence classes.
 
 1. A page is a sequence of tokens: tags (told apart by their path from the
-   root) and the text runs between them. Over all pages of a host every token
-   has an occurrence vector: how often it stands in each page. The vector is
-   kept as its checksum, a sum over pages, so a host with a third of all pages
-   is summed up before anything is shuffled.
+   root) and the text runs between them. Over all different pages of a host
+   (equal html counts once, under however many ids) every token has an
+   occurrence vector: how often it stands in each page. The vector is kept as
+   its checksum, a sum over pages, summed up in each task before it is shuffled.
+   All copies of a page meet in one task, but of one with very many copies only
+   one goes there and the others are spread.
 2. Tokens of one host with equal vectors form an equivalence class. Classes
    that occur on enough pages and have enough tokens are candidates.
 3. In each page a candidate class is valid if its tokens stand in the host's
    order and the class nests in the others: all of it lies between two
    neighbouring tokens of any class around it. Valid classes are the template;
    what stands between their tokens are the slots.
-4. Text runs that belong to the template go, whatever they say. Slots in a part
+4. Text runs that belong to the template go, whatever they say, but not those
+   in the article's slot (<article>, or <main> that has none in it), not those
+   that stand on a part only of the pages with their element, and none in a page
+   where nothing would differ from the template. Slots in a part
    of the template that is not the article (menu, header, footer, sidebar,
    notice, advert, form, script, style, comments, told by element and by class,
    id and role) go; the text of the remaining slots is the result. A class
@@ -43,7 +48,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import query, read
@@ -53,6 +58,10 @@ from tidepool.llm.url_filter import host_of
 MIN_PAGES, MIN_SHARE, MIN_TOKENS = 5, 0.3, 4
 #: Text runs are template text only on hosts with so many pages that have them.
 MIN_TEXT_PAGES = 10
+#: Text runs are template text only if they stand on this share of the pages with their element.
+MIN_TEXT_SHARE = 0.9
+#: Copies of a page beyond so many are spread over tasks.
+MANY_COPIES = 200
 
 # Elements by what they mean (HTML standard).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -88,8 +97,9 @@ _SPACE = re.compile(r"\s+")
 
 class Node:
     """An open element: its name, its path, the marked elements it is or is in, whether it is in <article> or <main>,
-    in <article>, in a link; of a marked element, its kind and whether <main> or an outermost <article> is in it."""
-    __slots__ = ("name", "path", "marked", "main", "article", "link", "kind", "has_main", "has_article", "lifted")
+    in <article>, in a link, its outermost <main>; of a marked element, its kind and whether <main> or an outermost
+    <article> is in it, the latter of a <main> as well."""
+    __slots__ = ("name", "path", "marked", "main", "article", "link", "top_main", "kind", "has_main", "has_article", "lifted")
 
     def __init__(self, name: str, path: str, top: Node | None = None, kind: str = ""):
         self.name, self.path, self.kind = name, path, kind
@@ -98,8 +108,9 @@ class Node:
         self.main = self.article or name == "main" or bool(top and top.main)
         self.link = name == "a" or bool(top and top.link)
         self.has_main = self.has_article = self.lifted = False
-        if top and name == "main" or name == "article" and not top.article:
-            for x in top.marked:
+        self.top_main = top and top.top_main or (self if name == "main" else None)
+        if name == "main" or name == "article" and not top.article:
+            for x in (*top.marked, *([top.top_main] if top.top_main else [])):
                 x.has_main |= name == "main"
                 x.has_article |= name == "article"
 
@@ -108,6 +119,11 @@ class Node:
         """Whether it is outside the article."""
         return any(not x.lifted for x in self.marked)
 
+    @property
+    def slot(self) -> bool:
+        """Whether it is in the article's slot."""
+        return self.article or self.main and not self.top_main.has_article
+
 
 @lru_cache(maxsize=1 << 16)
 def _said(value: str, whole: bool, words: frozenset = NOT_ARTICLE_WORDS) -> frozenset:
@@ -215,41 +231,57 @@ def roles(found: list[tuple]) -> list[int | None]:
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per batch, host and token: pages, the vector's checksum, the sum of relative first places, whether it is text."""
+    """Per batch, host and token: pages, the vector's checksum, the sum of relative first places, the parent's token if it is text.
+
+    Equal pages of a host count once; all that are no ``spare`` copy are in this task.
+    """
+    done: set[tuple] = set()
     for batch in batches:
         seen: dict[tuple, list] = {}
-        for host, key, page in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            found = [t for t in tokens(page or "") if t[0] == "tag" or not t[1].isspace()]
+        hosts, pages, digests, spare = (batch.column(i) for i in (2, 3, 4, 5))
+        for i in range(batch.num_rows):
+            host, digest = hosts[i].as_py(), digests[i].as_py()
+            if spare[i].as_py() or (host, digest) in done:
+                continue
+            done.add((host, digest))
+            found = [t for t in tokens(pages[i].as_py() or "") if t[0] == "tag" or not t[1].isspace()]
             ids = roles(found)
             counts = Counter(ids)
             first = {}
-            for i, t in enumerate(ids):
-                first.setdefault(t, i)
+            for k, t in enumerate(ids):
+                first.setdefault(t, k)
             for t, n in counts.items():
-                x = seen.setdefault((host, t), [0, 0, 0.0, found[first[t]][0] == "text"])
+                kind, _, node, _ = found[first[t]]
+                x = seen.setdefault((host, t), [0, 0, 0.0, _tag_id(node.path) if kind == "text" else None])
                 x[0] += 1
-                x[1] = (x[1] + _hash(key, n)) & 0xFFFFFFFFFFFFFFFF
+                x[1] = (x[1] + _hash(digest, n)) & 0xFFFFFFFFFFFFFFFF
                 x[2] += first[t] / len(ids)
         signed = lambda x: x - (1 << 64) if x >> 63 else x
         yield pa.RecordBatch.from_arrays(
             [pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.int64()), pa.array([v[0] for v in seen.values()], pa.int64()),
              pa.array([signed(v[1]) >> 20 for v in seen.values()], pa.int64()), pa.array([v[1] & 0xFFFFF for v in seen.values()], pa.int64()),
-             pa.array([v[2] for v in seen.values()], pa.float64()), pa.array([v[3] for v in seen.values()], pa.bool_())],
-            names=["host", "token", "pages", "high", "low", "place", "is_text"])
+             pa.array([v[2] for v in seen.values()], pa.float64()), pa.array([v[3] for v in seen.values()], pa.int64())],
+            names=["host", "token", "pages", "high", "low", "place", "parent"])
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """Per host: the tokens of its large classes, in the host's order, each with its class (host, template)."""
-    found = pages.select("host", "key", "html").mapInArrow(
-        _vectors, "host string, token long, pages long, high long, low long, place double, is_text boolean")
+def templates(pages: DataFrame, n: DataFrame) -> DataFrame:
+    """Per host: the tokens of its large classes, in the host's order, each with its class (host, template).
+
+    ``pages`` as :func:`extract` deals them, ``n`` the number of different pages (host, host_pages).
+    """
+    found = pages.mapInArrow(_vectors, "host string, token long, pages long, high long, low long, place double, parent long")
     # Both parts of the checksum are summed without overflow.
     found = (found.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.sum(F.col("high").cast("decimal(38,0)")).alias("high"),
-                                                F.sum("low").alias("low"), F.sum("place").alias("place"), F.max("is_text").alias("is_text"))
+                                                F.sum("low").alias("low"), F.sum("place").alias("place"), F.max("parent").alias("parent"))
+             .withColumn("is_text", F.col("parent").isNotNull())
              .filter((F.col("pages") >= F.when(F.col("is_text"), MIN_TEXT_PAGES).otherwise(MIN_PAGES))))
-    n = pages.groupBy("host").agg(F.count("*").alias("host_pages"))
     vector = F.xxhash64("pages", "high", "low")
-    classes = (found.join(n, "host").filter(F.col("pages") >= MIN_SHARE * F.col("host_pages"))
-               .groupBy("host", vector.alias("class"))
+    found = found.join(n, "host").filter(F.col("pages") >= MIN_SHARE * F.col("host_pages"))
+    element = Window.partitionBy("host", F.coalesce("parent", "token"))
+    found = found.withColumn("parent_pages", F.max(F.when(~F.col("is_text"), F.col("pages"))).over(element))
+    # An element without a tag of its own (the root) stands on all pages.
+    found = found.filter(~F.col("is_text") | (F.col("pages") >= MIN_TEXT_SHARE * F.coalesce("parent_pages", "host_pages")))
+    classes = (found.groupBy("host", vector.alias("class"))
                .agg(F.collect_list(F.struct((F.col("place") / F.col("pages")).alias("place"), "token", "is_text")).alias("members"))
                .filter(F.size("members") >= MIN_TOKENS))
     return classes.groupBy("host").agg(F.array_sort(F.flatten(F.collect_list(F.transform("members", lambda m: F.struct(
@@ -318,8 +350,16 @@ def main_text(page: str, template: list[tuple] = ()) -> str:
         of = {t: c for _, t, c, _ in template}
         valid = valid_classes(ids, {t: i for i, (_, t, _, _) in enumerate(template)}, of)
         constant = {t for _, t, c, is_text in template if is_text and c in valid}
-    dropped = [bool(constant) and t in constant for t in ids] or [False] * len(found)
+    dropped = [t in constant and not node.slot for t, (_, _, node, _) in zip(ids, found)] or [False] * len(found)
     lift(found, dropped)
+    text = _text(found, dropped)
+    # A template is told by what differs from it; an article's slot that is empty tells enough.
+    if text or not any(dropped) or any(node.main for _, _, node, _ in found):
+        return text
+    return main_text(page)
+
+
+def _text(found: list[tuple], dropped: list[bool]) -> str:
     blocks: dict[bool, list[str]] = {True: [], False: []}
     parts: list[str] = []
     where = False
@@ -365,12 +405,22 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every row of ``pages`` (page_id, url, html)."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce(host_of(F.col("url")), F.lit("none")).alias("host"), "html")
-    rows = rows.withColumn("key", F.xxhash64("page_id", "url"))
-    # The template of a host with many pages goes to many tasks.
+    rows = rows.withColumn("digest", F.xxhash64("html"))
+    copies = rows.groupBy("host", "digest").agg(F.count("*").alias("copies"), F.min(F.struct("page_id", "url")).alias("one"))
+    n = copies.groupBy("host").agg(F.count("*").alias("host_pages"))
+    # At most one row in MANY_COPIES.
+    many = copies.filter(F.col("copies") > MANY_COPIES).select(F.col("host").alias("h"), F.col("digest").alias("d"), "one")
+    rows = rows.join(F.broadcast(many), (F.col("host") == F.col("h")) & (F.col("digest") == F.col("d")), "left")
+    spare = F.col("one").isNotNull() & ~F.struct("page_id", "url").eqNullSafe(F.col("one"))
+    # The template of a host with many pages goes to many tasks, and the pages with it, copies together.
     salts = 32
-    found = templates(rows).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = rows.withColumn("salt", F.pmod("key", F.lit(salts)).cast("int")).join(found, ["host", "salt"], "left")
-    return joined.select("page_id", "url", "host", "html", "template").mapInArrow(
+    rows = rows.select("page_id", "url", "host", "html", "digest", spare.alias("spare")).withColumn(
+        "salt", F.pmod(F.when(F.col("spare"), F.xxhash64("page_id", "url")).otherwise(F.col("digest")), F.lit(salts)).cast("int"))
+    # One exchange of all columns serves the vectors and the join.
+    rows = rows.repartition("host", "salt")
+    found = templates(rows, n).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    joined = rows.join(found, ["host", "salt"], "left")
+    return joined.select("page_id", "url", "host", "html", "template", "digest", "spare").mapInArrow(
         _extract, "page_id long, url string, text string, n_chars long")
 
 
