@@ -2,8 +2,8 @@
 
 Each stage takes what its predecessor kept, whole, and all but the last return
 the columns of ``documents``. The last returns the documents that the mix takes,
-in training order, with size, source_size, target, taken and position beside
-their columns.
+in order of their first passes, with size, source_size, target, taken, position
+and the positions of all passes beside their columns.
 """
 
 from __future__ import annotations
@@ -43,8 +43,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, in training order."""
-    return curriculum(docs).select("row.*", "size", "source_size", "target", "taken", "position")
+    """The documents that the mix takes, in order of their first passes, with the positions of all."""
+    return curriculum(docs).select("row.*", "size", "source_size", "target", "taken", "position",
+                                   F.col("passes.position").alias("positions"))
 
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("substring_dedup", substring_dedup),

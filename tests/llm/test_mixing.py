@@ -66,3 +66,27 @@ def test_inverse_of_integral(spark):
 
 def test_query(spark):
     assert matches(spark, "op10_source_mixing", "/root/testdata/sf0.001")
+
+
+def test_all_passes(spark, docs_of):
+    # A small source at its cap of three passes beside a large one; a flat schedule.
+    flat = (((0.0, 1.0), (1.0, 1.0)),)
+    df = docs_of([(i, "w " * 10, "small") for i in range(10)] + [(100 + i, "w " * 10, "big") for i in range(90)])
+    rows = M.training_passes(df, schedules=flat).collect()
+    by: dict = {}
+    for r in rows:
+        by.setdefault(r.row.source, []).append(r)
+    whole = {r.row.doc_id: r for r in M.mix(df, schedules=flat).collect()}
+    for source, got in by.items():
+        assert sum(r.words for r in got) == round(got[0].target)
+        assert [r.position for r in got] == pytest.approx([10 * i / got[0].target for i in range(len(got))])
+    small = by["small"]
+    assert len(small) == 30 and max(r.position for r in small) > 0.9 and {r["pass"] for r in small} == {0, 1, 2}
+    for i, r in whole.items():
+        own = [x for x in rows if x.row.doc_id == i]
+        assert sum(x.words for x in own) == r.taken and [x.position for x in own] == [p.position for p in r.passes or ()]
+    assert M.training_passes(docs_of([])).collect() == []
+
+
+def test_passes_query(spark):
+    assert matches(spark, "op10_training_passes", "/root/testdata/sf0.001")

@@ -6,8 +6,9 @@ the corpus, capped at ``max_passes`` times a source's own words, the excess
 reshared by weight. The integrated schedule, scaled to the target, is the
 cumulative demand for words of the source; a document whose words begin at
 offset c of its source's stream (all documents in hash order, again and again
-until the target is met) is trained on when the demand reaches c. That inverts
-the demand in closed form. Documents are range-sorted by that position.
+until the target is met) is trained on when the demand reaches c, in a later
+pass when it reaches c and the passes before. That inverts the demand in closed
+form. Passes of documents are range-sorted by that position.
 
 Offsets are exact prefix sums without one task per source: a source's hash
 order is cut into 65,536 ranges, whose sums are added up first, so a source
@@ -86,7 +87,8 @@ def targets(sizes: DataFrame, schedules: tuple[Knots, ...] = SCHEDULES, max_pass
 def mix(docs: DataFrame, schedules: tuple[Knots, ...] = SCHEDULES, max_passes: int = MAX_PASSES,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: tuple[str, ...] = ("*",)) -> DataFrame:
     """Every row of ``docs`` as the struct ``row`` (of the columns ``carry``), with size, source_size, target, taken, and
-    position: the training time at which its first pass begins (null if none of it is taken)."""
+    position: the training time at which its first pass begins, and passes: (pass, words, position) of each (both null if
+    none of it is taken)."""
     key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     rows = docs.select(F.struct(*carry).alias("row"), F.col(source_col).cast("string").alias("source"),
                        F.size(word_array(F.col(text_col))).cast("long").alias("size"), key.alias("key"),
@@ -111,18 +113,37 @@ def mix(docs: DataFrame, schedules: tuple[Knots, ...] = SCHEDULES, max_passes: i
             .withColumn("rest", demand - F.col("full") * F.col("source_size"))
             .withColumn("taken", F.col("full") * F.col("size")
                         + F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("offset")))))
-    time = F.lit(None).cast("double")
-    for i, knots in enumerate(schedules):
-        time = F.when(F.col("schedule") == i, _inverse(knots, F.col("offset") / F.round("target"))).otherwise(time)
-    return rows.withColumn("position", F.when(F.col("taken") > 0, time)).select(
-        "row", "size", "source_size", "target", "taken", "position")
+
+    def time(offset: Column) -> Column:
+        out = F.lit(None).cast("double")
+        for i, knots in enumerate(schedules):
+            out = F.when(F.col("schedule") == i, _inverse(knots, offset / F.round("target"))).otherwise(out)
+        return out
+
+    def one(k: Column) -> Column:
+        begin = F.col("offset") + k * F.col("source_size")
+        return F.struct(k.alias("pass"), F.least(F.col("size"), demand - begin).alias("words"), time(begin).alias("position"))
+
+    n = F.col("full") + F.when(F.col("rest") > F.col("offset"), 1).otherwise(0)
+    passes = F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(n, F.lit(1)) - 1), one)
+    return (rows.withColumn("position", F.when(F.col("taken") > 0, time(F.col("offset"))))
+            .withColumn("passes", F.when(F.col("taken") > 0, passes))
+            .select("row", "size", "source_size", "target", "taken", "position", "passes"))
 
 
 def curriculum(docs: DataFrame, **options) -> DataFrame:
-    """The documents that the mix takes, range-sorted by position, with the columns of :func:`mix`."""
+    """The documents that the mix takes, range-sorted by position, with the columns of :func:`mix`: one row each, in the
+    order of their first passes. :func:`training_passes` has all passes."""
     return mix(docs, **options).filter("taken > 0").orderBy("position", F.expr("xxhash64(row)"))
 
 
+def training_passes(docs: DataFrame, **options) -> DataFrame:
+    """A row for each document and pass that the mix takes, range-sorted by the time at which the pass begins: row, size,
+    source_size, target, pass (from 0), words (of the document in this pass) and position."""
+    taken = mix(docs, **options).filter("taken > 0").select("row", "size", "source_size", "target", F.explode("passes").alias("p"))
+    return taken.select("row", "size", "source_size", "target", "p.*").orderBy("position", F.expr("xxhash64(row)"), "pass")
+
+
 ORACLE = r"""
 with d as (
   select doc_id, source, md5(coalesce(doc_id::varchar, '')) as key,
@@ -158,3 +179,22 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return (mix(docs, carry=("doc_id",)).select("row.doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"))
             .orderBy(F.col("position").asc_nulls_last(), "doc_id"))
+
+
+ORACLE_PASSES = ORACLE[:ORACLE.rindex(",\nk as (")] + r""",
+p as (
+  select *, n * source_size + ahead as begin from o, (select unnest(range(0, 3)) as n) where size > 0 and n * source_size + ahead < demand),
+f as (select *, begin / demand::double as f from p)
+select doc_id, n::bigint as pass, least(size, demand - begin)::bigint as words,
+       round(case when f = 0 then 0.0 when schedule = 0 then 2 * f / (0.5 + sqrt(0.25 + 2 * f))
+            when schedule = 1 then f else 6 * f / (4.5 + sqrt(20.25 - 18 * f)) end, 9) as position
+from f
+"""
+
+
+@query("op10_training_passes", oracle=ORACLE_PASSES)
+def op10_training_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pass of every document, in the order of training: pass, words, position."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return training_passes(docs, carry=("doc_id",)).select("row.doc_id", "pass", "words", F.round("position", 9).alias("position")).orderBy(
+        "position", "doc_id", "pass")
