@@ -62,3 +62,17 @@ def test_query_finds_every_notice(spark):
     for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
         named = [n for n in sorted(L.TEMPLATES, key=lambda n: -len(L.TEMPLATES[n])) if L.TEMPLATES[n].lower() in (r.text or "").lower()]
         assert got[r.doc_id] == (named[0] if named else None)
+
+
+def test_inserted_words_at_every_offset():
+    for name in ("MIT-text", "Apache-2.0-header"):
+        t = L.word_list(L.TEMPLATES[name].encode())
+        n = len(t)
+        for share in (0.5, 1.0):
+            new = [b"zz%d" % i for i in range(round(share * n))]
+            middle = t[:n // 2 + 1] + new + t[n // 2 + 1:]
+            for offset in range(0, 2 * n, 7):
+                before = [b"yy%d" % i for i in range(offset)]
+                assert L.copies(before + middle + before, t, 0.8) == [(1.0, offset, offset + len(middle))], (name, share, offset)
+        between = [w for i, x in enumerate(t) for w in (x, b"zz%d" % i)]
+        assert L.copies(between + t, t, 0.8) == [(1.0, 0, 2 * n - 1), (1.0, 2 * n, 3 * n)]

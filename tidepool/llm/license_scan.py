@@ -7,10 +7,12 @@ aligned again in the same way; where a gap has no such words, its equal ends
 are matched. The share of the template's words that are aligned is its coverage.
 
 Only texts that could reach the threshold are aligned: coverage can't exceed
-the share of the template's words that the text has at all. Long texts are
-aligned in windows of one and a half template lengths, half a length apart, so
-every copy of a template stands whole in one window and a second copy far away
-doesn't make its words ambiguous.
+the share of the template's words that the text has at all. Of a text only the
+words that the template has are aligned; foreign words between them, however
+many, leave the coverage as it is. Where they are further apart than twice the
+template's length a new region begins. A region is cut where a second copy
+begins, that is where unique phrases of the template go back to an earlier
+one, and the region, each part and neighbouring parts are aligned whole.
 
 Defined results: null and empty texts match nothing; of several templates the
 one with the largest coverage is given, of those the longest, then the first by name; repeated rows each get
@@ -60,6 +62,10 @@ TEMPLATES: dict[str, str] = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
 }
 
+#: Words that must be followed, and must follow, as in the template: they tell licenses apart.
+DECIDING = frozenset(b"gnu lesser affero cc nc nd sa mit mozilla apache".split())
+DECIDING_END = frozenset(b"lesser affero general nc nd sa mit mozilla apache".split())
+
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
@@ -114,19 +120,69 @@ def align(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def best_window(words: list, template: list) -> tuple[float, int, int]:
-    """Largest coverage of ``template`` over the windows of ``words``, and the aligned words' range."""
-    best = (0.0, 0, 0)
-    known = set(template)
-    size, step = len(template) + len(template) // 2 + 1, max(1, len(template) // 2)
-    inside = np.concatenate([[0], np.cumsum([w in known for w in words])])
-    for at in range(0, max(1, len(words) - size + step), step):
-        if inside[min(len(words), at + size)] - inside[at] <= best[0] * len(template):
-            continue  # too few of the template's words to do better
-        pairs = align(words[at:at + size], template)
-        if pairs and len(pairs) / len(template) > best[0]:
-            best = (len(pairs) / len(template), at + pairs[0][0], at + pairs[-1][0] + 1)
-    return best
+def copies(words: list, template: list, threshold: float, valid=lambda pairs: True) -> list[tuple[float, int, int]]:
+    """Coverage and range of the aligned words of every copy of ``template`` in ``words``, in order, that ``valid`` accepts."""
+    known, k = set(template), 2 if len(template) < 12 else 3
+    at = [i for i, w in enumerate(words) if w in known]
+    shingles = lambda x: list(zip(*(x[i:] for i in range(k))))
+    counts = Counter(shingles(template))
+    rank = {x: i for i, x in enumerate(shingles(template)) if counts[x] == 1}
+    out: list[tuple[float, int, int]] = []
+    edges = [0, *(i for i in range(1, len(at)) if at[i] - at[i - 1] > 2 * len(template) + 1), len(at)]
+    for begin, end in zip(edges, edges[1:]):
+        if end - begin < threshold * len(template):
+            continue
+        region = [words[i] for i in at[begin:end]]
+        cuts, last = [0], -1
+        for i, x in enumerate(shingles(region)):
+            if (r := rank.get(x)) is not None:
+                if r <= last:
+                    cuts.append(i)
+                last = r
+        cuts.append(len(region))
+        # A phrase of the template inside a copy cuts it as well, so neighbouring parts are also tried as one.
+        spans = {(cuts[i], cuts[min(i + n, len(cuts) - 1)]) for i in range(len(cuts) - 1) for n in (1, 2, 3, 4)} | {(0, len(region))}
+        found = []
+        for lo, hi in spans:
+            if hi - lo < threshold * len(template):
+                continue
+            pairs = [(at[begin + lo + i], j) for i, j in align(region[lo:hi], template)]
+            if len(pairs) >= threshold * len(template) and valid(pairs):
+                found.append((len(pairs) / len(template), pairs[0][0], pairs[-1][0] + 1))
+        taken: list[tuple[float, int, int]] = []
+        for x in sorted(found, key=lambda x: (-x[0], x[2] - x[1], x[1])):
+            if all(x[2] <= y[1] or y[2] <= x[1] for y in taken):
+                taken.append(x)
+        out += sorted(taken, key=lambda x: x[1])
+    return out
+
+
+def decided(template: list[bytes]):
+    """Whether pairs of a text and ``template`` have the words that tell licenses apart: a name or number
+    follows its word in the text as it does in the template, and the first of each are there."""
+    pairs_of = [j for j in range(len(template) - 1) if template[j + 1].isdigit() or template[j] in DECIDING or template[j + 1] in DECIDING_END]
+    first = {template[j + 1]: j for j in reversed(pairs_of)}
+    must = set(first.values())
+
+    def check(pairs: list[tuple[int, int]]) -> bool:
+        place = {j: i for i, j in pairs}
+        return all(place[j + 1] == place[j] + 1 if j in place and j + 1 in place else j not in must for j in pairs_of)
+
+    return check
+
+
+def all_matches(words: list[bytes], names: list[str], templates: dict[str, list[bytes]], threshold: float) -> list[tuple]:
+    """(name, coverage, first word, end) of every license in ``words``; of those that overlap, the one with most aligned words."""
+    found = [(n, *x) for n in names for x in copies(words, templates[n], threshold, decided(templates[n]))]
+    taken: list[tuple] = []
+    for x in sorted(found, key=lambda x: (-round(x[1] * len(templates[x[0]])), -x[1], x[0], x[2])):
+        if all(x[3] <= y[2] or y[3] <= x[2] for y in taken):
+            taken.append(x)
+    return sorted(taken, key=lambda x: (x[2], x[0]))
+
+
+PLACE = ("license", "coverage", "first_word", "end_word")
+KINDS = (pa.string(), pa.float64(), pa.int64(), pa.int64())
 
 
 def _scan(templates: dict[str, list[bytes]], threshold: float):
@@ -143,7 +199,7 @@ def _scan(templates: dict[str, list[bytes]], threshold: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = [(None, 0.0, None, None)] * batch.num_rows
+            out: list[tuple] = [(None, 0.0, None, None, [])] * batch.num_rows
             for part in W.slices(batch.column(1), W.ALNUM, fold=True):
                 at = np.minimum(np.searchsorted(vocabulary, part.hash), len(vocabulary) - 1)
                 hit = np.flatnonzero(vocabulary[at] == part.hash)
@@ -151,29 +207,27 @@ def _scan(templates: dict[str, list[bytes]], threshold: float):
                 np.add.at(has, (part.row[hit], at[hit]), 1)
                 bound = np.stack([np.minimum(has, need[n]).sum(axis=1) / len(templates[n]) for n in names])
                 for r in np.flatnonzero((bound >= threshold).any(axis=0)).tolist():
-                    words, best, rank_of = word_list(part.text(r)), (None, 0.0, None, None), (0.0, 0)
-                    for n, most in sorted(zip(names, bound[:, r]), key=lambda x: (-x[1], x[0])):
-                        if most < threshold or most < best[1]:
-                            continue
-                        share, begin, end = best_window(words, templates[n])
-                        rank = (share, len(templates[n]))
-                        if share >= threshold and (rank > rank_of or rank == rank_of and n < best[0]):
-                            rank_of = rank
-                            best = (n, share, begin, end)
-                    out[part.first + r] = best
+                    here = all_matches(word_list(part.text(r)), [n for n, most in zip(names, bound[:, r]) if most >= threshold], templates, threshold)
+                    if here:
+                        best = min(here, key=lambda x: (-x[1], -len(templates[x[0]]), x[0], x[2]))
+                        out[part.first + r] = (*best, [dict(zip(PLACE, x)) for x in here])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 4, (pa.string(), pa.float64(), pa.int64(), pa.int64())))],
-                names=["doc_id", "license", "coverage", "first_word", "end_word"])
+                [batch.column(0), *(pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, (*KINDS, pa.list_(pa.struct(zip(PLACE, KINDS))))))],
+                names=["doc_id", *PLACE, "licenses"])
 
     return run
 
 
-def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD,
+def scan_licenses(docs: DataFrame, templates: dict[str, str] | DataFrame = TEMPLATES, threshold: float = THRESHOLD,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: the best template with at least ``threshold`` coverage (else null), its coverage, its words' range."""
-    lists = {n: word_list(t.encode()) for n, t in templates.items()}
+    """Per row: the best template with at least ``threshold`` coverage (else null), its coverage, its words' range, and
+    ``licenses``: the same of every license in the text. ``templates`` may be a table (license, text)."""
+    if isinstance(templates, DataFrame):
+        templates = {r.license: r.text for r in templates.select("license", "text").collect()}
+    lists = {n: x for n, t in templates.items() if (x := word_list((t or "").encode()))}
+    place = "license string, coverage double, first_word long, end_word long"
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        _scan(lists, threshold), "doc_id long, license string, coverage double, first_word long, end_word long")
+        _scan(lists, threshold), f"doc_id long, {place}, licenses array<struct<{place.replace(' ', ':').replace(',:', ', ')}>>")
 
 
 @query("op7_license_scan")
