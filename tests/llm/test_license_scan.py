@@ -76,3 +76,23 @@ def test_inserted_words_at_every_offset():
                 assert L.copies(before + middle + before, t, 0.8) == [(1.0, offset, offset + len(middle))], (name, share, offset)
         between = [w for i, x in enumerate(t) for w in (x, b"zz%d" % i)]
         assert L.copies(between + t, t, 0.8) == [(1.0, 0, 2 * n - 1), (1.0, 2 * n, 3 * n)]
+
+
+def test_every_license_is_found_by_its_own_name(spark, docs_of):
+    filler = " ".join(f"zz{i}" for i in range(300))
+    names = sorted(L.TEMPLATES)
+    texts = [L.TEMPLATES[n] for n in names]
+    bsd = L.TEMPLATES["BSD-3-Clause"].replace("the copyright holder nor", "Some Company nor")
+    texts += ["It is free under the GNU Lesser Public License", "Licensed under CC BY-XX 4.0", f"{texts[names.index('MIT-text')]}\n{filler}\n{texts[names.index('GPL-3.0')]}",
+              bsd, "This work is licensed under the GNU Foreign General Public License, version 3"]
+    got = {r.doc_id: r for r in L.scan_licenses(docs_of(list(enumerate(texts)))).collect()}
+    for i, n in enumerate(names):
+        assert got[i].license == n and got[i].coverage == 1.0 and [x.license for x in got[i].licenses] == [n], (n, got[i])
+    at = len(names)
+    assert got[at].license is None and got[at].licenses == [] and got[at + 1].license is None and got[at + 4].license is None
+    both = got[at + 2].licenses
+    assert [x.license for x in both] == ["MIT-text", "GPL-3.0"] and both[1].first_word == both[0].end_word + 300
+    assert [x.license for x in got[at + 3].licenses] == ["BSD-3-Clause"]
+    table = spark.createDataFrame([("Own", "You may use this as you like"), ("None", None)], "license string, text string")
+    own = L.scan_licenses(docs_of([(1, "Well, you may use this, as you like.")]), table).first()
+    assert own.license == "Own" and own.coverage == 1.0

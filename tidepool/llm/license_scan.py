@@ -14,9 +14,13 @@ template's length a new region begins. A region is cut where a second copy
 begins, that is where unique phrases of the template go back to an earlier
 one, and the region, each part and neighbouring parts are aligned whole.
 
-Defined results: null and empty texts match nothing; of several templates the
-one with the largest coverage is given, of those the longest, then the first by name; repeated rows each get
-their row; extra columns are not read; an empty table gives an empty result.
+Names and numbers that tell licenses apart (gnu, lesser, nd, 4.0) must follow
+their words as in the template, without a foreign word between.
+
+Defined results: null and empty texts match nothing; every license and place of
+a text is given, of those that overlap the one with most aligned words; the
+license of a text is that with the largest coverage, of those the longest, then
+the first by name; repeated rows each get their row; extra columns are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,7 +40,7 @@ from tidepool.llm.common import query, read
 
 THRESHOLD = 0.8
 
-# Public license notices, word for word.
+# Public license notices, standard headers and short licenses, word for word. Others come in a table.
 TEMPLATES: dict[str, str] = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "Apache-2.0-header": (
@@ -62,6 +66,51 @@ TEMPLATES: dict[str, str] = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
 }
 
+_AS_IS = (" THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING,"
+          " BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT"
+          " SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL"
+          " DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS"
+          " INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE"
+          " OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_BSD_2 = (TEMPLATES["BSD"] + ": Redistributions of source code must retain the above copyright notice, this list of conditions and the following"
+          " disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following"
+          " disclaimer in the documentation and/or other materials provided with the distribution.")
+_GNU = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0} as published by the Free"
+        " Software Foundation, either version {1} of the License, or (at your option) any later version. This program is distributed in the"
+        " hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A"
+        " PARTICULAR PURPOSE. See the GNU {0} for more details. You should have received a copy of the GNU {0} along with this program")
+_GNU_KINDS = {"GPL-2.0": ("General Public License", "2"), "GPL-3.0": ("General Public License", "3"),
+              "LGPL-2.1": ("Lesser General Public License", "2.1"), "LGPL-3.0": ("Lesser General Public License", "3"),
+              "AGPL-3.0": ("Affero General Public License", "3")}
+TEMPLATES |= {
+    "BSD-2-Clause": _BSD_2 + _AS_IS,
+    "BSD-3-Clause": _BSD_2 + " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote"
+                             " products derived from this software without specific prior written permission." + _AS_IS,
+    "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0",
+    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0",
+    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0",
+    "ISC-whole": TEMPLATES["ISC"] + (
+        ". THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED"
+        " WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR"
+        " CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT,"
+        " NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    "MIT-whole": TEMPLATES["MIT-text"] + (
+        ", subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or"
+        " substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING"
+        " BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE"
+        " AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR"
+        " OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile,"
+        " sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or"
+        " non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate"
+        " any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at"
+        " large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in"
+        " perpetuity of all present and future rights to this software under copyright law."),
+    **{f"{n}-header": _GNU.format(*x) for n, x in _GNU_KINDS.items()},
+    **{n: "This work is licensed under the GNU {}, version {}".format(*x) for n, x in _GNU_KINDS.items()},
+}
+
 #: Words that must be followed, and must follow, as in the template: they tell licenses apart.
 DECIDING = frozenset(b"gnu lesser affero cc nc nd sa mit mozilla apache".split())
 DECIDING_END = frozenset(b"lesser affero general nc nd sa mit mozilla apache".split())
@@ -232,5 +281,5 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | DataFrame = TEMPL
 
 @query("op7_license_scan")
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """License of every document."""
+    """License of every document, and all licenses that it has."""
     return scan_licenses(read(spark, sf_dir, "documents"))
