@@ -46,3 +46,11 @@ def test_held_out_accuracy(spark):
     rows = scored.join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").filter("held_out").collect()
     assert len(rows) > 50 and sum(r.predicted == r.quality for r in rows) >= 0.97 * len(rows)
     assert scored.count() == 1000
+
+
+def test_one_training_text_an_id(spark, docs_of):
+    docs = docs_of([(1, f"copy {i}") for i in range(50)] + [(2, "other"), (3, None), (3, None)])
+    sample = spark.createDataFrame([(1, 1, 11), (2, 0, 12), (3, 0, 13)], "doc_id long, label int, key long")
+    rows = sorted(map(tuple, C.training_texts(docs, sample).collect()))
+    assert [(r[0], r[1]) for r in rows] == [(11, 1), (12, 0), (13, 0)] and rows[0][2].startswith("copy") and rows[2][2] is None
+    assert rows == sorted(map(tuple, C.training_texts(docs.repartition(7), sample).collect()))

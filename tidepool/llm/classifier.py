@@ -139,13 +139,20 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def training_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """key, label and one text for each document of ``sample`` (doc_id, label, key): of several the one with the least hash."""
+    found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    found = found.groupBy("key", "label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one"))
+    return found.select("key", "label", "one.text")
+
+
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
     """The model, trained on at most ``rows`` labelled rows that are not held out."""
     sample = (labels.filter(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col(label_col).isNotNull())
               .groupBy("doc_id").agg(F.min(label_col).cast("int").alias("label"))
               .withColumn("key", F.xxhash64("doc_id")).orderBy("key").limit(rows))
     # The limit bounds this side's size.
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("key", "label", "text")
+    texts = training_texts(docs, sample)
     model = texts.repartition(1).mapInArrow(_train, "weights binary, bias double").collect()
     if not model:
         return np.zeros(BUCKETS, np.float32), 0.0
