@@ -67,7 +67,7 @@ def test_texts_equal_the_library(vocabulary, reference):
     some = ["'s", "'ll", "'", "''", " ", "  ", "\n", "\t", "\x1c", " ", "　", "a", "Z", "é", "ß", "漢字", "1", "٣", "²", "!", "…", "🙂", "́", "the", " quick", "�", "\x00"]
     for _ in range(2000):
         text = "".join(rng.choice(some) for _ in range(rng.randint(0, 30)))
-        ids = run(text)
+        _, ids = run(["", text])
         assert ids.tolist() == reference.encode_ordinary(text)
         assert vocabulary.text(ids) == text.encode()
 
@@ -77,7 +77,8 @@ def test_blocks_and_memory_do_not_change_ids(vocabulary, reference, monkeypatch)
     want = reference.encode_ordinary(text)
     monkeypatch.setattr(B, "BLOCK", 64)
     monkeypatch.setattr(B, "REMEMBERED", 2)
-    ids = vocabulary.encoder()(text)
+    before, ids, after = vocabulary.encoder()([text[:90], text, ""])
+    assert before.tolist() == reference.encode_ordinary(text[:90]) and not len(after)
     assert ids.tolist() == want and vocabulary.text(ids) == text.encode()
 
 
@@ -110,8 +111,9 @@ def test_other_pattern_and_rank_file(spark, tmp_path, ranks):
     file.write_bytes(b"".join(base64.b64encode(k) + b" %d\n" % v for k, v in few.items()))
     v = B.Vocabulary.load(f"file://{file}", r"\w+", spark)
     want = tiktoken.Encoding("few", pat_str=r"\w+", mergeable_ranks=few, special_tokens={})
-    for text in ("abc ab!abcab", "", " a a"):
-        assert v.encoder()(text).tolist() == want.encode_ordinary(text)  # what no pre-token covers has no ids
+    texts = ["abc ab!abcab", "", " a a", "é é", "!"]  # what no pre-token covers has no ids
+    assert [ids.tolist() for ids in v.encoder()(texts)] == [want.encode_ordinary(t) for t in texts]
+    assert [ids.tolist() for ids in B.Vocabulary(few, r"(\w)+").encoder()(texts)] == [want.encode_ordinary(t) for t in texts]
 
 
 def test_query_equals_the_library(spark, reference):

@@ -20,9 +20,9 @@ ones too; its columns ride in the struct ``row``, so no name can clash. An empty
 from __future__ import annotations
 
 import base64
-import heapq
 from array import array
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 from itertools import chain
 from operator import methodcaller
 
@@ -41,10 +41,12 @@ from tidepool.llm.common import query, read
 MAX_VOCABULARY_BYTES = 64 << 20
 BLOCK = 256 << 10
 #: Merged pre-tokens that a task remembers, and the longest that it does.
-REMEMBERED, REMEMBERED_LENGTH = 1 << 18, 48
+REMEMBERED, REMEMBERED_LENGTH = 1 << 19, 48
 #: Characters of a text whose pre-tokens are held as strings at once; longer texts give their places one by one.
 HELD = 1 << 20
 NO_RANK = 1 << 62
+#: Places of bytes, from the one before the first; slices of it start the lists of links.
+PLACES = list(range(-1, 256))
 #: Bytes of texts or of ids in one batch that a task hands on.
 OUT_BYTES = 4 << 20
 
@@ -154,73 +156,93 @@ class Vocabulary:
         """The rank of every pair of neighbouring bytes."""
         return self.pairs[data[:-1].astype(np.int64) << 8 | data[1:]]
 
-    def merge(self, piece: bytes, rank: list[int] | None = None) -> list[int]:
-        """The ids of one pre-token: a heap of pairs over linked bytes. ``rank``: of its pairs of bytes."""
-        n, ranks, none = len(piece), self.ranks, NO_RANK
+    def merge(self, piece: bytes, rank: list[int] | None = None, heap: list[int] | None = None) -> list[int]:
+        """The ids of one pre-token: a heap of pairs over linked bytes.
+
+        ``rank`` and ``heap``, where the caller has them: the ranks of its pairs of bytes, and those in the vocabulary
+        as ``rank << 32 | place``.
+        """
+        n, get = len(piece), self.ranks.get
         if rank is None:
             rank = self.pair_ranks(np.frombuffer(piece, np.uint8)).tolist()
+            heap = [r << 32 | i for i, r in enumerate(rank) if r != NO_RANK]
         # rank[i]: of the pair that the part at i forms with the part to its right.
-        heap = [r << 32 | i for i, r in enumerate(rank) if r != none]
-        rank.append(none)
-        right, left = list(range(1, n + 1)), list(range(-1, n - 1))
-        heapq.heapify(heap)
+        rank.append(NO_RANK)
+        if n + 2 <= len(PLACES):
+            right, left = PLACES[2:n + 2], PLACES[:n]
+        else:
+            right, left = list(range(1, n + 1)), list(range(-1, n - 1))
+        heapify(heap)
         while heap:
-            top = heapq.heappop(heap)
+            top = heappop(heap)
             i = top & 0xFFFFFFFF
             if rank[i] != top >> 32:
                 continue  # one of the pair is gone, or has grown
             gone = right[i]
-            rank[gone] = none
-            after = right[gone]
-            right[i] = after
+            rank[gone] = NO_RANK
+            right[i] = after = right[gone]
             if after < n:
                 left[after] = i
-                rank[i] = ranks.get(piece[i:right[after]], none)
-                if rank[i] != none:
-                    heapq.heappush(heap, rank[i] << 32 | i)
+                rank[i] = r = get(piece[i:right[after]], NO_RANK)
+                if r != NO_RANK:
+                    heappush(heap, r << 32 | i)
             else:
-                rank[i] = none
+                rank[i] = NO_RANK
             before = left[i]
             if before >= 0:
-                rank[before] = ranks.get(piece[before:after], none)
-                if rank[before] != none:
-                    heapq.heappush(heap, rank[before] << 32 | before)
-        out, i = [], 0
+                rank[before] = r = get(piece[before:after], NO_RANK)
+                if r != NO_RANK:
+                    heappush(heap, r << 32 | before)
+        out, i, ranks = [], 0, self.ranks
         while i < n:
-            out.append(ranks[piece[i:right[i]]])
-            i = right[i]
+            end = right[i]
+            out.append(ranks[piece[i:end]])
+            i = end
         return out
 
-    def spans(self, text: str, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where the pre-tokens of ``text`` begin and end in its bytes ``data``."""
-        pattern, starts = regex.compile(self.pattern), None
-        if len(text) <= HELD and not pattern.groups:
-            lengths = np.fromiter(map(len, pattern.findall(text)), np.int64)
-            ends = np.cumsum(lengths)
-            if len(ends) and ends[-1] == len(text):  # nothing of the text is left out
-                starts = ends - lengths
+    def spans(self, texts: list[str], data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the pre-tokens of ``texts`` begin and end in their bytes ``data``, and how many each text has."""
+        pattern, chars = regex.compile(self.pattern), sum(map(len, texts))
+        starts = None
+        if chars <= HELD and not pattern.groups:
+            pieces = [pattern.findall(t) for t in texts]
+            counts = np.array([len(p) for p in pieces])
+            ends = np.cumsum(np.fromiter(map(len, chain.from_iterable(pieces)), np.int64))
+            if len(ends) and ends[-1] == chars:  # nothing of a text is left out
+                starts = np.append(0, ends[:-1])
         if starts is None:
-            found = np.fromiter(chain.from_iterable(map(methodcaller("span"), pattern.finditer(text))), np.int64)
-            starts, ends = found[::2], found[1::2]
-        starts, ends = starts[ends > starts], ends[ends > starts]
-        if len(data) > len(text):
+            found, at = [], 0
+            for t in texts:
+                found.append(at + np.fromiter(chain.from_iterable(map(methodcaller("span"), pattern.finditer(t))), np.int64).reshape(-1, 2))
+                found[-1] = found[-1][found[-1][:, 1] > found[-1][:, 0]]
+                at += len(t)
+            counts = np.array([len(f) for f in found])
+            starts, ends = np.concatenate(found).T
+        if len(data) > chars:
             at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
             starts, ends = at[starts], at[ends]
-        return starts, ends
+        return starts, ends, counts
 
     def encoder(self):
-        """A function from a text to its ids, with a bounded memory of merged pre-tokens."""
+        """A function from texts to the ids of each, with a bounded memory of merged pre-tokens."""
         known: dict[bytes, bytes] = {}
 
-        def merged(piece: bytes, rank: list[int]) -> bytes:
-            ids = array("I", self.merge(piece, rank)).tobytes()
-            if len(piece) <= REMEMBERED_LENGTH:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                known[piece] = ids
-            return ids
-
-        def block(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        def learn(pieces: list[bytes]) -> dict[bytes, bytes]:
+            """The ids of pre-tokens that are not remembered."""
+            lengths = np.array([len(p) for p in pieces])
+            heads = np.cumsum(lengths) - lengths
+            ranks = np.append(self.pair_ranks(np.frombuffer(b"".join(pieces), np.uint8)), NO_RANK)
+            place = np.arange(len(ranks)) - np.repeat(heads, lengths)
+            heap, rank = np.where(ranks == NO_RANK, NO_RANK, ranks << 32 | place).tolist(), ranks.tolist()
+            new = {p: array("I", self.merge(p, rank[s:e], [x for x in heap[s:e] if x < NO_RANK])).tobytes()
+                   for p, s, e in zip(pieces, heads.tolist(), (heads + lengths - 1).tolist())}
+            if len(known) + len(new) > REMEMBERED:
+                known.clear()
+            known.update((p, ids) for p, ids in new.items() if len(p) <= REMEMBERED_LENGTH)
+            return new
+
+        def block(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """The ids of consecutive pre-tokens, and how many each has."""
             base = int(starts[0])
             part, starts, ends = data[base:int(ends[-1])], starts - base, ends - base
             short = np.flatnonzero(ends - starts <= self.longest)
@@ -228,25 +250,32 @@ class Vocabulary:
             if len(short):
                 ids[short] = self.whole(part, starts[short], ends[short])
             misses = np.flatnonzero(ids < 0)
-            raw, rank = part.tobytes(), self.pair_ranks(part).tolist()
-            found = [known.get(raw[s:e]) or merged(raw[s:e], rank[s:e - 1]) for s, e in zip(starts[misses].tolist(), ends[misses].tolist())]
+            raw = part.tobytes()
+            pieces = [raw[s:e] for s, e in zip(starts[misses].tolist(), ends[misses].tolist())]
+            found = list(map(known.get, pieces))
+            unknown = list(dict.fromkeys(p for p, ids in zip(pieces, found) if ids is None))
+            if unknown:
+                new = learn(unknown)
+                found = [ids or new[p] for p, ids in zip(pieces, found)]
             count = np.ones(len(starts), np.int64)
             count[misses] = np.fromiter(map(len, found), np.int64, len(found)) // 4
             out = np.repeat(ids, count)
             out[out < 0] = np.frombuffer(b"".join(found), np.uint32)
-            return out.astype("<u4")
+            return out.astype("<u4"), count
 
-        def encode(text: str) -> np.ndarray:
-            data = np.frombuffer(text.encode(), np.uint8)
-            starts, ends = self.spans(text, data)
+        def encode(texts: list[str]) -> list[np.ndarray]:
+            data = np.frombuffer("".join(texts).encode(), np.uint8)
+            starts, ends, counts = self.spans(texts, data)
             if not len(starts):
-                return np.zeros(0, "<u4")
+                return [np.zeros(0, "<u4") for _ in texts]
             out, first = [], 0
             while first < len(starts):
                 last = max(int(np.searchsorted(ends, starts[first] + BLOCK, side="right")), first + 1)
                 out.append(block(data, starts[first:last], ends[first:last]))
                 first = last
-            return np.concatenate(out)
+            ids, n = np.concatenate([ids for ids, _ in out]), np.cumsum(np.concatenate([[0], *(n for _, n in out)]))
+            bound = n[np.append(0, np.cumsum(counts))]
+            return [ids[a:b] for a, b in zip(bound[:-1], bound[1:])]
 
         return encode
 
@@ -271,19 +300,22 @@ def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
 
 
 def _mapped(make, column: str, null):
-    """Batches of (row, ``column``) to batches of (row, result of ``make()`` on each value), small ones."""
+    """Batches of (row, value) to batches of (row, result), small ones; ``make()`` turns a list of values into theirs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         convert = make()
         for batch in batches:
-            values, first, out, size = batch.column(1), 0, [], 0
+            values, first, held, out, size, waiting = batch.column(1), 0, [], [], 0, 0
             for i in range(batch.num_rows):
                 value = values[i].as_py()
-                out.append(convert(null if value is None else value))
-                size += len(out[-1])
-                if size >= OUT_BYTES or i == batch.num_rows - 1:
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(out)), pa.array(out, pa.binary())], names=["row", column])
-                    first, out, size = i + 1, [], 0
+                held.append(null if value is None else value)
+                waiting += len(held[-1])
+                if waiting >= BLOCK or i == batch.num_rows - 1:
+                    out += convert(held)
+                    size, held, waiting = size + waiting, [], 0
+                    if size >= OUT_BYTES or i == batch.num_rows - 1:
+                        yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(out)), pa.array(out, pa.binary())], names=["row", column])
+                        first, out, size = i + 1, [], 0
 
     return run
 
@@ -299,7 +331,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", carr
 
     def make():
         run = vocabulary.encoder()
-        return lambda text: run(text).tobytes()
+        return lambda texts: [ids.tobytes() for ids in run(texts)]
 
     return _apply(docs, make, F.col(text_col).alias("value"), "ids", carry, "")
 
@@ -307,7 +339,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", carr
 def decode(tokens: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", carry: tuple[str, ...] = ("*",)) -> DataFrame:
     """row (the columns ``carry``) and decoded: the bytes that the ids of :func:`encode` stand for. Null ids are none.
     They are a text's UTF-8 unless ids were cut."""
-    return _apply(tokens, lambda: lambda ids: vocabulary.text(np.frombuffer(ids, "<u4")), F.col(ids_col).alias("value"), "decoded", carry, b"")
+    return _apply(tokens, lambda: lambda many: [vocabulary.text(np.frombuffer(ids, "<u4")) for ids in many], F.col(ids_col).alias("value"), "decoded", carry, b"")
 
 
 @query("op13_byte_bpe")
