@@ -20,6 +20,13 @@ Plan: one full outer join of target and source on the keys, so each side is
 scanned and shuffled once; insert-only merges take an anti join instead. Rows
 with a NULL key are spread by a salt. One job before that looks for repeated
 source keys, where a matched clause exists.
+
+Hot keys: a full outer join is never split by AQE, so the join key gets a salt.
+A frequency sketch of either side finds the keys with many rows (``skew.py``).
+Target rows of such a key are dealt over its salts and the source row is
+repeated once for each; a source row whose hot key the target lacks is dealt out like
+one with a NULL key. A presence aggregate (the hot keys that the target
+has) tells the two apart, and drops those repeats that meet no target row.
 """
 
 from __future__ import annotations
@@ -31,6 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import remove_folders
+from .skew import frequent_hashes, is_hot, row_hash, salts
 
 STAR = "*"
 
@@ -74,6 +82,7 @@ class MergeBuilder:
     on: Sequence[str]
     clauses: list = field(default_factory=list)
     evolve: bool = False
+    spread_hot_keys: bool | str = "auto"
 
     def whenMatchedUpdateAll(self, condition=None):
         self.clauses.append(WhenMatched(condition, update=STAR))
@@ -107,8 +116,13 @@ class MergeBuilder:
         self.evolve = True
         return self
 
+    def withHotKeys(self, spread: bool | str = True):
+        self.spread_hot_keys = spread
+        return self
+
     def execute(self) -> DataFrame:
-        return merge(self.target, self.source, self.on, self.clauses, evolve=self.evolve)
+        return merge(self.target, self.source, self.on, self.clauses, evolve=self.evolve,
+                     spread_hot_keys=self.spread_hot_keys)
 
 
 def add_missing_columns(df: DataFrame, like: DataFrame) -> DataFrame:
@@ -134,7 +148,12 @@ def check_unique_matches(target: DataFrame, source: DataFrame, on: Sequence[str]
 
 
 def merge(target: DataFrame, source: DataFrame, on: Sequence[str], clauses: Sequence,
-          evolve: bool = False, check_ambiguity: bool = True) -> DataFrame:
+          evolve: bool = False, check_ambiguity: bool = True, spread_hot_keys: bool | str = "auto") -> DataFrame:
+    """The rows of ``target`` after the MERGE.
+
+    ``spread_hot_keys``: True looks for hot keys on both sides, False on none, "auto" on a side whose plan's
+    size estimate is above what one task can hold anyway. The result is the same.
+    """
     on = list(on)
     matched = [c for c in clauses if isinstance(c, WhenMatched)]
     inserts = [c for c in clauses if isinstance(c, WhenNotMatched)]
@@ -152,15 +171,20 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str], clauses: Sequ
     if matched and check_ambiguity:
         check_unique_matches(target, source, on)
 
+    hot_target = hot_keys(target, on, spread_hot_keys)
+    hot_source = hot_keys(source, on, spread_hot_keys)
+
     def apply(t: DataFrame, s: DataFrame) -> DataFrame:
-        ta = t.withColumn("_t_present", F.lit(True)).withColumn("_nk", null_salt(t, on, 1)).alias("t")
-        sa = s.withColumn("_s_present", F.lit(True)).withColumn("_nk", null_salt(s, on, -1)).alias("s")
+        ta = t.withColumn("_t_present", F.lit(True)).withColumn("_nk", target_salt(t, on, hot_target)).alias("t")
+        sa = salted_source(t, s, on, hot_target, hot_source).withColumn("_s_present", F.lit(True)).alias("s")
         cond = F.col("t._nk") == F.col("s._nk")
         for k in on:
             cond = cond & (F.col(f"t.{k}") == F.col(f"s.{k}"))
         j = ta.join(sa, cond, "full_outer")
         tp = F.col("t._t_present").isNotNull()
         sp = F.col("s._s_present").isNotNull()
+        # A repeat of a source row that met no target row; another of them did.
+        j = j.filter(tp | ~F.coalesce(F.col("s._in_target"), F.lit(False)))
 
         # Action code per row, first matching clause wins.
         act = None
@@ -231,7 +255,10 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str], clauses: Sequ
     if not matched and not by_source:
         # Insert-only: the target passes through untouched; only source rows
         # without a partner are inserted (anti join: broadcastable, skew-split by AQE).
-        tk = target.select(*on).withColumn("_nk", F.lit(0).cast("long"))
+        tk = target.select(*on)
+        if hot_target:
+            tk = tk.distinct()  # partial aggregation leaves a row a task of a hot key
+        tk = tk.withColumn("_nk", F.lit(0).cast("long"))
         s_nk = source.withColumn("_nk", null_salt(source, on, -1))
         fresh = s_nk.join(tk, on + ["_nk"], "left_anti").drop("_nk")
         return passthrough(target).unionByName(apply(target.limit(0), fresh))
@@ -252,8 +279,45 @@ def null_salt(df: DataFrame, on: Sequence[str], sign: int) -> Column:
         has_null = c if has_null is None else has_null | c
     if has_null is None:
         return F.lit(0).cast("long")
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(NULL_KEY_BUCKETS)) + 1
-    return F.when(has_null, bucket * sign).otherwise(F.lit(0)).cast("long")
+    return F.when(has_null, _dealt(df) * sign).otherwise(F.lit(0)).cast("long")
+
+
+def _dealt(df: DataFrame) -> Column:
+    """A bucket, from 1 on, for a row that meets no other."""
+    return F.pmod(row_hash(df), F.lit(NULL_KEY_BUCKETS)) + 1
+
+
+#: A side of at most so many bytes has no key that one task could not hold.
+ONE_TASK_BYTES = 256 << 20
+
+
+def hot_keys(df: DataFrame, on: Sequence[str], spread: bool | str) -> dict[int, int]:
+    """Hash and row estimate of the hot keys of one side of a merge (see :func:`merge`)."""
+    if spread == "auto":
+        spread = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > ONE_TASK_BYTES
+    return frequent_hashes(df, on) if spread else {}
+
+
+def target_salt(t: DataFrame, on: Sequence[str], hot: Mapping[int, int]) -> Column:
+    """The salt of a target row: rows of a hot key are dealt over the key's salts."""
+    salt = null_salt(t, on, 1)
+    return F.when(salt == 0, F.pmod(row_hash(t), salts(on, hot))).otherwise(salt).cast("long") if hot else salt
+
+
+def salted_source(t: DataFrame, s: DataFrame, on: Sequence[str], hot_target: Mapping[int, int],
+                  hot_source: Mapping[int, int]) -> DataFrame:
+    """``s`` with its salt and ``_in_target``: true for a row of a hot key that ``t`` has, repeated for each salt of the key."""
+    salt, hot = null_salt(s, on, -1), {**hot_source, **hot_target}
+    if not hot:
+        return s.withColumn("_nk", salt).withColumn("_in_target", F.lit(False))
+    # The keys behind at most 2 * SHARE hashes.
+    present = t.select(*on).filter(is_hot(on, hot)).distinct().withColumn("_in_target", F.lit(True))
+    s = s.withColumn("_nk", salt).join(F.broadcast(present), list(on), "left")
+    s = s.withColumn("_in_target", F.coalesce(F.col("_in_target"), F.lit(False)))
+    alone = is_hot(on, hot) & ~F.col("_in_target") & (F.col("_nk") == 0)
+    own = F.when(alone, F.array((_dealt(s) * -1).cast("long"))).otherwise(F.array(F.col("_nk").cast("long")))
+    each = F.sequence(F.lit(0).cast("long"), salts(on, hot_target).cast("long") - 1)
+    return s.withColumn("_nk", F.explode(F.when(F.col("_in_target"), each).otherwise(own)))
 
 
 BUCKET_COL = "_bucket"

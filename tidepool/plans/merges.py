@@ -76,6 +76,44 @@ def merge_insert_only(spark: SparkSession, sf: str) -> DataFrame:
     return merge(merge_target(t), merge_source(t), ["o_orderkey"], [WhenNotMatched()])
 
 
+HOT_TGT_SQL = """tgt AS (
+  SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END AS o_key, l_orderkey, l_linenumber, l_quantity,
+    l_returnflag AS flag, l_shipdate AS changed FROM lineitem),
+src AS (
+  SELECT CASE WHEN o_orderkey < 4 THEN 0 ELSE o_orderkey END AS o_key, o_orderstatus AS flag, o_orderdate + INTERVAL 60 DAY AS changed
+  FROM orders WHERE o_orderkey % 2 = 1 AND (o_orderkey = 3 OR o_orderkey > 3)
+  UNION ALL
+  SELECT -1 - (o_orderkey % 3) * o_orderkey, 'N', o_orderdate FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey % 3 <> 0)"""
+
+
+@register("merge_hot_key", ops=("MRG1", "MRG3", "MRG6", "MRG7", "MRG14"), oracle=f"""WITH {HOT_TGT_SQL},
+j AS (SELECT t.*, s.o_key IS NOT NULL AS has, s.flag AS s_flag, s.changed AS s_changed FROM tgt t LEFT JOIN src s ON t.o_key = s.o_key)
+SELECT o_key, l_orderkey, l_linenumber, l_quantity,
+       CASE WHEN has AND s_changed > changed THEN s_flag ELSE flag END AS flag,
+       CASE WHEN has AND s_changed > changed THEN s_changed ELSE changed END AS changed
+FROM j WHERE NOT (has AND s_flag = 'P') AND NOT (NOT has AND l_quantity < 5)
+UNION ALL
+SELECT o_key, NULL, NULL, NULL, flag, changed FROM src WHERE o_key NOT IN (SELECT o_key FROM tgt)
+""")
+def merge_hot_key(spark: SparkSession, sf: str) -> DataFrame:
+    """All clauses on a target with one key that holds a third of its rows, and several rows for the other keys too."""
+    t = Tables(spark, sf)
+    target = t.lineitem.select(F.when(F.col("l_orderkey") % 3 == 0, 0).otherwise(F.col("l_orderkey")).cast("long").alias("o_key"),
+                               "l_orderkey", "l_linenumber", "l_quantity", F.col("l_returnflag").alias("flag"),
+                               F.col("l_shipdate").alias("changed"))
+    odd = t.orders.filter("o_orderkey % 2 = 1 AND o_orderkey >= 3").select(
+        F.when(F.col("o_orderkey") < 4, 0).otherwise(F.col("o_orderkey")).cast("long").alias("o_key"),
+        F.col("o_orderstatus").alias("flag"), (F.col("o_orderdate") + F.expr("INTERVAL 60 DAY")).alias("changed"))
+    new = t.orders.filter("o_orderkey % 2 = 0 AND o_orderkey % 3 <> 0").select(
+        (-1 - (F.col("o_orderkey") % 3) * F.col("o_orderkey")).cast("long").alias("o_key"), F.lit("N").alias("flag"),
+        F.col("o_orderdate").alias("changed"))
+    return merge(target, odd.unionByName(new), ["o_key"],
+                 [WhenMatched("s.flag = 'P'", delete=True), WhenMatched("s.changed > t.changed", update={"flag": "s.flag", "changed": "s.changed"}),
+                  WhenNotMatched(insert={"o_key": "s.o_key", "flag": "s.flag", "changed": "s.changed"}),
+                  WhenNotMatchedBySource("t.l_quantity < 5", delete=True)],
+                 spread_hot_keys=True)
+
+
 @register("merge_update_only", ops=("MRG3",), oracle=f"""{WITH}
 SELECT coalesce(s.o_orderkey, t.o_orderkey) AS o_orderkey,
        CASE WHEN s.o_orderkey IS NULL THEN t.o_custkey ELSE s.o_custkey END AS o_custkey,
