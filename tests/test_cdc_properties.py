@@ -4,6 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tidepool.operators import scan
 from tidepool.operators.scd import auto_cdc_scd2
 
 change = st.tuples(st.sampled_from([1, 1, 1, 2, 3]),                # key 1 is hot
@@ -12,9 +13,10 @@ change = st.tuples(st.sampled_from([1, 1, 1, 2, 3]),                # key 1 is h
                    st.sampled_from(["U", "U", "U", "D"]))           # op
 
 
-def brute(rows):
+def brute(rows, numbered=False):
+    """Versions of (key, tier, points, op), numbered by place, or of (key, sequence value, tier, points, op)."""
     by_key = {}
-    for seq, (k, tier, pts, op) in enumerate(rows):
+    for seq, (k, tier, pts, op) in ((r[1], (r[0], *r[2:])) for r in rows) if numbered else enumerate(rows):
         by_key.setdefault(k, []).append((seq, tier, pts, op == "D"))
     out = []
     for k, items in by_key.items():
@@ -43,8 +45,9 @@ def brute(rows):
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(rows=st.lists(change, min_size=1, max_size=40), perm=st.randoms(use_true_random=False))
-def test_auto_cdc_equals_brute_force(spark, rows, perm):
+@given(rows=st.lists(change, min_size=1, max_size=40), perm=st.randoms(use_true_random=False), spread=st.booleans())
+def test_auto_cdc_equals_brute_force(spark, rows, perm, spread):
+    scan.ONE_TASK_BYTES = -1 if spread else 64 << 20
     data = [(k, seq, tier, pts, op) for seq, (k, tier, pts, op) in enumerate(rows)]
     perm.shuffle(data)  # arrival order does not matter, the sequence column does
     feed = spark.createDataFrame(data, "id int, seq int, tier string, points int, op string")

@@ -15,9 +15,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .merge import null_salt
 from .scan import keyed_running
+from .skew import hashable
 
 OPEN_END_DATE = "9999-12-31"
 
@@ -82,7 +84,8 @@ def scd2_merge(dim: DataFrame, updates: DataFrame, keys: Sequence[str], tracked:
 def auto_cdc_scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
                   tracked: Sequence[str] | None = None, except_cols: Sequence[str] = (),
                   ignore_null_updates: bool = True, delete_when: Column | None = None,
-                  start_col: str = "__START_AT", end_col: str = "__END_AT") -> DataFrame:
+                  start_col: str = "__START_AT", end_col: str = "__END_AT",
+                  tie_break: Sequence[str] = ()) -> DataFrame:
     """Type-2 history per key from an out-of-order change feed.
 
     Each output row is one version: tracked columns constant inside it,
@@ -90,36 +93,55 @@ def auto_cdc_scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
     the change that opened it and ``__END_AT`` the sequence of the next version
     (NULL while open). A row matching ``delete_when`` closes the open version.
 
-    All per-key ordered steps (fill of NULL updates, version numbering, next
-    version's start) go through ``keyed_running``, so a key with many changes
-    is spread over many tasks.
+    Changes of a key with one sequence value apply in the order of the columns ``tie_break``, then updates before
+    deletes, then by a hash of the row; equal changes count once. The ordered steps go through one
+    ``keyed_running``, so a key with many changes is spread over many tasks.
     """
     keys = list(keys)
+    rows, payload = cdc_changes(changes, keys, sequence_by, except_cols, delete_when, tie_break)
+    versions = cdc_versions(rows, keys, payload, list(tracked) if tracked is not None else payload, ignore_null_updates)
+    return versions.filter(~F.col("_del")).select(
+        *keys, *payload, F.col("_start").alias(start_col), F.col("_end").alias(end_col))
+
+
+def cdc_changes(changes: DataFrame, keys: Sequence[str], sequence_by: str, except_cols: Sequence[str] = (),
+                delete_when: Column | None = None, tie_break: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:
+    """``changes`` as keys, payload columns, _seq, _tie (the order of changes with one sequence value) and _del; and the payload's names."""
     payload = [c for c in changes.columns if c not in keys and c != sequence_by and c not in except_cols]
-    tracked = list(tracked) if tracked is not None else payload
-    df = changes.select(*keys, sequence_by, *payload,
-                        (delete_when if delete_when is not None else F.lit(False)).alias("_del"))
-
-    if delete_when is not None:
-        # deletes cut the history into epochs: values are never carried across one
-        df = keyed_running(df.withColumn("_d", F.col("_del").cast("double")), keys, [sequence_by],
-                           sums=[("_d", "_epoch")]).drop("_d")
-    else:
-        df = df.withColumn("_epoch", F.lit(0.0))
-    ff = [(c, f"{c}__ff") for c in payload] if ignore_null_updates else []
-    ver = keyed_running(df, keys + ["_epoch"], [sequence_by], ffill=ff,
-                        change_count=(tracked + ["_del"], "_ver"))
-    if ff:
-        ver = ver.select(*keys, sequence_by, "_del", "_epoch", "_ver",
-                         *[F.col(f"{c}__ff").alias(c) for c in payload])
-
-    untracked = [c for c in payload if c not in tracked]
-    agg = [F.min(sequence_by).alias(start_col), F.max("_del").alias("_del")]
-    agg += [F.first(c).alias(c) for c in tracked]  # constant inside a version
-    agg += [F.max_by(c, sequence_by).alias(c) for c in untracked]
-    versions = ver.groupBy(*keys, "_epoch", "_ver").agg(*agg)
-    versions = keyed_running(versions, keys, [(start_col, "desc")], lags=[(start_col, end_col)])
-    return versions.filter(~F.col("_del")).select(*keys, *payload, start_col, end_col)
+    gone = F.coalesce(delete_when, F.lit(False)) if delete_when is not None else F.lit(False)
+    same = F.xxhash64(*[F.col(f.name) for f in changes.schema.fields if hashable(f.dataType)])
+    tie = F.struct(*[F.col(c).alias(f"b{i}") for i, c in enumerate(tie_break)], gone.alias("del"), same.alias("hash"))
+    return changes.select(*keys, *payload, F.col(sequence_by).alias("_seq"), tie.alias("_tie"), gone.alias("_del")), payload
+
+
+def cdc_versions(rows: DataFrame, keys: Sequence[str], payload: Sequence[str], tracked: Sequence[str],
+                 ignore_null_updates: bool = True, spread: bool | str = "auto") -> DataFrame:
+    """All versions, those of deleted keys too: keys, payload, _start, _end, _del, and _seed.
+
+    ``rows`` are those of :func:`cdc_changes`. A row without _tie is a seed: it stands before the changes of its
+    sequence value, and _seed tells the version that it is in.
+    """
+    # A delete ends the fill of NULL updates: what it says, NULLs too, is what later changes start from.
+    fills = {c: f"_f_{c}" for c in payload} if ignore_null_updates else {}
+    given = {f"_w_{c}": F.when(F.col(c).isNotNull() | F.col("_del"), F.struct(F.col(c).alias("v"))) for c in fills}
+    # Two deletes in a row are two versions, unless they are equal.
+    rows = rows.withColumns({**given, "_gone": F.when(F.col("_del"), F.struct("_seq", "_tie"))})
+    compared = [f"_w_{c}" if fills else c for c in tracked]
+    ver = keyed_running(rows, keys, ["_seq", "_tie"], ffill=[(f"_w_{c}", f) for c, f in fills.items()],
+                        change_count=([*compared, "_del", "_gone"], "_ver"), spread=spread)
+    value = {c: F.col(f"{fills[c]}.v") if fills else F.col(c) for c in payload}
+    place = F.struct("_seq", "_tie")
+    found = ver.groupBy(*keys, "_ver").agg(
+        F.min("_seq").alias("_start"), F.first("_del").alias("_del"), F.max(F.col("_tie").isNull()).alias("_seed"),
+        *[(F.first(value[c]) if c in tracked else F.max_by(value[c], place)).alias(c) for c in payload])
+    # A version ends where the next one starts: each also reports its start to the one before.
+    names = [*payload, "_start", "_del", "_seed"]
+    own = F.struct(F.col("_ver").alias("_v"), F.struct(*names).alias("_row"), F.lit(None).cast(found.schema["_start"].dataType).alias("end"))
+    to_last = F.struct((F.col("_ver") - 1).alias("_v"), F.lit(None).cast(StructType([found.schema[n] for n in names])).alias("_row"),
+                       F.col("_start").alias("end"))
+    ends = found.select(*keys, F.explode(F.array(own, to_last)).alias("_x")).groupBy(*keys, "_x._v").agg(
+        F.first("_x._row", ignorenulls=True).alias("_row"), F.max("_x.end").alias("_end"))
+    return ends.filter(F.col("_row").isNotNull()).select(*keys, "_row.*", "_end")
 
 
 def current_rows(history: DataFrame, end_col: str = "__END_AT") -> DataFrame:
