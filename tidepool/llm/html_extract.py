@@ -45,7 +45,6 @@ import html
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -125,15 +124,31 @@ class Node:
         return self.article or self.main and not self.top_main.has_article
 
 
-@lru_cache(maxsize=1 << 16)
+#: What a task remembers, at most so many entries each. Plain dicts travel with the functions; cached functions would
+#: need the package on every executor.
+REMEMBERED = 1 << 16
+_SAID: dict[tuple, frozenset] = {}
+_TAG_IDS: dict[str, int] = {}
+
+
+def _remember(known: dict, key, value):
+    if len(known) >= REMEMBERED:
+        known.clear()
+    known[key] = value
+    return value
+
+
 def _said(value: str, whole: bool, words: frozenset = NOT_ARTICLE_WORDS) -> frozenset:
     """The words among ``words`` that a class, id or role says."""
+    key = (value, whole, words)
+    if key in _SAID:
+        return _SAID[key]
     found = set()
     for name in value.split():
         parts = _WORD.findall(name)
         if parts and LAYOUT_WORDS.isdisjoint(parts):
             found |= words.intersection([name] if whole else [name, parts[0], parts[-1]])
-    return frozenset(found)
+    return _remember(_SAID, key, frozenset(found))
 
 
 def _kind(name: str, attributes: list[tuple[str, str]], main: bool) -> str:
@@ -214,9 +229,9 @@ def _hash(*parts) -> int:
     return int.from_bytes(hashlib.blake2b("\0".join(map(str, parts)).encode(errors="replace"), digest_size=8).digest(), "little", signed=True)
 
 
-@lru_cache(maxsize=1 << 16)
 def _tag_id(path: str) -> int:
-    return _hash("tag", path)
+    known = _TAG_IDS.get(path)
+    return _remember(_TAG_IDS, path, _hash("tag", path)) if known is None else known
 
 
 def _text_id(path: str, text: str) -> int | None:
