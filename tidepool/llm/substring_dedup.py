@@ -18,8 +18,9 @@ minimizer.
 
 Slices of the input (a few megabytes) drop in advance what they themselves show
 to be covered, and send a minimizer one row each: a passage that stands in a
-third of all documents gives a row a slice, not a row a document. Content is
-compared by 128 bits (two independent hashes) for paths and windows.
+third of all documents gives a row a slice, not a row a document. Contents are
+compared by hashes of their words' hashes, two for windows and for paths (the minimizer's and
+the content's); a word's own hash has 64 bits, so two words that share it count as one.
 
 Defined results: a null or empty text has no words and loses none. A null
 doc_id sorts after all others. Rows that share a doc_id are documents of which

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 SLICE_BYTES = 512 << 10
 
@@ -32,10 +33,34 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_FOLDED = _BYTES.copy()
-_FOLDED[0x41:0x5B] = _BYTES[0x61:0x7B]
-_BASE = 0x9E3779B97F4A7C55 | 1
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[0x41:0x5B] += 0x20
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 64
+#: The first ``n`` bytes of a little-endian integer.
+_HEAD = np.array([(1 << 8 * n) - 1 for n in range(8)] + [(1 << 64) - 1], np.uint64)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes ``data[starts[i]:ends[i]]``.
+
+    Eight bytes at a time go through a bijection that is not linear, so unlike in a polynomial no two words are
+    bound to meet by their pattern; words over ``LONG_WORD`` bytes take XXH64.
+    """
+    lengths = ends - starts
+    out = mix(lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    live = np.flatnonzero(lengths <= LONG_WORD)
+    at = 0
+    while len(live):
+        left = lengths[live] - at
+        chunk = eights[starts[live] + at] & _HEAD[np.minimum(left, 8)]
+        out[live] = mix(out[live] * np.uint64(0x9E3779B97F4A7C15) ^ chunk)
+        live, at = live[left > 8], at + 8
+    for i in np.flatnonzero(lengths > LONG_WORD).tolist():
+        out[i] = xxhash.xxh64_intdigest(data[starts[i]:ends[i]].tobytes(), LONG_WORD)
+    return out
 
 
 class Powers:
@@ -52,7 +77,6 @@ class Powers:
         return self.up[:n], self.down[:n]
 
 
-_OF_BYTES = Powers(_BASE)
 _CALLS: dict[int, Powers] = {}
 
 
@@ -87,7 +111,7 @@ class Slice:
         after = np.concatenate([is_word[1:], [False]]) if len(data) else is_word
         self.start = np.flatnonzero(is_word & (~before | edge[:-1]))
         self.end = np.flatnonzero(is_word & (~after | edge[1:])) + 1
-        self.hash = spans((_FOLDED if fold else _BYTES)[data], self.start, self.end, _OF_BYTES)
+        self.hash = word_hashes(_FOLD[data] if fold else data, self.start, self.end)
         self.bound = np.searchsorted(self.start, offsets)
         self.row = np.repeat(np.arange(self.n), np.diff(self.bound))
 
