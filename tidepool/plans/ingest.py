@@ -11,7 +11,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
+from pyspark.sql.types import (ArrayType, DateType, DoubleType, IntegerType, LongType, MapType, StringType, StructField, StructType,
                                TimestampNTZType)
 
 from ..functions.naming import snake_case_columns
@@ -20,6 +20,7 @@ from ..operators.merge import WhenMatched, WhenNotMatched, merge_into_buckets, w
 from ..operators.relational import latest_per_key
 from ..session import scratch_path
 from ..sources import files as fs
+from ..sources.rescue import drift_counts, read_rescued
 from ..sources.sinks import replace_where as predicate_overwrite
 from ..sources.sinks import write_partitioned
 from ..sources.tables import Tables
@@ -277,6 +278,82 @@ def rescued_data(spark: SparkSession, sf: str) -> DataFrame:
     return fs.parse_with_rescue(spark.read.text(path), schema)
 
 
+def nested_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as nested JSON lines of which some do not fit: by event_id, a text for user.id (every 5th), an object among
+    the tags (every 7th), a text among the attributes (every 11th), an unknown field at depth two (every 13th) and one at the
+    top (every 17th), a number for the whole user (every 19th), a broken line (every 23rd)."""
+    ev = Tables(spark, sf).events
+    eid = F.col("event_id")
+    user = F.concat(F.lit('{"id":'), F.when(eid % 5 == 0, F.lit('"n/a"')).otherwise(F.col("user_id").cast("string")), F.lit(',"type":"'),
+                    F.col("event_type"), F.lit('"'), F.when(eid % 13 == 0, F.lit(',"channel":{"c":1}')).otherwise(F.lit("")), F.lit("}"))
+    user = F.when(eid % 19 == 0, F.lit("7")).otherwise(user)
+    tags = F.when(eid % 7 == 0, F.lit('[1,{"x":2},3]')).otherwise(F.lit("[1,2]"))
+    attrs = F.when(eid % 11 == 0, F.lit('{"w":1.5,"h":"tall"}')).otherwise(F.lit('{"w":1.5}'))
+    line = F.concat(F.lit('{"event_id":'), eid.cast("string"), F.lit(',"user":'), user, F.lit(',"tags":'), tags, F.lit(',"attrs":'), attrs,
+                    F.when(eid % 17 == 0, F.concat(F.lit(',"batch":{"n":'), (eid % 3).cast("string"), F.lit("}"))).otherwise(F.lit("")), F.lit("}"))
+    path = scratch_path(spark, "nested-lines")
+    ev.select(F.when(eid % 23 == 0, F.lit("{broken")).otherwise(line).alias("value")).write.text(path)
+    return spark.read.text(path)
+
+
+NESTED_SCHEMA = StructType([
+    StructField("event_id", LongType()), StructField("user", StructType([StructField("id", LongType()), StructField("type", StringType())])),
+    StructField("tags", ArrayType(IntegerType())), StructField("attrs", MapType(StringType(), DoubleType()))])
+MISFITS_SQL = """m AS (
+  SELECT event_id, user_id, event_type, event_id % 23 = 0 AS broken, event_id % 19 = 0 AS no_user,
+    list_filter([
+      CASE WHEN event_id % 19 = 0 THEN '"$.user":7' WHEN event_id % 5 = 0 THEN '"$.user.id":"n/a"' END,
+      CASE WHEN event_id % 19 <> 0 AND event_id % 13 = 0 THEN '"$.user.channel":{"c":1}' END,
+      CASE WHEN event_id % 7 = 0 THEN '"$.tags[1]":{"x":2}' END,
+      CASE WHEN event_id % 11 = 0 THEN '"$.attrs.h":"tall"' END], lambda x: x IS NOT NULL) AS misfits,
+    CASE WHEN event_id % 17 = 0 THEN '"$.batch":{"n":' || (event_id % 3) || '}' END AS new_field
+  FROM events)"""
+NESTED_COLUMNS_SQL = """CASE WHEN NOT broken THEN event_id END AS event_id,
+       CASE WHEN NOT broken AND NOT no_user AND event_id % 5 <> 0 THEN user_id END AS user_id,
+       CASE WHEN NOT broken AND NOT no_user THEN event_type END AS user_type,
+       CASE WHEN broken THEN NULL WHEN event_id % 7 = 0 THEN 4 ELSE 3 END AS tag_sum,
+       CASE WHEN broken THEN NULL WHEN event_id % 11 = 0 THEN 2 ELSE 1 END AS n_attrs,
+       CASE WHEN NOT broken THEN 1.5 END AS w"""
+
+
+def _nested_columns(df: DataFrame, *more) -> DataFrame:
+    total = F.aggregate("tags", F.lit(0), lambda a, x: a + F.coalesce(x, F.lit(0)))
+    return df.select("event_id", F.col("user.id").alias("user_id"), F.col("user.type").alias("user_type"), total.alias("tag_sum"),
+                     F.when(F.col("attrs").isNotNull(), F.size("attrs")).alias("n_attrs"), F.col("attrs")["w"].alias("w"), *more)
+
+
+@register("rescue_nested", ops=("SRC13", "SRC14"), oracle=f"""WITH {MISFITS_SQL}
+SELECT {NESTED_COLUMNS_SQL},
+       CASE WHEN broken THEN '{{"_corrupt":"{{broken"}}'
+            WHEN len(misfits) > 0 OR new_field IS NOT NULL THEN '{{' || array_to_string(list_concat(misfits, CASE WHEN new_field IS NULL THEN []::VARCHAR[] ELSE [new_field] END), ',') || '}}'
+       END AS _rescued_data
+FROM m
+""")
+def rescue_nested(spark: SparkSession, sf: str) -> DataFrame:
+    """Struct, array and map fields: what fits is typed, what does not is rescued with its path."""
+    return _nested_columns(read_rescued(nested_lines(spark, sf), NESTED_SCHEMA), fs.RESCUED)
+
+
+@register("rescue_new_columns", ops=("SRC13",), oracle=f"""WITH {MISFITS_SQL}
+SELECT {NESTED_COLUMNS_SQL}, CASE WHEN NOT broken AND new_field IS NOT NULL THEN event_id % 3 END AS batch_n,
+       CASE WHEN broken THEN '{{"_corrupt":"{{broken"}}' WHEN len(misfits) > 0 THEN '{{' || array_to_string(misfits, ',') || '}}' END AS _rescued_data
+FROM m
+""")
+def rescue_new_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Mode addNewColumns: the unknown top-level field becomes a struct column of the type that its values have."""
+    return _nested_columns(read_rescued(nested_lines(spark, sf), NESTED_SCHEMA, "addNewColumns"), F.col("batch.n").alias("batch_n"), fs.RESCUED)
+
+
+@register("rescue_drift", ops=("SRC15",), oracle=f"""WITH {MISFITS_SQL},
+p AS (SELECT CASE WHEN broken THEN ['_corrupt'] ELSE list_transform(list_concat(misfits, CASE WHEN new_field IS NULL THEN []::VARCHAR[] ELSE [new_field] END),
+        lambda x: replace(split_part(x, '"', 2), '[1]', '[*]')) END AS paths FROM m)
+SELECT path, count(*) AS n_values, count(*) AS n_rows FROM (SELECT unnest(paths) AS path FROM p) GROUP BY path
+""")
+def rescue_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """The drift monitor: values and rows rescued for each field."""
+    return drift_counts(read_rescued(nested_lines(spark, sf), NESTED_SCHEMA))
+
+
 ORDER_STREAM_SCHEMA = StructType([
     StructField("o_orderkey", LongType()), StructField("o_custkey", LongType()),
     StructField("o_orderstatus", StringType()), StructField("o_totalprice", DoubleType())])
