@@ -141,7 +141,8 @@ def check_unique_matches(target: DataFrame, source: DataFrame, on: Sequence[str]
     dup_keys = source.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select(*on)
     if dup_keys.isEmpty():
         return
-    dup = target.select(*on).join(dup_keys, list(on), "left_semi")
+    # Distinct keys: a hot target key leaves one row a task before the shuffle.
+    dup = dup_keys.join(target.select(*on).distinct(), list(on), "left_semi")
     if not dup.isEmpty():
         raise MergeAmbiguityError(
             "MERGE: multiple source rows matched the same target row; deduplicate the source first")
