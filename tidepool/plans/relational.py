@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import rnd
 from ..operators import relational as rel
+from ..operators import sampling
+from ..operators import sketches as sk
+from ..session import scratch_path
 from ..sources.tables import Tables
 from .registry import register
 
@@ -83,6 +86,24 @@ def sample_rows(spark: SparkSession, sf: str) -> DataFrame:
     return Tables(spark, sf).orders.sample(fraction=0.1, seed=42)
 
 
+SAMPLE_STRATUM, SAMPLE_SEED = 25, 42
+
+
+@register("sample_strata", ops=("PRJ13",), oracle=f"""WITH r AS (
+  SELECT o_orderkey, o_orderpriority, o_totalprice, count(*) OVER (PARTITION BY o_orderpriority) AS size,
+    row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5('{SAMPLE_SEED}:' || o_orderkey), o_orderkey) AS rk
+  FROM orders)
+SELECT o_orderkey, o_orderpriority, o_totalprice,
+  round(CAST(size AS DOUBLE) / least(size, {SAMPLE_STRATUM}), 6) AS weight
+FROM r WHERE rk <= {SAMPLE_STRATUM}
+""")
+def sample_strata(spark: SparkSession, sf: str) -> DataFrame:
+    """Exactly 25 orders of each priority, the same on any partitioning, with the orders that each stands for."""
+    o = Tables(spark, sf).orders.select("o_orderkey", "o_orderpriority", "o_totalprice")
+    drawn = sampling.bottom_k(o, ["o_orderpriority"], ["o_orderkey"], SAMPLE_STRATUM, SAMPLE_SEED)
+    return sampling.with_weights(drawn, o, ["o_orderpriority"]).withColumn("weight", rnd("weight", 6))
+
+
 # ---------------------------------------------------------------- 2.3 joins
 
 @register("inner_join", ops=("JOI1",), oracle="""
@@ -301,6 +322,35 @@ def approx_products(spark: SparkSession, sf: str) -> DataFrame:
     return li.groupBy("l_returnflag").agg(F.approx_count_distinct("l_partkey", 0.02).alias("approx_parts"))
 
 
+@register("weekly_users_from_sketches", ops=("AGG6",), oracle="""WITH d AS (
+  SELECT DISTINCT CAST(ts AS DATE) AS day, event_type, user_id FROM events),
+days AS (SELECT DISTINCT day, event_type FROM d),
+n AS (SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2),
+u AS (SELECT x.day, x.event_type, count(DISTINCT d.user_id) AS users
+      FROM days x JOIN d ON d.event_type = x.event_type AND d.day BETWEEN x.day - 6 AND x.day GROUP BY 1, 2),
+e AS (SELECT x.day, x.event_type, CAST(sum(n.n) AS BIGINT) AS n_rows
+      FROM days x JOIN n ON n.event_type = x.event_type AND n.day BETWEEN x.day - 6 AND x.day GROUP BY 1, 2)
+SELECT day, event_type, n_rows, users, true AS estimate_in_bound FROM u JOIN e USING (day, event_type)
+""")
+def weekly_users_from_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """Users of the trailing seven days, merged from a stored sketch a day, beside the exact count.
+
+    The days are stored in two loads, the second of which repeats one day of the first.
+    """
+    ev = Tables(spark, sf).events.select(F.to_date("ts").alias("day"), "event_type", "user_id")
+    path = scratch_path(spark, "user_sketches")
+    cut = F.lit("2024-01-16").cast("date")
+    for load in (ev.filter(F.col("day") <= cut), ev.filter(F.col("day") >= cut)):
+        sk.store_daily(load, path, "day", ["event_type"], {"users_sketch": "user_id"})
+    weeks = sk.trailing_days(spark.read.parquet(path), "day", ["event_type"], ["users_sketch"], 7)
+    exact = (ev.distinct().withColumn("day", F.explode(F.expr("sequence(day, date_add(day, 6))")))
+             .groupBy("day", "event_type").agg(F.countDistinct("user_id").alias("users")))
+    off = F.abs(F.hll_sketch_estimate("users_sketch") - F.col("users"))
+    return weeks.join(exact, ["day", "event_type"]).select(
+        "day", "event_type", "n_rows", "users",
+        (off <= F.ceil(F.col("users") * sk.relative_error(sigmas=4))).alias("estimate_in_bound"))
+
+
 @register("salted_product_funnel", ops=("AGG7", "AGG8"), oracle="""
 SELECT user_id,
        count(*) FILTER (WHERE event_type = 'view') AS views,
