@@ -7,6 +7,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import footers as ft
 from ..operators import layout as lay
 from ..session import scratch_path
 from ..sources.sinks import write_partitioned
@@ -100,3 +101,39 @@ def orphan_files(spark: SparkSession, sf: str) -> DataFrame:
     live = lay.list_files(spark, f"{base}/data/v2").select("path")
     eight_days_later = int(time.time() * 1000) + 8 * 24 * 3600 * 1000
     return lay.orphan_files(spark, f"{base}/data", live, now_ms=eight_days_later)
+
+
+@register("footer_skipping", ops=("LAY7", "LAY8", "LAY10"), oracle="""WITH p AS (
+  SELECT l_partkey, l_suppkey FROM lineitem ORDER BY l_partkey, l_suppkey LIMIT 1),
+one AS (SELECT count(*) AS total_rows, count(*) - count(l_partkey) AS null_parts,
+          CAST(min(l_partkey) AS VARCHAR) AS first_part, CAST(max(l_partkey) AS VARCHAR) AS last_part,
+          count(*) FILTER (WHERE (l_partkey, l_suppkey) = (SELECT (l_partkey, l_suppkey) FROM p)) AS rows_found
+        FROM lineitem)
+SELECT layout, one.*, true AS groups_hold_all, layout = 'zorder' AS reads_fewer
+FROM one, (VALUES ('raw'), ('partitioned'), ('zorder')) t(layout)
+""")
+def footer_skipping(spark: SparkSession, sf: str) -> DataFrame:
+    """What a point filter must read, from footers alone, for three layouts; the files named may hold every row found."""
+    li = Tables(spark, sf).lineitem
+    base = scratch_path(spark, "footers")
+    li.repartition(8).write.parquet(f"{base}/raw")
+    write_partitioned(li, f"{base}/partitioned", ["l_returnflag"])
+    lay.zorder(spark.read.parquet(f"{base}/raw"), ["l_partkey", "l_suppkey"], f"{base}/zorder", num_files=8)
+    first = li.select("l_partkey", "l_suppkey").orderBy("l_partkey", "l_suppkey").first()
+    probe = first.asDict()
+    out = None
+    for layout in ("raw", "partitioned", "zorder"):
+        path = f"{base}/{layout}"
+        tag = F.lit(layout).alias("layout")
+        parts = ft.footer_stats(spark, path, ["l_partkey"], probe)
+        ranges = parts.agg(F.sum("nulls").alias("null_parts"), F.min(F.col("min").cast("long")).cast("string").alias("first_part"),
+                           F.max(F.col("max").cast("long")).cast("string").alias("last_part")).select(tag, "*")
+        wanted = (F.col("l_partkey") == probe["l_partkey"]) & (F.col("l_suppkey") == probe["l_suppkey"])
+        found = spark.read.parquet(path).filter(wanted).agg(F.count(F.lit(1)).alias("rows_found")).select(tag, "*")
+        report = ft.footer_report(spark, path, probe).select(tag, "*")
+        row = report.join(ranges, "layout").join(found, "layout").select(
+            "layout", "total_rows", "null_parts", "first_part", "last_part", "rows_found",
+            (F.col("rows_found") <= F.col("rows_to_read")).alias("groups_hold_all"),
+            (F.col("groups_to_read") * 2 <= F.col("total_groups")).alias("reads_fewer"))
+        out = row if out is None else out.unionByName(row)
+    return out
