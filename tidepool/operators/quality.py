@@ -11,11 +11,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.numeric import rnd
+from ..sources.sinks import overwrite_partitions
 
 
 @dataclass(frozen=True)
@@ -110,6 +111,56 @@ def expect(df: DataFrame, expectations: Mapping[str, str], action: str = "warn")
     raise ValueError(action)
 
 
+@dataclass(frozen=True)
+class Expectation:
+    """A rule with what happens to rows that fail it: ``warn`` keeps them, ``drop`` leaves them out,
+    ``fail`` aborts the write."""
+
+    name: str
+    expr: str
+    action: str = "warn"
+
+    def __post_init__(self):
+        if self.action not in ("warn", "drop", "fail"):
+            raise ValueError(self.action)
+
+    def rule(self) -> Rule:
+        return Rule(self.name, self.expr)
+
+
+METRICS = ("load_id string, table_name string, rule string, expression string, action string, failed long, "
+           "total long, written long")
+
+
+def write_expected(df: DataFrame, path: str, expectations: Sequence[Expectation], metrics_path: str, load_id: str,
+                   table_name: str, mode: str = "append") -> DataFrame:
+    """Write a batch and count each expectation's failing rows in the same scan; returns the counts.
+
+    The counts come from an observation just before the write, in the job's last
+    stage, which counts every partition once even if tasks are repeated. They are
+    kept under ``metrics_path`` in a folder per load, so a load that is replayed
+    replaces its counts. Dropped rows count in ``failed`` of every rule that they
+    break. A row that breaks a ``fail`` rule aborts the job: no row, no counts.
+    An empty batch has zeros.
+    """
+    expectations = list(expectations)
+    observation = Observation()
+    counted = df.observe(observation, F.count(F.lit(1)).alias("total"),
+                         F.count(F.when(all_hold([e.rule() for e in expectations if e.action == "drop"]), 1)).alias("written"),
+                         *[F.count(F.when(~e.rule().holds(), 1)).alias(f"f{i}") for i, e in enumerate(expectations)])
+    for action in ("fail", "drop"):
+        rules = {e.name: e.expr for e in expectations if e.action == action}
+        counted = expect(counted, rules, action) if rules else counted
+    counted.write.mode(mode).parquet(path)
+    got = observation.get
+    rows = [(load_id, table_name, e.name, e.expr, e.action, got.get(f"f{i}", 0), got.get("total", 0), got.get("written", 0))
+            for i, e in enumerate(expectations)]
+    metrics = df.sparkSession.createDataFrame(rows, METRICS)
+    if rows:
+        overwrite_partitions(metrics, metrics_path, ["load_id"])
+    return metrics
+
+
 def quality_report(tables: Mapping[str, tuple[DataFrame, Mapping[str, str]]]) -> DataFrame:
     """Per table one aggregate over all its checks, stacked to (table, check, total, passed, pass_rate)."""
     parts = []

@@ -147,6 +147,34 @@ def expect_or_drop(spark: SparkSession, sf: str) -> DataFrame:
     return q.expect(Tables(spark, sf).events, EVENT_EXPECTATIONS, action="drop")
 
 
+LOADS = {"early": "ts < TIMESTAMP '2024-01-11'", "late": "ts >= TIMESTAMP '2024-01-11'"}
+EVENT_ACTIONS = {"known_type": "drop", "has_props": "drop"}  # the others warn
+
+
+def _counts_sql() -> str:
+    rules = {k: f"coalesce({v}, false)" for k, v in EVENT_EXPECTATIONS.items()}
+    kept = " AND ".join(rules[k] for k in EVENT_ACTIONS)
+    return " UNION ALL ".join(
+        f"""SELECT '{load}' AS load_id, '{k}' AS rule, '{EVENT_ACTIONS.get(k, "warn")}' AS action,
+  count(*) FILTER (WHERE NOT {rule}) AS failed, count(*) AS total, count(*) FILTER (WHERE {kept}) AS written,
+  (SELECT count(*) FROM events WHERE {kept}) AS rows_in_table FROM events WHERE {where}"""
+        for load, where in LOADS.items() for k, rule in rules.items())
+
+
+@register("expectation_counts", ops=("DQ1", "DQ2"), oracle=_counts_sql())
+def expectation_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Two loads write their rows and count their expectations in one scan each; the second load runs
+    twice, as after a crash, and replaces its rows and counts."""
+    events = Tables(spark, sf).events
+    base = scratch_path(spark, "expectation_counts")
+    rules = [q.Expectation(k, v, EVENT_ACTIONS.get(k, "warn")) for k, v in EVENT_EXPECTATIONS.items()]
+    for load in ("early", "late", "late"):
+        q.write_expected(events.filter(LOADS[load]), f"{base}/rows/load={load}", rules, f"{base}/metrics", load, "events", "overwrite")
+    written = spark.read.parquet(f"{base}/rows").agg(F.count(F.lit(1)).alias("rows_in_table"))
+    counts = spark.read.parquet(f"{base}/metrics").select("load_id", "rule", "action", "failed", "total", "written")
+    return counts.withColumn("rows_in_table", F.lit(written.first()[0]))
+
+
 @register("ref_integrity", ops=("DQ8",), oracle="""
 SELECT 'orders' AS dimension, (SELECT count(*) FROM lineitem) AS fact_rows,
        count(DISTINCT l.l_orderkey) AS missing_keys, count(l.l_orderkey) AS orphan_rows

@@ -18,7 +18,8 @@ from ..functions.numeric import rnd
 from ..session import scratch_path
 from ..sources import files as fs
 from ..sources.tables import Tables
-from ..streaming.runner import drain, progress_frame, to_event_time
+from ..streaming.monitor import ProgressLog, read_progress, state_rows
+from ..streaming.runner import drain, drain_all, progress_frame, to_event_time
 from .quality_checks import risk_score_df
 from .registry import register
 
@@ -235,3 +236,54 @@ def stream_explode_lines(spark: SparkSession, sf: str) -> DataFrame:
     orders.write.parquet(f"{base}/landing")
     stream = spark.readStream.schema(orders.schema).parquet(f"{base}/landing")
     return _run(explode_struct_array(stream, "line_items"), base)
+
+
+@register("stream_monitor", ops=("STM13",), oracle=f"""WITH {RETRIES_SQL}
+SELECT 'hourly_counts' AS query_name, count(*) AS input_rows, true AS row_a_batch, true AS knows_state FROM src
+UNION ALL SELECT 'purchases', count(*), true, false FROM src
+""")
+def stream_monitor(spark: SparkSession, sf: str) -> DataFrame:
+    """Two streams run at once while a listener appends their progress to a table."""
+    s, base = event_stream(spark, sf, "stream_monitor", files=4, max_files_per_trigger=1)
+    hourly = s.withWatermark("ts", "10 minutes").groupBy("event_type", F.window("ts", "1 hour")).count()
+    with ProgressLog(spark, f"{base}/progress", flush_every=3):
+        drain_all({"purchases": (s.filter("event_type = 'purchase'"), f"{base}/purchases", f"{base}/_ck_purchases"),
+                   "hourly_counts": (hourly, f"{base}/hourly", f"{base}/_ck_hourly")})
+    got = read_progress(spark, f"{base}/progress").filter(F.col("query_name").isin("purchases", "hourly_counts"))
+    return got.groupBy("query_name").agg(
+        F.sum("input_rows").alias("input_rows"),
+        ((F.count(F.lit(1)) == F.countDistinct("batch_id")) & (F.count(F.lit(1)) == F.max("batch_id") + 1)).alias("row_a_batch"),
+        (F.max("state_rows") > 0).alias("knows_state"))
+
+
+RESTART_AT, LATE_BEFORE, LATE_ID = "2024-01-21", "2024-01-06", 1_000_000_000
+
+
+@register("stream_state_after_restart", ops=("STM3", "STM7", "STM12"), oracle=f"""WITH {RETRIES_SQL},
+w AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE AS last_mark,
+        date_trunc('millisecond', max(ts) FILTER (WHERE ts < TIMESTAMP '{RESTART_AT}')) - INTERVAL 10 MINUTE AS first_mark FROM src)
+SELECT (SELECT count(DISTINCT (event_id, ts)) FROM src) AS rows_out,
+  (SELECT count(DISTINCT (event_id, ts)) FROM src, w WHERE ts > last_mark) AS keys_in_state,
+  (SELECT count(*) FROM src, w WHERE ts < TIMESTAMP '{LATE_BEFORE}' AND ts <= first_mark) AS rows_dropped,
+  true AS state_reported
+""")
+def stream_state_after_restart(spark: SparkSession, sf: str) -> DataFrame:
+    """Deduplication stopped and started again, the second time over rows behind the watermark too:
+    rows it dropped, and the keys that its checkpoint still holds."""
+    rows = events_with_retries(Tables(spark, sf))
+    base = scratch_path(spark, "stream_state")
+    late = rows.filter(F.col("ts") < LATE_BEFORE).withColumn("event_id", F.col("event_id") + LATE_ID)
+    loads = [rows.filter(F.col("ts") < RESTART_AT), rows.filter(F.col("ts") >= RESTART_AT).unionByName(late)]
+    with ProgressLog(spark, f"{base}/progress"):
+        for load in loads:
+            load.write.mode("append").parquet(f"{base}/landing")
+            stream = to_event_time(spark.readStream.schema(rows.schema).parquet(f"{base}/landing"), "ts")
+            deduped = stream.withWatermark("ts", "10 minutes").dropDuplicates(["event_id", "ts"])
+            drain(deduped.select("event_id", "ts"), f"{base}/out", f"{base}/_checkpoint", query_name="restarted_dedup")
+    progress = read_progress(spark, f"{base}/progress").filter("query_name = 'restarted_dedup'")
+    kept = state_rows(spark, f"{base}/_checkpoint").agg(F.count(F.lit(1)).alias("keys_in_state"))
+    out = spark.read.parquet(f"{base}/out").agg(F.count(F.lit(1)).alias("rows_out"))
+    seen = progress.agg(F.sum("dropped_by_watermark").alias("rows_dropped"), F.max_by("state_rows", "batch_id").alias("_last"))
+    one = F.lit(1).alias("_one")
+    return (out.select(one, "*").join(kept.select(one, "*"), "_one").join(seen.select(one, "*"), "_one")
+            .select("rows_out", "keys_in_state", "rows_dropped", (F.col("_last") == F.col("keys_in_state")).alias("state_reported")))

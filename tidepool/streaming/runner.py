@@ -7,7 +7,7 @@ rerun with the same checkpoint processes nothing twice.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,6 +58,22 @@ def drain(stream: DataFrame, sink_path: str | None, checkpoint: str, output_mode
     return q
 
 
+def drain_all(streams: Mapping[str, tuple[DataFrame, str, str]]) -> dict:
+    """Drain several streams at once, each (stream, sink folder, checkpoint) under its query name."""
+    running = {}
+    try:
+        for name, (stream, sink, checkpoint) in streams.items():
+            w = stream.writeStream.queryName(name).format("parquet").option("path", sink)
+            running[name] = w.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        for q in running.values():
+            q.awaitTermination()
+    finally:
+        for q in running.values():
+            if q.isActive:
+                q.stop()
+    return running
+
+
 @contextmanager
 def _all_reports(spark: SparkSession):
     """Queries keep more than the last 100 progress reports; the session gets its own setting back."""
