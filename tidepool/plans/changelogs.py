@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import rnd
+from ..operators import change_table as ct
 from ..operators import changelog as cl
 from ..operators.merge import WhenMatched, merge
 from ..sources.tables import Tables
@@ -234,3 +235,56 @@ def as_of_snapshot_tail(spark: SparkSession, sf: str) -> DataFrame:
     log = orders_log(Tables(spark, sf))
     snap = cl.snapshot(log, KEYS, 1, scratch_path(spark, "orders_snapshot_v1"))
     return cl.as_of_version(log, KEYS, 3, snapshot=snap, snapshot_version=1)
+
+
+def written_log(spark: SparkSession, sf: str, name: str, capture: bool = True, snapshot_every: int | None = 2) -> str:
+    """The log of ``orders_log`` in files, version after version."""
+    from ..session import scratch_path
+    path, log = scratch_path(spark, name), orders_log(Tables(spark, sf))
+    for version in range(4):
+        ct.append_changes(log, path, KEYS, version, capture, snapshot_every)
+    return path
+
+
+@register("cdf_propagate_written", ops=("CDF1", "CDF4"), oracle=f"WITH {STATES} SELECT * FROM s3")
+def cdf_propagate_written(spark: SparkSession, sf: str) -> DataFrame:
+    """A replica at version 0 plus the written feed since version 1: four scans of files, old versions pruned."""
+    path = written_log(spark, sf, "cdf_written")
+    return cl.apply_changes(ct.state_at(spark, path, KEYS, 0), ct.read_changes(spark, path, 1), KEYS)
+
+
+@register("cdf_without_preimages", ops=("CDF1", "CDF2"), oracle=f"""WITH {LOG}
+SELECT * FROM log WHERE _commit_version BETWEEN 1 AND 2 AND _change_type <> 'update_preimage'""")
+def cdf_without_preimages(spark: SparkSession, sf: str) -> DataFrame:
+    """Feed of versions 1 and 2 from a log written with the capture of pre-images off."""
+    return ct.read_changes(spark, written_log(spark, sf, "cdf_off", capture=False), 1, 2)
+
+
+@register("as_of_written", ops=("TTR1", "TTR2"), oracle=f"""WITH {STATES}
+SELECT *, 2 AS version FROM s2 UNION ALL SELECT *, 3 FROM s3""")
+def as_of_written(spark: SparkSession, sf: str) -> DataFrame:
+    """Version 2 by its timestamp, a snapshot alone, and version 3, that snapshot with one version after it."""
+    path = written_log(spark, sf, "as_of_written")
+    found = ct.version_at(spark, path, "2024-01-03 12:00:00")
+    return (ct.state_at(spark, path, KEYS, found).withColumn("version", F.lit(found).cast("int"))
+            .unionByName(ct.state_at(spark, path, KEYS, 3).withColumn("version", F.lit(3))))
+
+
+@register("net_changes_written", ops=("TTR5",), oracle=f"""WITH {STATES}
+(SELECT *, 'added' AS _side FROM (SELECT * FROM s3 EXCEPT ALL SELECT * FROM s1))
+UNION ALL (SELECT *, 'removed' AS _side FROM (SELECT * FROM s1 EXCEPT ALL SELECT * FROM s3))""")
+def net_changes_written(spark: SparkSession, sf: str) -> DataFrame:
+    """Difference of versions 1 and 3, by the keys that changed between them."""
+    return ct.net_changes(spark, written_log(spark, sf, "net_written"), KEYS, 1, 3)
+
+
+@register("undo_written", ops=("TTR7",), oracle=f"""WITH {STATES}
+SELECT a.o_orderkey, CASE WHEN b.o_orderkey IS NULL THEN a.o_custkey ELSE b.o_custkey END AS o_custkey,
+  CASE WHEN b.o_orderkey IS NULL THEN a.o_orderstatus ELSE b.o_orderstatus END AS o_orderstatus,
+  CASE WHEN b.o_orderkey IS NULL THEN a.o_totalprice ELSE b.o_totalprice END AS o_totalprice,
+  a.o_orderpriority
+FROM s3 a LEFT JOIN s2 b ON a.o_orderkey = b.o_orderkey AND a.o_orderpriority = '3-MEDIUM'""")
+def undo_written(spark: SparkSession, sf: str) -> DataFrame:
+    """Medium-priority orders of version 3 as they were at version 2."""
+    path = written_log(spark, sf, "undo_written")
+    return ct.undo(spark, path, KEYS, 3, F.col("o_orderpriority") == "3-MEDIUM", 2)
