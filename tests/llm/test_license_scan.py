@@ -38,6 +38,19 @@ def test_alignment():
         assert len(found) == plain_lis(values) and found == sorted(set(found))
 
 
+def test_common_words():
+    rng = random.Random(2)
+    for _ in range(300):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randint(0, 12))] for _ in range(2))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        pairs = L.common(a, b)
+        assert len(pairs) == best[-1][-1] and all(a[i] == b[j] for i, j in pairs)
+        assert all(x < y and u < v for (x, u), (y, v) in zip(pairs, pairs[1:]))
+
+
 def test_scan(docs_of):
     filler = " ".join(f"zz{i}" for i in range(500))
     mit = L.TEMPLATES["MIT-text"]
@@ -96,3 +109,63 @@ def test_every_license_is_found_by_its_own_name(spark, docs_of):
     table = spark.createDataFrame([("Own", "You may use this as you like"), ("None", None)], "license string, text string")
     own = L.scan_licenses(docs_of([(1, "Well, you may use this, as you like.")]), table).first()
     assert own.license == "Own" and own.coverage == 1.0
+
+
+def with_phrases(t, n, rng):
+    """A copy of ``t`` with ``n`` of its early phrases inserted, all its words still in order."""
+    out = list(t)
+    for place in sorted((rng.randrange(8, len(t) - 8) for _ in range(n)), reverse=True):
+        p = rng.randrange(0, len(t) // 3)
+        out[place:place] = t[p:p + 6]
+    return out
+
+
+def test_any_number_of_inserted_phrases_and_copies():
+    rng = random.Random(3)
+    for name in ("MIT-text", "Apache-2.0-header"):
+        t = L.word_list(L.TEMPLATES[name].encode())
+        for inserted in (0, 1, 2, 4, 6, 9, 13, 20):
+            for n in range(1, 6):
+                parts = [with_phrases(t, inserted, rng) for _ in range(n)]
+                assert [len(L.align(x, t)) for x in parts] == [len(t)] * n
+                got = L.copies([w for x in parts for w in x], t, 0.8)
+                assert [g[0] for g in got] == [1.0] * n, (name, inserted, n, got)
+
+
+def test_least_spans_equal_a_plain_count():
+    rng = random.Random(4)
+    for _ in range(200):
+        t = [rng.choice("abcde") for _ in range(6)]
+        region = [rng.choice("abcde") for _ in range(rng.randrange(1, 30))]
+        cuts = [0, *sorted(rng.sample(range(1, len(region)), min(5, len(region) - 1))), len(region)]
+        n, least = len(cuts) - 1, rng.randrange(1, 7)
+        holds = lambda i, j: sum((L.Counter(region[cuts[i]:cuts[j]]) & L.Counter(t)).values()) >= least
+        want = [next((j for j in range(i + 1, n + 1) if holds(i, j)), n + 1) for i in range(n)]
+        assert L.reach(region, cuts, t, least) == want
+
+
+def test_many_notices_take_time_in_proportion():
+    import time
+    notice = L.word_list(b"Released under the MIT License")
+    templates = {"MIT": notice}
+    times = []
+    for n in (20_000, 100_000):
+        begin = time.process_time()
+        assert len(L.all_matches(notice * n, ["MIT"], templates, 0.8)) == n
+        times.append(time.process_time() - begin)
+    assert times[1] < 12 * times[0]
+
+
+def test_a_large_template_table_and_texts_of_one_letter():
+    import resource
+
+    import pyarrow as pa
+    rng = random.Random(5)
+    templates = {f"l{i}": [b"w%d" % rng.randrange(20_000) for _ in range(300)] for i in range(600)}
+    templates["a"] = [b"a"]
+    run = L._scan(templates, 0.8)
+    texts = ["a"] * 200_000 + [" ".join(w.decode() for w in templates["l7"])]
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    out = next(run([pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])]))
+    assert out.column(1).to_pylist()[-1] == "l7" and out.column(1).to_pylist()[:200_000] == ["a"] * 200_000
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1_500_000  # kB

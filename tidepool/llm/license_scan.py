@@ -3,8 +3,8 @@
 A license text is a template of words. Text and template are aligned the way
 patience diff does: words that occur once in both are anchors, the longest
 increasing subsequence of the anchors stands, and the gaps between them are
-aligned again in the same way; where a gap has no such words, its equal ends
-are matched. The share of the template's words that are aligned is its coverage.
+aligned again in the same way; where a gap has no such words, its longest common
+subsequence is taken, so a copy whose words are all there in order has coverage 1. The share of the template's words that are aligned is its coverage.
 
 Only texts that could reach the threshold are aligned: coverage can't exceed
 the share of the template's words that the text has at all. Of a text only the
@@ -12,7 +12,10 @@ words that the template has are aligned; foreign words between them, however
 many, leave the coverage as it is. Where they are further apart than twice the
 template's length a new region begins. A region is cut where a second copy
 begins, that is where unique phrases of the template go back to an earlier
-one, and the region, each part and neighbouring parts are aligned whole.
+one. As a phrase of the template may also stand inside a copy, a copy is any number of
+neighbouring parts, aligned whole; of all ways to cut a region into copies
+that with most aligned words is taken. The work for a region grows with its
+copies; only a region of thousands of parts without a whole copy takes the square.
 
 Names and numbers that tell licenses apart (gnu, lesser, nd, 4.0) must follow
 their words as in the template, without a foreign word between.
@@ -143,6 +146,30 @@ def increasing(values: list[int]) -> list[int]:
     return out[::-1]
 
 
+def common(a: list, b: list) -> list[tuple[int, int]]:
+    """Places of a longest common subsequence. Row i of the table is a number whose bit j is 0 where
+    the length for i + 1 words of ``a`` rises at word j of ``b`` (bit-parallel, Hyyro 2004)."""
+    places: dict = {}
+    for j, w in enumerate(b):
+        places[w] = places.get(w, 0) | 1 << j
+    ones = row = (1 << len(b)) - 1
+    rows = []
+    for w in a:
+        met = row & places.get(w, 0)
+        row = ((row + met) | (row - met)) & ones
+        rows.append(row)
+    out, i, j = [], len(a) - 1, len(b) - 1
+    while i >= 0 and j >= 0:
+        if rows[i] >> j & 1:
+            j -= 1
+        elif i and not rows[i - 1] >> j & 1:
+            i -= 1
+        else:
+            out.append((i, j))
+            i, j = i - 1, j - 1
+    return out[::-1]
+
+
 def align(a: list, b: list) -> list[tuple[int, int]]:
     """Aligned places of ``a`` and ``b``, rising in both."""
     out: list[tuple[int, int]] = []
@@ -161,6 +188,7 @@ def align(a: list, b: list) -> list[tuple[int, int]]:
         place = {w: i for i, w in enumerate(b[b0:b1], b0) if in_b[w] == 1}
         pairs = [(i, place[w]) for i, w in enumerate(a[a0:a1], a0) if in_a[w] == 1 and w in place]
         if not pairs:
+            out += [(a0 + i, b0 + j) for i, j in common(a[a0:a1], b[b0:b1])]
             continue
         anchors = [pairs[i] for i in increasing([j for _, j in pairs])]
         out += anchors
@@ -182,27 +210,65 @@ def copies(words: list, template: list, threshold: float, valid=lambda pairs: Tr
         if end - begin < threshold * len(template):
             continue
         region = [words[i] for i in at[begin:end]]
-        cuts, last = [0], -1
+        cuts, last = [0], (-1, 0)
         for i, x in enumerate(shingles(region)):
             if (r := rank.get(x)) is not None:
-                if r <= last:
-                    cuts.append(i)
-                last = r
+                if r <= last[0]:
+                    # The copy may have begun before the first of its words that is an anchor.
+                    first, j = i, r
+                    while j and first > last[1] + 1 and region[first - 1] == template[j - 1]:
+                        first, j = first - 1, j - 1
+                    cuts.append(first)
+                last = (r, i)
         cuts.append(len(region))
-        # A phrase of the template inside a copy cuts it as well, so neighbouring parts are also tried as one.
-        spans = {(cuts[i], cuts[min(i + n, len(cuts) - 1)]) for i in range(len(cuts) - 1) for n in (1, 2, 3, 4)} | {(0, len(region))}
-        found = []
-        for lo, hi in spans:
-            if hi - lo < threshold * len(template):
-                continue
-            pairs = [(at[begin + lo + i], j) for i, j in align(region[lo:hi], template)]
-            if len(pairs) >= threshold * len(template) and valid(pairs):
-                found.append((len(pairs) / len(template), pairs[0][0], pairs[-1][0] + 1))
-        taken: list[tuple[float, int, int]] = []
-        for x in sorted(found, key=lambda x: (-x[0], x[2] - x[1], x[1])):
-            if all(x[2] <= y[1] or y[2] <= x[1] for y in taken):
-                taken.append(x)
-        out += sorted(taken, key=lambda x: x[1])
+        out += best_parts(region, cuts, template, threshold, valid, at[begin:end])
+    return out
+
+
+def best_parts(region: list, cuts: list[int], template: list, threshold: float, valid, at: list[int]) -> list[tuple[float, int, int]]:
+    """The copies that have most aligned words in all, each of any number of neighbouring parts of ``region``.
+
+    A phrase of the template inside a copy is a cut too, so a copy may have many parts. From
+    the last part on, ``best[i]`` is the most that the parts from i on can give; a copy
+    that begins with part i is made longer only while it could still beat what is found.
+    """
+    least, size = threshold * len(template), len(template)
+    enough = reach(region, cuts, template, least)
+    n = len(cuts) - 1
+    best, chosen = [0] * (n + 1), [None] * n
+    for i in reversed(range(n)):
+        best[i] = best[i + 1]
+        for j in range(enough[i], n + 1):
+            if size + best[j] <= best[i]:
+                break
+            pairs = [(at[cuts[i] + x], y) for x, y in align(region[cuts[i]:cuts[j]], template)]
+            if len(pairs) >= least and len(pairs) + best[j] > best[i] and valid(pairs):
+                best[i], chosen[i] = len(pairs) + best[j], (j, (len(pairs) / size, pairs[0][0], pairs[-1][0] + 1))
+    out, i = [], 0
+    while i < n:
+        if chosen[i] is None:
+            i += 1
+        else:
+            i, copy = chosen[i]
+            out.append(copy)
+    return out
+
+
+def reach(region: list, cuts: list[int], template: list, least: float) -> list[int]:
+    """For each part, the first cut up to which the words, in any order, hold ``least`` words of the template
+    (one past the last cut if there is none)."""
+    need, have, held = Counter(template), Counter(), 0
+    out, j, n = [], 0, len(cuts) - 1
+    for i in range(n):
+        while held < least and j < n:
+            for w in region[cuts[j]:cuts[j + 1]]:
+                have[w] += 1
+                held += have[w] <= need[w]
+            j += 1
+        out.append(max(j, i + 1) if held >= least else n + 1)
+        for w in region[cuts[i]:cuts[i + 1]] if j > i else ():
+            held -= have[w] <= need[w]
+            have[w] -= 1
     return out
 
 
@@ -223,11 +289,12 @@ def decided(template: list[bytes]):
 def all_matches(words: list[bytes], names: list[str], templates: dict[str, list[bytes]], threshold: float) -> list[tuple]:
     """(name, coverage, first word, end) of every license in ``words``; of those that overlap, the one with most aligned words."""
     found = [(n, *x) for n in names for x in copies(words, templates[n], threshold, decided(templates[n]))]
-    taken: list[tuple] = []
-    for x in sorted(found, key=lambda x: (-round(x[1] * len(templates[x[0]])), -x[1], x[0], x[2])):
-        if all(x[3] <= y[2] or y[3] <= x[2] for y in taken):
-            taken.append(x)
-    return sorted(taken, key=lambda x: (x[2], x[0]))
+    taken: list[tuple] = []  # ranges that don't overlap, by their place
+    for n, coverage, first, end in sorted(found, key=lambda x: (-round(x[1] * len(templates[x[0]])), -x[1], x[0], x[2])):
+        i = bisect.bisect_left(taken, (first,))
+        if (i == 0 or taken[i - 1][1] <= first) and (i == len(taken) or end <= taken[i][0]):
+            taken.insert(i, (first, end, n, coverage))
+    return [(n, coverage, first, end) for first, end, n, coverage in taken]
 
 
 PLACE = ("license", "coverage", "first_word", "end_word")
@@ -241,7 +308,7 @@ def _scan(templates: dict[str, list[bytes]], threshold: float):
         part = next(W.slices(pa.array([b" ".join(templates[n]).decode()]), W.ALNUM, fold=True))
         hashes[n] = list(zip(*np.unique(part.hash, return_counts=True)))
     vocabulary = np.unique(np.array([h for n in names for h, _ in hashes[n]], np.uint64))
-    need = {n: np.zeros(len(vocabulary), np.int64) for n in names}
+    need = {n: np.zeros(len(vocabulary), np.int32) for n in names}
     for n in names:
         for h, c in hashes[n]:
             need[n][np.searchsorted(vocabulary, h)] = c
@@ -252,11 +319,16 @@ def _scan(templates: dict[str, list[bytes]], threshold: float):
             for part in W.slices(batch.column(1), W.ALNUM, fold=True):
                 at = np.minimum(np.searchsorted(vocabulary, part.hash), len(vocabulary) - 1)
                 hit = np.flatnonzero(vocabulary[at] == part.hash)
-                has = np.zeros((part.n, len(vocabulary)), np.int32)
-                np.add.at(has, (part.row[hit], at[hit]), 1)
-                bound = np.stack([np.minimum(has, need[n]).sum(axis=1) / len(templates[n]) for n in names])
-                for r in np.flatnonzero((bound >= threshold).any(axis=0)).tolist():
-                    here = all_matches(word_list(part.text(r)), [n for n, most in zip(names, bound[:, r]) if most >= threshold], templates, threshold)
+                pairs, has = np.unique(part.row[hit].astype(np.int64) * len(vocabulary) + at[hit], return_counts=True)
+                row, word = np.divmod(pairs, len(vocabulary))
+                rows, row = np.unique(row, return_inverse=True)
+                possible: dict[int, list[str]] = {}
+                for n in names:
+                    shared = np.bincount(row, np.minimum(has, need[n][word]), len(rows))
+                    for r in rows[shared >= threshold * len(templates[n]) - 1e-9].tolist():
+                        possible.setdefault(r, []).append(n)
+                for r in sorted(possible):
+                    here = all_matches(word_list(part.text(r)), possible[r], templates, threshold)
                     if here:
                         best = min(here, key=lambda x: (-x[1], -len(templates[x[0]]), x[0], x[2]))
                         out[part.first + r] = (*best, [dict(zip(PLACE, x)) for x in here])
