@@ -2,6 +2,7 @@ import gzip
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidepool.llm import warc
 from tests.llm.harness import matches
@@ -44,7 +45,7 @@ def test_selected_records_and_small_archives(pages, monkeypatch):
 
 
 def test_damage_is_noticed():
-    raw, _ = warc.record(1, "u", b"payload", None)
+    raw, _ = warc.record(1, "u", b"payload", None, "2024-05-01T12:00:00Z")
     assert warc.parse(raw)["payload"] == b"payload"
     with pytest.raises(ValueError):
         warc.parse(raw.replace(b"payload\r\n", b"paYload\r\n"))
@@ -57,3 +58,19 @@ def test_empty_table(spark, pages):
 
 def test_query(spark):
     assert matches(spark, "op9_warc", "/root/testdata/sf0.001")
+
+
+def test_records_have_the_fields_that_readers_need(spark, pages, tmp_path):
+    """WARC 1.1 asks every record for type, id, date and length; dates come from a column or the time of writing."""
+    import datetime as dt
+    dated = pages.withColumn("got", F.when(F.col("page_id") == 2, F.lit("2024-05-01 12:00:00").cast("timestamp")))
+    index = warc.write_archives(dated, f"file://{tmp_path}/dated", date_col="got")
+    for r in index.collect():
+        raw = gzip.decompress(Path(r.archive.removeprefix("file://")).read_bytes()[r.offset:r.offset + r.length])
+        head = raw.partition(b"\r\n\r\n")[0].decode().split("\r\n")
+        names = [x.partition(": ")[0] for x in head[1:]]
+        assert head[0] == "WARC/1.1" and {"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length"} <= set(names) and len(set(names)) == len(names)
+    dates = {r.page_id: r.warc_date for r in warc.read_records(index).collect()}
+    assert dates[2] == "2024-05-01T12:00:00Z"
+    written = dt.datetime.strptime(dates[1], "%Y-%m-%dT%H:%M:%SZ").replace(tzinfo=dt.timezone.utc)
+    assert abs((dt.datetime.now(dt.timezone.utc) - written).total_seconds()) < 3600

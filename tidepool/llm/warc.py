@@ -20,6 +20,7 @@ response. Extra columns are not read; an empty table gives an empty index.
 from __future__ import annotations
 
 import base64
+import datetime as dt
 import hashlib
 import uuid
 import zlib
@@ -40,7 +41,7 @@ GAP_BYTES, READ_BYTES = 64 << 10, 4 << 20
 
 _INDEX = ("page_id long, url string, archive string, offset long, length long, payload_digest string,"
           " payload_bytes long, record_type string")
-_RECORDS = ("page_id long, url string, payload_bytes long, payload_digest string, record_type string,"
+_RECORDS = ("page_id long, url string, warc_date string, payload_bytes long, payload_digest string, record_type string,"
             " refers_to long, payload binary")
 
 
@@ -59,12 +60,13 @@ def _page(value: str) -> int | None:
     return int(number) if number else None
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> tuple[bytes, str]:
-    """One WARC record, and its payload digest. A revisit keeps the HTTP header, not the payload."""
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, date: str) -> tuple[bytes, str]:
+    """One WARC record of a capture at ``date`` (``2024-05-01T12:00:00Z``), and its payload digest.
+    A revisit keeps the HTTP header, not the payload."""
     digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     kind = "response" if refers_to is None else "revisit"
-    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {_id(page_id)}", f"WARC-Payload-Digest: sha1:{digest}"]
+    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {_id(page_id)}", f"WARC-Date: {date}", f"WARC-Payload-Digest: sha1:{digest}"]
     if url is not None:
         head.append("WARC-Target-URI: " + "".join(f"%{ord(c):02X}" if ord(c) < 33 else c for c in url))
     if refers_to is None:
@@ -86,7 +88,7 @@ def parse(raw: bytes) -> dict:
     revisit = fields["WARC-Type"] == "revisit"
     if not revisit and base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
         raise ValueError(f"record {fields['WARC-Record-ID']} doesn't match its digest")
-    return {"page_id": _page(fields["WARC-Record-ID"]), "url": fields.get("WARC-Target-URI"), "payload_bytes": size,
+    return {"page_id": _page(fields["WARC-Record-ID"]), "url": fields.get("WARC-Target-URI"), "warc_date": fields["WARC-Date"], "payload_bytes": size,
             "payload_digest": digest, "record_type": fields["WARC-Type"],
             "refers_to": _page(fields["WARC-Refers-To"]) if revisit else None, "payload": None if revisit else payload}
 
@@ -100,13 +102,13 @@ def _write(folder: str):
         try:
             for batch in batches:
                 rows = []
-                for x in zip(*(batch.column(i) for i in range(4))):
-                    page_id, url, html, refers_to = (v.as_py() for v in x)
+                for x in zip(*(batch.column(i) for i in range(5))):
+                    page_id, url, html, refers_to, date = (v.as_py() for v in x)
                     if out is None:
                         name, at = f"{uuid.uuid4().hex}.warc.gz", 0
                         out = store.open_output_stream(f"{base}/{name}", compression=None)
                     payload = (html or "").encode()
-                    raw, digest = record(page_id, url, payload, refers_to)
+                    raw, digest = record(page_id, url, payload, refers_to, date)
                     packer = zlib.compressobj(4, zlib.DEFLATED, 31)
                     packed = packer.compress(raw) + packer.flush()
                     out.write(packed)
@@ -133,19 +135,24 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, _TYPES[kind]) for c, (_, kind) in zip(columns, fields)], names=[n for n, _ in fields])
 
 
-def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int = 0) -> DataFrame:
+def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int = 0, date_col: str | None = None) -> DataFrame:
     """Writes ``pages`` (page_id, url, html) to archives under ``folder`` (shared storage) and returns their index.
 
-    Equal payloads of at least ``min_bytes`` are stored once.
+    Equal payloads of at least ``min_bytes`` are stored once. A record's date is the time in ``date_col``,
+    and where there is none the time of this call.
     """
+    now = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    at = F.lit(None).cast("timestamp") if date_col is None else F.col(date_col).cast("timestamp")
+    date = F.coalesce(F.date_format(F.to_utc_timestamp(at, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit(now))
     folder = (folder or scratch_path(pages.sparkSession, "warc")).rstrip("/")
     payload = F.coalesce(F.col("html"), F.lit(""))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.sha1(payload).alias("digest"))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.sha1(payload).alias("digest"),
+                        date.alias("warc_date"))
     copies = (rows.filter(F.octet_length(payload) >= min_bytes).groupBy("digest")
               .agg(F.max("page_id").alias("keeper"), F.count("*").alias("n")).filter("n > 1"))
     rows = (rows.join(copies, "digest", "left")
             .withColumn("refers_to", F.when(F.coalesce(F.col("page_id") < F.col("keeper"), F.col("keeper").isNotNull()), F.col("keeper"))))
-    return written(rows.select("page_id", "url", "html", "refers_to").mapInArrow(_write(folder), _INDEX), "warc-index")
+    return written(rows.select("page_id", "url", "html", "refers_to", "warc_date").mapInArrow(_write(folder), _INDEX), "warc-index")
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
