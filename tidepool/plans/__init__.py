@@ -8,7 +8,7 @@ from .registry import REGISTRY
 def _load():
     # Importing the modules fills REGISTRY through the @register decorator.
     from . import relational, windows, nested, merges, changelogs, quality_checks  # noqa: F401
-    from . import ingest, layouts, streams, pipelines  # noqa: F401
+    from . import ingest, layouts, streams, pipelines, marts  # noqa: F401
 
 
 def registry_dicts():

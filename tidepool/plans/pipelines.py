@@ -26,7 +26,7 @@ from ..streaming.runner import drain, to_event_time
 from .merges import SRC_SQL, TGT_SQL, merge_source, merge_target, scd_dimension
 from .quality_checks import RISK_ALERT_ABOVE, risk_score_expr
 from .registry import register
-from .streams import RETRIES_SQL, events_with_retries
+from .streams import RETRIES_SQL, retried_events
 from .windows import RFM_AS_OF
 
 
@@ -51,10 +51,15 @@ UNION ALL
 SELECT g0.* FROM g0 ANTI JOIN g1 ON g0.order_date = g1.order_date AND g0.o_orderstatus = g1.o_orderstatus
 """)
 def pipeline_medallion(spark: SparkSession, sf: str) -> DataFrame:
+    """Gold after two loads of the medallion job."""
+    return spark.read.parquet(f"{medallion_job(spark, sf)}/gold_v1")
+
+
+def medallion_job(spark: SparkSession, sf: str) -> str:
     """Two loads through bronze (append), silver (newest version per order) and
     gold (daily status mart). The second load's work follows its batch: the batch
     is deduplicated, merged into the silver years it touches, and only the days
-    it touches are aggregated again and merged into gold."""
+    it touches are aggregated again and merged into gold. Returns the job's folder."""
     t = Tables(spark, sf)
     base = scratch_path(spark, "medallion")
     year = F.year("o_orderdate").alias("o_year")
@@ -82,7 +87,7 @@ def pipeline_medallion(spark: SparkSession, sf: str) -> DataFrame:
     gold = merge(spark.read.parquet(f"{base}/gold_v0"), _daily_status(changed), ["order_date", "o_orderstatus"],
                  [WhenMatched(update={"n_orders": "s.n_orders", "revenue": "s.revenue"}), WhenNotMatched()])
     gold.write.parquet(f"{base}/gold_v1")
-    return spark.read.parquet(f"{base}/gold_v1")
+    return base
 
 
 # ------------------------------------------------------------------ PIP3 shop events
@@ -90,6 +95,26 @@ def pipeline_medallion(spark: SparkSession, sf: str) -> DataFrame:
 EVENT_CATEGORIES = {"engagement": ["view", "click"], "conversion": ["purchase", "signup"]}
 
 
+def events_silver(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    """The shop-event job up to silver: its folder, and the events with their customers' segments."""
+    t = Tables(spark, sf)
+    base = scratch_path(spark, "pipe_events")
+    # Retries land after all originals and are read in a later micro-batch: the first arrival of each id is kept.
+    landed, retries = t.events, retried_events(t)
+    landed.repartition(4).write.parquet(f"{base}/landing")
+    retries.repartition(2).write.mode("append").parquet(f"{base}/landing")
+    stream = to_event_time(spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", 4).parquet(f"{base}/landing"), "ts")
+    silver_stream = (fs.with_source_metadata(stream, "shop_events").drop("_ingested_at")
+                     .withWatermark("ts", "5 minutes").dropDuplicatesWithinWatermark(["event_id"])
+                     .withColumn("category", categorize_udf(EVENT_CATEGORIES, "other")(F.col("event_type"))))
+    drain(silver_stream, f"{base}/silver", f"{base}/_checkpoint")
+    silver = spark.read.parquet(f"{base}/silver")
+    seg = t.customer.select(F.col("c_custkey"), F.col("c_mktsegment"))
+    enriched = silver.join(seg, F.col("user_id") == F.col("c_custkey"), "left") \
+                     .withColumn("segment", F.coalesce("c_mktsegment", F.lit("UNKNOWN")))
+    return base, enriched
+
+
 @register("pipeline_events", ops=("PIP3",), oracle="""
 WITH e AS (SELECT e.*, coalesce(c.c_mktsegment, 'UNKNOWN') AS segment
            FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey)
@@ -104,19 +129,7 @@ FROM e GROUP BY segment
 def pipeline_events(spark: SparkSession, sf: str) -> DataFrame:
     """Bronze stream with retries -> silver (dedup in watermark, pandas-UDF
     category, customer segment) -> gold funnel per segment (salted)."""
-    t = Tables(spark, sf)
-    base = scratch_path(spark, "pipe_events")
-    landed = events_with_retries(t)
-    fs.write_files(landed, f"{base}/landing", "parquet", 4)
-    stream = to_event_time(spark.readStream.schema(landed.schema).parquet(f"{base}/landing"), "ts")
-    silver_stream = (fs.with_source_metadata(stream, "shop_events").drop("_ingested_at")
-                     .withWatermark("ts", "5 minutes").dropDuplicatesWithinWatermark(["event_id"])
-                     .withColumn("category", categorize_udf(EVENT_CATEGORIES, "other")(F.col("event_type"))))
-    drain(silver_stream, f"{base}/silver", f"{base}/_checkpoint")
-    silver = spark.read.parquet(f"{base}/silver")
-    seg = t.customer.select(F.col("c_custkey"), F.col("c_mktsegment"))
-    enriched = silver.join(seg, F.col("user_id") == F.col("c_custkey"), "left") \
-                     .withColumn("segment", F.coalesce("c_mktsegment", F.lit("UNKNOWN")))
+    enriched = events_silver(spark, sf)[1]
     g = rel.salted_agg(
         enriched, ["segment"],
         partial={"e": F.count(F.when(F.col("category") == "engagement", 1)),
@@ -133,6 +146,28 @@ def pipeline_events(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ PIP2 payments
 
+def payments_silver(spark: SparkSession, sf: str) -> str:
+    """The payments job up to its silver table (typed, rescued, first arrival of each id); returns the job's folder."""
+    t = Tables(spark, sf)
+    base = scratch_path(spark, "pipe_payments")
+    ev, retries = t.events, retried_events(t)
+    val = F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.col("value").cast("string"))
+    line = F.to_json(F.struct("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
+                              "user_id", "event_type", val.alias("value"), "props")).alias("value")
+    # Originals land first, retries after: one micro-batch per original file,
+    # so the first arrival of each id is the one kept.
+    ev.select(line).repartition(4).write.text(f"{base}/landing")
+    retries.select(line).repartition(2).write.mode("append").text(f"{base}/landing")
+    schema = StructType.fromDDL("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+                                "value DOUBLE, props STRING")
+    lines = spark.readStream.option("maxFilesPerTrigger", 4).text(f"{base}/landing")
+    typed = fs.parse_with_rescue(lines, schema)
+    deduped = (to_event_time(typed, "ts").withWatermark("ts", "5 minutes")
+               .dropDuplicatesWithinWatermark(["event_id"]))
+    drain(deduped, f"{base}/silver", f"{base}/_checkpoint")
+    return base
+
+
 @register("pipeline_payments", ops=("PIP2",), oracle=f"""WITH {RETRIES_SQL},
 d AS (SELECT DISTINCT ON (event_id) * FROM src ORDER BY event_id, ts),
 r AS (SELECT event_id, user_id,
@@ -153,23 +188,7 @@ def pipeline_payments(spark: SparkSession, sf: str) -> DataFrame:
     """JSON lines with a rescued column -> stream dedup within the watermark ->
     enrichment (left join, defaults) -> risk rules -> per-customer report."""
     t = Tables(spark, sf)
-    base = scratch_path(spark, "pipe_payments")
-    ev = t.events
-    retries = ev.filter(F.col("event_type") == "purchase").withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 MINUTE"))
-    val = F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.col("value").cast("string"))
-    line = F.to_json(F.struct("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
-                              "user_id", "event_type", val.alias("value"), "props")).alias("value")
-    # Originals land first, retries after: one micro-batch per original file,
-    # so the first arrival of each id is the one kept.
-    ev.select(line).repartition(4).write.text(f"{base}/landing")
-    retries.select(line).repartition(2).write.mode("append").text(f"{base}/landing")
-    schema = StructType.fromDDL("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
-                                "value DOUBLE, props STRING")
-    lines = spark.readStream.option("maxFilesPerTrigger", 4).text(f"{base}/landing")
-    typed = fs.parse_with_rescue(lines, schema)
-    deduped = (to_event_time(typed, "ts").withWatermark("ts", "5 minutes")
-               .dropDuplicatesWithinWatermark(["event_id"]))
-    drain(deduped, f"{base}/silver", f"{base}/_checkpoint")
+    base = payments_silver(spark, sf)
     silver = spark.read.parquet(f"{base}/silver")
     scored = silver.select("event_id", "user_id", risk_score_expr().alias("risk_score"),
                            F.col(fs.RESCUED).isNotNull().alias("rescued"))
@@ -273,8 +292,7 @@ def pipeline_retail_customers(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ PIP4 orders
 
-@register("pipeline_orders", ops=("PIP4", "AGG17"), oracle=f"""
-WITH c AS (
+RFM_CTE = f"""WITH c AS (
   SELECT o_custkey,
     CAST(date_diff('day', CAST(max(o_orderdate) AS DATE), DATE '{RFM_AS_OF}') AS INTEGER) AS recency_days,
     count(*) AS frequency, round(sum(o_totalprice), 2) AS monetary
@@ -293,12 +311,11 @@ seg AS (
        ELSE 'Lost' END AS customer_segment,
     CASE WHEN monetary >= 3000000 THEN 'High Value' WHEN monetary >= 1500000 THEN 'Medium Value'
          ELSE 'Low Value' END AS ltv_category
-  FROM s)
-SELECT customer_segment, ltv_category, count(*) AS customer_count, round(sum(monetary), 2) AS segment_revenue
-FROM seg GROUP BY 1, 2
-""")
-def pipeline_orders(spark: SparkSession, sf: str) -> DataFrame:
-    """Clean orders -> enrich -> customer SCD2 -> RFM segments -> segment cross-tab."""
+  FROM s)"""
+
+
+def orders_silver(spark: SparkSession, sf: str) -> str:
+    """The orders job up to its silver orders and its customer dimension; returns the job's folder."""
     t = Tables(spark, sf)
     base = scratch_path(spark, "pipe_orders")
     clean = t.orders.select("o_orderkey", "o_custkey", F.upper(F.trim("o_orderstatus")).alias("o_orderstatus"),
@@ -308,11 +325,25 @@ def pipeline_orders(spark: SparkSession, sf: str) -> DataFrame:
     dim, batch = scd_dimension(t)
     scd2_merge(dim, batch, ["c_custkey"], ["c_name", "c_nationkey", "c_mktsegment"], "2024-01-01") \
         .write.parquet(f"{base}/dim_customer")
-    orders = spark.read.parquet(f"{base}/silver_orders")
+    return base
+
+
+def customer_value(orders: DataFrame) -> DataFrame:
+    """RFM scores and value class of every customer."""
     per_cust = orders.groupBy("o_custkey").agg(
         F.datediff(F.lit(RFM_AS_OF).cast("date"), F.to_date(F.max("o_orderdate"))).alias("recency_days"),
         F.count(F.lit(1)).alias("frequency"), rnd(F.sum("o_totalprice"), 2).alias("monetary"))
-    rfm = rfm_scores(per_cust, "o_custkey", high_value=3_000_000, medium_value=1_500_000)
+    return rfm_scores(per_cust, "o_custkey", high_value=3_000_000, medium_value=1_500_000)
+
+
+@register("pipeline_orders", ops=("PIP4", "AGG17"), oracle=f"""{RFM_CTE}
+SELECT customer_segment, ltv_category, count(*) AS customer_count, round(sum(monetary), 2) AS segment_revenue
+FROM seg GROUP BY 1, 2
+""")
+def pipeline_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Clean orders -> enrich -> customer SCD2 -> RFM segments -> segment cross-tab."""
+    base = orders_silver(spark, sf)
+    rfm = customer_value(spark.read.parquet(f"{base}/silver_orders"))
     return rfm.groupBy("customer_segment", "ltv_category").agg(
         F.count(F.lit(1)).alias("customer_count"), rnd(F.sum("monetary"), 2).alias("segment_revenue"))
 

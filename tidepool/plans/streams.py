@@ -30,10 +30,12 @@ RETRIES_SQL = """src AS (
   WHERE event_type = 'purchase')"""
 
 
+def retried_events(t: Tables) -> DataFrame:
+    return t.events.filter(F.col("event_type") == "purchase").withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 MINUTE"))
+
+
 def events_with_retries(t: Tables) -> DataFrame:
-    ev = t.events
-    retries = ev.filter(F.col("event_type") == "purchase").withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 MINUTE"))
-    return ev.unionByName(retries)
+    return t.events.unionByName(retried_events(t))
 
 
 def event_stream(spark: SparkSession, sf: str, name: str, files: int = 4,

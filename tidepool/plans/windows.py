@@ -209,7 +209,11 @@ SELECT p_partkey, p_type, revenue, revenue_rank, category_revenue,
 FROM s
 """)
 def market_share(spark: SparkSession, sf: str) -> DataFrame:
-    pr = _part_revenue(Tables(spark, sf))
+    return performance_tiers(_part_revenue(Tables(spark, sf)))
+
+
+def performance_tiers(pr: DataFrame) -> DataFrame:
+    """Rank, share and running share of each part's revenue within its type, and its tier."""
     totals = pr.groupBy("p_type").agg(rnd(F.sum("revenue"), 2).alias("category_revenue"))
     r = keyed_running(pr, ["p_type"], [("revenue", "desc"), "p_partkey"], rank="revenue_rank",
                       sums=[("revenue", "_cum")], rank_by=1)
