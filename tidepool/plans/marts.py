@@ -302,3 +302,121 @@ def medallion_report(spark: SparkSession, sf: str) -> DataFrame:
     report = q.quality_report({name: (tier[name], checks) for name, checks in TIER_CHECKS.items()})
     report = written(report.withColumnRenamed("table_name", "tier"), f"{base}/report")
     return report.withColumn("failed", F.col("total") - F.col("passed"))
+
+
+# ------------------------------------------------------------------ PIP1 retail
+
+#: Dimensions of the retail job: table, key, renamed columns, the column whose values changed, its old value.
+DIMENSIONS = {
+    "products": ("part", "p_partkey", {"p_name": "product_name", "p_type": "product_type"}, "product_type"),
+    "stores": ("supplier", "s_suppkey", {"s_name": "supplier_name", "s_nationkey": "store_nation"}, "supplier_name"),
+    "customers": ("customer", "c_custkey", {"c_name": "customer_name", "c_mktsegment": "segment"}, "segment"),
+}
+LINE_EXPECTATIONS = {"positive_quantity": "l_quantity > 2", "positive_price": "l_extendedprice > 0"}
+
+
+def dimension_changes(t: Tables, table: str, key: str, names: Mapping[str, str], changed: str) -> tuple[DataFrame, DataFrame]:
+    """Fixture: two change files of a dimension. The first has an earlier state, in which every fifth row is missing
+    and every third has the value 'OLD'; the second has the state of now, but for every seventh key, which did
+    not change, and deletes for every eleventh."""
+    now = getattr(t, table).select(F.col(key), *[F.col(c).alias(n) for c, n in names.items()])
+    before = now.filter(F.col(key) % 5 != 0).withColumn(changed, F.when(F.col(key) % 3 == 0, F.lit("OLD")).otherwise(F.col(changed)))
+    after = now.filter((F.col(key) % 7 != 0) | (F.col(key) % 5 == 0) | (F.col(key) % 3 == 0))
+    op = F.when(F.col(key) % 11 == 0, "DELETE").otherwise("UPSERT")
+    return (before.withColumn("change_no", F.lit(1)).withColumn("operation", F.lit("UPSERT")),
+            after.withColumn("change_no", F.lit(2)).withColumn("operation", op))
+
+
+def _dimension_sql(name: str) -> str:
+    table, key, names, changed = DIMENSIONS[name]
+    columns = ", ".join(f"{c} AS {n}" for c, n in names.items())
+    raw = next(c for c, n in names.items() if n == changed)
+    before, deleted = f"{key} % 5 <> 0", f"{key} % 11 = 0"
+    after = f"({key} % 7 <> 0 OR {key} % 5 = 0 OR {key} % 3 = 0)"
+    return f"""{name}_now AS (SELECT {key}, {columns} FROM {table} WHERE NOT ({after} AND {deleted})),
+{name}_versions AS (SELECT count(*) FILTER (WHERE {before})
+    + count(*) FILTER (WHERE {after} AND NOT {deleted} AND (NOT {before} OR {key} % 3 = 0 AND {raw} <> 'OLD')) AS n_versions FROM {table})"""
+
+
+RETAIL_MARTS_CTE = f"""WITH lines AS (SELECT * FROM lineitem WHERE l_quantity > 2 AND l_extendedprice > 0),
+{', '.join(_dimension_sql(d) for d in DIMENSIONS)},
+facts AS (
+  SELECT l.*, CAST(l_extendedprice AS DECIMAL(18, 2)) AS price, o_custkey, CAST(o_orderdate AS DATE) AS day, p_partkey, product_name, product_type,
+    s_suppkey, supplier_name, customer_name, segment, coalesce(l_returnflag = 'R', false) AS returned
+  FROM lines l LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN products_now ON l_partkey = p_partkey
+  LEFT JOIN stores_now ON l_suppkey = s_suppkey LEFT JOIN customers_now ON o_custkey = c_custkey),
+sales AS (SELECT * FROM facts WHERE NOT returned)
+"""
+RETAIL_FIGURES = "sum(l_quantity) AS units, CAST(sum(price) AS DOUBLE) AS revenue, count(*) AS n_lines"
+
+
+def retail_job(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Four bronze streams run side by side (lines with counted expectations, changes of products, stores and customers); the
+    three change tables become type-2 histories by auto-CDC streams over bronze; sales and returns meet the
+    current rows of all three in facts, from which the marts come."""
+    t = Tables(spark, sf)
+    base = scratch_path(spark, "retail_job")
+    t.lineitem.write.parquet(f"{base}/landing/lines")
+    rules = {k: q.Rule(k, v) for k, v in LINE_EXPECTATIONS.items()}
+    lines = spark.readStream.schema(t.lineitem.schema).parquet(f"{base}/landing/lines")
+    lines = lines.observe("line_expectations", F.count(F.lit(1)).alias("total"), *[F.count(F.when(~r.holds(), 1)).alias(k) for k, r in rules.items()])
+    streams = {"lines": (q.expect(lines, LINE_EXPECTATIONS, "drop"), f"{base}/bronze/lines", f"{base}/_checkpoint/lines")}
+    for name, (table, key, names, changed) in DIMENSIONS.items():
+        first, second = dimension_changes(t, table, key, names, changed)
+        first.write.parquet(f"{base}/landing/{name}")
+        second.write.mode("append").parquet(f"{base}/landing/{name}")
+        changes = spark.readStream.schema(first.schema).parquet(f"{base}/landing/{name}")
+        streams[name] = (fs.with_source_metadata(changes, name).drop("_ingested_at"), f"{base}/bronze/{name}", f"{base}/_checkpoint/{name}")
+    done = drain_all(streams)
+
+    failed = [(int(p["batchId"]), k, int(m[k]), int(m["total"])) for p in done["lines"].recentProgress
+              for m in [p.get("observedMetrics", {}).get("line_expectations")] if m for k in rules]
+    counts = written(spark.createDataFrame(failed, "batch long, rule string, failed long, total long"), f"{base}/bronze/line_expectations")
+
+    current, versions = {}, None
+    for name, (_, key, names, _) in DIMENSIONS.items():
+        bronze = spark.read.parquet(f"{base}/bronze/{name}")
+        feed = spark.readStream.schema(bronze.schema).parquet(f"{base}/bronze/{name}").select(key, *names.values(), "change_no", "operation")
+        history = auto_cdc_stream(feed, [key], "change_no", f"{base}/silver/{name}", f"{base}/_checkpoint/cdc_{name}", num_buckets=8,
+                                  delete_when=F.col("operation") == "DELETE", except_cols=["operation"]).history()
+        history = written(history, f"{base}/silver/{name}_history")
+        current[name] = history.filter("__END_AT IS NULL").select(key, *names.values())
+        n = history.agg(F.count(F.lit(1)).alias("n_versions")).select(F.lit(name).alias("dimension"), "*")
+        versions = n if versions is None else versions.unionByName(n)
+
+    orders = t.orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"))
+    returned = F.coalesce(F.col("l_returnflag") == "R", F.lit(False))
+    facts = (spark.read.parquet(f"{base}/bronze/lines").withColumn("returned", returned)
+             .join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+             .join(current["products"], F.col("l_partkey") == F.col("p_partkey"), "left")
+             .join(current["stores"], F.col("l_suppkey") == F.col("s_suppkey"), "left")
+             .join(current["customers"], F.col("o_custkey") == F.col("c_custkey"), "left"))
+    facts = written(facts, f"{base}/facts")
+    sales, returns = facts.filter(~F.col("returned")), facts.filter("returned")
+
+    def mart(name: str, df: DataFrame, *by: str) -> DataFrame:
+        return written(df.groupBy(*by).agg(F.sum("l_quantity").alias("units"), _double(F.sum(_money("l_extendedprice"))).alias("revenue"),
+                                           F.count(F.lit(1)).alias("n_lines")), f"{base}/mart_{name}")
+
+    return {"product_sales": mart("products", sales, "p_partkey", "product_name", "product_type"),
+            "store_days": mart("store_days", sales, "day", "s_suppkey", "supplier_name"),
+            "customers": mart("customers", sales, "o_custkey", "customer_name", "segment"),
+            "returns": mart("returns", returns, "product_type", "segment"),
+            "versions": versions,
+            "expectations": counts.groupBy("rule").agg(F.sum("failed").alias("n_failed"), F.sum("total").alias("n_total"))}
+
+
+@register("retail_marts", ops=("PIP1", "SCD4", "DQ1"), oracle=f"""{RETAIL_MARTS_CTE}
+SELECT 'product_sales' AS mart, * FROM (SELECT p_partkey, product_name, product_type, {RETAIL_FIGURES} FROM sales GROUP BY ALL)
+UNION ALL BY NAME SELECT 'store_days' AS mart, * FROM (SELECT day, s_suppkey, supplier_name, {RETAIL_FIGURES} FROM sales GROUP BY ALL)
+UNION ALL BY NAME SELECT 'customers' AS mart, * FROM (SELECT o_custkey, customer_name, segment, {RETAIL_FIGURES} FROM sales GROUP BY ALL)
+UNION ALL BY NAME SELECT 'returns' AS mart, * FROM (SELECT product_type, segment, {RETAIL_FIGURES} FROM facts WHERE returned GROUP BY ALL)
+UNION ALL BY NAME SELECT 'versions' AS mart, 'products' AS dimension, n_versions FROM products_versions
+UNION ALL BY NAME SELECT 'versions' AS mart, 'stores' AS dimension, n_versions FROM stores_versions
+UNION ALL BY NAME SELECT 'versions' AS mart, 'customers' AS dimension, n_versions FROM customers_versions
+UNION ALL BY NAME SELECT 'expectations' AS mart, 'positive_quantity' AS rule, count(*) FILTER (WHERE NOT coalesce(l_quantity > 2, false)) AS n_failed, count(*) AS n_total FROM lineitem
+UNION ALL BY NAME SELECT 'expectations' AS mart, 'positive_price' AS rule, count(*) FILTER (WHERE NOT coalesce(l_extendedprice > 0, false)) AS n_failed, count(*) AS n_total FROM lineitem
+""")
+def retail_marts(spark: SparkSession, sf: str) -> DataFrame:
+    """All marts of one run of the retail job."""
+    return stacked(retail_job(spark, sf))
