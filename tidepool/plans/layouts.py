@@ -78,7 +78,7 @@ def cluster_layout(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(*o.columns)
 
 
-@register("skipping_report", ops=("LAY10", "LAY11"))
+@register("skipping_report", ops=("LAY10"))
 def skipping_report(spark: SparkSession, sf: str) -> DataFrame:
     """Files a point filter on (part, supplier) must read: raw layout vs z-ordered."""
     li = Tables(spark, sf).lineitem
