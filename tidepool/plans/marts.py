@@ -13,15 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.numeric import rnd
 from ..operators import layout as lay
 from ..operators import quality as q
-from ..operators import relational as rel
 from ..session import scratch_path
 from ..sources import files as fs
 from ..sources.tables import Tables
 from ..streaming.cdc import auto_cdc_stream
-from ..streaming.runner import drain, drain_all
+from ..streaming.runner import drain_all
 from .merges import SRC_SQL, TGT_SQL
 from .pipelines import RFM_CTE, customer_value, events_silver, medallion_job, orders_silver, payments_silver
 from .quality_checks import RISK_ALERT_ABOVE, risk_score_expr
