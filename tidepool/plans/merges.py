@@ -442,7 +442,7 @@ def auto_cdc_stream_q(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "auto_cdc_stream")
     feed = cdc_feed(Tables(spark, sf))
     fs.write_files(feed, f"{base}/landing", "parquet", 4)   # rows spread over files regardless of ts
-    stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/landing")
+    stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", fs.files_a_trigger(spark, f"{base}/landing", 4)).parquet(f"{base}/landing")
     return auto_cdc_stream(stream, ["user_id"], "ts", f"{base}/history", f"{base}/_checkpoint", num_buckets=8,
                            tracked=["event_type"]).history()
 

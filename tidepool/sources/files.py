@@ -7,6 +7,7 @@ paths reach the driver a batch at a time.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,14 +19,21 @@ RESCUED = "_rescued_data"
 
 
 def write_files(df: DataFrame, path: str, fmt: str, n_files: int, **options) -> str:
-    """Land a DataFrame as at least ``n_files`` files, more as its input has more splits (fixture helper)."""
-    w = df.repartition(max(n_files, df.rdd.getNumPartitions())).write.mode("overwrite").format(fmt)
+    """Land a DataFrame as ``n_files`` files, or a multiple as its input has more splits (fixture helper)."""
+    n = n_files * math.ceil(max(n_files, df.rdd.getNumPartitions()) / n_files)
+    w = df.repartition(n).write.mode("overwrite").format(fmt)
     for k, v in options.items():
         w = w.option(k, v)
     w.save(path)
     return path
 
 
+def files_a_trigger(spark: SparkSession, path: str, batches: int) -> int:
+    """``maxFilesPerTrigger`` by which a stream reads a landing folder in ``batches`` micro-batches, however many files it has."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path").count()
+    return max(1, math.ceil(files / batches))
+
+
 def read_csv(spark: SparkSession, path: str, sep: str = ",", header: bool = True,
              schema: StructType | str | None = None, infer: bool = True) -> DataFrame:
     r = spark.read.option("header", header).option("sep", sep)

@@ -52,12 +52,21 @@ def _exists(spark: SparkSession, folder: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
-def live_versions(versions: DataFrame, cuts: DataFrame, keys: Sequence[str]) -> DataFrame:
+def has_hot_key(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether the rows of some key may be too many for one task, by its share of the estimated bytes."""
+    size = estimated_bytes(df)
+    if size <= ONE_TASK_BYTES:
+        return False
+    rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.sum("n")).first()
+    return bool(rows[1]) and size * rows[0] / rows[1] > ONE_TASK_BYTES
+
+
+def live_versions(versions: DataFrame, cuts: DataFrame, keys: Sequence[str], spread: bool | str = "auto") -> DataFrame:
     """``versions`` that no cut of a later batch covers: a running maximum of the cuts' batches in the order of sequence values."""
     blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in versions.schema.fields if f.name not in (*keys, "batch")]
     events = versions.select("*", F.col("_start").alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast("long").alias("_cut")).unionByName(
         cuts.select(*keys, *blank, F.col("batch"), F.col("_from").alias("_at"), F.lit(0).alias("_kind"), F.col("batch").alias("_cut")))
-    seen = keyed_running(events, keys, ["_at", "_kind", "batch"], maxes=[("_cut", "_last_cut")])
+    seen = keyed_running(events, keys, ["_at", "_kind", "batch"], maxes=[("_cut", "_last_cut")], spread=spread)
     return seen.filter((F.col("_kind") == 1) & (F.col("_last_cut").isNull() | (F.col("batch") >= F.col("_last_cut")))).select(versions.columns)
 
 
@@ -88,11 +97,11 @@ class CdcTable:
         return df.alias("l").join(some.select(*self.keys).alias("r"), _same("l", "r", self.keys), how)
 
     def _late(self, late: DataFrame, batch: int) -> tuple[DataFrame, DataFrame, bool]:
-        """For keys (with _first, their least new sequence value): changes from the cut on, seeds, and whether these may be too many for one task."""
+        """For keys (with _first, their least new sequence value): changes from the cut on, seeds, and whether those of some key may be too many for one task."""
         keys = self.keys
         versions = _parts(self.spark, self.path, "versions", self.versions, batch - 1)
         cuts = _parts(self.spark, self.path, "cuts", self.cuts, batch - 1)
-        known = live_versions(self._of(versions, late), self._of(cuts, late), keys).alias("v")
+        known = live_versions(self._of(versions, late), self._of(cuts, late), keys, has_hot_key(versions, keys)).alias("v")
         joined = known.join(late.alias("k"), _same("v", "k", keys)).filter(F.col("_start") < F.col("_first"))
         cut = joined.groupBy(*[F.col(f"k.{k}").alias(k) for k in keys]).agg(F.max("_start").alias("_cut"))
         cut = late.alias("a").join(cut.alias("b"), _same("a", "b", keys), "left").select(
@@ -111,7 +120,7 @@ class CdcTable:
         log = _parts(self.spark, self.path, "changes", self.rows, batch).filter(F.col("_seq") >= F.lit(least))
         again = log.alias("l").join(cut, _same("l", "c", keys)).filter(F.col("l._seq") >= F.col("c._from")).select(
             *[F.col(f"l.{c}") for c in self.rows.names])
-        return again, seeds, estimated_bytes(log) + estimated_bytes(versions) > ONE_TASK_BYTES
+        return again, seeds, has_hot_key(log, keys)
 
     def apply(self, batch_changes: DataFrame, batch: int) -> None:
         """One micro-batch."""
@@ -135,7 +144,7 @@ class CdcTable:
         goes_on = on_time.filter(F.col("_s._last").isNotNull())
         seeds = goes_on.select(*keys, *[F.col(f"_s.{c}").alias(c) for c in self.payload], F.col("_s._last").alias("_seq"),
                                F.lit(None).cast(self.rows["_tie"].dataType).alias("_tie"), F.col("_s._del").alias("_del"))
-        made = cdc_versions(self._of(new, on_time).unionByName(seeds), keys, self.payload, self.tracked, self.ignore)
+        made = cdc_versions(self._of(new, on_time).unionByName(seeds), keys, self.payload, self.tracked, self.ignore, spread=has_hot_key(new, keys))
         made = made.alias("v").join(goes_on.select(*keys, F.col("_s._start").alias("_begun")).alias("g"), _same("v", "g", keys), "left")
         made = made.select("v.*", F.when(F.col("v._seed"), F.col("_begun")).otherwise(F.col("v._start")).alias("_at"))
         made = made.drop("_start").withColumnRenamed("_at", "_start").select(*self.versions.names)
@@ -169,7 +178,7 @@ class CdcTable:
         if versions is None:
             versions = self.spark.createDataFrame([], StructType([*self.versions.fields, StructField("batch", LongType())]))
         cuts = _parts(self.spark, self.path, "cuts", self.cuts)
-        live = live_versions(versions, cuts, self.keys) if cuts is not None else versions
+        live = live_versions(versions, cuts, self.keys, has_hot_key(versions, self.keys)) if cuts is not None else versions
         return live.filter(~F.col("_del")).select(*self.keys, *self.payload, F.col("_start").alias(start_col), F.col("_end").alias(end_col))
 
 
