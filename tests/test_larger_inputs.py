@@ -69,3 +69,13 @@ def test_only_a_large_key_is_dealt_over_tasks(spark, monkeypatch):
     assert cdc.has_hot_key(df.filter("one IS NULL OR id < 5"), ["one"])  # NULL is a key
     monkeypatch.setattr(cdc, "ONE_TASK_BYTES", cdc.estimated_bytes(df))
     assert not cdc.has_hot_key(df, ["one"])
+
+
+def test_stream_merge_upsert_has_three_batches(spark, many_splits, monkeypatch):
+    from tidepool.plans import ingest
+    drained = captured(monkeypatch, ingest, "drain")
+    got = run("stream_merge_upsert", spark, many_splits)
+    assert [input_batches(q) for q in drained] == [3]
+    late = got.filter("o_orderdate >= '1999-01-01'").count()
+    assert 0 < late < got.count() == got.select("o_orderkey").distinct().count() == 360
+    assert got.filter("o_orderstatus = 'O'").count() == late  # each late order was updated once

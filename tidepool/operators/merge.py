@@ -356,7 +356,8 @@ def merge_into_buckets(spark, path: str, source: DataFrame, on: Sequence[str], c
     merged.hint("rebalance", BUCKET_COL).write.mode("overwrite").partitionBy(BUCKET_COL).parquet(staging)
     done = spark.read.schema(merged.schema).parquet(staging)
     left = {r[0] for r in done.select(BUCKET_COL).distinct().collect()}
-    (done.hint("rebalance", BUCKET_COL).write.mode("overwrite")
+    # Staged rows lie in files of their bucket already: they are copied as they lie, without a shuffle.
+    (done.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET_COL).parquet(path))
     remove_folders(spark, [f"{path.rstrip('/')}/{BUCKET_COL}={b}" for b in touched if b not in left])
     return touched

@@ -456,7 +456,7 @@ def stream_merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
         merge_into_buckets(spark, table, latest, ["o_orderkey"], [WhenMatched(update="*"), WhenNotMatched()],
                            UPSERT_BUCKETS, f"{base}/staging/batch={batch_id}")
 
-    stream = spark.readStream.schema(src.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/landing")
+    stream = spark.readStream.schema(src.schema).option("maxFilesPerTrigger", fs.files_a_trigger(spark, f"{base}/landing", 3)).parquet(f"{base}/landing")
     drain(stream, None, f"{base}/_checkpoint", foreach_batch=upsert)
     return spark.read.parquet(table).drop("_bucket")
 
