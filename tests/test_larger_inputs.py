@@ -79,3 +79,8 @@ def test_stream_merge_upsert_has_three_batches(spark, many_splits, monkeypatch):
     late = got.filter("o_orderdate >= '1999-01-01'").count()
     assert 0 < late < got.count() == got.select("o_orderkey").distinct().count() == 360
     assert got.filter("o_orderstatus = 'O'").count() == late  # each late order was updated once
+
+
+def test_stream_progress_has_four_batches(spark, many_splits):
+    got = run("stream_progress", spark, many_splits).filter("num_input_rows > 0")
+    assert got.count() == 4 and got.agg(F.sum("num_input_rows")).first()[0] == 480

@@ -10,6 +10,8 @@ in the output - the oracles say the same with ``window_end <= max(ts) - delay``.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,13 +42,17 @@ def events_with_retries(t: Tables) -> DataFrame:
 
 def event_stream(spark: SparkSession, sf: str, name: str, files: int = 4,
                  max_files_per_trigger: int | None = None) -> tuple[DataFrame, str]:
-    """Land events + retries and open them as a stream with TIMESTAMP event time."""
+    """Land events + retries and open them as a stream with TIMESTAMP event time.
+
+    ``max_files_per_trigger`` counts in ``files``: a larger input lands as more files, and a trigger
+    takes as many times more, so the number of micro-batches stays.
+    """
     base = scratch_path(spark, name)
     landed = events_with_retries(Tables(spark, sf))
     fs.write_files(landed, f"{base}/landing", "parquet", files)
     r = spark.readStream.schema(landed.schema)
     if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+        r = r.option("maxFilesPerTrigger", fs.files_a_trigger(spark, f"{base}/landing", math.ceil(files / max_files_per_trigger)))
     return to_event_time(r.parquet(f"{base}/landing"), "ts"), base
 
 
