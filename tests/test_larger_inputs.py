@@ -84,3 +84,11 @@ def test_stream_merge_upsert_has_three_batches(spark, many_splits, monkeypatch):
 def test_stream_progress_has_four_batches(spark, many_splits):
     got = run("stream_progress", spark, many_splits).filter("num_input_rows > 0")
     assert got.count() == 4 and got.agg(F.sum("num_input_rows")).first()[0] == 480
+
+
+def test_stream_monitor_has_four_batches_a_query(spark, many_splits, monkeypatch):
+    from tidepool.plans import streams
+    drained = captured(monkeypatch, streams, "drain_all")
+    got = {r.query_name: r for r in run("stream_monitor", spark, many_splits).collect()}
+    assert {n: input_batches(q) for n, q in drained[0].items()} == {"purchases": 4, "hourly_counts": 4}
+    assert {n: r.input_rows for n, r in got.items()} == {"purchases": 480, "hourly_counts": 480} and all(r.row_a_batch for r in got.values())
