@@ -92,3 +92,28 @@ def test_stream_monitor_has_four_batches_a_query(spark, many_splits, monkeypatch
     got = {r.query_name: r for r in run("stream_monitor", spark, many_splits).collect()}
     assert {n: input_batches(q) for n, q in drained[0].items()} == {"purchases": 4, "hourly_counts": 4}
     assert {n: r.input_rows for n, r in got.items()} == {"purchases": 480, "hourly_counts": 480} and all(r.row_a_batch for r in got.values())
+
+
+def lines(spark):
+    i = F.col("id")
+    return spark.range(720).select(
+        (i % 360).alias("l_orderkey"), (i % 30).alias("l_partkey"), (i % 7).alias("l_suppkey"), F.lit(1).alias("l_linenumber"),
+        (i % 50).cast("double").alias("l_quantity"), (i + 1).cast("double").alias("l_extendedprice"), F.lit(0.0).alias("l_discount"), F.lit(0.0).alias("l_tax"),
+        F.when(i % 4 == 0, "R").when(i % 4 == 1, "N").alias("l_returnflag"), F.lit("O").alias("l_linestatus"),
+        F.lit("2000-01-01").cast("timestamp_ntz").alias("l_shipdate"))
+
+
+def test_layouts_of_a_larger_table_have_more_files(spark, monkeypatch):
+    """What a task sorts is a file's rows: they stay few, with no row lost and the session's settings as they were."""
+    from tidepool.operators import layout as lay
+    from tidepool.plans import layouts
+    sf = scratch_path(spark, "large_lines")
+    lines(spark).repartition(2).write.parquet(f"{sf}/lineitem.parquet")
+    size = lay.file_report(spark, f"{sf}/lineitem.parquet").first()["total_bytes"]
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    assert {r.total_files for r in run("skipping_report", spark, sf).collect()} == {8}
+    monkeypatch.setattr(layouts, "LAYOUT_FILE_BYTES", size // 20 + 1)
+    got = run("skipping_report", spark, sf).collect()
+    assert all(r.total_files > 15 and r.total_rows == 720 and r.probe_rows == 4 for r in got), got
+    assert spark.conf.get(key) == old

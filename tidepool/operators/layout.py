@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,26 +45,41 @@ def compact(spark: SparkSession, src: str, dst: str, target_file_bytes: int = DE
     (``spark.sql.files.maxPartitionBytes``), so the rewrite needs no shuffle:
     each task writes one output file from the small files it read.
     """
-    conf = spark.conf
-    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes",
-            "spark.sql.files.minPartitionNum")
-    old = {k: conf.get(k, None) for k in keys}
-    conf.set("spark.sql.files.maxPartitionBytes", str(target_file_bytes))
-    conf.set("spark.sql.files.openCostInBytes", "1")
     # Do not shrink splits to spread a small input over all cores: size wins.
-    conf.set("spark.sql.files.minPartitionNum", "1")
-    try:
+    with _reading(spark, {"spark.sql.files.maxPartitionBytes": target_file_bytes, "spark.sql.files.openCostInBytes": 1,
+                          "spark.sql.files.minPartitionNum": 1}):
         df = spark.read.parquet(src)
         w = df.write.mode("overwrite")
         if max_records_per_file:
             w = w.option("maxRecordsPerFile", max_records_per_file)
         w.parquet(dst)
+    return dst
+
+
+@contextmanager
+def _reading(spark: SparkSession, settings: Mapping[str, int]):
+    """Session settings of reads; the session gets its own back."""
+    conf, old = spark.conf, {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            conf.set(k, str(v))
+        yield
     finally:
         for k, v in old.items():
             if v is None:
                 conf.unset(k)
             else:
                 conf.set(k, v)
+
+
+def deal(df: DataFrame, dst: str, num_files: int, split_bytes: int) -> str:
+    """Write ``df`` as ``num_files`` files, its rows dealt out evenly.
+
+    Spark sorts the rows of each split before it deals them: splits of at most
+    ``split_bytes`` keep that small.
+    """
+    with _reading(df.sparkSession, {"spark.sql.files.maxPartitionBytes": split_bytes}):
+        df.repartition(num_files).write.parquet(dst)
     return dst
 
 

@@ -17,6 +17,8 @@ from .registry import register
 
 # Small target so the test-scale tables still produce several files.
 TEST_TARGET_FILE_BYTES = 256 * 1024
+#: Lineitem's bytes for each file of the layouts that reports compare; a sort holds some ten times as much.
+LAYOUT_FILE_BYTES = 32 * 1024 * 1024
 
 
 def fragmented_lineitem(spark: SparkSession, sf: str, path: str) -> str:
@@ -78,13 +80,19 @@ def cluster_layout(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(*o.columns)
 
 
+def line_files(spark: SparkSession, sf: str, at_least: int) -> int:
+    """Files of a layout of lineitem: more for a larger table, as a task sorts what goes to one file."""
+    return max(at_least, lay.files_for_target(spark, f"{sf.rstrip('/')}/lineitem.parquet", LAYOUT_FILE_BYTES))
+
+
 @register("skipping_report", ops=("LAY10"))
 def skipping_report(spark: SparkSession, sf: str) -> DataFrame:
     """Files a point filter on (part, supplier) must read: raw layout vs z-ordered."""
     li = Tables(spark, sf).lineitem
     base = scratch_path(spark, "skipping")
-    li.repartition(8).write.parquet(f"{base}/raw")
-    lay.zorder(spark.read.parquet(f"{base}/raw"), ["l_partkey", "l_suppkey"], f"{base}/z", num_files=8)
+    n = line_files(spark, sf, 8)
+    lay.deal(li, f"{base}/raw", n, LAYOUT_FILE_BYTES)
+    lay.zorder(spark.read.parquet(f"{base}/raw"), ["l_partkey", "l_suppkey"], f"{base}/z", num_files=n)
     probe_row = li.select("l_partkey", "l_suppkey").orderBy("l_partkey", "l_suppkey").first()
     probe = {"l_partkey": probe_row[0], "l_suppkey": probe_row[1]}
     raw = lay.skipping_report(spark, f"{base}/raw", probe).select(F.lit("raw").alias("layout"), "*")
@@ -117,9 +125,10 @@ def footer_skipping(spark: SparkSession, sf: str) -> DataFrame:
     """What a point filter must read, from footers alone, for three layouts; the files named may hold every row found."""
     li = Tables(spark, sf).lineitem
     base = scratch_path(spark, "footers")
-    li.repartition(8).write.parquet(f"{base}/raw")
+    n = line_files(spark, sf, 8)
+    lay.deal(li, f"{base}/raw", n, LAYOUT_FILE_BYTES)
     write_partitioned(li, f"{base}/partitioned", ["l_returnflag"])
-    lay.zorder(spark.read.parquet(f"{base}/raw"), ["l_partkey", "l_suppkey"], f"{base}/zorder", num_files=8)
+    lay.zorder(spark.read.parquet(f"{base}/raw"), ["l_partkey", "l_suppkey"], f"{base}/zorder", num_files=n)
     first = li.select("l_partkey", "l_suppkey").orderBy("l_partkey", "l_suppkey").first()
     probe = first.asDict()
     out = None
