@@ -117,3 +117,20 @@ def test_layouts_of_a_larger_table_have_more_files(spark, monkeypatch):
     got = run("skipping_report", spark, sf).collect()
     assert all(r.total_files > 15 and r.total_rows == 720 and r.probe_rows == 4 for r in got), got
     assert spark.conf.get(key) == old
+
+
+def test_pipeline_retail_has_two_batches(spark, many_splits, monkeypatch):
+    from tidepool.plans import pipelines
+    drained, landed = captured(monkeypatch, pipelines, "drain"), captured(monkeypatch, pipelines.fs, "write_files")
+    n = F.col("id")
+    lines(spark).repartition(SPLITS).write.parquet(f"{many_splits}/lineitem.parquet")
+    spark.range(30).select(n.alias("p_partkey"), F.lit("p").alias("p_name"), F.lit("t").alias("p_type")).write.parquet(f"{many_splits}/part.parquet")
+    spark.range(7).select(n.alias("s_suppkey"), F.lit("s").alias("s_name")).write.parquet(f"{many_splits}/supplier.parquet")
+    spark.range(20).select(n.alias("c_custkey"), F.lit("c").alias("c_name"), F.lit("m").alias("c_mktsegment")).write.parquet(f"{many_splits}/customer.parquet")
+    got = run("pipeline_retail", spark, many_splits).agg(F.sum("units"), F.sum("n_lines")).first()
+    assert [input_batches(q) for q in drained] == [2]
+    sold = [i for i in range(720) if i % 4 and i % 50]
+    assert tuple(got) == (sum(i % 50 for i in sold), len(sold))
+    # The landing is the input's splits as they lay, not dealt anew.
+    rows = spark.read.parquet(landed[0]).groupBy(F.input_file_name()).count()
+    assert rows.count() == SPLITS

@@ -18,10 +18,14 @@ CORRUPT = "_corrupt_record"
 RESCUED = "_rescued_data"
 
 
-def write_files(df: DataFrame, path: str, fmt: str, n_files: int, **options) -> str:
-    """Land a DataFrame as ``n_files`` files, or a multiple as its input has more splits (fixture helper)."""
-    n = n_files * math.ceil(max(n_files, df.rdd.getNumPartitions()) / n_files)
-    w = df.repartition(n).write.mode("overwrite").format(fmt)
+def write_files(df: DataFrame, path: str, fmt: str, n_files: int, deal: bool = True, **options) -> str:
+    """Land a DataFrame as ``n_files`` files, or a multiple as its input has more splits (fixture helper).
+
+    With ``deal=False`` an input of ``n_files`` splits or more lands as it lies, a file a split, without a shuffle.
+    """
+    splits = df.rdd.getNumPartitions()
+    rows = df.repartition(n_files * math.ceil(max(n_files, splits) / n_files)) if deal or splits < n_files else df
+    w = rows.write.mode("overwrite").format(fmt)
     for k, v in options.items():
         w = w.option(k, v)
     w.save(path)
