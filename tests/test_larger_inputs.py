@@ -1,6 +1,7 @@
 """Inputs of many splits: micro-batches stay as many, keys are dealt over tasks only if one of them is large."""
 
 import datetime as dt
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from tidepool.plans import registry_dicts
 from tidepool.session import scratch_path
 from tidepool.streaming import cdc
+from tidepool.streaming.monitor import state_operators
 
 SPLITS = 9
 
@@ -94,6 +96,45 @@ def test_stream_monitor_has_four_batches_a_query(spark, many_splits, monkeypatch
     assert {n: r.input_rows for n, r in got.items()} == {"purchases": 480, "hourly_counts": 480} and all(r.row_a_batch for r in got.values())
 
 
+@contextmanager
+def shuffle_partitions(spark, n):
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+        assert spark.conf.get(key) == str(n)
+    finally:
+        spark.conf.set(key, old)
+
+
+def stores(spark, paths, checkpoint):
+    """Numbers of state stores in the checkpoints of that name under the scratch folders."""
+    return [r.numPartitions for p in paths for r in state_operators(spark, f"{p}/{checkpoint}").collect()]
+
+
+@pytest.mark.parametrize("name,checkpoint", [("stream_monitor", "_ck_hourly"), ("stream_progress", "_checkpoint"), ("stream_complete_counts", "_checkpoint")])
+def test_few_keys_have_no_more_state_stores_than_cores(spark, many_splits, monkeypatch, name, checkpoint):
+    from tidepool.plans import streams
+    paths, cores = captured(monkeypatch, streams, "scratch_path"), spark.sparkContext.defaultParallelism
+    with shuffle_partitions(spark, cores + 5):
+        got = run(name, spark, many_splits)
+        assert stores(spark, paths, checkpoint) == [cores]
+        if name == "stream_monitor":
+            rows = {r.query_name: (r.input_rows, r.row_a_batch, r.knows_state) for r in got.collect()}
+            assert rows == {"purchases": (480, True, False), "hourly_counts": (480, True, True)}
+        elif name == "stream_complete_counts":
+            assert {r.event_type: r.n_events for r in got.collect()} == {"view": 120, "click": 120, "purchase": 240}
+
+
+def test_other_state_keeps_a_store_a_shuffle_partition(spark, many_splits, monkeypatch):
+    from tidepool.plans import streams
+    paths, cores = captured(monkeypatch, streams, "scratch_path"), spark.sparkContext.defaultParallelism
+    with shuffle_partitions(spark, cores + 5):
+        run("stream_dedup_key", spark, many_splits)
+        assert stores(spark, paths, "_checkpoint") == [cores + 5]
+
+
 def lines(spark):
     i = F.col("id")
     return spark.range(720).select(

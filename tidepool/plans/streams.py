@@ -173,7 +173,7 @@ def stream_progress(spark: SparkSession, sf: str) -> DataFrame:
     """Per micro-batch progress (input rows, rates, state rows, watermark) as a DataFrame."""
     s, base = event_stream(spark, sf, "stream_progress", files=4, max_files_per_trigger=1)
     agg = s.withWatermark("ts", "10 minutes").groupBy("event_type", F.window("ts", "1 hour")).count()
-    q = drain(agg, f"{base}/out", f"{base}/_checkpoint")
+    q = drain(agg, f"{base}/out", f"{base}/_checkpoint", few_keys=True)
     return progress_frame(spark, q)
 
 
@@ -189,7 +189,7 @@ def stream_complete_counts(spark: SparkSession, sf: str) -> DataFrame:
     def overwrite(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{base}/out")
 
-    drain(out, None, f"{base}/_checkpoint", output_mode="complete", foreach_batch=overwrite)
+    drain(out, None, f"{base}/_checkpoint", output_mode="complete", foreach_batch=overwrite, few_keys=True)
     return spark.read.parquet(f"{base}/out").withColumn("total_value", rnd("total_value", 2))
 
 
@@ -256,7 +256,7 @@ def stream_monitor(spark: SparkSession, sf: str) -> DataFrame:
     hourly = s.withWatermark("ts", "10 minutes").groupBy("event_type", F.window("ts", "1 hour")).count()
     with ProgressLog(spark, f"{base}/progress", flush_every=3):
         drain_all({"purchases": (s.filter("event_type = 'purchase'"), f"{base}/purchases", f"{base}/_ck_purchases"),
-                   "hourly_counts": (hourly, f"{base}/hourly", f"{base}/_ck_hourly")})
+                   "hourly_counts": (hourly, f"{base}/hourly", f"{base}/_ck_hourly")}, few_keys=True)
     got = read_progress(spark, f"{base}/progress").filter(F.col("query_name").isin("purchases", "hourly_counts"))
     return got.groupBy("query_name").agg(
         F.sum("input_rows").alias("input_rows"),

@@ -8,7 +8,7 @@ rerun with the same checkpoint processes nothing twice.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,12 +19,13 @@ KEPT_REPORTS = 1_000_000
 
 def drain(stream: DataFrame, sink_path: str | None, checkpoint: str, output_mode: str = "append",
           fmt: str = "parquet", foreach_batch: Callable[[DataFrame, int], None] | None = None,
-          trigger: str = "availableNow", query_name: str | None = None, timeout_s: float | None = None):
+          trigger: str = "availableNow", query_name: str | None = None, timeout_s: float | None = None,
+          few_keys: bool = False):
     """Run ``stream`` until the available input is processed; returns the query handle.
 
     Waits as long as that takes. With ``timeout_s`` the query is stopped after
     so many seconds and TimeoutError raised: a drain never ends early in silence.
-    The handle keeps the progress reports of all micro-batches.
+    The handle keeps the progress reports of all micro-batches. ``few_keys``: see ``_state_stores``.
     """
     w = stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if query_name:
@@ -40,7 +41,8 @@ def drain(stream: DataFrame, sink_path: str | None, checkpoint: str, output_mode
     else:
         w = w.trigger(processingTime=trigger)
     with _all_reports(stream.sparkSession):
-        q = w.start()
+        with _state_stores(stream.sparkSession, few_keys):
+            q = w.start()
         if trigger in ("availableNow", "once"):
             if timeout_s is None:
                 q.awaitTermination()
@@ -58,13 +60,17 @@ def drain(stream: DataFrame, sink_path: str | None, checkpoint: str, output_mode
     return q
 
 
-def drain_all(streams: Mapping[str, tuple[DataFrame, str, str]]) -> dict:
-    """Drain several streams at once, each (stream, sink folder, checkpoint) under its query name."""
+def drain_all(streams: Mapping[str, tuple[DataFrame, str, str]], few_keys: bool = False) -> dict:
+    """Drain several streams at once, each (stream, sink folder, checkpoint) under its query name.
+
+    ``few_keys``: see ``_state_stores``.
+    """
     running = {}
     try:
         for name, (stream, sink, checkpoint) in streams.items():
             w = stream.writeStream.queryName(name).format("parquet").option("path", sink)
-            running[name] = w.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+            with _state_stores(stream.sparkSession, few_keys):
+                running[name] = w.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         for q in running.values():
             q.awaitTermination()
     finally:
@@ -74,12 +80,28 @@ def drain_all(streams: Mapping[str, tuple[DataFrame, str, str]]) -> dict:
     return running
 
 
-@contextmanager
 def _all_reports(spark: SparkSession):
-    """Queries keep more than the last 100 progress reports; the session gets its own setting back."""
-    key = "spark.sql.streaming.numRecentProgressUpdates"
+    """Queries keep more than the last 100 progress reports."""
+    return _setting(spark, "spark.sql.streaming.numRecentProgressUpdates", str(KEPT_REPORTS))
+
+
+def _state_stores(spark: SparkSession, few_keys: bool):
+    """A stateful query started inside has a state store per shuffle partition; with ``few_keys`` no more than the cluster has cores.
+
+    A store costs a task and files in every micro-batch, however few rows it holds: where the
+    shuffle partitions follow the input and the state doesn't, most stores are empty.
+    """
+    if not few_keys:
+        return nullcontext()
+    key = "spark.sql.shuffle.partitions"
+    return _setting(spark, key, str(min(int(spark.conf.get(key)), spark.sparkContext.defaultParallelism)))
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    """Queries started inside have this setting; the session gets its own back."""
     old = spark.conf.get(key, None)
-    spark.conf.set(key, str(KEPT_REPORTS))
+    spark.conf.set(key, value)
     try:
         yield
     finally:
