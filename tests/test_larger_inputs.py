@@ -160,6 +160,28 @@ def test_layouts_of_a_larger_table_have_more_files(spark, monkeypatch):
     assert spark.conf.get(key) == old
 
 
+def test_small_files_of_a_larger_table_stay_small(spark, monkeypatch):
+    """Compaction finds more small files in a larger table, not files that are as large as those it writes."""
+    from tidepool.operators import layout as lay
+    from tidepool.plans import layouts
+    sf = scratch_path(spark, "fragments")
+    rows = spark.range(40000).select(F.xxhash64("id").alias("l_orderkey"), F.xxhash64("id", F.lit(1)).alias("l_partkey"), F.hash("id").alias("l_linenumber"))
+    rows.repartition(2).write.parquet(f"{sf}/lineitem.parquet")
+    size = lay.file_report(spark, f"{sf}/lineitem.parquet").first()["total_bytes"]
+    compact, key = lay.compact, "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    # The sizes of a table so large that each of 28 files would have the compaction's target.
+    raw = scratch_path(spark, "raw")
+    target = lay.file_report(spark, layouts.fragmented_lineitem(spark, sf, raw)).first()["total_bytes"] // 28
+    monkeypatch.setattr(layouts, "SMALL_FILE_BYTES", size // 200, raising=False)
+    monkeypatch.setattr(lay, "compact", lambda spark, src, dst, target_file_bytes: compact(spark, src, dst, target))
+    got = run("compact_files", spark, sf)
+    assert got.count() == 40000 and got.exceptAll(rows).isEmpty()
+    report = {r.stage: r.num_files for r in run("file_report", spark, sf).collect()}
+    assert report["before"] > 28 and report["after"] < report["before"]
+    assert spark.conf.get(key) == old
+
+
 def test_pipeline_retail_has_two_batches(spark, many_splits, monkeypatch):
     from tidepool.plans import pipelines
     drained, landed = captured(monkeypatch, pipelines, "drain"), captured(monkeypatch, pipelines.fs, "write_files")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,15 +20,18 @@ from .registry import register
 TEST_TARGET_FILE_BYTES = 256 * 1024
 #: Lineitem's bytes for each file of the layouts that reports compare; a sort holds some ten times as much.
 LAYOUT_FILE_BYTES = 32 * 1024 * 1024
+#: Lineitem's bytes for each file of the small-file fixture: an eighth of what its compaction aims at, as rows dealt out by a hash take more bytes.
+SMALL_FILE_BYTES = 512 * 1024
+APPENDS = 7
 
 
 def fragmented_lineitem(spark: SparkSession, sf: str, path: str) -> str:
-    """Small-file fixture: every row lands once, in seven appends dealt out by a hash of the row."""
+    """Small-file fixture: every row lands once, in seven appends dealt out by a hash of the row. A larger table lands in more files, not in larger ones."""
     li = Tables(spark, sf).lineitem
-    part = F.pmod(F.xxhash64(*li.columns), F.lit(7))
-    for n in range(7):
-        rows = li.filter(part == n)
-        rows.repartition(max(4, rows.rdd.getNumPartitions())).write.mode("append").parquet(path)
+    part = F.pmod(F.xxhash64(*li.columns), F.lit(APPENDS))
+    files = max(4, li.rdd.getNumPartitions(), math.ceil(line_files(spark, sf, 1, SMALL_FILE_BYTES) / APPENDS))
+    for n in range(APPENDS):
+        li.filter(part == n).repartition(files).write.mode("append").parquet(path)
     return path
 
 
@@ -80,9 +84,9 @@ def cluster_layout(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(*o.columns)
 
 
-def line_files(spark: SparkSession, sf: str, at_least: int) -> int:
+def line_files(spark: SparkSession, sf: str, at_least: int, file_bytes: int | None = None) -> int:
     """Files of a layout of lineitem: more for a larger table, as a task sorts what goes to one file."""
-    return max(at_least, lay.files_for_target(spark, f"{sf.rstrip('/')}/lineitem.parquet", LAYOUT_FILE_BYTES))
+    return max(at_least, lay.files_for_target(spark, f"{sf.rstrip('/')}/lineitem.parquet", file_bytes or LAYOUT_FILE_BYTES))
 
 
 @register("skipping_report", ops=("LAY10"))
