@@ -197,3 +197,55 @@ def test_pipeline_retail_has_two_batches(spark, many_splits, monkeypatch):
     # The landing is the input's splits as they lay, not dealt anew.
     rows = spark.read.parquet(landed[0]).groupBy(F.input_file_name()).count()
     assert rows.count() == SPLITS
+
+
+def test_window_state_of_payments_follows_the_open_windows(spark, many_splits, monkeypatch):
+    """Streams of windows read slices of event time: the same marts, a part of the state, no row behind the watermark."""
+    from tidepool.plans import marts
+    from tidepool.streaming import replay
+    i = F.col("id")
+    start = F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")
+    spark.range(600).select(
+        i.alias("event_id"), F.when(i % 50 > 0, start + F.make_dt_interval(F.lit(0), F.lit(0), i * 2)).alias("ts"), (i % 20).alias("user_id"),
+        F.element_at(F.array(*map(F.lit, ("view", "purchase", "error"))), (i % 3 + 1).cast("int")).alias("event_type"),
+        (i % 60).cast("double").alias("value"), F.lit('{"k": 90}').alias("props")).repartition(SPLITS).write.parquet(f"{many_splits}/payments/events.parquet")
+    spark.range(20).select(i.alias("c_custkey"), F.lit("m").alias("c_mktsegment")).write.parquet(f"{many_splits}/payments/customer.parquet")
+    drained, silver = captured(monkeypatch, marts, "drain_all"), captured(monkeypatch, marts, "payments_silver")
+    got = []
+    for rows_a_store in (replay.ROWS_A_STORE, 100):
+        monkeypatch.setattr(replay, "ROWS_A_STORE", rows_a_store)
+        got.append(sorted(map(repr, run("payments_marts", spark, f"{many_splits}/payments").collect())))
+    assert got[0] == got[1] and any("prefill" in r and "n_hours_over_limit=0" not in r for r in got[0])
+    at_once, sliced = (q["hourly"] for q in drained)
+    most = [max(o["numRowsTotal"] for p in q.recentProgress for o in p["stateOperators"]) for q in (at_once, sliced)]
+    assert input_batches(at_once) == 1 and input_batches(sliced) > 5 and most[1] < most[0] / 2
+    hourly = [sorted(map(tuple, spark.read.parquet(f"{path}/hourly").collect()), key=repr) for path in silver]
+    assert hourly[0] == hourly[1] and len(hourly[0]) > 1000
+    assert sum(o["numRowsDroppedByWatermark"] for q in drained[1].values() for p in q.recentProgress for o in p["stateOperators"]) == 0
+
+
+def test_slices_land_in_event_time_order(spark):
+    from tidepool.streaming.replay import land_by_time
+    path = scratch_path(spark, "slices")
+    i = F.col("id")
+    rows = spark.range(1000).select(F.when(i % 100 > 0, (i * 7919 % 1000).cast("timestamp")).alias("ts"), (i % 7).alias("k")).repartition(4)
+    assert land_by_time(rows, "ts", path, 5)
+    landed = spark.read.parquet(f"{path}/landing")
+    assert landed.exceptAll(rows).isEmpty() and rows.exceptAll(landed).isEmpty()
+    files = landed.groupBy(F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path")).agg(F.min("ts"), F.max("ts")).orderBy("at").collect()
+    assert len(files) == 5 and all(a["max(ts)"] < b["min(ts)"] for a, b in zip(files, files[1:], strict=False))
+    same = rows.withColumn("ts", F.lit("2024-01-01").cast("timestamp"))
+    land_by_time(same, "ts", f"{path}/same", 5)
+    assert spark.read.parquet(f"{path}/same/landing").count() == 1000
+
+
+@pytest.mark.parametrize("largest,wide", [(5.0, False), (None, False), (1e9, True), (float("nan"), True)])
+def test_sums_of_small_money_are_those_of_money(spark, largest, wide):
+    from tidepool.plans import marts
+    amounts = [0.005, 1.115, -3.335, 99999.99, None] + [largest]
+    rows = spark.createDataFrame([(x,) for x in amounts], "value double")
+    small = marts._small_money(rows, "value")
+    assert rows.select(small.alias("m")).schema["m"].dataType.precision == (18 if wide else 8)
+    rows = rows.filter("value is null or not isnan(value)")
+    sums = rows.agg(F.sum(small).cast(marts.MONEY_SUM).alias("a"), F.sum(marts._money("value")).alias("b"))
+    assert sums.schema["a"].dataType == sums.schema["b"].dataType and len(set(sums.first())) == 1

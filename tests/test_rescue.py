@@ -48,3 +48,25 @@ def test_drift_counts_values_and_rows(spark):
     df = read_rescued(spark.createDataFrame([(x,) for x in lines], "value string"), StructType.fromDDL(DDL))
     assert sorted(map(tuple, drift_counts(df).collect())) == [("$.a", 1, 1), ("$.m.k[*]", 3, 2)]
     assert drift_counts(df.limit(0)).collect() == []
+
+
+def test_flat_lines_are_typed_once(spark):
+    """Each value is cast once; what doesn't fit, is unknown or is no object is kept, in the line's order."""
+    from tidepool.sources.files import parse_with_rescue
+    lines = {
+        '{"a":"1","t":"2024-01-01 00:00:00","a.b":"x"}': (1, True, "x", None),
+        '{"n":5,"a":"q","t":"bad","a.b":null}': (None, False, None, {"n": "5", "a": "q", "t": "bad"}),
+        '{"a":null,"n":null}': (None, False, None, {"n": None}),
+        '{"a":1,"a":"q"}': (1, False, None, None),
+        "{}": (None, False, None, None),
+        "[1]": (None, False, None, {"_corrupt": "[1]"}),
+    }
+    schema = StructType.fromDDL("a INT, t TIMESTAMP, `a.b` STRING, _misfits DOUBLE")
+    got = parse_with_rescue(spark.createDataFrame([(x,) for x in lines], "value string"), schema)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_cast") == 2  # a and _misfits
+    rescued = [json.loads(r[4]) if r[4] else None for r in got.collect()]
+    assert [(r[0], r[1] is not None, r[2]) for r in got.collect()] == [x[:3] for x in lines.values()]
+    assert [{k: v for k, v in x.items() if v is not None} if x else x for x in rescued] == \
+        [{k: v for k, v in x[3].items() if v is not None} if x[3] else x[3] for x in lines.values()]
+    assert [list(x) for x in rescued if x and len(x) > 1] == [["n", "a", "t"]]

@@ -19,7 +19,8 @@ from ..session import scratch_path
 from ..sources import files as fs
 from ..sources.tables import Tables
 from ..streaming.cdc import auto_cdc_stream
-from ..streaming.runner import drain_all
+from ..streaming.replay import land_by_time, replayed, slices_for
+from ..streaming.runner import drain_all, few_stores
 from .merges import SRC_SQL, TGT_SQL
 from .pipelines import RFM_CTE, customer_value, events_silver, medallion_job, orders_silver, payments_silver
 from .quality_checks import RISK_ALERT_ABOVE, risk_score_expr
@@ -28,6 +29,8 @@ from .streams import RETRIES_SQL, _bucket
 from .windows import performance_tiers
 
 MONEY = "decimal(18,2)"  # sums of it are exact, so they are the same in any order
+MONEY_SUM = "decimal(28,2)"  # a sum of it
+SMALL_MONEY, SMALL_MONEY_BELOW = "decimal(8,2)", 999_999  # its sums have 18 digits: 10 billion amounts
 
 
 def stacked(marts: Mapping[str, DataFrame]) -> DataFrame:
@@ -49,6 +52,12 @@ def _money(c: str) -> F.Column:
     return F.col(c).cast(MONEY)
 
 
+def _small_money(rows: DataFrame, c: str) -> F.Column:
+    """``_money`` of fewer digits if every amount of ``rows`` has them: Spark adds up to 18 digits as longs, more of them as objects."""
+    largest = rows.agg(F.max(F.abs(c))).first()[0]
+    return F.col(c).cast(SMALL_MONEY) if largest is None or largest < SMALL_MONEY_BELOW else _money(c)
+
+
 def _double(c) -> F.Column:
     return c.cast("double")
 
@@ -57,6 +66,7 @@ def _double(c) -> F.Column:
 
 SPIKE_EVENTS = 2  # payments of one user within 10 minutes
 HOURLY_LIMIT = 60  # amount of one user within an hour
+SLIDING_WINDOWS = 12  # of an hour, one every 5 minutes, that hold one payment
 
 PAYMENTS_CTE = f"""WITH {RETRIES_SQL},
 silver AS (SELECT event_id, ts, user_id, event_type, props, CASE WHEN event_type = 'error' THEN NULL ELSE CAST(value AS DECIMAL(18, 2)) END AS value
@@ -87,24 +97,28 @@ segments AS (SELECT segment, count(*) AS n_events, CAST(sum(value) AS DOUBLE) AS
 
 def payments_job(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """Silver payments feed three streams that run side by side: payments per user in tumbling windows, amounts per
-    user in sliding windows, and alerts (scored, with the customer's segment, into a sink). The reports are
+    user in sliding windows, both in the order of event time, so that their state follows the open windows and not the
+    table, and alerts (scored, with the customer's segment, into a sink). The reports are
     batches over their tables: a daily summary clustered by day and type, spikes, a prefilled report for every user with
     an alert, alerts by segment."""
     base = payments_silver(spark, sf)
     silver = spark.read.parquet(f"{base}/silver")
     stream = spark.readStream.schema(silver.schema).parquet(f"{base}/silver")
-    velocity = (stream.withWatermark("ts", "10 minutes").groupBy("user_id", F.window("ts", "10 minutes"))
-                .agg(F.count(F.lit(1)).alias("n_events"))
+    timed, windows = silver.select("user_id", "ts", "value"), f"{base}/windows"
+    one_by_one = land_by_time(timed, "ts", windows, slices_for(timed, SLIDING_WINDOWS))
+    velocity = (replayed(timed, windows, one_by_one, SLIDING_WINDOWS).withWatermark("ts", "10 minutes")
+                .groupBy("user_id", F.window("ts", "10 minutes")).agg(F.count(F.lit(1)).alias("n_events"))
                 .select("user_id", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "n_events"))
-    hourly = (stream.withWatermark("ts", "1 hour").groupBy("user_id", F.window("ts", "1 hour", "5 minutes"))
-              .agg(F.sum(_money("value")).alias("amount"))
-              .select("user_id", F.col("window.start").alias("window_start"), "amount"))
+    amounts = replayed(timed, windows, one_by_one).repartition(few_stores(spark))  # a slice is one file; its rows go to all cores
+    hourly = (amounts.withWatermark("ts", "1 hour").groupBy("user_id", F.window("ts", "1 hour", "5 minutes"))
+              .agg(F.sum(_small_money(timed, "value")).alias("amount"))
+              .select("user_id", F.col("window.start").alias("window_start"), F.col("amount").cast(MONEY_SUM).alias("amount")))
     customers = Tables(spark, sf).customer.select("c_custkey", "c_mktsegment")
     alerts = (stream.withColumn("risk_score", risk_score_expr()).filter(F.col("risk_score") > RISK_ALERT_ABOVE)
               .join(customers, F.col("user_id") == F.col("c_custkey"), "left")
               .select("event_id", "user_id", "ts", "value", "risk_score", F.coalesce("c_mktsegment", F.lit("UNKNOWN")).alias("segment")))
     drain_all({name: (df, f"{base}/{name}", f"{base}/_checkpoint_{name}")
-               for name, df in (("velocity", velocity), ("hourly", hourly), ("alerts", alerts))})
+               for name, df in (("velocity", velocity), ("hourly", hourly), ("alerts", alerts))}, few_keys=("velocity", "hourly"))
     velocity, hourly, alerts = (spark.read.parquet(f"{base}/{name}") for name in ("velocity", "hourly", "alerts"))
 
     total = F.sum(_money("value"))

@@ -144,17 +144,18 @@ def parse_with_rescue(lines: DataFrame, schema: StructType, line_col: str = "val
     """
     raw = F.from_json(F.col(line_col), "map<string,string>")
     df = lines.select(raw.alias("_raw"), F.col(line_col).alias("_line"))
-    known = schema.fieldNames()
-    typed = [_typed(F.col("_raw")[f.name], f.dataType).alias(f.name) for f in schema.fields]
-    misfit = {f.name: F.col("_raw")[f.name].isNotNull() & _typed(F.col("_raw")[f.name], f.dataType).isNull()
-              for f in schema.fields}
-    known_arr = F.array(*[F.lit(k) for k in known])
-    misfit_map = F.map_from_arrays(F.array(*[F.lit(k) for k in known]), F.array(*[misfit[k] for k in known]))
-    rescued_map = F.map_filter(
-        "_raw", lambda k, v: ~F.array_contains(known_arr, k) | F.coalesce(F.element_at(misfit_map, k), F.lit(False)))
+    # Each value is typed once: the steps stay apart in the plan, as later ones use what they make more than once.
+    typed = {f"_typed{i}": f for i, f in enumerate(schema.fields)}
+    df = df.select("_raw", "_line", *[_typed(F.col("_raw")[f.name], f.dataType).alias(c) for c, f in typed.items()])
+    misfits = [F.when(F.col("_raw")[f.name].isNotNull() & F.col(c).isNull(), F.lit(f.name)) for c, f in typed.items()]
+    df = df.withColumn("_misfits", F.array_compact(F.array(*misfits)))
+    known = F.array(*[F.lit(k) for k in schema.fieldNames()])
+    unknown = F.size(F.array_except(F.map_keys("_raw"), known)) > 0
+    rescued_map = F.map_filter("_raw", lambda k, v: ~F.array_contains(known, k) | F.array_contains("_misfits", k))
     rescued = F.when(F.col("_raw").isNull(), F.to_json(F.create_map(F.lit("_corrupt"), F.col("_line")))) \
-               .when(F.size(rescued_map) > 0, F.to_json(rescued_map))
-    return df.select(*typed, rescued.alias(RESCUED))
+               .when(unknown | (F.size("_misfits") > 0), F.to_json(rescued_map))
+    df = df.select(*typed, rescued.alias("_rescued"))
+    return df.select(*[F.col(c).alias(f.name) for c, f in typed.items()], F.col("_rescued").alias(RESCUED))
 
 
 #: Files loaded as one batch; the driver never holds more paths than these.

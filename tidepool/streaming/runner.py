@@ -7,7 +7,7 @@ rerun with the same checkpoint processes nothing twice.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,16 +60,16 @@ def drain(stream: DataFrame, sink_path: str | None, checkpoint: str, output_mode
     return q
 
 
-def drain_all(streams: Mapping[str, tuple[DataFrame, str, str]], few_keys: bool = False) -> dict:
+def drain_all(streams: Mapping[str, tuple[DataFrame, str, str]], few_keys: bool | Collection[str] = False) -> dict:
     """Drain several streams at once, each (stream, sink folder, checkpoint) under its query name.
 
-    ``few_keys``: see ``_state_stores``.
+    ``few_keys``: see ``_state_stores``; for all streams, or for those named.
     """
     running = {}
     try:
         for name, (stream, sink, checkpoint) in streams.items():
             w = stream.writeStream.queryName(name).format("parquet").option("path", sink)
-            with _state_stores(stream.sparkSession, few_keys):
+            with _state_stores(stream.sparkSession, few_keys if isinstance(few_keys, bool) else name in few_keys):
                 running[name] = w.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         for q in running.values():
             q.awaitTermination()
@@ -91,10 +91,12 @@ def _state_stores(spark: SparkSession, few_keys: bool):
     A store costs a task and files in every micro-batch, however few rows it holds: where the
     shuffle partitions follow the input and the state doesn't, most stores are empty.
     """
-    if not few_keys:
-        return nullcontext()
-    key = "spark.sql.shuffle.partitions"
-    return _setting(spark, key, str(min(int(spark.conf.get(key)), spark.sparkContext.defaultParallelism)))
+    return _setting(spark, "spark.sql.shuffle.partitions", str(few_stores(spark))) if few_keys else nullcontext()
+
+
+def few_stores(spark: SparkSession) -> int:
+    """State stores of a query of few keys."""
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
 @contextmanager
